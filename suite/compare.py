@@ -69,7 +69,8 @@ def main() -> int:
     parser.add_argument("--sf", default="/root/testdata/sf0.01")
     parser.add_argument("names", nargs="*")
     args = parser.parse_args()
-    spark = build_session(master="local[8]", spark__sql__shuffle__partitions="8")
+    spark = build_session(master="local[8]", spark__sql__shuffle__partitions="8",
+                          spark__ui__showConsoleProgress="false")
     spark.sparkContext.setLogLevel("ERROR")
     con, bad = duck(args.sf), []
     for name in args.names or QUERIES:
