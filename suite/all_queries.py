@@ -1,3 +1,3 @@
 """Imports every query module, which registers its queries."""
 
-from suite import aggregates, joins, rows, sources_sinks  # noqa: F401
+from suite import aggregates, composites, incremental, joins, rows, scalars, sources_sinks, texts  # noqa: F401
