@@ -9,13 +9,9 @@ from pyspark.sql import functions as F
 
 from coverlens import schemas as S
 
-_ISO = r"^(\d{4})-(\d{1,2})-(\d{1,2})(?:[ \t]+(\d{1,2}):(\d{1,2}):(\d{1,2}))?$"
-_US = r"^(\d{1,2})/(\d{1,2})/(\d{4}|\d{2})$"
-CENTURY_PIVOT = 69  # two-digit years from here on are 19xx
-
-
-def _number(value: Column, pattern: str, group: int) -> Column:
-    return F.coalesce(F.regexp_extract(value, pattern, group).try_cast("int"), F.lit(0))
+_ISO = r"^\d{4}-\d{1,2}-\d{1,2}( \d{1,2}:\d{1,2}:\d{1,2})?$"
+_US = r"^\d{1,2}/\d{1,2}/(\d{4}|\d{2})$"
+CENTURY_PIVOT = "69"  # two-digit years from here on are 19xx
 
 
 def parse_date(value: Column) -> Column:
@@ -23,18 +19,11 @@ def parse_date(value: Column) -> Column:
 
     Parts need no zero padding; impossible dates give NULL.  The result has no zone.
     """
-    iso = F.try_make_timestamp_ntz(*[_number(value, _ISO, g).cast("int") for g in range(1, 6)],
-                                   _number(value, _ISO, 6).cast("decimal(16,6)"))
-    digits = _number(value, _US, 3)
-    two = F.length(F.regexp_extract(value, _US, 3)) == 2
-    year = (F.when(~two, digits).when(digits >= CENTURY_PIVOT, digits + 1900)
-            .otherwise(digits + 2000))
-    zero = F.lit(0)
-    us = F.try_make_timestamp_ntz(year, _number(value, _US, 1), _number(value, _US, 2), zero, zero,
-                                  zero.cast("decimal(16,6)"))
-    # seconds = 60 would roll over to the next minute; it is no valid time here
-    valid_iso = value.rlike(_ISO) & (_number(value, _ISO, 6) < 60)
-    return F.when(valid_iso, iso).when(value.rlike(_US), us)
+    month, day_, year = (F.split_part(value, F.lit("/"), F.lit(i)) for i in (1, 2, 3))
+    century = F.when(F.length(year) == 4, "").when(year >= CENTURY_PIVOT, "19").otherwise("20")
+    us = F.concat(century, year, F.lit("-"), month, F.lit("-"), day_)
+    return (F.when(value.rlike(_ISO), value.try_cast("timestamp_ntz"))
+            .when(value.rlike(_US), us.try_cast("timestamp_ntz")))
 
 
 def parse_page_date(value: Column) -> Column:

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from coverlens import schemas as S
 from coverlens.functions import dates, html, text
+from coverlens.operators.dedup import distinct_on
 from coverlens.operators.lookup import pending
 from coverlens.plans.story import export_frame, story_table, web_view
 from coverlens.sources import landing, writers
@@ -25,7 +26,7 @@ def feed_stage(spark: SparkSession, landed: DataFrame, root: str, batch: str, to
     """New records from the last stored day on; returns fetched, inserted, skipped."""
     path = f"{root}/feed"
     # the window of a repeated batch must not depend on what that batch wrote itself
-    earlier = landing.read_table(spark, path, writers._batched(S.FEED)).filter(F.col(writers.BATCH) != batch)
+    earlier = landing.read_table(spark, path, writers.batched(S.FEED)).filter(F.col(writers.BATCH) != batch)
     fetched = landing.in_window(landed, *landing.next_window(earlier, today, start))
     added = writers.append_new(spark, fetched, path, S.FEED, "id", batch,
                                [F.col("publish_date"), F.col("url")])
@@ -36,7 +37,7 @@ def latest_articles(articles: DataFrame) -> DataFrame:
     """One record per story where failures were retried: a success replaces them."""
     ok = articles.filter("success")
     failed = pending(articles.filter(~F.col("success")), ok, "story_id", "story_id")
-    return ok.unionByName(failed.dropDuplicates(["story_id"]))
+    return ok.unionByName(distinct_on(failed, ["story_id"], [F.col("import_date"), F.col("error")]))
 
 
 def article_backlog(feed: DataFrame, articles: DataFrame, retry_failed: bool = False) -> DataFrame:
@@ -49,7 +50,7 @@ def article_stage(spark: SparkSession, pages: DataFrame, root: str, batch: str,
                   retry_failed: bool = False) -> DataFrame:
     """Article records of the backlog; a story whose page is missing gets a failed one."""
     path = f"{root}/article"
-    stored = (landing.read_table(spark, path, writers._batched(S.ARTICLE))
+    stored = (landing.read_table(spark, path, writers.batched(S.ARTICLE))
               .filter(F.col(writers.BATCH) != batch))
     todo = article_backlog(landing.read_table(spark, f"{root}/feed", S.FEED), stored, retry_failed)
     records = html.article_records(todo.join(pages.select("id", "html"), "id", "left"), run_ts)
@@ -76,7 +77,7 @@ def best_sentences(articles: DataFrame, keyword: str, run_ts: Column) -> DataFra
 
 def sentence_stage(spark: SparkSession, root: str, batch: str, keyword: str, run_ts: Column) -> DataFrame:
     path = f"{root}/sentence"
-    stored = (landing.read_table(spark, path, writers._batched(S.SENTENCE))
+    stored = (landing.read_table(spark, path, writers.batched(S.SENTENCE))
               .filter(F.col(writers.BATCH) != batch))
     articles = latest_articles(landing.read_table(spark, f"{root}/article", S.ARTICLE))
     found = best_sentences(sentence_backlog(articles, stored), keyword, run_ts)

@@ -18,6 +18,8 @@ SETTINGS = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.ui.enabled": "false",
+    # call sites in error messages cost a few round trips per expression
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

@@ -15,10 +15,10 @@ from coverlens.operators.lookup import only_new
 from coverlens.sources.landing import read_table
 
 BATCH = "batch"  # partition column of staging tables: one folder per run or micro-batch
-MAX_RECORDS_PER_FILE = 1_000_000  # multi-line CSV cannot be split, so files stay readable by one task
+MAX_RECORDS_PER_FILE = 250_000  # multi-line CSV cannot be split, so files stay readable by one task
 
 
-def _batched(schema: T.StructType) -> T.StructType:
+def batched(schema: T.StructType) -> T.StructType:
     return T.StructType([*schema.fields, T.StructField(BATCH, T.StringType())])
 
 
@@ -29,12 +29,13 @@ def append_new(spark: SparkSession, rows: DataFrame, path: str, schema: T.Struct
     Each batch owns one folder and overwrites it, and its own folder is left out
     of the comparison.  So a batch that is run again, also after a half-done
     write, ends with the same rows.  Duplicates inside the batch keep the first
-    by ``order``.
+    by ``order``, then by a hash of the row, so that a recomputed task picks the
+    same one.
     """
     if not re.fullmatch(r"[A-Za-z][\w\-]*", batch):
         raise ValueError("a batch name starts with a letter")
-    stored = read_table(spark, path, _batched(schema)).filter(F.col(BATCH) != batch)
-    candidates = distinct_on(S.conform(rows, schema), [key], [*order, F.col(key)])
+    stored = read_table(spark, path, batched(schema)).filter(F.col(BATCH) != batch)
+    candidates = distinct_on(S.conform(rows, schema), [key], [*order, F.xxhash64(*schema.names)])
     folder = f"{path}/{BATCH}={batch}"
     only_new(candidates, stored, key).write.mode("overwrite").parquet(folder)
     return read_table(spark, folder, schema)

@@ -61,10 +61,10 @@ def join_natural_key(spark, sf):
 SELECT s.id, m.name AS media_outlet, m.media_outlet_type, m.bias_rating, y.name AS syndicator
 FROM story s JOIN outlet_view m ON s.media_outlet_id = m.id JOIN syndicator_dim y ON y.id = s.syndicator_id"""))
 def join_view_on_view(spark, sf):
-    outlet = story.outlet_view(star.outlets(spark, sf)).select(
+    known = star.outlets(spark, sf)
+    outlet = story.outlet_view(known).select(
         F.col("id").alias("media_outlet_id"), F.col("name").alias("media_outlet"), "media_outlet_type", "bias_rating")
-    syndicator = dims.syndicators(spark).select(F.col("id").alias("syndicator_id"), F.col("name").alias("syndicator"))
-    return (star.stories(spark, sf).join(outlet, "media_outlet_id").join(syndicator, "syndicator_id")
+    return (story.with_syndicator(star.stories(spark, sf, known)).join(outlet, "media_outlet_id")
             .select("id", "media_outlet", "media_outlet_type", "bias_rating", "syndicator"))
 
 

@@ -93,13 +93,14 @@ def outlets(spark: SparkSession, sf: str) -> DataFrame:
     return dims.outlet_dimension(spark, staged_outlets(spark, sf), RUN_TS, [OWN_SITE])
 
 
-def stories(spark: SparkSession, sf: str) -> DataFrame:
+def stories(spark: SparkSession, sf: str, known: DataFrame | None = None) -> DataFrame:
     return story.story_table(feed(spark, sf), articles(spark, sf), sentences(spark, sf),
-                             outlets(spark, sf), RUN_TS)
+                             known or outlets(spark, sf), RUN_TS)
 
 
 def web_view(spark: SparkSession, sf: str) -> DataFrame:
-    return story.web_view(stories(spark, sf), outlets(spark, sf))
+    known = outlets(spark, sf)
+    return story.web_view(stories(spark, sf, known), known)
 
 
 # --- the same in SQL -----------------------------------------------------------------
