@@ -1,8 +1,9 @@
 """Lookup joins and work-list (anti) joins.
 
-No broadcast hints: Spark broadcasts a side when its own size estimate or AQE's
-measured size is under ``spark.sql.autoBroadcastJoinThreshold``; beyond that the
-plan is a sort-merge join whose skewed partitions AQE splits.  ``salts`` gives a
+No broadcast hints here: Spark broadcasts a side when its own size estimate or
+AQE's measured size is under ``spark.sql.autoBroadcastJoinThreshold``; beyond that
+the plan is a sort-merge join whose skewed partitions AQE splits.  Only the literal
+dimensions of ``sources.dims``, whose size is fixed, carry a hint.  ``salts`` gives a
 further, explicit way for a lookup side too large to broadcast with a hot key.
 """
 

@@ -46,6 +46,17 @@ def article_backlog(feed: DataFrame, articles: DataFrame, retry_failed: bool = F
     return pending(feed.select("id", "url"), done, "id", "story_id")
 
 
+def backlog_pages(pages: DataFrame, todo: DataFrame) -> DataFrame:
+    """The raw page of each story to do, NULL where none was crawled.
+
+    The page table is reduced to the backlog first (a small backlog is broadcast to
+    its scan); a page crawled twice counts once.
+    """
+    found = pages.select("id", "html").join(todo.select("id"), "id", "left_semi")
+    missing = pending(todo.select("id"), pages, "id", "id").withColumn("html", F.lit(None).cast("string"))
+    return distinct_on(found, ["id"], [F.xxhash64("html")]).unionByName(missing)
+
+
 def article_stage(spark: SparkSession, pages: DataFrame, root: str, batch: str, run_ts: Column,
                   retry_failed: bool = False) -> DataFrame:
     """Article records of the backlog; a story whose page is missing gets a failed one."""
@@ -53,7 +64,7 @@ def article_stage(spark: SparkSession, pages: DataFrame, root: str, batch: str,
     stored = (landing.read_table(spark, path, writers.batched(S.ARTICLE))
               .filter(F.col(writers.BATCH) != batch))
     todo = article_backlog(landing.read_table(spark, f"{root}/feed", S.FEED), stored, retry_failed)
-    records = html.article_records(todo.join(pages.select("id", "html"), "id", "left"), run_ts)
+    records = html.article_records(backlog_pages(pages, todo), run_ts)
     if retry_failed:
         # a retry that fails again adds nothing; successes are new by construction
         records = pending(records.filter(~F.col("success")), stored, "story_id", "story_id").unionByName(
@@ -64,10 +75,22 @@ def article_stage(spark: SparkSession, pages: DataFrame, root: str, batch: str,
 
 
 def sentence_backlog(articles: DataFrame, sentences: DataFrame) -> DataFrame:
+    """Articles with text and without a sentence record, as (story_id, text)."""
     return pending(articles.filter(F.col("text") != "").select("story_id", "text"),
                    sentences, "story_id", "story_id")
 
 
+def stored_sentence_backlog(articles: DataFrame, sentences: DataFrame) -> DataFrame:
+    """``sentence_backlog`` of the stored, batch-partitioned article table.
+
+    What is missing is found on keys alone; then only the batches that have
+    something missing are read for their text.
+    """
+    missing = pending(articles.filter("success").select("story_id", writers.BATCH), sentences, "story_id", "story_id")
+    batches = [r[writers.BATCH] for r in missing.select(writers.BATCH).distinct().collect()]  # names of runs
+    return sentence_backlog(articles.filter(F.col(writers.BATCH).isin(batches) & F.col("success")), sentences)
+
+
 def best_sentences(articles: DataFrame, keyword: str, run_ts: Column) -> DataFrame:
     """One row per article with text: the longest sentence that mentions the keyword, or ''."""
     picked = articles.select("story_id", text.best_sentence(F.col("text"), keyword).alias("sentence"))
@@ -79,8 +102,8 @@ def sentence_stage(spark: SparkSession, root: str, batch: str, keyword: str, run
     path = f"{root}/sentence"
     stored = (landing.read_table(spark, path, writers.batched(S.SENTENCE))
               .filter(F.col(writers.BATCH) != batch))
-    articles = latest_articles(landing.read_table(spark, f"{root}/article", S.ARTICLE))
-    found = best_sentences(sentence_backlog(articles, stored), keyword, run_ts)
+    articles = landing.read_table(spark, f"{root}/article", writers.batched(S.ARTICLE))
+    found = best_sentences(stored_sentence_backlog(articles, stored), keyword, run_ts)
     S.conform(found, S.SENTENCE).write.mode("overwrite").parquet(f"{path}/{writers.BATCH}={batch}")
     added = landing.read_table(spark, f"{path}/{writers.BATCH}={batch}", S.SENTENCE)
     return added.agg(F.count("*").alias("n_checked"), F.count_if(F.col("sentence") != "").alias("n_found"))

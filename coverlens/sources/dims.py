@@ -73,26 +73,27 @@ def sql_literal(value) -> str:
 
 
 def inline_rows(spark: SparkSession, rows: Iterable[tuple], columns: str) -> DataFrame:
-    """A literal relation.  Its exact size is known to the optimizer, so joins
-    with it become broadcasts without a hint."""
+    """A literal relation; the optimizer knows its exact size."""
     body = ", ".join("(" + ", ".join(sql_literal(v) for v in row) + ")" for row in rows)
     return spark.sql(f"SELECT * FROM VALUES {body} AS t({columns})")
 
 
+# The four dimensions below are literal rows, so their size is proven: broadcast.
+
 def states(spark: SparkSession) -> DataFrame:
-    return inline_rows(spark, STATES, "id, name, code, is_state")
+    return F.broadcast(inline_rows(spark, STATES, "id, name, code, is_state"))
 
 
 def syndicators(spark: SparkSession) -> DataFrame:
-    return inline_rows(spark, SYNDICATORS, "id, name, code")
+    return F.broadcast(inline_rows(spark, SYNDICATORS, "id, name, code"))
 
 
 def media_types(spark: SparkSession) -> DataFrame:
-    return inline_rows(spark, MEDIA_TYPES, "id, name, feed_code")
+    return F.broadcast(inline_rows(spark, MEDIA_TYPES, "id, name, feed_code"))
 
 
 def bias_ratings(spark: SparkSession) -> DataFrame:
-    return inline_rows(spark, BIAS_RATINGS, "id, name, ordering")
+    return F.broadcast(inline_rows(spark, BIAS_RATINGS, "id, name, ordering"))
 
 
 def static_dimensions(spark: SparkSession, edit_time: dt.datetime | None = None) -> dict[str, DataFrame]:

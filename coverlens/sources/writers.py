@@ -46,11 +46,10 @@ def insert_delta(fetched: DataFrame, inserted: DataFrame) -> DataFrame:
 
     Counted from tables, not from accumulators, which may count a task twice when
     an executor is lost."""
-    n_fetched = fetched.agg(F.count("*").alias("n_fetched"))
-    n_inserted = inserted.agg(F.count("*").alias("n_inserted"))
-    # two one-row frames
-    joined = n_fetched.withColumn("_k", F.lit(1)).join(n_inserted.withColumn("_k", F.lit(1)), "_k").drop("_k")
-    return joined.withColumn("n_skipped", F.col("n_fetched") - F.col("n_inserted"))
+    counts = (fetched.agg(F.count("*").alias("n_fetched"), F.lit(0).cast("bigint").alias("n_inserted"))
+              .unionByName(inserted.agg(F.lit(0).cast("bigint").alias("n_fetched"), F.count("*").alias("n_inserted"))))
+    both = counts.agg(F.sum("n_fetched").alias("n_fetched"), F.sum("n_inserted").alias("n_inserted"))
+    return both.withColumn("n_skipped", F.col("n_fetched") - F.col("n_inserted"))
 
 
 def full_refresh(df: DataFrame, path: str, version: str) -> DataFrame:

@@ -112,7 +112,7 @@ def event_rows(spark, sf):
 
 
 @query("filter_selection", """
-SELECT event_id, event_type, hour(ts) AS hour, user_id FROM events
+SELECT event_id, event_type, hour(ts)::INTEGER AS hour, user_id FROM events
 WHERE event_type IN ('click', 'view') AND hour(ts) IN (8, 9, 10, 11, 12)""")
 def filter_selection(spark, sf):
     return facets.filter_selected(event_rows(spark, sf), SELECTIONS).drop("value")
