@@ -1,0 +1,16 @@
+"""Task counts for CPU-heavy extraction."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def spread(scan: DataFrame) -> DataFrame:
+    """Spread a scan of fewer splits than cores over all cores.
+
+    Extraction costs far more per byte than reading, and a small file is one split.
+    A large table has more splits than cores and is returned as it is, unshuffled.
+    For frames straight from a scan: asking a shuffled frame would run its stages.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan

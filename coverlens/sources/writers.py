@@ -79,7 +79,7 @@ def write_csv(df: DataFrame, path: str, compression: str = "none") -> None:
     (df.write.mode("overwrite").option("header", True).option("escape", '"')
      .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
      .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
-     .option("compression", compression).csv(path))
+     .option("compression", compression).option("zlib.compress.level", "BEST_COMPRESSION").csv(path))
 
 
 def write_csv_gzip(df: DataFrame, path: str) -> None:

@@ -44,6 +44,20 @@ def export_stories(spark, sf):
     return story.export_frame(star.web_view(spark, sf))
 
 
+@query("view_sql", star.web_sql("""
+SELECT m.media_outlet_type, w.state, count(*) AS n_stories, count(DISTINCT w.media_outlet) AS n_outlets, max(w.publish_date) AS newest
+FROM web w JOIN outlet_view m ON m.name = w.media_outlet WHERE w.media_outlet <> 'Unspecified' GROUP BY ALL"""))
+def view_sql(spark, sf):
+    known = star.outlets(spark, sf)
+    feed, articles, sentences = star.feed(spark, sf), star.articles(spark, sf), star.sentences(spark, sf)
+    story.register_views(feed, articles, sentences, known, star.stories(spark, sf, known))
+    return spark.sql("""
+        SELECT m.media_outlet_type, w.state, count(*) AS n_stories, count(DISTINCT w.media_outlet) AS n_outlets,
+               max(w.publish_date) AS newest
+        FROM story_web_view w JOIN media_outlet_view m ON m.name = w.media_outlet
+        WHERE w.media_outlet <> 'Unspecified' GROUP BY m.media_outlet_type, w.state""")
+
+
 BOARD_SELECTIONS = {"bias_rating": ["Center", "Left"], "media_outlet_type": ["Blog", "Other", "Web Publication"]}
 BOARD_MASKS = {"bias_rating": "bias_rating IN ('Center', 'Left')",
                "media_outlet_type": "media_outlet_type IN ('Blog', 'Other', 'Web Publication')"}

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from coverlens.functions import dates, html, sql_functions, text
+from coverlens.operators.parallel import spread
 from coverlens.plans import stages
 from coverlens.sources import landing
 from suite import star
@@ -62,21 +63,26 @@ def docs(spark, sf):
     return table(spark, sf, "documents")
 
 
+def texts(spark, sf):
+    """Whole texts, spread over the cores if there are few splits."""
+    return spread(docs(spark, sf).select("doc_id", "lang", "text"))
+
+
 @query("text_sentences", SQL_SENTENCES)
 def text_sentences(spark, sf):
-    return docs(spark, sf).select("doc_id", F.posexplode(text.sentences(F.col("text"))).alias("p", "s")).select(
+    return texts(spark, sf).select("doc_id", F.posexplode(text.sentences(F.col("text"))).alias("p", "s")).select(
         "doc_id", (F.col("p") + 1).cast("bigint").alias("i"), "s")
 
 
 @query("text_keyword_sentences", f"SELECT doc_id, s FROM ({SQL_HITS})")
 def text_keyword_sentences(spark, sf):
-    return docs(spark, sf).select("doc_id", F.explode(text.keyword_sentences(F.col("text"), KEYWORD)).alias("s"))
+    return texts(spark, sf).select("doc_id", F.explode(text.keyword_sentences(F.col("text"), KEYWORD)).alias("s"))
 
 
 @query("agg_longest_match", f"""
 SELECT d.doc_id, coalesce(b.s, '') AS sentence FROM documents d LEFT JOIN ({SQL_BEST}) b USING (doc_id)""")
 def agg_longest_match(spark, sf):
-    return docs(spark, sf).select("doc_id", text.best_sentence(F.col("text"), KEYWORD).alias("sentence"))
+    return texts(spark, sf).select("doc_id", text.best_sentence(F.col("text"), KEYWORD).alias("sentence"))
 
 
 @query("text_best_sentence", f"""
@@ -84,7 +90,7 @@ SELECT d.doc_id::VARCHAR AS story_id, {star.SQL_TS} AS import_date, {sql_strip(S
 FROM documents d LEFT JOIN ({SQL_BEST}) b USING (doc_id)
 WHERE d.text <> '' AND d.doc_id NOT IN (SELECT doc_id FROM labels)""")
 def text_best_sentence(spark, sf):
-    articles = docs(spark, sf).select(F.col("doc_id").cast("string").alias("story_id"), "text")
+    articles = texts(spark, sf).select(F.col("doc_id").cast("string").alias("story_id"), "text")
     done = table(spark, sf, "labels").select(F.col("doc_id").cast("string").alias("story_id"))
     return stages.best_sentences(stages.sentence_backlog(articles, done), KEYWORD, dates.run_timestamp(star.RUN_TS))
 
@@ -94,14 +100,14 @@ SELECT doc_id, CASE WHEN lang <> 'es' THEN trim('"It''s" "fine" ... ' || text, c
 def text_normalize_quotes(spark, sf):
     curly = F.concat(F.lit(" “It’s” „ﬁne‟ … "), text.strip(F.col("text")), F.lit("’\xa0\n"))
     given = F.when(F.col("lang") != "es", curly)
-    return docs(spark, sf).select("doc_id", text.normalize_quotes(given).alias("text"))
+    return texts(spark, sf).select("doc_id", text.normalize_quotes(given).alias("text"))
 
 
 @query("udf_vectorized_text", "SELECT doc_id, 'fi 1/2 TM ' || text || 'é' AS text FROM documents")
 def udf_vectorized_text(spark, sf):
     # ligature, digits and letters in compatibility forms, e with a combining accent
     given = F.concat(F.lit("ﬁ １／２ ™ "), F.col("text"), F.lit("e" + chr(0x301)))
-    return docs(spark, sf).select("doc_id", text.nfkc(given).alias("text"))
+    return texts(spark, sf).select("doc_id", text.nfkc(given).alias("text"))
 
 
 SQL_JUNK = """(SELECT doc_id, CASE doc_id % 4 WHEN 0 THEN '.Wp-block ' || source WHEN 1 THEN source || ', .Wp-block, ' || lang || ', .Wp-x'
@@ -138,7 +144,7 @@ def fn_split_part(spark, sf):
 
 @query("text_highlight", "SELECT doc_id, regexp_replace(text, 'there', '<b>There</b>', 'gi') AS text FROM documents")
 def text_highlight(spark, sf):
-    return docs(spark, sf).select("doc_id", text.highlight(F.col("text"), "there", "There").alias("text"))
+    return texts(spark, sf).select("doc_id", text.highlight(F.col("text"), "there", "There").alias("text"))
 
 
 # --- HTML ----------------------------------------------------------------------------
@@ -182,7 +188,7 @@ SELECT page_id, url, html, {_sql_plain('article')} AS body FROM (
 
 
 def pages(spark, sf):
-    return table(spark, sf, "pages")
+    return spread(table(spark, sf, "pages"))
 
 
 @query("html_title", f"SELECT page_id, {SQL_TITLE} AS title FROM pages")
@@ -264,17 +270,17 @@ SELECT p.page_id::VARCHAR AS story_id, {star.SQL_TS} AS import_date, CASE WHEN b
        body <> '' AS success, CASE WHEN body = '' THEN 'no body text' END AS error
 FROM ({SQL_BODY}) p LEFT JOIN ({SQL_LEAD}) l USING (page_id)""")
 def html_article_record(spark, sf):
-    return html.article_records(landing.read_pages(spark, f"{sf}/pages.parquet"), dates.run_timestamp(star.RUN_TS))
+    return html.article_records(spread(landing.read_pages(spark, f"{sf}/pages.parquet")), dates.run_timestamp(star.RUN_TS))
 
 
 @query("page_domain", r"""
 SELECT page_id, regexp_replace(lower(split_part(split_part(split_part(split_part(url, '://', 2), '/', 1), '?', 1), '#', 1)), '^www\.', '') AS domain
 FROM pages""")
 def page_domain(spark, sf):
-    return pages(spark, sf).select("page_id", html.page_domain(F.col("url")).alias("domain"))
+    return table(spark, sf, "pages").select("page_id", html.page_domain(F.col("url")).alias("domain"))
 
 
 @query("fn_join_list", f"SELECT doc_id, string_agg(s, ' | ' ORDER BY i) AS hits FROM ({SQL_HITS}) GROUP BY doc_id")
 def fn_join_list(spark, sf):
-    hits = docs(spark, sf).select("doc_id", text.keyword_sentences(F.col("text"), KEYWORD).alias("hits"))
+    hits = texts(spark, sf).select("doc_id", text.keyword_sentences(F.col("text"), KEYWORD).alias("hits"))
     return hits.filter(F.size("hits") > 0).select("doc_id", text.join_list(F.col("hits"), " | ").alias("hits"))
