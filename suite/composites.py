@@ -101,14 +101,14 @@ def whole_board(shown):
 
 @query("dashboard", whole_board_sql())
 def dashboard(spark, sf):
-    return whole_board(board.dashboard(star.web_view(spark, sf), BOARD_SELECTIONS))
+    return whole_board(board.dashboard(star.written_view(spark, sf), BOARD_SELECTIONS))
 
 
 @query("dashboard_filtered", whole_board_sql(
     "publish_date BETWEEN DATE '1996-01-01' AND DATE '1999-12-31' AND contains(lower(title || ' ' || sentence), 'returned')"))
 def dashboard_filtered(spark, sf):
     extra = board.between(dt.date(1996, 1, 1), dt.date(1999, 12, 31)) & board.mentions("returned")
-    return whole_board(board.dashboard(star.web_view(spark, sf), BOARD_SELECTIONS, extra=extra))
+    return whole_board(board.dashboard(star.written_view(spark, sf), BOARD_SELECTIONS, extra=extra))
 
 
 # --- audits --------------------------------------------------------------------------

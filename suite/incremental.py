@@ -10,7 +10,7 @@ from coverlens.functions import html
 from coverlens.operators import lookup
 from coverlens.plans import stages
 from coverlens.session import work_path
-from coverlens.sources import dims, landing
+from coverlens.sources import dims, landing, writers
 from coverlens.streaming import incremental
 from suite import star
 from suite.registry import query, table
@@ -99,7 +99,8 @@ def page_outlets(spark, sf):
 def two_runs(spark, sf):
     """A first pull up to mid-month, then one that overlaps it by a day."""
     root = work_path(spark, "staged-run")
-    feed, outlets = page_feed(spark, sf), page_outlets(spark, sf)
+    feed = page_feed(spark, sf)
+    outlets = writers.full_refresh(page_outlets(spark, sf), f"{root}/outlet", "v1")
     pages = landing.read_pages(spark, f"{sf}/pages.parquet")
 
     def run(batch, today, start=None):

@@ -152,7 +152,7 @@ FROM ({SQL_NEWEST})"""))
 def report_display_table(spark, sf):
     from pyspark.sql import Window
 
-    view = star.web_view(spark, sf)
+    view = star.written_view(spark, sf)
     shown = board.dashboard(view, BOARD_SELECTIONS)
     facets = board.facet_report(shown, view).select(
         F.lit("facet").alias("part"), F.col("dim").alias("grp"), F.col("rank").cast("bigint").alias("rank"), "label", "color")

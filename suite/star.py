@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from coverlens import schemas as S
 from coverlens.plans import story
+from coverlens.session import work_path
 from coverlens.sources import dims
 from suite.registry import table
 
@@ -103,6 +104,13 @@ def web_view(spark: SparkSession, sf: str) -> DataFrame:
     return story.web_view(stories(spark, sf, known), known)
 
 
+def written_view(spark: SparkSession, sf: str) -> DataFrame:
+    """The web view as a table: a dashboard reads it several times."""
+    path = work_path(spark, "web-view")
+    web_view(spark, sf).write.parquet(path)
+    return spark.read.parquet(path)
+
+
 # --- the same in SQL -----------------------------------------------------------------
 
 def values(rows: list[tuple]) -> str:

@@ -52,10 +52,10 @@ def test_clock_commas_label(column):
 
 def test_nice_big_number(column):
     given = [0.0, 7.0, 42.0, 999.0, 999.5, 1000.0, 1500.0, 12345.0, 99960.0, 123456.0, 999999.0, 1_500_000.0, 1_234_600_000.0,
-             -1500.0, 0.5, 0.01234, 12.345, 100.25]
+             -1500.0, 0.5, 0.01234, 12.345, 100.25, 9.996, 0.00012345, 0.00000123456, 1.5e-7, 10.0, 20.04]
     assert column(given, display.nice_big_number(V), "double") == [
         "0", "7", "42", "999", "999", "1K", "1.5K", "12.3K", "100K", "123K", "1000K", "1.5M", "1.23B", "-1.5K", "0.5", "0.0123",
-        "12.3", "100.25"]
+        "12.3", "100.25", "10", "0.000123", "0.00000123", "1.50e-7", "10", "20"]
 
 
 def test_ordinal_suffix(column):
