@@ -47,5 +47,8 @@ def publish_day(value: Column) -> Column:
 
 
 def run_timestamp(run_ts: dt.datetime | None = None) -> Column:
-    """The run's fixed time, or now.  Pass one for repeatable runs."""
-    return F.lit(run_ts).cast("timestamp_ntz") if run_ts else F.localtimestamp()
+    """The run's fixed time, or now.  Pass one for repeatable runs.
+
+    A literal by text: a Python datetime would be taken as an instant and shift
+    with the session's zone."""
+    return F.lit(run_ts.isoformat(sep=" ")).cast("timestamp_ntz") if run_ts else F.localtimestamp()

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from coverlens import schemas as S
+from coverlens.functions import dates
 from coverlens.operators.dedup import distinct_on
 from coverlens.operators.lookup import resolve_names
 
@@ -98,7 +99,7 @@ def bias_ratings(spark: SparkSession) -> DataFrame:
 
 def static_dimensions(spark: SparkSession, edit_time: dt.datetime | None = None) -> dict[str, DataFrame]:
     """The four literal dimensions, stamped with ``edit_time`` (default: now)."""
-    stamp = F.lit(edit_time).cast("timestamp_ntz") if edit_time else F.localtimestamp()
+    stamp = dates.run_timestamp(edit_time)
     frames = {
         "state": states(spark),
         "syndicator": syndicators(spark),
@@ -159,6 +160,6 @@ def outlet_dimension(spark: SparkSession, staged: DataFrame, edit_time: dt.datet
         "media_outlet_type_id", "state_id", "bias_rating_id",
         F.lit("").alias("note"), "active",
     )
-    stamp = F.lit(edit_time).cast("timestamp_ntz") if edit_time else F.localtimestamp()
+    stamp = dates.run_timestamp(edit_time)
     full = add_members(spark, S.conform(loaded, S.OUTLET), [UNSPECIFIED_OUTLET, *members])
     return full.withColumn("edit_time", stamp)

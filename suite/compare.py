@@ -67,9 +67,11 @@ def main() -> int:
 
     parser = argparse.ArgumentParser()
     parser.add_argument("--sf", default="/root/testdata/sf0.01")
+    parser.add_argument("--zone", default="UTC", help="session time zone; no result may depend on it")
     parser.add_argument("names", nargs="*")
     args = parser.parse_args()
     spark = build_session(master="local[8]", spark__sql__shuffle__partitions="8",
+                          spark__sql__session__timeZone=args.zone,
                           spark__ui__showConsoleProgress="false")
     spark.sparkContext.setLogLevel("ERROR")
     con, bad = duck(args.sf), []

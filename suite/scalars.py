@@ -23,8 +23,8 @@ FROM (SELECT o_orderkey, CASE o_orderkey % 8
   WHEN 2 THEN strftime(o_orderdate, '%-m/%-d/%Y') WHEN 3 THEN strftime(o_orderdate, '%m/%d/%y')
   WHEN 4 THEN o_orderpriority WHEN 5 THEN '' WHEN 6 THEN strftime(o_orderdate, '%Y-02-30') END AS s FROM orders)""")
 def fn_parse_date_multi(spark, sf):
-    kind, day = F.col("o_orderkey") % 8, F.col("o_orderdate")
-    given = (F.when(kind == 0, F.date_format(F.expr("o_orderdate + make_dt_interval(0, 0, 0, o_custkey)"), "yyyy-MM-dd HH:mm:ss"))
+    kind, day = F.col("o_orderkey") % 8, F.to_date("o_orderdate")
+    given = (F.when(kind == 0, F.expr("o_orderdate + make_dt_interval(0, 0, 0, o_custkey)").cast("string"))
              .when(kind == 1, F.date_format(day, "yyyy-M-d")).when(kind == 2, F.date_format(day, "M/d/yyyy"))
              .when(kind == 3, F.date_format(day, "MM/dd/yy")).when(kind == 4, F.col("o_orderpriority"))
              .when(kind == 5, "").when(kind == 6, F.date_format(day, "yyyy-02-30")))

@@ -12,12 +12,13 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from coverlens import schemas as S
+from coverlens.functions import dates
 from coverlens.plans import story
 from coverlens.session import work_path
 from coverlens.sources import dims
 from suite.registry import table
 
+LISTED_UP_TO = 8000  # outlets with a higher balance are not listed: their stories match none
 RUN_TS = dt.datetime(2024, 6, 1, 12, 0, 0)
 OWN_SITE = dims.member_row("Own Site", "own-site.example.com", media_outlet_type_id=8, bias_rating_id=4)
 SEGMENT_TYPE = {"BUILDING": "Blog", "AUTOMOBILE": "Local News Outlet", "HOUSEHOLD": "National News Outlet",
@@ -34,7 +35,7 @@ def feed(spark: SparkSession, sf: str) -> DataFrame:
     key = F.col("o_orderkey").cast("string")
     return o.select(
         F.concat(F.lit("s"), key).alias("id"),
-        F.when(F.col("o_orderkey") % 97 != 0, F.date_format("o_orderdate", "yyyy-MM-dd")).alias("publish_date"),
+        F.when(F.col("o_orderkey") % 97 != 0, F.to_date("o_orderdate").cast("string")).alias("publish_date"),
         F.when(F.col("o_orderkey") % 11 == 0, "")
         .otherwise(F.concat("o_orderpriority", F.lit(" order "), key)).alias("title"),
         F.concat(F.lit("https://"), site, F.lit("/"), F.year("o_orderdate").cast("string"), F.lit("/"),
@@ -55,7 +56,7 @@ def articles(spark: SparkSession, sf: str) -> DataFrame:
               .when(F.col("l_orderkey") % 4 == 2, F.concat(F.lit("Writer "), key, F.lit(", Editor"))))
     return per_order.select(
         F.concat(F.lit("s"), key).alias("story_id"),
-        F.lit(RUN_TS).cast("timestamp_ntz").alias("import_date"),
+        dates.run_timestamp(RUN_TS).alias("import_date"),
         F.concat(F.lit("Page "), key).alias("title"),
         F.when(ok, F.concat(F.lit("Shipped "), F.col("n").cast("string"), F.lit(" lines. Flag "), "flag", F.lit(".")))
         .otherwise("").alias("text"),
@@ -71,7 +72,7 @@ def sentences(spark: SparkSession, sf: str) -> DataFrame:
                 .groupBy("l_orderkey").agg(F.count("*").alias("n")))
     return returned.select(
         F.concat(F.lit("s"), F.col("l_orderkey").cast("string")).alias("story_id"),
-        F.lit(RUN_TS).cast("timestamp_ntz").alias("import_date"),
+        dates.run_timestamp(RUN_TS).alias("import_date"),
         F.concat(F.lit("Returned "), F.col("n").cast("string"), F.lit(" lines")).alias("sentence"))
 
 
@@ -85,7 +86,7 @@ def staged_outlets(spark: SparkSession, sf: str) -> DataFrame:
     return (c.join(n, c.c_nationkey == n.n_nationkey)
             .join(state, F.col("n_nationkey") + 1 == F.col("state_id"))
             .join(bias, F.col("n_regionkey") + 2 == F.col("bias_id"))
-            .filter(F.col("c_custkey") % 10 != 0)
+            .filter(F.col("c_acctbal") <= LISTED_UP_TO)
             .select(F.col("c_name").alias("name"), domain(F.col("c_custkey")).alias("domain_name"),
                     kind.alias("media_outlet_type"), "state", "bias", (F.col("c_acctbal") >= 0).alias("active")))
 
@@ -161,7 +162,7 @@ staged_outlet AS (
          c_acctbal >= 0 AS active
   FROM customer JOIN nation ON c_nationkey = n_nationkey
   JOIN state_dim s ON s.id = n_nationkey + 1 JOIN bias_dim b ON b.id = n_regionkey + 2
-  WHERE c_custkey % 10 <> 0),
+  WHERE c_acctbal <= {LISTED_UP_TO}),
 outlet AS (
   SELECT {sql_md5_key('domain_name')} AS id, o.name, domain_name, t.id AS media_outlet_type_id, s.id AS state_id,
          b.id AS bias_rating_id, '' AS note, active

@@ -76,3 +76,13 @@ def test_lookups_and_rates(column):
     assert column(["", "T"], display.title_or_default(V)) == ["Link to story", "T"]
     assert column([30, 0], display.per_minute(F.lit(10), V), "int") == [20.0, None]
     assert column([4, 0], display.percent(F.lit(1), V), "int") == [25.0, None]
+
+
+def test_run_timestamp_does_not_shift_with_the_zone(spark):
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Sao_Paulo")
+    try:
+        shown = spark.range(1).select(dates.run_timestamp(dt.datetime(2024, 6, 1, 12, 0, 0)).cast("string").alias("t")).first()["t"]
+        assert shown == "2024-06-01 12:00:00"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
