@@ -28,6 +28,9 @@ BOILERPLATE = ["nav", "header", "footer", "aside", "form"]
 AD_CLASSES = ["ad", "ads", "advertisement"]
 BLOCK_TAGS = ["p", "div", "br", "li", "ul", "ol", "h[1-6]", "blockquote", "tr", "table",
               "section", "article", "main", "figure", "figcaption", "body"]
+BYLINE_NAMES = ["author", "article:author", "byline", "dc.creator", "byl"]
+DATE_NAMES = ["article:published_time", "datePublished", "pubdate", "publish-date", "date"]
+IMAGE_NAMES = ["og:image", "twitter:image"]
 # --- end of fixed values -------------------------------------------------------------
 
 _COMMON = "|".join(ref[1:] for ref, _ in REFERENCES)
@@ -66,21 +69,36 @@ def _elements(tags: list[str]) -> str:
     return rf"<({'|'.join(tags)})(?:\s[^>]*)?>.*?</\1\s*>"
 
 
-def raw_body(html: Column) -> Column:
-    """Body paragraphs joined by a blank line, references still encoded."""
-    # Comments and raw text first: they may hold anything that looks like a tag.
-    clean = _drop(_drop(html, "<!--.*?-->"), _elements(RAW_ELEMENTS))
-    clean = _drop(clean, _elements(BOILERPLATE))
-    clean = _drop(clean, rf"""<div[^>]*\sclass=["'](?:{'|'.join(AD_CLASSES)})["'][^>]*>.*?</div\s*>""")
+def visible(html: Column) -> Column:
+    """Without comments and raw text elements, which may hold anything that looks like a tag."""
+    return _drop(_drop(html, "<!--.*?-->"), _elements(RAW_ELEMENTS))
+
+
+def without_boilerplate(shown: Column) -> Column:
+    """Without navigation, headers, forms and ads."""
+    clean = _drop(shown, _elements(BOILERPLATE))
+    return _drop(clean, rf"""<div[^>]*\sclass=["'](?:{'|'.join(AD_CLASSES)})["'][^>]*>.*?</div\s*>""")
+
+
+def main_part(clean: Column) -> Column:
+    """The article's markup: <article>, else the body, else all but the head."""
     article = F.regexp_extract(clean, r"(?is)<article(?:\s[^>]*)?>(.*?)</article\s*>", 1)
     body = F.regexp_extract(clean, r"(?is)<body(?:\s[^>]*)?>(.*)", 1)
-    kept = (F.when(article != "", article).when(body != "", body)
-            .otherwise(_drop(clean, r"<head(?:\s[^>]*)?>.*?</head\s*>")))
-    broken = _drop(kept, rf"</?(?:{'|'.join(BLOCK_TAGS)})(?:\s[^>]*)?/?>", "\n\n")
+    rest = _drop(clean, r"<head(?:\s[^>]*)?>.*?</head\s*>")
+    return F.coalesce(F.nullif(article, F.lit("")), F.nullif(body, F.lit("")), rest)
+
+
+def paragraphs(markup: Column) -> Column:
+    """Text of markup, blocks joined by a blank line, references still encoded."""
+    broken = _drop(markup, rf"</?(?:{'|'.join(BLOCK_TAGS)})(?:\s[^>]*)?/?>", "\n\n")
     plain = F.regexp_replace(_drop(broken, "<[^>]*>", ""), r"[ \t\r\f]+", " ")
     return text.strip(F.regexp_replace(plain, r" ?\n[ \n]*", "\n\n"))
 
 
+def raw_body(html: Column) -> Column:
+    return paragraphs(main_part(without_boilerplate(visible(html))))
+
+
 def meta_tags(html: Column) -> Column:
     """All <meta> tags, so that later passes look at a few short strings."""
     return F.regexp_extract_all(html, F.lit(r"(?is)<meta\s[^>]*>"), F.lit(0))
@@ -95,23 +113,62 @@ def _meta(tags: Column, names: list[str]) -> Column:
     return F.filter(F.transform(named, lambda t: _one_line(content(t))), lambda c: c != "")
 
 
-def byline(tags: Column) -> Column:
-    """Authors of the meta tags joined by ", "; '' when the page names none."""
-    names = F.array_distinct(_meta(tags, ["author", "article:author", "dc.creator", "byl"]))
-    return decode_references(F.array_join(names, ", "))
+def raw_byline(tags: Column, shown: Column | None = None) -> Column:
+    """Authors of meta tags, then of marked-up bylines, joined by ", "; '' for none.
 
+    "By Ann Lee and Bo Ray" names two people."""
+    named = _meta(tags, BYLINE_NAMES)
+    if shown is not None:
+        names = "|".join(n.replace(".", r"\.") for n in BYLINE_NAMES)
+        marked = F.regexp_extract_all(shown, F.lit(
+            rf"""(?is)<(a|span|div|p|address|cite|strong)\s[^>]*(?:rel|itemprop|class|id)=["'](?:{names})["'][^>]*>(.*?)</\1\s*>"""), F.lit(2))
+        named = F.concat(named, F.transform(marked, lambda m: _one_line(_drop(m, "<[^>]*>"))))
+    bare = F.transform(named, lambda n: F.regexp_replace(n, r"(?i)^(?:by|from)[:\s]+", ""))
+    people = F.flatten(F.transform(bare, lambda n: F.split(n, r"\s*,\s*|\s+and\s+")))
+    return F.array_join(F.array_distinct(F.filter(people, lambda n: n != "")), ", ")
 
-def publish_date(tags: Column, html: Column) -> Column:
-    """Publish time from meta tags or <time datetime>, else NULL."""
-    meta = _meta(tags, ["article:published_time", "datePublished", "pubdate", "publish-date", "date"])
+
+def byline(tags: Column, shown: Column | None = None) -> Column:
+    return decode_references(raw_byline(tags, shown))
+
+
+def url_date(url: Column) -> Column:
+    """Day in a path such as /2024/02/15/, else NULL."""
+    day = F.regexp_extract(url, r"/((?:19|20)\d{2}[/\-]\d{1,2}[/\-]\d{1,2})(?:[/\-_.?#]|$)", 1)
+    return dates.parse_date(F.translate(day, "/", "-"))
+
+
+def publish_date(tags: Column, html: Column, url: Column | None = None) -> Column:
+    """Publish time from the URL, meta tags or <time datetime>, else NULL."""
+    meta = _meta(tags, DATE_NAMES)
     times = F.regexp_extract_all(html, F.lit(r"""(?is)<time\s[^>]*datetime=["']([^"']*)["']"""), F.lit(1))
     parsed = F.filter(F.transform(F.concat(meta, times), dates.parse_page_date), lambda t: t.isNotNull())
-    return F.get(parsed, F.lit(0))
+    found = F.get(parsed, F.lit(0))
+    return found if url is None else F.coalesce(url_date(url), found)
+
+
+def absolute(link: Column, url: Column) -> Column:
+    """A link of a page as an absolute URL; '' stays ''."""
+    scheme = F.regexp_extract(url, r"^([A-Za-z][A-Za-z0-9+.\-]*:)", 1)
+    origin = F.regexp_extract(url, r"^([A-Za-z][A-Za-z0-9+.\-]*://[^/?#]*)", 1)
+    folder = F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.\-]*://[^/?#]*([^?#]*/)", 1)
+    return (F.when((link == "") | link.rlike(r"^[A-Za-z][A-Za-z0-9+.\-]*:"), link)
+            .when(F.startswith(link, F.lit("//")), F.concat(scheme, link))
+            .when(F.startswith(link, F.lit("/")), F.concat(origin, link))
+            .otherwise(F.concat(origin, F.when(folder == "", "/").otherwise(folder), link)))
+
+
+def raw_image(tags: Column, main: Column | None = None) -> Column:
+    """Lead image of the meta tags, else the article's first image; '' for none."""
+    choices = [F.get(_meta(tags, IMAGE_NAMES), F.lit(0))]
+    if main is not None:
+        choices.append(F.trim(F.regexp_extract(main, r"""(?is)<img\s[^>]*?src=["']([^"']*)["']""", 1)))
+    return F.coalesce(*choices, F.lit(""))
 
 
-def top_image(tags: Column) -> Column:
-    """Lead image URL or ''."""
-    return decode_references(F.coalesce(F.get(_meta(tags, ["og:image", "twitter:image"]), F.lit(0)), F.lit("")))
+def top_image(tags: Column, main: Column | None = None, url: Column | None = None) -> Column:
+    decoded = decode_references(raw_image(tags, main))
+    return decoded if url is None else absolute(decoded, url)
 
 
 def lead_summary(body: Column, n: int = 3) -> Column:
@@ -133,21 +190,21 @@ def article_records(pages: DataFrame, run_ts: Column | None = None) -> DataFrame
     """
     html = F.coalesce(F.col("html"), F.lit(""))
     stamp = run_ts if run_ts is not None else F.localtimestamp()
-    # Each extraction is projected once and referred to by name afterwards.
-    tags = F.col("tags")
-    raw = pages.select(
-        F.col("id").alias("story_id"), "html", meta_tags(html).alias("tags"),
-    ).select(
-        "story_id", "html",
-        raw_title(html).alias("raw_title"), raw_body(html).alias("raw_body"),
-        publish_date(tags, html).alias("publish_date"),
-        byline(tags).alias("authors"), top_image(tags).alias("top_image"),
+    # Each step is a column of its own: an expression that is used twice would run twice.
+    seen = pages.select("id", "url", "html", meta_tags(html).alias("tags"), visible(html).alias("shown"))
+    cleaned = seen.withColumn("clean", without_boilerplate(F.col("shown")))
+    parts = cleaned.withColumn("main", main_part(F.col("clean")))
+    tags, shown, main, url = F.col("tags"), F.col("shown"), F.col("main"), F.col("url")
+    raw = parts.select(
+        F.col("id").alias("story_id"), "url", (html == "").alias("no_html"),
+        raw_title(html).alias("title"), paragraphs(main).alias("text"),
+        publish_date(tags, shown, url).alias("publish_date"),
+        raw_byline(tags, shown).alias("authors"), raw_image(tags, main).alias("image"),
     )
+    plain = lambda c: text.strip(decode_references(F.col(c))).alias(c)
     decoded = raw.select(
-        "story_id", "publish_date", "authors", "top_image",
-        (F.col("html").isNull() | (F.col("html") == "")).alias("no_html"),
-        text.strip(decode_references(F.col("raw_title"))).alias("title"),
-        text.strip(decode_references(F.col("raw_body"))).alias("text"),
+        "story_id", "url", "no_html", "publish_date",
+        plain("authors"), plain("image"), plain("title"), plain("text"),
     )
     ok = F.col("text") != ""
     return decoded.select(
@@ -155,7 +212,7 @@ def article_records(pages: DataFrame, run_ts: Column | None = None) -> DataFrame
         F.when(ok, F.col("title")).otherwise("").alias("title"), "text",
         F.when(ok, F.col("publish_date")).alias("publish_date"),
         F.when(ok, F.col("authors")).otherwise("").alias("authors"),
-        F.when(ok, F.col("top_image")).otherwise("").alias("top_image"),
+        F.when(ok, absolute(F.col("image"), F.col("url"))).otherwise("").alias("top_image"),
         F.when(ok, lead_summary(F.col("text"))).otherwise("").alias("summary"),
         ok.alias("success"),
         F.when(ok, F.lit(None)).when(F.col("no_html"), "no page")

@@ -52,9 +52,9 @@ def backlog_pages(pages: DataFrame, todo: DataFrame) -> DataFrame:
     The page table is reduced to the backlog first (a small backlog is broadcast to
     its scan); a page crawled twice counts once.
     """
-    found = pages.select("id", "html").join(todo.select("id"), "id", "left_semi")
-    missing = pending(todo.select("id"), pages, "id", "id").withColumn("html", F.lit(None).cast("string"))
-    return distinct_on(found, ["id"], [F.xxhash64("html")]).unionByName(missing)
+    found = pages.select("id", "url", "html").join(todo.select("id"), "id", "left_semi")
+    missing = pending(todo, pages, "id", "id").withColumn("html", F.lit(None).cast("string"))
+    return distinct_on(found, ["id"], [F.xxhash64("url", "html")]).unionByName(missing)
 
 
 def article_stage(spark: SparkSession, pages: DataFrame, root: str, batch: str, run_ts: Column,

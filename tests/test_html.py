@@ -50,6 +50,28 @@ def test_meta_fields(column):
         dt.datetime(2024, 2, 15, 14, 30), dt.datetime(2023, 12, 5), None, dt.datetime(2024, 2, 15), None, None]
 
 
+def test_bylines_in_markup(column):
+    pages = ['<p class="byline">By <b>Ann Lee</b> and Bo Ray, Cy Dee</p>', "<a href='/x' rel='author'>Ann Lee</a><a rel=\"author\">Ann Lee</a>",
+             "<meta name='author' content='By Ann Lee'><span itemprop='author'>Ann Lee</span><div id='byline'>from: Bo</div>", "<p class='by'>No</p>"]
+    assert column(pages, html.byline(html.meta_tags(V), V)) == ["Ann Lee, Bo Ray, Cy Dee", "Ann Lee", "Ann Lee, Bo", ""]
+
+
+def test_url_date(column):
+    urls = ["https://a.org/2024/02/15/story", "https://a.org/news/2024-2-5", "https://a.org/2024/13/45/x", "https://a.org/en/825?page=2", "https://a.org/2024/02"]
+    assert column(urls, html.url_date(V)) == [dt.datetime(2024, 2, 15), dt.datetime(2024, 2, 5), None, None, None]
+
+
+def test_links_and_lead_image(column):
+    url = F.lit("https://a.org/x/y?q#f")
+    links = ["https://b.org/i.png", "//c.org/i.png", "/i.png", "i.png", "", "data:abc"]
+    assert column(links, html.absolute(V, url)) == [
+        "https://b.org/i.png", "https://c.org/i.png", "https://a.org/i.png", "https://a.org/x/i.png", "", "data:abc"]
+    assert column(["i.png"], html.absolute(V, F.lit("https://a.org"))) == ["https://a.org/i.png"]
+    tags = html.meta_tags(V)
+    pages = ["<p><img alt='x' src='/one.png'><img src='two.png'></p>", "<meta property='og:image' content='/lead.png'><img src='one.png'>", "<p>x</p>"]
+    assert column(pages, html.top_image(tags, V, url)) == ["https://a.org/one.png", "https://a.org/lead.png", ""]
+
+
 def test_page_domain(column):
     urls = ["https://www.Example.org/a?b", "http://u:p@News.example.com:8080#x", "m.example.com/a", "", None, "https://www2.a.net"]
     assert column(urls, html.page_domain(V)) == ["example.org", "news.example.com", "", "", None, "www2.a.net"]
