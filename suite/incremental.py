@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from coverlens.functions import html
@@ -96,19 +98,19 @@ def page_outlets(spark, sf):
     return dims.outlet_dimension(spark, staged, star.RUN_TS)
 
 
-def two_runs(spark, sf):
-    """A first pull up to mid-month, then one that overlaps it by a day."""
+MONTH = (dt.date(2024, 3, 1), dt.date(2024, 3, 31))
+MID_MONTH = dt.date(2024, 3, 14)
+
+
+def staged_runs(spark, sf, pulls):
+    """The five stages once per (batch, start, today); the table root and all metrics."""
     root = work_path(spark, "staged-run")
     feed = page_feed(spark, sf)
     outlets = writers.full_refresh(page_outlets(spark, sf), f"{root}/outlet", "v1")
     pages = landing.read_pages(spark, f"{sf}/pages.parquet")
-
-    def run(batch, today, start=None):
-        return stages.run_stages(spark, root, feed, pages, outlets, KEYWORD, batch, today, start, star.RUN_TS)
-
-    first = run("r1", dt.date(2024, 3, 14), dt.date(2024, 3, 1))
-    second = run("r2", dt.date(2024, 3, 31))
-    return root, first.unionByName(second)
+    metrics = [stages.run_stages(spark, root, feed, pages, outlets, KEYWORD, batch, today, start, star.RUN_TS)
+               for batch, start, today in pulls]
+    return root, reduce(DataFrame.unionByName, metrics)
 
 
 SQL_PAGE_FEED = """
@@ -130,8 +132,8 @@ SELECT id, publish_date AS "publishDate", title, url, '' AS authors, '' AS image
 FROM (SELECT DISTINCT ON (url) * FROM pstory ORDER BY url, publish_date, page_id::VARCHAR) WHERE NOT starts_with(host, 'm.')""",
     SQL_PAGE_FEED, SQL_PAGE_STORY))
 def five_stage_run(spark, sf):
-    root, _ = two_runs(spark, sf)
-    return spark.read.parquet(f"{root}/export/r2/parquet")
+    root, _ = staged_runs(spark, sf, [("r1", *MONTH)])
+    return spark.read.parquet(f"{root}/export/r1/parquet")
 
 
 def _metrics_sql() -> str:
@@ -157,4 +159,5 @@ def _metrics_sql() -> str:
 @query("inc_run_metrics", star.with_sql(_metrics_sql(), SQL_PAGE_FEED, SQL_PAGE_STORY,
                                         "days AS (SELECT *, day(publish_date) AS day FROM pstory)"))
 def inc_run_metrics(spark, sf):
-    return two_runs(spark, sf)[1]
+    # a first pull up to mid-month, then one that starts on its last day
+    return staged_runs(spark, sf, [("r1", MONTH[0], MID_MONTH), ("r2", None, MONTH[1])])[1]

@@ -149,9 +149,16 @@ def text_highlight(spark, sf):
 
 # --- HTML ----------------------------------------------------------------------------
 
+# References that HTML also accepts without their semicolon (a title may be cut off at one).
+LEGACY = ["&quot;", "&lt;", "&gt;", "&nbsp;", "&copy;", "&middot;", "&amp;"]
+
+
 def sql_decoded(value: str) -> str:
     for ref, char in html.REFERENCES:
-        value = f"replace({value}, '{ref}', {sql_chars(char)})"
+        if ref in LEGACY:
+            value = sql_replace_all(value, ref + "?", sql_chars(char))
+        else:
+            value = f"replace({value}, '{ref}', {sql_chars(char)})"
     return value
 
 

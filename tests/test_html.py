@@ -36,6 +36,7 @@ def test_body_without_article_or_closing_tags(column):
 
 
 def test_references_are_decoded_once(column):
+    assert column(["cut off&amp", "&copy 2024 &ampcopy;"], html.decode_references(V)) == ["cut off&", "\xa9 2024 &copy;"]
     given = ["&amp;lt;", "&lt;", "&euro;5", "&#x41;&#66;", "AT&T", "&amp;euro;", None, "a &copy; b"]
     assert column(given, html.decode_references(V)) == ["&lt;", "<", "€5", "AB", "AT&T", "&euro;", None, "a \xa9 b"]
 
