@@ -23,11 +23,18 @@ from coverlens.sources.dims import inline_rows
 
 def feed_stage(spark: SparkSession, landed: DataFrame, root: str, batch: str, today: dt.date,
                start: dt.date | None = None) -> DataFrame:
-    """New records from the last stored day on; returns fetched, inserted, skipped."""
+    """New records from the last stored day on; returns fetched, inserted, skipped.
+
+    Batch names must increase.  Only the latest may be run again: the window of an
+    older one would start at what later batches stored, and its rows would be lost.
+    """
     path = f"{root}/feed"
+    stored = landing.read_table(spark, path, writers.batched(S.FEED))
+    if stored.filter(F.col(writers.BATCH) > batch).limit(1).count():
+        raise ValueError(f"a later batch than {batch} is stored")
     # the window of a repeated batch must not depend on what that batch wrote itself
-    earlier = landing.read_table(spark, path, writers.batched(S.FEED)).filter(F.col(writers.BATCH) != batch)
-    fetched = landing.in_window(landed, *landing.next_window(earlier, today, start))
+    window = landing.next_window(stored.filter(F.col(writers.BATCH) < batch), today, start)
+    fetched = landing.in_window(landed, *window)
     added = writers.append_new(spark, fetched, path, S.FEED, "id", batch,
                                [F.col("publish_date"), F.col("url")])
     return writers.insert_delta(fetched, added)

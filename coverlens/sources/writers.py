@@ -27,8 +27,8 @@ def append_new(spark: SparkSession, rows: DataFrame, path: str, schema: T.Struct
     """Append the rows whose key is not stored; return what this batch holds.
 
     Each batch owns one folder and overwrites it, and its own folder is left out
-    of the comparison.  So a batch that is run again, also after a half-done
-    write, ends with the same rows.  Duplicates inside the batch keep the first
+    of the comparison.  So a batch that is run again on the same input, also after
+    a half-done write, ends with the same rows.  Duplicates inside the batch keep the first
     by ``order``, then by a hash of the row, so that a recomputed task picks the
     same one.
     """

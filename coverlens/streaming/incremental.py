@@ -23,10 +23,14 @@ def stream_append(stream: DataFrame, target: str, checkpoint: str, schema: T.Str
     """Land what is new, then stop: append by key with no time horizon.
 
     The target's key column is the state.  A micro-batch that is replayed after a
-    failure overwrites its own folder, so rows are stored once.
+    failure overwrites its own folder, so rows are stored once.  Folders carry the
+    query's id, which lives in the checkpoint: a stream that starts over with a new
+    checkpoint cannot overwrite what an earlier one landed.
     """
     def land(rows: DataFrame, batch_id: int) -> None:
-        writers.append_new(rows.sparkSession, rows, target, schema, key, f"stream{batch_id:012d}", order)
+        spark = rows.sparkSession
+        query_id = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+        writers.append_new(spark, rows, target, schema, key, f"stream-{query_id}-{batch_id:012d}", order)
 
     return (stream.writeStream.foreachBatch(land).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())

@@ -127,9 +127,16 @@ def test_stream_append_resumes_and_ignores_overlap(spark):
     got = run()
     assert got.count() == got.select("id").distinct().count() == 150
     assert run().count() == 150  # nothing new
-    # a lost checkpoint replays everything under the first batch names: still no duplicate
-    assert run(checkpoint="fresh").select("id").distinct().count() == 150
-    assert run(checkpoint="fresh2").count() == 150
+    # a new checkpoint reads everything again: still no duplicate
+    assert run(checkpoint="fresh").count() == 150
+    # and it cannot overwrite what an earlier one landed from files that are gone by now
+    later = work_path(spark, "later")
+    keyed(spark, range(140, 160)).write.parquet(later)
+    stream = incremental.stream_files(spark, later, schema)
+    incremental.stream_append(stream, f"{root}/target", f"{root}/fresh2", schema, "id").awaitTermination()
+    got = spark.read.parquet(f"{root}/target")
+    assert got.count() == got.select("id").distinct().count() == 160
+    assert all(r["batch"].count("None") == 0 for r in got.select("batch").distinct().collect())
     assert run("other", "other-cp", files_per_batch=1).count() == 150
 
 
@@ -184,6 +191,8 @@ def test_staged_run(spark):
     assert (second[("feed", "n_fetched")], second[("feed", "n_inserted")]) == (3, 1)
     assert (second[("article", "n_ok")], second[("article", "n_failed")]) == (1, 0)
     assert second[("story", "n_stories")] == 4  # u1 again: one row per url
+    with pytest.raises(ValueError):  # only the latest batch may be repeated
+        run_once(spark, root, rows, "r1", dt.date(2024, 1, 6))
     third = run_once(spark, root, rows, "r3", dt.date(2024, 1, 6))
     assert (third[("feed", "n_inserted")], third[("article", "n_ok")], third[("sentence", "n_checked")]) == (0, 0, 0)
 
