@@ -4,9 +4,9 @@ import pytest
 
 import __spark_entry__
 from suite.compare import difference, duck
+from suite.registry import ORACLE, QUERIES
 
 SF = "/root/testdata/sf0.001"
-QUERIES, ORACLE = __spark_entry__.queries(), __spark_entry__.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -24,5 +24,10 @@ def test_every_query_has_a_twin():
     assert set(ORACLE) == set(QUERIES)
 
 
+def test_contract_lists_them_all():
+    assert set(QUERIES) <= set(__spark_entry__.queries())
+    assert set(ORACLE) <= set(__spark_entry__.oracle_sql())
+
+
 def test_entry(spark):
     assert __spark_entry__.entry(spark).count() > 0
