@@ -29,6 +29,11 @@ def words_of(text: Column) -> Column:
     return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(WORD), 0)
 
 
+def bound(value: Column, expression) -> Column:
+    """``expression(value)`` with the value computed once per row, also inside its lambdas."""
+    return F.transform(F.array(value), expression)[0]
+
+
 def hash_order(*parts: Column) -> Column:
     """A fixed pseudo-random key (16 hex digits) from the parts; SQL engines with md5 agree on it."""
     return F.substring(F.md5(F.concat_ws("|", *parts)), 1, 16)

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from coverlens.llm.common import SHINGLE_WORDS, words_of
+from coverlens.llm.common import SHINGLE_WORDS, bound, words_of
 
 BELOW = "2"         # hashes are hex strings; those below this prefix, an eighth of all, are kept
 HASH_DIGITS = 14
@@ -19,19 +19,23 @@ MAX_RANGES = 50_000   # ... or, in very large tables, in this many larger ones
 
 def shingle_hashes(text: Column) -> Column:
     """Hashes of all runs of five words; with fewer words, of the whole sequence; none without words."""
-    words = words_of(text)
-    runs = F.transform(
-        F.sequence(F.lit(1), F.greatest(F.size(words) - (SHINGLE_WORDS - 1), F.lit(1))),
-        lambda i: F.substring(F.md5(F.array_join(F.slice(words, i, SHINGLE_WORDS), " ")), 1, HASH_DIGITS))
-    return F.when(F.size(words) == 0, F.array().cast("array<string>")).otherwise(runs)
+    def of(words: Column) -> Column:
+        runs = F.transform(
+            F.sequence(F.lit(1), F.greatest(F.size(words) - (SHINGLE_WORDS - 1), F.lit(1))),
+            lambda i: F.substring(F.md5(F.array_join(F.slice(words, i, SHINGLE_WORDS), " ")), 1, HASH_DIGITS))
+        return F.when(F.size(words) == 0, F.array().cast("array<string>")).otherwise(runs)
+
+    return bound(words_of(text), of)
 
 
 def sketch(hashes: Column) -> Column:
     """The kept hashes, sorted; the smallest one if none lies below the fraction."""
-    kept = F.array_sort(F.array_distinct(F.filter(hashes, lambda h: h < F.lit(BELOW))))
-    return (F.when(F.size(kept) > 0, kept)
-            .when(F.size(hashes) > 0, F.array(F.array_min(hashes)))
-            .otherwise(F.array().cast("array<string>")))
+    def of(hashes: Column) -> Column:
+        kept = F.array_sort(F.array_distinct(F.filter(hashes, lambda h: h < F.lit(BELOW))))
+        smallest = F.when(F.size(hashes) > 0, F.array(F.array_min(hashes))).otherwise(hashes)
+        return bound(kept, lambda k: F.when(F.size(k) > 0, k).otherwise(smallest))
+
+    return bound(hashes, of)
 
 
 def merge(a: Column, b: Column) -> Column:
@@ -116,11 +120,13 @@ def fingerprint_documents(docs: DataFrame, key: str = "doc_id", text: str = "tex
         likeness(F.col("sketch"), F.col("next_sketch")).alias("near_next"))
 
 
-def _sketch_sql(text: str) -> str:
-    words = f"regexp_extract_all({text}, '[^\\x20\\x09-\\x0D]+')"
-    runs = (f"[substr(md5(array_to_string(list_slice({words}, i, i + {SHINGLE_WORDS - 1}), ' ')), 1, {HASH_DIGITS}) "
-            f"for i in range(1, greatest(len({words}) - {SHINGLE_WORDS - 2}, 2))]")
-    return f"CASE WHEN len({words}) = 0 THEN [] ELSE {runs} END"
+def _words_sql(text: str) -> str:
+    return f"regexp_extract_all({text}, '[^\\x20\\x09-\\x0D]+')"
+
+
+def _hashes_sql(words: str) -> str:
+    return (f"CASE WHEN len({words}) = 0 THEN [] ELSE [substr(md5(array_to_string({words}[i:i + {SHINGLE_WORDS - 1}], ' ')), "
+            f"1, {HASH_DIGITS}) for i in range(1, greatest(len({words}) - {SHINGLE_WORDS - 2}, 2))] END")
 
 
 def oracle_sql() -> str:
@@ -137,7 +143,8 @@ o AS (
 e AS (
   SELECT *, length(text) AS n, left(text, length(text) - length(text) // 3) || left(next_text, length(text) // 3) AS edited
   FROM o),
-h AS (SELECT *, {_sketch_sql('text')} AS h1, {_sketch_sql('edited')} AS h2, {_sketch_sql('next_text')} AS h3 FROM e),
+w AS MATERIALIZED (SELECT *, {_words_sql('text')} AS w1, {_words_sql('edited')} AS w2, {_words_sql('next_text')} AS w3 FROM e),
+h AS MATERIALIZED (SELECT *, {_hashes_sql('w1')} AS h1, {_hashes_sql('w2')} AS h2, {_hashes_sql('w3')} AS h3 FROM w),
 s AS (SELECT doc_id, n, edited, {kept('h1')} AS s1, {kept('h2')} AS s2, {kept('h3')} AS s3 FROM h)
 SELECT doc_id, n::BIGINT AS n_chars, sha256(edited) AS edited_sha256,
        array_to_string(s1, '') AS fingerprint, array_to_string(s2, '') AS edited_fingerprint,

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from coverlens.llm import fingerprint, sharding, url_filter
+from coverlens.llm import bpe, fingerprint, mixing, near_dedup, sharding, url_filter
 from coverlens.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -22,6 +23,16 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+@query("op3_mix_sources", mixing.oracle_sql())
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(read_table(spark, sf_dir, "documents"))
+
+
+@query("op4_near_dedup")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
 @query("op5_extendible_sharding", sharding.oracle_sql())
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign_shards(read_table(spark, sf_dir, "documents"))
@@ -33,6 +44,12 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(read_table(spark, sf_dir, "pages"), model)
 
 
+@query("op9_byte_bpe")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.encode_documents(read_table(spark, sf_dir, "documents"),
+                                public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
 @query("op10_scaled_fingerprints", fingerprint.oracle_sql())
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.fingerprint_documents(read_table(spark, sf_dir, "documents"))
