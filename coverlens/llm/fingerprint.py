@@ -29,18 +29,25 @@ def shingle_hashes(text: Column) -> Column:
 
 
 def sketch(hashes: Column) -> Column:
-    """The kept hashes, sorted; the smallest one if none lies below the fraction."""
+    """The kept hashes as sorted longs; the smallest one if none lies below the fraction."""
     def of(hashes: Column) -> Column:
         kept = F.array_sort(F.array_distinct(F.filter(hashes, lambda h: h < F.lit(BELOW))))
         smallest = F.when(F.size(hashes) > 0, F.array(F.array_min(hashes))).otherwise(hashes)
         return bound(kept, lambda k: F.when(F.size(k) > 0, k).otherwise(smallest))
 
-    return bound(hashes, of)
+    return F.transform(bound(hashes, of), lambda h: F.conv(h, 16, 10).cast("long"))
 
 
 def merge(a: Column, b: Column) -> Column:
     """The sketch of two documents' shingles together."""
-    return sketch(F.array_union(a, b))
+    limit = int(BELOW.ljust(HASH_DIGITS, "0"), 16)
+    return bound(F.array_sort(F.array_union(a, b)), lambda both: bound(
+        F.filter(both, lambda h: h < limit), lambda kept: F.when(F.size(kept) > 0, kept).otherwise(F.slice(both, 1, 1))))
+
+
+def as_text(sketch: Column) -> Column:
+    """A sketch as one string of hex digits, HASH_DIGITS a hash."""
+    return F.array_join(F.transform(sketch, lambda h: F.lpad(F.lower(F.hex(h)), HASH_DIGITS, "0")), "")
 
 
 def likeness(a: Column, b: Column) -> Column:
@@ -115,7 +122,7 @@ def fingerprint_documents(docs: DataFrame, key: str = "doc_id", text: str = "tex
     edited = edited.withColumn("edited_sketch", sketch(shingle_hashes(F.col("edited"))))
     return edited.select(
         F.col("key").alias(key), "n_chars", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
-        F.array_join("sketch", "").alias("fingerprint"), F.array_join("edited_sketch", "").alias("edited_fingerprint"),
+        as_text(F.col("sketch")).alias("fingerprint"), as_text(F.col("edited_sketch")).alias("edited_fingerprint"),
         likeness(F.col("sketch"), F.col("edited_sketch")).alias("near_edited"),
         likeness(F.col("sketch"), F.col("next_sketch")).alias("near_next"))
 
