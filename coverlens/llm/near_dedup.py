@@ -11,6 +11,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -21,6 +22,8 @@ from coverlens.llm.components import components
 SIMILAR = 85            # per cent of the union that two documents share at least
 BANDS, ROWS = 32, 8     # misses a pair at exactly that similarity with probability 0.00004
 SIGNATURE = BANDS * ROWS
+MARGIN = 4.0            # standard errors by which a signature may fall short of the similarity
+BLOCK_ROWS = 1_000      # members of one bucket compared with each other at a time
 KEYLESS = 1 << 62
 CHUNK_BYTES = 3_000_000  # texts hashed together; a longer text is hashed alone
 
@@ -130,11 +133,13 @@ def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for at, texts in _chunks(batch.column("text")):
             owner, hashes = shingle_sets(texts)
             counts, a, b = _sums(owner, hashes, len(texts))
-            bands = band_hashes(super_minhash(owner, hashes, len(texts)))
+            signature = super_minhash(owner, hashes, len(texts))
+            bands = band_hashes(signature)
             lists = pa.ListArray.from_arrays(np.arange(0, bands.size + 1, BANDS, dtype=np.int32), bands.ravel())
+            marks = ((signature.view(np.uint64) * _PLACE[:SIGNATURE]) >> np.uint64(56)).astype(np.uint8)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("key").slice(at, len(texts)), pa.array(counts, pa.int64()), pa.array(a), pa.array(b), lists],
-                ["key", "n", "a", "b", "bands"])
+                [batch.column("key").slice(at, len(texts)), pa.array(counts, pa.int64()), pa.array(a), pa.array(b), lists,
+                 pa.array([m.tobytes() for m in marks], pa.binary())], ["key", "n", "a", "b", "bands", "marks"])
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -150,7 +155,8 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _confirmed(pairs: DataFrame, rows: DataFrame, similar: int) -> DataFrame:
     """The pairs (u, v) whose full shingle sets share enough; sets are made for the documents in question only."""
     needed = pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct()
-    sets = written(rows.join(needed, F.col("key") == F.col("node"), "left_semi")
+    # a merge join: the number of documents in question grows with the table
+    sets = written(rows.join(needed.hint("merge"), F.col("key") == F.col("node"), "left_semi")
                    .mapInArrow(_sets, "node long, shingles array<bigint>").dropDuplicates(["node", "shingles"]), "sets")
     left = sets.select(F.col("node").alias("u"), F.col("shingles").alias("x"))
     right = sets.select(F.col("node").alias("v"), F.col("shingles").alias("y"))
@@ -172,15 +178,16 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", si
     # a row without a key gets one of its own above all usual keys
     keyless = F.lit(KEYLESS) + F.abs(F.xxhash64(F.coalesce(F.col(text), F.lit(""))) % (1 << 61))
     rows = docs.select(F.coalesce(F.col(key).cast("long"), keyless).alias("key"), F.col(text).alias("text"))
-    signed = written(rows.mapInArrow(_signatures, "key long, n long, a long, b long, bands array<bigint>"), "signatures")
+    signed = written(rows.mapInArrow(_signatures, "key long, n long, a long, b long, bands array<bigint>, marks binary"), "signatures")
     classes = written(signed.filter("n > 0").groupBy("n", "a", "b").agg(
-        F.min("key").alias("node"), F.min_by("bands", "key").alias("bands")), "classes")
+        F.min("key").alias("node"), F.min_by(F.struct("bands", "marks"), "key").alias("of")).select(
+        "n", "a", "b", "node", "of.*"), "classes")
 
     members = classes.select("node", "n", F.explode("bands").alias("bucket"))
     shared = members.groupBy("bucket").agg(
         F.count("*").alias("members"), F.min(F.struct("node", "n")).alias("leader")).filter("members > 1")
     buckets = written(members.join(shared.drop("members"), "bucket"), "buckets")
-    found = components(_links(buckets, rows, similar))
+    found = components(_links(buckets, classes, rows, similar))
 
     of_class = (classes.join(found, "node", "left")
                 .select("n", "a", "b", F.coalesce("component", "node").alias("component")))
@@ -197,7 +204,7 @@ def _alike_sizes(a, b, similar: int):
     return F.lit(100) * F.least(a, b) >= F.lit(similar) * F.greatest(a, b)
 
 
-def _links(buckets: DataFrame, rows: DataFrame, similar: int) -> DataFrame:
+def _links(buckets: DataFrame, classes: DataFrame, rows: DataFrame, similar: int) -> DataFrame:
     """Confirmed links that connect all bucket members which any chain of links within buckets connects."""
     first = (buckets.filter(_alike_sizes(F.col("n"), F.col("leader.n"), similar) & (F.col("node") != F.col("leader.node")))
              .select(F.col("leader.node").alias("u"), F.col("node").alias("v")).distinct())
@@ -205,13 +212,49 @@ def _links(buckets: DataFrame, rows: DataFrame, similar: int) -> DataFrame:
     links = written(_confirmed(first, rows, similar), "links")
     # what the leaders left apart is compared directly: members of one bucket in different groups
     grouped = written(buckets.join(components(links), "node", "left")
-                      .select("bucket", "node", "n", F.coalesce("component", "node").alias("component")), "grouped")
+                      .select("bucket", "node", F.coalesce("component", "node").alias("component")), "grouped")
     split = grouped.groupBy("bucket").agg(
-        F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high").select("bucket")
-    apart = grouped.join(split, "bucket", "left_semi")
-    other = apart.select("bucket", F.col("node").alias("v"), F.col("n").alias("m"), F.col("component").alias("other"))
-    rest = (apart.withColumnRenamed("node", "u").join(other, "bucket")
-            .filter((F.col("u") < F.col("v")) & (F.col("component") != F.col("other"))
-                    & _alike_sizes(F.col("n"), F.col("m"), similar))
-            .select("u", "v").distinct().join(first, ["u", "v"], "left_anti"))
-    return links.unionByName(_confirmed(written(rest, "pairs"), rows, similar))
+        F.min("component").alias("low"), F.max("component").alias("high"),
+        F.ceil(F.count("*") / BLOCK_ROWS).cast("int").alias("blocks")).filter("low < high").select("bucket", "blocks")
+    apart = grouped.join(split, "bucket").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    n = apart.count()
+    # every two blocks of a large bucket meet in one task, small buckets share tasks
+    task = (F.when(F.col("blocks") == 1, F.pmod(F.xxhash64("bucket"), F.lit(1 + n // (4 * BLOCK_ROWS))))
+            .otherwise(F.xxhash64("bucket", "low", "high")))
+    parts = (apart.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+             .select("bucket", "node", "component", "block", F.least("block", "other").alias("low"),
+                     F.greatest("block", "other").alias("high"), "blocks").withColumn("task", task)
+             .join(classes.select("node", "n", "bands", "marks").dropDuplicates(["node"]), "node"))
+    compare = lambda part: _likely_pairs(part, similar)
+    rest = written(parts.groupBy("task").applyInPandas(compare, "u long, v long").distinct()
+                   .join(first, ["u", "v"], "left_anti"), "pairs")
+    return links.unionByName(_confirmed(rest, rows, similar))
+
+
+def _likely_pairs(part: pd.DataFrame, similar: int) -> pd.DataFrame:
+    """Pairs of one bucket, in different groups, whose signatures do not rule out the similarity.
+
+    A pair that shares several buckets is named in the first of its common bands only.
+    """
+    share = similar / 100
+    least = SIGNATURE * (share - MARGIN * np.sqrt(share * (1 - share) / SIGNATURE))
+    out = []
+    for (bucket, low, high), rows in part.groupby(["bucket", "low", "high"], sort=False):
+        marks = np.frombuffer(b"".join(rows["marks"]), np.uint8).reshape(len(rows), SIGNATURE)
+        bands = np.stack(rows["bands"].to_numpy())
+        node, n, group, block = (rows[c].to_numpy() for c in ("node", "n", "component", "block"))
+        place = np.arange(len(rows))
+        for i in np.flatnonzero(block == low):
+            partner = (block == high) & (group != group[i])
+            if low == high:
+                partner &= place > i
+            partner &= 100 * np.minimum(n, n[i]) >= similar * np.maximum(n, n[i])
+            at = np.flatnonzero(partner)
+            if len(at) == 0:
+                continue
+            at = at[(marks[at] == marks[i]).sum(axis=1) >= least]
+            if len(at) == 0:
+                continue
+            at = at[bands[i][np.argmax(bands[at] == bands[i], axis=1)] == bucket]
+            out.extend((min(node[i], node[j]), max(node[i], node[j])) for j in at)
+    return pd.DataFrame(out, columns=["u", "v"], dtype="int64")
