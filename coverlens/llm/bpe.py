@@ -10,6 +10,8 @@ from __future__ import annotations
 import base64
 import hashlib
 import heapq
+import struct
+from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -18,7 +20,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-CACHE_WORDS = 300_000      # words remembered per Python worker; older ones are encoded again
+CACHE_WORDS = 500_000      # words of one generation remembered per Python worker; two generations are kept
 CACHE_CHARACTERS = 64      # longer words are not remembered
 BATCH_CHARACTERS = 2_000_000  # texts are encoded together up to this length
 
@@ -35,7 +37,10 @@ class MergeReplay:
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks
         self.token = {i: t for t, i in ranks.items()}
+        self.byte = [ranks[bytes([b])] for b in range(256)]
         self.merged: dict[tuple[int, int], int] = {}
+        # the merge of every two single bytes, or -1
+        self.byte_pair = [ranks.get(bytes([a, b]), -1) for a in range(256) for b in range(256)]
 
     def merge_of(self, left: int, right: int) -> int:
         """Id of the two tokens joined, or -1."""
@@ -46,28 +51,34 @@ class MergeReplay:
 
     def encode(self, words: list[bytes]) -> list[list[int]]:
         """Ids of each word; a word that is a token itself is that token."""
-        ranks, merge_of = self.ranks, self.merge_of
+        ranks, merge_of, byte, byte_pair = self.ranks, self.merge_of, self.byte, self.byte_pair
         out: list[list[int] | None] = [[ranks[w]] if w in ranks else None for w in words]
         symbol: list[int] = []   # token at each place, -1 where it was merged into the one before
-        after: list[int] = []    # next living place in the same word, or -1
-        before: list[int] = []
+        word_ends: list[int] = []
         starts: list[tuple[int, int]] = []
-        places: dict[int, list[int]] = {}
+        places: dict[int, list[int]] = defaultdict(list)
         for i, word in enumerate(words):
             if out[i] is not None or not word:
                 out[i] = out[i] or []
                 continue
-            first = len(symbol)
-            starts.append((i, first))
-            symbol.extend(ranks[word[j:j + 1]] for j in range(len(word)))
-            after.extend(range(first + 1, first + len(word)))
-            after.append(-1)
-            before.append(-1)
-            before.extend(range(first, first + len(word) - 1))
-            for place in range(first, first + len(word) - 1):
-                rank = merge_of(symbol[place], symbol[place + 1])
+            place = len(symbol)
+            starts.append((i, place))
+            symbol += [byte[b] for b in word]
+            left = word[0]
+            for right in word[1:]:
+                rank = byte_pair[left << 8 | right]
                 if rank >= 0:
-                    places.setdefault(rank, []).append(place)
+                    places[rank].append(place)
+                place += 1
+                left = right
+            word_ends.append(place)
+        after = list(range(1, len(symbol) + 1))      # next living place in the same word, or -1
+        before = list(range(-1, len(symbol) - 1))
+        for i, place in starts:
+            before[place] = -1
+        for place in word_ends:
+            after[place] = -1
+
         queue = list(places)
         heapq.heapify(queue)
         while queue:
@@ -76,22 +87,33 @@ class MergeReplay:
             if todo is None:
                 continue
             todo.sort()
+            sooner = False
             for n, place in enumerate(todo):
                 right = after[place]
-                if symbol[place] < 0 or right < 0 or merge_of(symbol[place], symbol[right]) != rank:
+                if right < 0 or symbol[place] < 0 or merge_of(symbol[place], symbol[right]) != rank:
                     continue  # a neighbour was merged meanwhile
                 symbol[place], symbol[right] = rank, -1
-                beyond = after[place] = after[right]
-                sooner = False
+                beyond, behind = after[right], before[place]
+                after[place] = beyond
                 if beyond >= 0:
                     before[beyond] = place
-                    sooner = self._add(places, queue, symbol, place, beyond, rank)
-                if before[place] >= 0:
-                    sooner = self._add(places, queue, symbol, before[place], place, rank) or sooner
+                    new = merge_of(rank, symbol[beyond])
+                    if new >= 0:
+                        if new not in places:
+                            heapq.heappush(queue, new)
+                        places[new].append(place)
+                        sooner = new < rank
+                if behind >= 0:
+                    new = merge_of(symbol[behind], rank)
+                    if new >= 0:
+                        if new not in places:
+                            heapq.heappush(queue, new)
+                        places[new].append(behind)
+                        sooner = sooner or new < rank
                 if sooner:  # a merge of lower rank became possible: it comes first
                     if rank not in places:
                         heapq.heappush(queue, rank)
-                    places.setdefault(rank, []).extend(todo[n + 1:])
+                    places[rank].extend(todo[n + 1:])
                     break
         for i, place in starts:
             ids = []
@@ -101,17 +123,6 @@ class MergeReplay:
             out[i] = ids
         return out
 
-    def _add(self, places, queue, symbol, left: int, right: int, current: int) -> bool:
-        rank = self.merge_of(symbol[left], symbol[right])
-        if rank < 0:
-            return False
-        if rank in places:
-            places[rank].append(left)
-        else:
-            places[rank] = [left]
-            heapq.heappush(queue, rank)
-        return rank < current
-
     def decode(self, ids) -> bytes:
         return b"".join(map(self.token.__getitem__, ids))
 
@@ -121,19 +132,25 @@ class TextEncoder:
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.replay, self.split = MergeReplay(ranks), regex.compile(pattern).findall
-        self.known: dict[str, bytes] = {}  # word -> ids as little-endian 32-bit integers
+        # word -> ids as little-endian 32-bit integers; words unused for two generations are forgotten
+        self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def encode_many(self, texts: list[str]) -> list[bytes]:
         split = [self.split(t) for t in texts]
-        fresh = list(set().union(*split).difference(self.known))
+        if len(self.known) > CACHE_WORDS:
+            self.known, self.older = {}, self.known
+        known, older = self.known, self.older
+        missing = set().union(*split).difference(known)
+        again = missing.intersection(older)
+        known.update((w, older[w]) for w in again)
+        fresh = list(missing - again)
         coded = self.replay.encode([w.encode("utf-8", "surrogatepass") for w in fresh])
-        if len(self.known) + len(fresh) > CACHE_WORDS:  # go on with the words at hand
-            self.known = {w: self.known[w] for w in set().union(*split).intersection(self.known)}
-        self.known.update((w, np.array(ids, dtype="<u4").tobytes()) for w, ids in zip(fresh, coded))
-        out = [b"".join(map(self.known.__getitem__, words)) for words in split]
+        known.update((w, struct.pack(f"<{len(ids)}I", *ids)) for w, ids in zip(fresh, coded))
+        out = [b"".join(map(known.__getitem__, words)) for words in split]
         for w in fresh:
             if len(w) > CACHE_CHARACTERS:
-                del self.known[w]
+                del known[w]
         return out
 
 
