@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from coverlens.llm import bpe, fingerprint, mixing, near_dedup, quality, sharding, suffix_dedup, url_filter
+from coverlens.llm import bpe, fingerprint, mixing, near_dedup, quality, sharding, suffix_dedup, toxicity, url_filter
 from coverlens.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -28,6 +28,11 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_quality(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
+@query("op2_toxicity")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_toxicity(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 @query("op3_mix_sources", mixing.oracle_sql())
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read_table(spark, sf_dir, "documents"))

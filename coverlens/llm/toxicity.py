@@ -22,10 +22,11 @@ from coverlens.llm.recurrent import Adam, Network, sigmoid
 SAMPLE = (2_000, 3_000)   # toxic and other labelled texts to train on, at most (in hash order of their ids)
 WINDOW, STRIDE = 64, 48   # words; windows overlap by the difference
 HIDDEN, EMBED = 8, 6
-GRAMS = (3, 4, 5)         # characters, with the word's ends as blanks
-GRAM_ROWS, WORD_ROWS = 1 << 16, 1 << 15
-EPOCHS, BATCH = 6, 256
-LEAST_STEPS = 150         # small samples are gone through more often
+GRAMS = (4, 5, 6, 7)      # bytes of a character n-gram, with the word's ends as blanks
+COUNT_ROWS, EMBED_ROWS = 1 << 18, 1 << 15   # hash ranges of the counts and of the learned vectors
+EPOCHS, BATCH = 8, 256
+LEAST_STEPS = 120         # small samples are gone through more often
+TABLE_RATE, TABLE_DECAY = 0.02, 0.01
 CHUNK_BYTES = 1_500_000
 
 # Bytes of words: digits, letters (A-Z as a-z) and all beyond ASCII; everything else separates.
@@ -46,17 +47,42 @@ class Words:
         prefix = prefix_hashes(data)
         hashes, first, self.ids = np.unique(substring_hashes(prefix, starts, ends), return_index=True, return_inverse=True)
         self.text_of = np.searchsorted(ends_of, starts, side="right")
-        self.rows = (hashes % np.uint64(WORD_ROWS)).astype(np.int64)
+        self.hashes = hashes
         # n-grams of every distinct word, one word after the other
         begin, end = starts[first] - 1, ends[first] + 1
-        counts = np.stack([np.maximum(end - begin - n + 1, 0) for n in GRAMS], axis=1)
+        counts = np.stack([np.maximum(end - begin - n + 1, int(n == GRAMS[0])) for n in GRAMS], axis=1)
         place = np.concatenate([[0], np.cumsum(counts.ravel())])
         at = np.arange(place[-1]) - np.repeat(place[:-1] - np.repeat(begin, len(GRAMS)), counts.ravel())
-        size = np.repeat(np.tile(GRAMS, len(first)), counts.ravel())
-        self.grams = (substring_hashes(prefix, at, at + size) % np.uint64(GRAM_ROWS)).astype(np.int64)
+        size = np.repeat(np.minimum(GRAMS, (end - begin)[:, None]).ravel(), counts.ravel())  # a short word is one n-gram
+        self.grams = substring_hashes(prefix, at, at + size)
         self.gram_first = place[:-1].reshape(-1, len(GRAMS))[:, 0] if len(first) else np.zeros(0, np.int64)
         self.gram_count = counts.sum(axis=1)
 
+    @classmethod
+    def of_many(cls, texts: list[bytes]) -> Words:
+        """The same for many texts, read a part at a time."""
+        parts, at = [], 0
+        while at < len(texts) or not parts:
+            n, size = 0, 0
+            while at + n < len(texts) and (n == 0 or size < CHUNK_BYTES):
+                size += len(texts[at + n])
+                n += 1
+            part = cls(texts[at:at + n])
+            part.text_of += at
+            parts.append(part)
+            at += max(n, 1)
+        out = cls.__new__(cls)
+        out.hashes, first, number = np.unique(np.concatenate([p.hashes for p in parts]), return_index=True, return_inverse=True)
+        offsets = np.cumsum([0] + [len(p.hashes) for p in parts])
+        out.ids = np.concatenate([number[o:][p.ids] for o, p in zip(offsets, parts)])
+        out.text_of = np.concatenate([p.text_of for p in parts])
+        counts = np.concatenate([p.gram_count for p in parts])
+        starts = np.cumsum(counts) - counts
+        out.gram_count = counts[first]
+        out.grams = np.concatenate([p.grams for p in parts])[_ranges(starts[first], out.gram_count)]
+        out.gram_first = np.cumsum(out.gram_count) - out.gram_count
+        return out
+
     def windows(self, n_texts: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(words x places, mask, text) of all overlapping windows; the last one of a text ends at its end."""
         count = np.bincount(self.text_of, minlength=n_texts)
@@ -71,6 +97,15 @@ class Words:
         return ids, mask.astype(np.float32), text
 
 
+def _ranges(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """All numbers start, start + 1, ... of each range, one range after the other."""
+    return np.repeat(starts - (np.cumsum(counts) - counts), counts) + np.arange(counts.sum())
+
+
+def _rows(hashes: np.ndarray, size: int) -> np.ndarray:
+    return (hashes % np.uint64(size)).astype(np.int64)
+
+
 def _surplus(toxic: np.ndarray, other: np.ndarray, totals: tuple[float, float]) -> np.ndarray:
     """How much more often something stands in toxic texts, in standard errors, scaled to about -1 .. 2."""
     a, b = toxic + 0.5, other + 0.5
@@ -79,134 +114,140 @@ def _surplus(toxic: np.ndarray, other: np.ndarray, totals: tuple[float, float])
 
 
 class Model:
+    """``surplus``: by kind and hash, how conspicuous words and n-grams are; the tables hold learned vectors."""
+
     def __init__(self, seed: int = 5):
         random = np.random.default_rng(seed)
-        draw = lambda rows: random.normal(0, 0.1, (rows, EMBED)).astype(np.float32)
-        self.gram_table, self.word_table = draw(GRAM_ROWS), draw(WORD_ROWS)
-        self.counts = {"gram": np.zeros((2, GRAM_ROWS), np.float32), "word": np.zeros((2, WORD_ROWS), np.float32)}
-        self.totals = (0.0, 0.0)
+        draw = lambda: random.normal(0, 0.1, (EMBED_ROWS, EMBED)).astype(np.float32)
+        self.tables = {"gram": draw(), "word": draw()}
+        self.surplus = {kind: np.zeros(COUNT_ROWS, np.float32) for kind in ("gram", "word")}
         self.network = Network(3 + 2 * EMBED, HIDDEN, seed)
         self.scale = (1.0, 0.0)
 
-    def inputs(self, words: Words, own_label: int | None = None) -> np.ndarray:
-        """The distinct words' vectors; with the text's own label, its part in the counts is left out."""
-        less = np.zeros(2, np.float32)
-        if own_label is not None:
-            less[1 - own_label] = 1.0
-        rate = lambda kind, rows: _surplus(np.maximum(self.counts[kind][0][rows] - less[0], 0),
-                                           np.maximum(self.counts[kind][1][rows] - less[1], 0), self.totals)
-        word, gram = rate("word", words.rows), rate("gram", words.grams)
-        if len(words.rows) == 0:
-            return np.zeros((0, 3 + 2 * EMBED), np.float32)
-        mean = lambda x: np.add.reduceat(x, words.gram_first, axis=0) / words.gram_count.reshape(-1, *[1] * (x.ndim - 1))
+    @staticmethod
+    def counted(words: Words, surplus: dict[str, np.ndarray]) -> np.ndarray:
+        """Of every distinct word: its own surplus, and the highest and mean one of its n-grams."""
+        if len(words.hashes) == 0:
+            return np.zeros((0, 3), np.float32)
+        gram = surplus["gram"][_rows(words.grams, COUNT_ROWS)]
         return np.column_stack([
-            word, np.maximum.reduceat(gram, words.gram_first), mean(gram),
-            self.word_table[words.rows], mean(self.gram_table[words.grams])]).astype(np.float32)
+            surplus["word"][_rows(words.hashes, COUNT_ROWS)], np.maximum.reduceat(gram, words.gram_first),
+            np.add.reduceat(gram, words.gram_first) / words.gram_count])
+
+    def learned(self, hashes: np.ndarray, grams: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        if len(hashes) == 0:
+            return np.zeros((0, 2 * EMBED), np.float32)
+        sums = np.add.reduceat(self.tables["gram"][_rows(grams, EMBED_ROWS)], np.cumsum(counts) - counts, axis=0)
+        return np.column_stack([self.tables["word"][_rows(hashes, EMBED_ROWS)], sums / counts[:, None]])
+
+    def judge(self, inputs: np.ndarray, windows: np.ndarray, mask: np.ndarray) -> np.ndarray:
+        parts = [self.network.forward(inputs, windows[at:at + 4096], mask[at:at + 4096]) for at in range(0, len(windows), 4096)]
+        return np.concatenate(parts) if parts else np.zeros(0, np.float32)
 
     def logits(self, texts: list[bytes]) -> np.ndarray:
         """The worst window's logit of each text; minus infinity without words."""
         out = np.full(len(texts), -np.inf, np.float32)
         words = Words(texts)
         windows, mask, text = words.windows(len(texts))
-        if len(text):
-            inputs = self.inputs(words)
-            for at in range(0, len(text), 4096):
-                part = slice(at, at + 4096)
-                np.maximum.at(out, text[part], self.network.forward(inputs, windows[part], mask[part]))
+        inputs = np.column_stack([self.counted(words, self.surplus), self.learned(words.hashes, words.grams, words.gram_count)])
+        np.maximum.at(out, text, self.judge(inputs.astype(np.float32), windows, mask))
         return out
 
     def scores(self, texts: list[bytes]) -> np.ndarray:
-        with np.errstate(invalid="ignore"):
-            return sigmoid(self.scale[0] * np.maximum(self.logits(texts), -50).astype(np.float64) + self.scale[1])
+        return sigmoid(self.scale[0] * np.maximum(self.logits(texts), -50).astype(np.float64) + self.scale[1])
 
 
 def train(texts: list[bytes], labels: list[int], share: float, seed: int = 5) -> Model:
     """Train on whole texts; ``share`` is the part of label 1 among all labelled texts, for the calibration.
 
     Only texts are labelled, not windows.  Of a toxic text the window that looks worst so far is
-    learned from; of any other one its worst and a random one.
+    learned from; of any other one its worst and a random one.  While a text is learned from,
+    its own part in the counts is left out.
     """
     model, random = Model(seed), np.random.default_rng(seed)
-    keep = [i for i, t in enumerate(texts) if len(Words([t]).ids)]
-    y = np.array([labels[i] for i in keep])
-    if len(set(y.tolist())) < 2:  # nothing to tell apart
+    words = Words.of_many(texts)
+    windows, mask, text = words.windows(len(texts))
+    y = np.array(labels, dtype=np.int64)
+    present = np.unique(text)
+    if len(present) == 0 or len(set(y[present].tolist())) < 2:  # nothing to tell apart
         model.network.p = {k: np.zeros_like(v) for k, v in model.network.p.items()}
         known = float(np.mean(labels)) if len(labels) else 0.0
         model.scale = (1.0, float(np.log((known + 1e-3) / (1 - known + 1e-3))))
         return model
-    docs = [Words([texts[i]]) for i in keep]
-    for words, label in zip(docs, y):
-        model.counts["word"][1 - label][np.unique(words.rows)] += 1
-        model.counts["gram"][1 - label][np.unique(words.grams)] += 1
-    model.totals = (float(y.sum()), float(len(y) - y.sum()))
 
-    cut = [w.windows(1)[:2] for w in docs]
+    # in how many texts of either label each word and each n-gram stands
+    counts = {kind: np.zeros((2, COUNT_ROWS), np.float32) for kind in ("gram", "word")}
+    in_text = np.unique(words.text_of * len(words.hashes) + words.ids)
+    owner, word = in_text // len(words.hashes), in_text % len(words.hashes)
+    cuts = np.searchsorted(owner, np.arange(len(texts) + 1))
+    for t in present:
+        own = word[cuts[t]:cuts[t + 1]]
+        counts["word"][1 - y[t], np.unique(_rows(words.hashes[own], COUNT_ROWS))] += 1
+        grams = words.grams[_ranges(words.gram_first[own], words.gram_count[own])]
+        counts["gram"][1 - y[t], np.unique(_rows(grams, COUNT_ROWS))] += 1
+    totals = (float(y[present].sum()), float((1 - y[present]).sum()))
+    less = lambda c, by: _surplus(np.maximum(c[0] - by[0], 0), np.maximum(c[1] - by[1], 0), totals)
+    model.surplus = {kind: less(c, (0, 0)) for kind, c in counts.items()}
+    # word numbers of toxic texts are moved by the number of words: they have inputs of their own
+    seen = [Model.counted(words, {kind: less(c, (0, 1) if label == 0 else (1, 0)) for kind, c in counts.items()}) for label in (0, 1)]
+    given = np.concatenate(seen)
+    windows = windows + (y[text] * len(words.hashes))[:, None]
+
+    first = np.searchsorted(text, present)
+    size = np.diff(np.concatenate([first, [len(text)]]))
+    adam, squares = Adam(0.01), {kind: np.full((EMBED_ROWS, 1), 1e-4, np.float32) for kind in ("gram", "word")}
+
+    def worst_of(value: np.ndarray) -> np.ndarray:
+        """Each text's window of the highest value."""
+        order = np.lexsort((-value, text))
+        return order[first]
+
+    def all_logits() -> np.ndarray:
+        learned = model.learned(words.hashes, words.grams, words.gram_count)
+        return model.judge(np.column_stack([given, np.concatenate([learned, learned])]).astype(np.float32), windows, mask)
+
     # before anything is learned the window with the most conspicuous word is the worst
-    worst = [int(np.argmax((model.inputs(w, int(label))[:, :2].sum(axis=1)[ids] * mask).max(axis=1)))
-             for w, label, (ids, mask) in zip(docs, y, cut)]
-    adam, squares = Adam(0.01), {"gram": np.full((GRAM_ROWS, 1), 1e-6, np.float32), "word": np.full((WORD_ROWS, 1), 1e-6, np.float32)}
-    examples = int(len(y) + (y == 0).sum())
-    epochs = max(EPOCHS, -(-LEAST_STEPS * BATCH // examples))
+    worst = worst_of((given[:, :2].sum(axis=1)[windows] * mask).max(axis=1))
+    clean = y[present] == 0
+    examples = len(present) + int(clean.sum())
     batch = min(BATCH, max(16, examples // 4))
-    epochs = min(epochs, 40)
+    epochs = min(40, max(EPOCHS, -(-LEAST_STEPS * batch // examples)))
     for epoch in range(epochs):
-        chosen = [(d, worst[d]) for d in range(len(docs))]
-        chosen += [(d, int(random.integers(len(cut[d][0])))) for d in np.flatnonzero(y == 0)]
+        chosen = np.concatenate([worst, (first + random.integers(0, size))[clean]])
         random.shuffle(chosen)
         for at in range(0, len(chosen), batch):
-            _learn(model, docs, y, cut, chosen[at:at + batch], adam, squares)
-        if epoch % 2 == 1 or epochs > 10:
-            for d, (ids, mask) in enumerate(cut):
-                if len(ids) > 1:
-                    worst[d] = int(np.argmax(model.network.forward(model.inputs(docs[d], int(y[d])), ids, mask)))
-    tops = np.array([model.network.forward(model.inputs(w, int(label)), *c).max() for w, label, c in zip(docs, y, cut)])
-    model.scale = _platt(tops.astype(np.float64), y, share)
+            rows = chosen[at:at + batch]
+            _learn(model, words, given, windows[rows], mask[rows], y[text[rows]], adam, squares)
+        if epoch % 3 == 1:
+            worst = worst_of(all_logits())
+    tops = all_logits()
+    model.scale = _platt(tops[worst_of(tops)].astype(np.float64), y[present], share)
     return model
 
 
-def _learn(model: Model, docs, y, cut, chosen, adam: Adam, squares) -> None:
-    """One step on some windows; every window has its own words, as the counts leave its text out."""
-    inputs, windows, mask, used, at = [], [], [], [], 0
-    for d, w in chosen:
-        ids, on = cut[d][0][w], cut[d][1][w]
-        distinct, local = np.unique(ids, return_inverse=True)
-        inputs.append(model.inputs(docs[d], int(y[d]))[distinct] if len(docs[d].rows) < 4 * len(distinct)
-                      else _some_inputs(model, docs[d], distinct, int(y[d])))
-        windows.append(local + at)
-        mask.append(on)
-        used.append((docs[d], distinct))
-        at += len(distinct)
-    inputs, windows, mask = np.concatenate(inputs), np.stack(windows), np.stack(mask)
-    label = np.array([y[d] for d, _ in chosen], np.float32)
-    logits, kept = model.network.forward(inputs, windows, mask, keep=True)
-    grads, d_inputs = model.network.backward(inputs, windows, mask, kept, ((sigmoid(logits) - label) / len(label)).astype(np.float32))
+def _learn(model: Model, words: Words, given, windows, mask, label, adam: Adam, squares) -> None:
+    """One step on some windows."""
+    distinct, local = np.unique(windows, return_inverse=True)
+    local, base = local.reshape(windows.shape), distinct % len(words.hashes)
+    counts = words.gram_count[base]
+    grams = words.grams[_ranges(words.gram_first[base], counts)]
+    inputs = np.column_stack([given[distinct], model.learned(words.hashes[base], grams, counts)]).astype(np.float32)
+    logits, kept = model.network.forward(inputs, local, mask, keep=True)
+    error = ((sigmoid(logits) - label) / len(label)).astype(np.float32)
+    grads, d_inputs = model.network.backward(inputs, local, mask, kept, error)
     adam.update(model.network.p, grads)
-    # tables: only touched rows, each at a rate by its own history
-    rows = np.concatenate([w.rows[distinct] for w, distinct in used])
-    _table_step(model.word_table, squares["word"], rows, d_inputs[:, 3:3 + EMBED])
-    grams = np.concatenate([_grams(w, distinct) for w, distinct in used])
-    counts = np.concatenate([w.gram_count[distinct] for w, distinct in used])
-    _table_step(model.gram_table, squares["gram"], grams, np.repeat(d_inputs[:, 3 + EMBED:] / counts[:, None], counts, axis=0))
-
-
-def _grams(words: Words, distinct: np.ndarray) -> np.ndarray:
-    count = words.gram_count[distinct]
-    return words.grams[np.repeat(words.gram_first[distinct] - (np.cumsum(count) - count), count) + np.arange(count.sum())]
-
-
-def _some_inputs(model: Model, words: Words, distinct: np.ndarray, label: int) -> np.ndarray:
-    part = Words.__new__(Words)
-    part.rows, part.grams, part.gram_count = words.rows[distinct], _grams(words, distinct), words.gram_count[distinct]
-    part.gram_first = np.cumsum(part.gram_count) - part.gram_count
-    return model.inputs(part, label)
+    _table_step(model.tables["word"], squares["word"], _rows(words.hashes[base], EMBED_ROWS), d_inputs[:, 3:3 + EMBED])
+    _table_step(model.tables["gram"], squares["gram"], _rows(grams, EMBED_ROWS),
+                np.repeat(d_inputs[:, 3 + EMBED:] / counts[:, None], counts, axis=0))
 
 
 def _table_step(table: np.ndarray, squares: np.ndarray, rows: np.ndarray, grads: np.ndarray) -> None:
+    """Only touched rows learn, each at a rate by its own history, and shrink a little."""
     found, place = np.unique(rows, return_inverse=True)
     total = np.zeros((len(found), table.shape[1]), np.float32)
     np.add.at(total, place, grads)
     squares[found] += (total ** 2).mean(axis=1, keepdims=True)
-    table[found] -= 0.05 * total / np.sqrt(squares[found])
+    table[found] = (1 - TABLE_DECAY) * table[found] - TABLE_RATE * total / np.sqrt(squares[found])
 
 
 def _platt(logits: np.ndarray, y: np.ndarray, share: float) -> tuple[float, float]:
