@@ -17,6 +17,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import regex
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -36,7 +37,9 @@ class MergeReplay:
 
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks
-        self.token = {i: t for t, i in ranks.items()}
+        self.token = [b""] * (max(ranks.values()) + 1)
+        for token, i in ranks.items():
+            self.token[i] = token
         self.byte = [ranks[bytes([b])] for b in range(256)]
         self.merged: dict[tuple[int, int], int] = {}
         # the merge of every two single bytes, or -1
@@ -154,6 +157,17 @@ class TextEncoder:
         return out
 
 
+_ENCODERS: dict[tuple[str, str], TextEncoder] = {}
+
+
+def _encoder(name: str, ranks: Broadcast, pattern: str) -> TextEncoder:
+    """One encoder per Python worker, rank table and pattern: later tasks find the words of earlier ones."""
+    if (name, pattern) not in _ENCODERS:
+        _ENCODERS.clear()
+        _ENCODERS[name, pattern] = TextEncoder(ranks.value, pattern)
+    return _ENCODERS[name, pattern]
+
+
 def encode_documents(docs: DataFrame, rank_file: str, pattern: str, key: str = "doc_id", text: str = "text",
                      keep_ids: bool = False) -> DataFrame:
     """One row per input row: ``key``, n_tokens, ids_sha256, decoded_sha256 (and ids, a binary, if kept).
@@ -162,13 +176,15 @@ def encode_documents(docs: DataFrame, rank_file: str, pattern: str, key: str = "
     encoded, however long; every row by itself, so rows may repeat.  Other columns play no part.
     """
     session = docs.sparkSession
-    ranks = session.sparkContext.broadcast(load_ranks(rank_file))
+    table = load_ranks(rank_file)
+    name = hashlib.sha256(repr(sorted(table.items())).encode()).hexdigest()
+    ranks = session.sparkContext.broadcast(table)
     rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
     kind = dict(rows.dtypes)["key"]
     schema = f"key {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids binary" * keep_ids
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = TextEncoder(ranks.value, pattern)
+        coder = _encoder(name, ranks, pattern)
         for batch in batches:
             keys, column = batch.column("key"), batch.column("text")
             at = 0
