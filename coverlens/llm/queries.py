@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from coverlens.llm import bpe, fingerprint, mixing, near_dedup, quality, sharding, suffix_dedup, toxicity, url_filter
+from coverlens.llm import ann, bpe, fingerprint, mixing, near_dedup, quality, sharding, suffix_dedup, toxicity, url_filter
 from coverlens.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -48,6 +49,11 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign_shards(read_table(spark, sf_dir, "documents"))
 
 
+@query("op6_cross_polytope")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest_neighbours(read_table(spark, sf_dir, "embeddings"))
+
+
 @query("op7_url_filter")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = url_filter.fit(url_filter.labelled_urls(spark))
@@ -68,3 +74,8 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_scaled_fingerprints", fingerprint.oracle_sql())
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.fingerprint_documents(read_table(spark, sf_dir, "documents"))
+
+
+@query("pipeline", corpus_pipeline.ORACLE_SQL)
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)
