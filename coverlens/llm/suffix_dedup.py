@@ -27,7 +27,8 @@ GRAM = 64
 SEGMENT = 1 << 22        # window starts of a text handled together
 CELL = 21                # offsets per finer key
 BLOCK_MEMBERS = 200      # an anchor, or a finer key, with more occurrences is split
-BLOCK_BYTES = 150_000    # contexts per suffix array, about
+BLOCK_BYTES = 2_000_000  # contexts of one block, about
+ARRAY_BYTES = 100_000    # of them per suffix array, about
 
 _POSITION = np.uint64((1 << 24) - 1)
 
@@ -109,7 +110,7 @@ def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 if o["known"]:
                     continue
                 if not o["crowded"]:
-                    out.append((o["gram"], o["low"], text[o["low"]:o["high"] + WINDOW], False))
+                    out.append((o["gram"], o["low"], text[o["low"]:o["high"] + WINDOW], False, o["anchor"] - o["low"]))
                     continue
                 anchor, low = o["anchor"], o["low"]
                 while low <= o["high"]:
@@ -117,14 +118,14 @@ def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     high = min(o["high"], anchor - cell * CELL)
                     core = text[anchor - cell * CELL:anchor - cell * CELL - CELL + 1 + WINDOW]
                     key = hashlib.blake2b(b"%d %d " % (o["gram"], cell) + core, digest_size=8).digest()
-                    out.append((int.from_bytes(key, "little", signed=True), low, text[low:high + WINDOW], True))
+                    out.append((int.from_bytes(key, "little", signed=True), low, text[low:high + WINDOW], True, anchor - low))
                     low = high + 1
             if out:
-                key, low, context, cell = zip(*out)
+                key, low, context, cell, offset = zip(*out)
                 ids = [pa.array([batch.column(c)[row].as_py()] * len(out), pa.int64()) for c in ("c1", "c2")]
                 yield pa.RecordBatch.from_arrays(
                     [*ids, pa.array(key, pa.int64()), pa.array(low, pa.int64()), pa.array(context, pa.binary()),
-                     pa.array(cell)], ["c1", "c2", "key", "low", "context", "cell"])
+                     pa.array(cell), pa.array(offset, pa.int64())], ["c1", "c2", "key", "low", "context", "cell", "offset"])
 
 
 def _single_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -140,18 +141,64 @@ def _single_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
                 ["c1", "c2", "low", "window"])
 
 
+def _common(a: bytes, b: bytes) -> int:
+    """Length of the common beginning."""
+    n = min(len(a), len(b))
+    if a[:n] == b[:n]:
+        return n
+    return int(np.argmax(np.frombuffer(a, np.uint8, n) != np.frombuffer(b, np.uint8, n)))
+
+
+def _reach(parts: list[bytes]) -> list[int]:
+    """How far the beginning of each string is shared with any other of them."""
+    order = sorted(range(len(parts)), key=parts.__getitem__)
+    out = [0] * len(parts)
+    for i, j in zip(order, order[1:]):
+        n = _common(parts[i], parts[j])
+        out[i], out[j] = max(out[i], n), max(out[j], n)
+    return out
+
+
+def _trimmed(rows: pd.DataFrame) -> pd.DataFrame:
+    """Contexts of one key cut to what any other of them shares to the left and right of the anchor;
+    too short ones hold no repeated window."""
+    contexts, offsets = rows["context"].tolist(), rows["offset"].tolist()
+    left = _reach([c[:o][::-1] for c, o in zip(contexts, offsets)])
+    right = _reach([c[o:] for c, o in zip(contexts, offsets)])
+    rows = rows.assign(low=[n + o - a for n, o, a in zip(rows["low"], offsets, left)],
+                       context=[c[o - a:o + b] for c, o, a, b in zip(contexts, offsets, left, right)])
+    return rows[[a + b >= WINDOW for a, b in zip(left, right)]]
+
+
 def _block_intervals(block: pd.DataFrame) -> pd.DataFrame:
     """Intervals [low, high) of a block's distinct contexts that repeat, by their suffix array."""
-    distinct = {c: i for i, c in enumerate(dict.fromkeys(block["context"]))}
-    shown = repeated_windows(list(distinct), WINDOW)
+    block = pd.concat([_trimmed(rows) for _, rows in block.groupby("key", sort=False)])
     out = []
-    for c1, c2, low, context in zip(block["c1"], block["c2"], block["low"], block["context"]):
-        at = np.flatnonzero(shown[distinct[context]])
-        starts, ends = merged(at + low, at + low + WINDOW)
-        out.extend((c1, c2, s, e) for s, e in zip(starts.tolist(), ends.tolist()))
+    # the block's contexts, some suffix arrays' worth at a time; those of one key stay together
+    part, size = [], 0
+    keys = [rows for _, rows in block.groupby("key", sort=False)]
+    for i, rows in enumerate(keys):
+        part.append(rows)
+        size += sum(map(len, rows["context"]))
+        if size >= ARRAY_BYTES or i == len(keys) - 1:
+            out.extend(_repeated(pd.concat(part)))
+            part, size = [], 0
     return pd.DataFrame(out, columns=["c1", "c2", "low", "high"], dtype="int64")
 
 
+def _repeated(rows: pd.DataFrame) -> Iterator[tuple[int, int, int, int]]:
+    contexts = dict.fromkeys(rows["context"])
+    number = {c: i for i, c in enumerate(contexts)}
+    copies = rows["context"].value_counts()
+    shown = repeated_windows(list(contexts), WINDOW)
+    for c1, c2, low, context in zip(rows["c1"], rows["c2"], rows["low"], rows["context"]):
+        # equal after trimming: all windows repeat
+        windows = np.ones_like(shown[number[context]]) if copies[context] > 1 else shown[number[context]]
+        at = np.flatnonzero(windows)
+        starts, ends = merged(at + low, at + low + WINDOW)
+        yield from ((c1, c2, s, e) for s, e in zip(starts.tolist(), ends.tolist()))
+
+
 def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for row in range(batch.num_rows):
@@ -173,11 +220,11 @@ def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _intervals(affected: DataFrame) -> DataFrame:
     """(c1, c2, low, high): windows of the occurrences' contexts that repeat in other texts or places."""
     contexts = written(affected.select("c1", "c2", "text", "found").mapInArrow(
-        _contexts, "c1 long, c2 long, key long, low long, context binary, cell boolean"), "contexts")
+        _contexts, "c1 long, c2 long, key long, low long, context binary, cell boolean, offset long"), "contexts")
     contexts = contexts.withColumn("content", F.xxhash64("context"))
     # equal contexts settle each other; one of them stays as a partner for the different ones
     one = written(contexts.groupBy("key", "content").agg(
-        F.count("*").alias("copies"), F.min(F.struct("c1", "c2", "low")).alias("at"),
+        F.count("*").alias("copies"), F.min(F.struct("c1", "c2", "low", "offset")).alias("at"),
         F.first("context").alias("context"), F.first("cell").alias("cell"))
         .select("key", "content", "copies", "at.*", "context", "cell"), "distinct-contexts")
     settled = (contexts.join(one.filter("copies > 1").select("key", "content"), ["key", "content"], "left_semi")
@@ -188,7 +235,7 @@ def _intervals(affected: DataFrame) -> DataFrame:
     total = several.filter(~crowded).agg(F.sum(F.length("context"))).first()[0] or 0
     block = F.pmod(F.xxhash64("key"), F.lit(max(1, int(total // BLOCK_BYTES))))
     compared = (several.filter(~crowded).withColumn("block", block)
-                .select("block", "c1", "c2", "low", "context").groupBy("block")
+                .select("block", "key", "c1", "c2", "low", "offset", "context").groupBy("block")
                 .applyInPandas(_block_intervals, "c1 long, c2 long, low long, high long"))
     windows = several.filter(crowded).mapInArrow(_single_windows, "c1 long, c2 long, low long, window long")
     often = windows.groupBy("window").agg(F.count("*").alias("n")).filter("n > 1").select("window")
