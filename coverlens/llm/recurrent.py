@@ -9,6 +9,14 @@ def sigmoid(x: np.ndarray) -> np.ndarray:
     return 1.0 / (1.0 + np.exp(-np.clip(x, -30, 30)))
 
 
+def sums_by(index: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct numbers of ``index``, ascending, and the sum of the rows of ``values`` at each."""
+    order = np.argsort(index, kind="stable")
+    ordered = index[order]
+    first = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
+    return ordered[first], np.add.reduceat(values[order], first, axis=0)
+
+
 class Network:
     """Windows of word inputs to one logit each.
 
@@ -17,11 +25,13 @@ class Network:
     weighs the places of a window, and a linear layer judges the weighted sum.
     """
 
-    def __init__(self, d: int, hidden: int, seed: int):
+    def __init__(self, d: int, hidden: int, seed: int, glance: list[float]):
         random = np.random.default_rng(seed)
         draw = lambda *shape: random.normal(0, 1 / np.sqrt(shape[0]), shape).astype(np.float32)
         self.hidden = hidden
         self.p = {"look": draw(2 * hidden, hidden), "query": draw(hidden), "out": draw(2 * hidden), "bias": np.zeros(1, np.float32)}
+        # attention also glances at the inputs themselves: it starts from these weights of the first ones
+        self.p["glance"] = np.array(glance + [0.0] * (d - len(glance)), np.float32)
         for side in "fb":
             self.p |= {f"w{side}": draw(d, 3 * hidden), f"u{side}": draw(hidden, 3 * hidden),
                        f"c{side}": np.zeros(3 * hidden, np.float32)}
@@ -51,7 +61,7 @@ class Network:
         behind, behind_trace = self._sweep("b", inputs, windows, mask, keep)
         states = np.concatenate([ahead, behind], axis=2)
         seen = np.tanh(states @ self.p["look"])
-        weight = seen @ self.p["query"] + np.where(mask.T > 0, 0, -1e9).astype(np.float32)
+        weight = seen @ self.p["query"] + (inputs @ self.p["glance"])[windows.T] + np.where(mask.T > 0, 0, -1e9).astype(np.float32)
         weight = np.exp(weight - weight.max(axis=0))
         weight /= weight.sum(axis=0)
         pooled = np.einsum("tn,tnh->nh", weight, states)
@@ -71,10 +81,15 @@ class Network:
         d_seen = d_score[:, :, None] * p["query"] * (1 - seen ** 2)
         grads["look"] = np.einsum("tnh,tnk->hk", states, d_seen, optimize=True)
         d_states = d_states + d_seen @ p["look"].T
-        d_inputs = np.zeros_like(inputs)
+        place = windows.T.ravel()
+        d_glance = np.zeros(len(inputs), np.float32)
+        found, total = sums_by(place, d_score.ravel())
+        d_glance[found] = total
+        grads["glance"] = inputs.T @ d_glance
+        d_inputs = d_glance[:, None] * p["glance"]
         for side, trace, part in (("f", ahead_trace, d_states[:, :, :h]), ("b", behind_trace, d_states[:, :, h:])):
             u, grad_u = p[f"u{side}"], np.zeros_like(p[f"u{side}"])
-            d_given = np.zeros((len(inputs), 3 * h), np.float32)
+            d_given, d_places = np.zeros((len(inputs), 3 * h), np.float32), np.empty((*part.shape[:2], 3 * h), np.float32)
             carry = np.zeros_like(part[0])
             for i in (range(len(part) - 1, -1, -1) if side == "f" else range(len(part))):
                 state, z, r, new, back = trace[i]
@@ -84,9 +99,11 @@ class Network:
                 d_z = d_after * (state - new) * z * (1 - z) * on
                 d_r = d_new * back * r * (1 - r)
                 d_back = np.concatenate([d_z, d_r, d_new * r], axis=1)
-                np.add.at(d_given, windows[:, i], np.concatenate([d_z, d_r, d_new], axis=1))
+                d_places[i] = np.concatenate([d_z, d_r, d_new], axis=1)
                 grad_u += state.T @ d_back
                 carry = d_after * np.where(on > 0, z, 1) + d_back @ u.T
+            found, total = sums_by(place, d_places.reshape(-1, 3 * h))
+            d_given[found] = total
             grads |= {f"u{side}": grad_u, f"w{side}": inputs.T @ d_given, f"c{side}": d_given.sum(axis=0)}
             d_inputs += d_given @ p[f"w{side}"].T
         return grads, d_inputs

@@ -17,16 +17,17 @@ from pyspark.sql import functions as F
 
 from coverlens.llm.common import hash_order, prefix_hashes, substring_hashes
 from coverlens.llm.quality import held_out, training_labels
-from coverlens.llm.recurrent import Adam, Network, sigmoid
+from coverlens.llm.recurrent import Adam, Network, sigmoid, sums_by
 
-SAMPLE = (2_000, 3_000)   # toxic and other labelled texts to train on, at most (in hash order of their ids)
+SAMPLE = (1_500, 2_000)   # toxic and other labelled texts to train on, at most (in hash order of their ids)
 WINDOW, STRIDE = 64, 48   # words; windows overlap by the difference
 HIDDEN, EMBED = 8, 6
 GRAMS = (4, 5, 6, 7)      # bytes of a character n-gram, with the word's ends as blanks
 COUNT_ROWS, EMBED_ROWS = 1 << 18, 1 << 15   # hash ranges of the counts and of the learned vectors
-EPOCHS, BATCH = 8, 256
-LEAST_STEPS = 120         # small samples are gone through more often
-TABLE_RATE, TABLE_DECAY = 0.02, 0.01
+EPOCHS, BATCH = 6, 256
+LEAST_STEPS = 200         # small samples are gone through more often
+TABLE_RATE, TABLE_DECAY = 0.005, 0.002
+FOLDS = 4
 CHUNK_BYTES = 1_500_000
 
 # Bytes of words: digits, letters (A-Z as a-z) and all beyond ASCII; everything else separates.
@@ -107,10 +108,10 @@ def _rows(hashes: np.ndarray, size: int) -> np.ndarray:
 
 
 def _surplus(toxic: np.ndarray, other: np.ndarray, totals: tuple[float, float]) -> np.ndarray:
-    """How much more often something stands in toxic texts, in standard errors, scaled to about -1 .. 2."""
+    """How much more often something stands in toxic texts, in half standard errors."""
     a, b = toxic + 0.5, other + 0.5
     log_odds = np.log(a / max(totals[0], 1)) - np.log(b / max(totals[1], 1))
-    return (np.clip(log_odds / np.sqrt(1 / a + 1 / b), -4, 8) / 4).astype(np.float32)
+    return (np.clip(log_odds / np.sqrt(1 / a + 1 / b), -4, 8) / 2).astype(np.float32)
 
 
 class Model:
@@ -121,7 +122,7 @@ class Model:
         draw = lambda: random.normal(0, 0.1, (EMBED_ROWS, EMBED)).astype(np.float32)
         self.tables = {"gram": draw(), "word": draw()}
         self.surplus = {kind: np.zeros(COUNT_ROWS, np.float32) for kind in ("gram", "word")}
-        self.network = Network(3 + 2 * EMBED, HIDDEN, seed)
+        self.network = Network(3 + 2 * EMBED, HIDDEN, seed, glance=[2.0, 2.0])
         self.scale = (1.0, 0.0)
 
     @staticmethod
@@ -141,8 +142,11 @@ class Model:
         return np.column_stack([self.tables["word"][_rows(hashes, EMBED_ROWS)], sums / counts[:, None]])
 
     def judge(self, inputs: np.ndarray, windows: np.ndarray, mask: np.ndarray) -> np.ndarray:
-        parts = [self.network.forward(inputs, windows[at:at + 4096], mask[at:at + 4096]) for at in range(0, len(windows), 4096)]
-        return np.concatenate(parts) if parts else np.zeros(0, np.float32)
+        parts = [np.zeros(0, np.float32)]
+        for at in range(0, len(windows), 4096):
+            distinct, local = np.unique(windows[at:at + 4096], return_inverse=True)
+            parts.append(self.network.forward(inputs[distinct], local.reshape(-1, WINDOW), mask[at:at + 4096]))
+        return np.concatenate(parts)
 
     def logits(self, texts: list[bytes]) -> np.ndarray:
         """The worst window's logit of each text; minus infinity without words."""
@@ -161,8 +165,8 @@ def train(texts: list[bytes], labels: list[int], share: float, seed: int = 5) ->
     """Train on whole texts; ``share`` is the part of label 1 among all labelled texts, for the calibration.
 
     Only texts are labelled, not windows.  Of a toxic text the window that looks worst so far is
-    learned from; of any other one its worst and a random one.  While a text is learned from,
-    its own part in the counts is left out.
+    learned from; of any other one its worst and a random one.  A text is learned from with
+    counts of other texts only.
     """
     model, random = Model(seed), np.random.default_rng(seed)
     words = Words.of_many(texts)
@@ -175,23 +179,32 @@ def train(texts: list[bytes], labels: list[int], share: float, seed: int = 5) ->
         model.scale = (1.0, float(np.log((known + 1e-3) / (1 - known + 1e-3))))
         return model
 
-    # in how many texts of either label each word and each n-gram stands
-    counts = {kind: np.zeros((2, COUNT_ROWS), np.float32) for kind in ("gram", "word")}
+    # in how many texts of either label each word and each n-gram stands, by fold; folds hold both
+    # labels in equal parts, so that leaving one out tells nothing about the label
+    fold = np.zeros(len(texts), np.int64)
+    for label in (0, 1):
+        own = present[y[present] == label]
+        fold[random.permutation(own)] = np.arange(len(own)) % FOLDS
+    counts = {kind: np.zeros((FOLDS, 2, COUNT_ROWS), np.float32) for kind in ("gram", "word")}
     in_text = np.unique(words.text_of * len(words.hashes) + words.ids)
     owner, word = in_text // len(words.hashes), in_text % len(words.hashes)
     cuts = np.searchsorted(owner, np.arange(len(texts) + 1))
     for t in present:
         own = word[cuts[t]:cuts[t + 1]]
-        counts["word"][1 - y[t], np.unique(_rows(words.hashes[own], COUNT_ROWS))] += 1
+        counts["word"][fold[t], 1 - y[t], np.unique(_rows(words.hashes[own], COUNT_ROWS))] += 1
         grams = words.grams[_ranges(words.gram_first[own], words.gram_count[own])]
-        counts["gram"][1 - y[t], np.unique(_rows(grams, COUNT_ROWS))] += 1
-    totals = (float(y[present].sum()), float((1 - y[present]).sum()))
-    less = lambda c, by: _surplus(np.maximum(c[0] - by[0], 0), np.maximum(c[1] - by[1], 0), totals)
-    model.surplus = {kind: less(c, (0, 0)) for kind, c in counts.items()}
-    # word numbers of toxic texts are moved by the number of words: they have inputs of their own
-    seen = [Model.counted(words, {kind: less(c, (0, 1) if label == 0 else (1, 0)) for kind, c in counts.items()}) for label in (0, 1)]
-    given = np.concatenate(seen)
-    windows = windows + (y[text] * len(words.hashes))[:, None]
+        counts["gram"][fold[t], 1 - y[t], np.unique(_rows(grams, COUNT_ROWS))] += 1
+
+    def surplus(without: int | None) -> dict[str, np.ndarray]:
+        use = [f for f in range(FOLDS) if f != without]
+        kept = present[np.isin(fold[present], use)]
+        totals = (float(y[kept].sum()), float((1 - y[kept]).sum()))
+        return {kind: _surplus(c[use, 0].sum(axis=0), c[use, 1].sum(axis=0), totals) for kind, c in counts.items()}
+
+    model.surplus = surplus(None)
+    # the words of each fold's texts have inputs of their own, from the counts of the other folds
+    given = np.concatenate([Model.counted(words, surplus(f)) for f in range(FOLDS)])
+    windows = windows + (fold[text] * len(words.hashes))[:, None]
 
     first = np.searchsorted(text, present)
     size = np.diff(np.concatenate([first, [len(text)]]))
@@ -204,14 +217,14 @@ def train(texts: list[bytes], labels: list[int], share: float, seed: int = 5) ->
 
     def all_logits() -> np.ndarray:
         learned = model.learned(words.hashes, words.grams, words.gram_count)
-        return model.judge(np.column_stack([given, np.concatenate([learned, learned])]).astype(np.float32), windows, mask)
+        return model.judge(np.column_stack([given, np.tile(learned, (FOLDS, 1))]).astype(np.float32), windows, mask)
 
     # before anything is learned the window with the most conspicuous word is the worst
     worst = worst_of((given[:, :2].sum(axis=1)[windows] * mask).max(axis=1))
     clean = y[present] == 0
     examples = len(present) + int(clean.sum())
     batch = min(BATCH, max(16, examples // 4))
-    epochs = min(40, max(EPOCHS, -(-LEAST_STEPS * batch // examples)))
+    epochs = min(60, max(EPOCHS, -(-LEAST_STEPS * batch // examples)))
     for epoch in range(epochs):
         chosen = np.concatenate([worst, (first + random.integers(0, size))[clean]])
         random.shuffle(chosen)
@@ -233,7 +246,9 @@ def _learn(model: Model, words: Words, given, windows, mask, label, adam: Adam,
     grams = words.grams[_ranges(words.gram_first[base], counts)]
     inputs = np.column_stack([given[distinct], model.learned(words.hashes[base], grams, counts)]).astype(np.float32)
     logits, kept = model.network.forward(inputs, local, mask, keep=True)
-    error = ((sigmoid(logits) - label) / len(label)).astype(np.float32)
+    # both labels weigh the same in a step
+    weight = np.where(label == 1, 0.5 / max(1, label.sum()), 0.5 / max(1, len(label) - label.sum()))
+    error = ((sigmoid(logits) - label) * weight).astype(np.float32)
     grads, d_inputs = model.network.backward(inputs, local, mask, kept, error)
     adam.update(model.network.p, grads)
     _table_step(model.tables["word"], squares["word"], _rows(words.hashes[base], EMBED_ROWS), d_inputs[:, 3:3 + EMBED])
@@ -243,9 +258,7 @@ def _learn(model: Model, words: Words, given, windows, mask, label, adam: Adam,
 
 def _table_step(table: np.ndarray, squares: np.ndarray, rows: np.ndarray, grads: np.ndarray) -> None:
     """Only touched rows learn, each at a rate by its own history, and shrink a little."""
-    found, place = np.unique(rows, return_inverse=True)
-    total = np.zeros((len(found), table.shape[1]), np.float32)
-    np.add.at(total, place, grads)
+    found, total = sums_by(rows, grads)
     squares[found] += (total ** 2).mean(axis=1, keepdims=True)
     table[found] = (1 - TABLE_DECAY) * table[found] - TABLE_RATE * total / np.sqrt(squares[found])
 
