@@ -5,16 +5,20 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 
+def literal(value: str) -> str:
+    """A string as a SQL literal, whatever it holds."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def register(spark: SparkSession, byline_marker: str = ".Wp-") -> None:
     """Create ``clean_byline``, ``page_domain`` and ``ordinal_suffix`` in the session.
 
     SQL functions are inlined by the optimizer, so they cost what their body costs.
     """
-    spark.sql(rf"""
+    marker = literal(byline_marker)
+    spark.sql(f"""
         CREATE OR REPLACE TEMPORARY FUNCTION clean_byline(byline STRING) RETURNS STRING RETURN
-        CASE WHEN byline LIKE '{byline_marker}%' THEN ''
-             WHEN byline LIKE '%, {byline_marker}%' THEN split_part(byline, ', {byline_marker}', 1)
-             ELSE byline END""")
+        substring_index(if(instr(byline, {marker}) = 1, '', byline), concat(', ', {marker}), 1)""")
     spark.sql(r"""
         CREATE OR REPLACE TEMPORARY FUNCTION page_domain(url STRING) RETURNS STRING RETURN
         regexp_replace(lower(regexp_extract(url,

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import re
-import unicodedata
 from collections.abc import Sequence
 from functools import reduce
 
@@ -19,12 +18,17 @@ CURLY_QUOTES = "‘’‚‛“”„‟"
 STRAIGHT_QUOTES = "''''\"\"\"\""
 # Titles and the like after which a full stop does not end a sentence.
 ABBREVIATIONS = ("Mr", "Mrs", "Ms", "Dr", "Prof", "Sen", "Rep", "Gov", "Gen", "Sgt", "Lt", "Col",
-                 "Rev", "Hon", "St", "Jr", "Sr", "vs")
+                 "Rev", "Hon", "St", "Jr", "Sr", "vs", "a\\.m", "p\\.m", "e\\.g", "i\\.e")
+# The same, but only before a lower-case letter or a digit.
+SHORT_FORMS = ("No", "Nos", "Inc", "Ltd", "Corp", "Co", "Bros", "Vol", "Fig", "Sec", "Art", "pp", "p",
+               "approx", "est", "dept", "Jan", "Feb", "Mar", "Apr", "Jun", "Jul", "Aug", "Sept", "Sep",
+               "Oct", "Nov", "Dec")
 # --- end of fixed values -------------------------------------------------------------
 
 # Unicode noncharacters: never part of interchanged text, so safe as marks.
 CUT, KEEP = chr(0xFDD0), chr(0xFDD1)
 _NO_CUT = r"(^|[^\p{L}])((?:" + "|".join(ABBREVIATIONS) + r")\.|(?:\p{Lu}\.)+)"
+_NO_CUT_BEFORE_SMALL = r"(^|[^\p{L}])((?:" + "|".join(SHORT_FORMS) + r")\.)(?=[ \t\r\n\f]+[\p{Ll}\d])"
 _BOUNDARY = "([.!?]+[\"'”’)\\]]*)[ \\t\\r\\n\\f]+|\\n[ \\t\\r\\f]*\\n"
 
 
@@ -37,18 +41,23 @@ def sentences(text: Column) -> Column:
     """Sentences in order, trimmed, without empty ones.
 
     A sentence ends at ``. ! ?`` (and closing quotes or brackets) followed by white
-    space, or at a blank line.  A dot inside a word ("example.org"), after a title
-    or after single capitals ("J. F.", "U.S.") does not end one.  The text is
-    marked by two linear passes, then split; a model-based splitter may differ.
+    space, or at a blank line.  A dot inside a word ("example.org"), after a title,
+    after single capitals ("J. F.", "U.S.") or after a short form before a small letter or a
+    number ("No. 5") does not end one.  The text is marked by three linear passes, then
+    split; a model-based splitter may differ.
     """
     guarded = F.regexp_replace(text, _NO_CUT, "$1$2" + KEEP)
+    guarded = F.regexp_replace(guarded, _NO_CUT_BEFORE_SMALL, "$1$2" + KEEP)
     marked = F.replace(F.regexp_replace(guarded, _BOUNDARY, "$1" + CUT), F.lit(KEEP), F.lit(""))
     return F.filter(F.transform(F.split(marked, CUT), strip), lambda s: s != "")
 
 
 def mentions(text: Column, keyword: str) -> Column:
-    """Case-insensitive match that ignores dots ("Some.Name" mentions "somename")."""
-    return F.contains(F.lower(F.replace(text, F.lit("."), F.lit(""))), F.lit(keyword.lower()))
+    """Case-insensitive match that ignores dots in both ("Some.Name" mentions "somename" and back)."""
+    bare = keyword.replace(".", "").lower()
+    if not bare.strip():
+        raise ValueError("a keyword needs more than dots and blanks")
+    return F.contains(F.lower(F.replace(text, F.lit("."), F.lit(""))), F.lit(bare))
 
 
 def search_terms(text: Column, terms: Sequence[str]) -> Column:
@@ -79,7 +88,7 @@ def best_sentence(text: Column, keyword: str) -> Column:
 
 @F.pandas_udf(StringType())
 def _nfkc(texts: pd.Series) -> pd.Series:
-    return texts.map(lambda t: None if t is None else unicodedata.normalize("NFKC", t))
+    return texts.str.normalize("NFKC")
 
 
 def nfkc(text: Column) -> Column:
@@ -105,9 +114,7 @@ def clean_byline(byline: Column, marker: str = ".Wp-") -> Column:
     Otherwise unchanged; NULL stays NULL.
     """
     tail = ", " + marker
-    return (F.when(F.startswith(byline, F.lit(marker)), F.lit(""))
-            .when(F.contains(byline, F.lit(tail)), F.split_part(byline, F.lit(tail), F.lit(1)))
-            .otherwise(byline))
+    return F.substring_index(F.when(F.instr(byline, marker) == 1, "").otherwise(byline), tail, 1)
 
 
 def highlight(text: Column, keyword: str, shown: str | None = None,

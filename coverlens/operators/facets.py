@@ -86,19 +86,26 @@ def top_facet(facet: DataFrame, n: int) -> DataFrame:
     return facet.orderBy(F.desc("n"), F.asc("key")).limit(n)
 
 
+PARTS = 32
+
+
 def top_per_facet(facets: DataFrame, tops: Mapping[str, int]) -> DataFrame:
     """Top keys of every facet, each with its own limit.
 
-    The common bound ``rank <= max`` lets Spark keep only that many rows per facet
-    in each task before the exchange; the own limit follows.
+    Ranked in two steps, first within PARTS parts of a facet's keys: whatever the limits,
+    no task sorts all keys of a large facet, the last one at most PARTS times the limit.
     """
-    rank = F.row_number().over(Window.partitionBy("dim").orderBy(F.desc("n"), F.asc("key")))
+    order = [F.desc("n"), F.asc("key")]
+    part = F.pmod(F.xxhash64("key"), F.lit(PARTS))
+    first = F.row_number().over(Window.partitionBy("dim", "_part").orderBy(*order))
+    rank = F.row_number().over(Window.partitionBy("dim").orderBy(*order))
     limit = F.lit(None).cast("int")
     for dim, n in tops.items():
         limit = F.when(F.col("dim") == dim, n).otherwise(limit)
     return (facets.filter(F.col("dim").isin(list(tops)))
+            .withColumn("_part", part).withColumn("_first", first)
+            .filter(F.col("_first") <= limit).drop("_part", "_first")
             .withColumn("rank", rank)
-            .filter(F.col("rank") <= max(tops.values()))
             .filter(F.col("rank") <= limit))
 
 

@@ -16,7 +16,7 @@ from coverlens import schemas as S
 from coverlens.functions import dates, html, text
 from coverlens.operators.dedup import distinct_on
 from coverlens.operators.lookup import pending
-from coverlens.plans.story import export_frame, story_table, web_view
+from coverlens.plans.story import export_view, story_table
 from coverlens.sources import landing, writers
 from coverlens.sources.dims import inline_rows
 
@@ -94,8 +94,9 @@ def stored_sentence_backlog(articles: DataFrame, sentences: DataFrame) -> DataFr
     something missing are read for their text.
     """
     missing = pending(articles.filter("success").select("story_id", writers.BATCH), sentences, "story_id", "story_id")
-    batches = [r[writers.BATCH] for r in missing.select(writers.BATCH).distinct().collect()]  # names of runs
-    return sentence_backlog(articles.filter(F.col(writers.BATCH).isin(batches) & F.col("success")), sentences)
+    # a join on the partition column: Spark prunes the batches by what the other side holds
+    batches = missing.select(writers.BATCH).distinct()
+    return sentence_backlog(articles.filter("success").join(batches, writers.BATCH, "left_semi"), sentences)
 
 
 def best_sentences(articles: DataFrame, keyword: str, run_ts: Column) -> DataFrame:
@@ -127,8 +128,7 @@ def story_stage(spark: SparkSession, outlets: DataFrame, root: str, batch: str,
 
 
 def export_stage(spark: SparkSession, outlets: DataFrame, root: str, batch: str) -> DataFrame:
-    view = web_view(writers.current(spark, f"{root}/story"), outlets)
-    writers.export(export_frame(view), f"{root}/export/{batch}")
+    writers.export(export_view(writers.current(spark, f"{root}/story"), outlets), f"{root}/export/{batch}")
     return spark.read.parquet(f"{root}/export/{batch}/parquet").agg(F.count("*").alias("n_exported"))
 
 

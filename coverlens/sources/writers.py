@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,7 +16,6 @@ from coverlens.operators.lookup import only_new
 from coverlens.sources.landing import read_table
 
 BATCH = "batch"  # partition column of staging tables: one folder per run or micro-batch
-MAX_RECORDS_PER_FILE = 250_000  # multi-line CSV cannot be split, so files stay readable by one task
 
 
 def batched(schema: T.StructType) -> T.StructType:
@@ -55,10 +55,13 @@ def insert_delta(fetched: DataFrame, inserted: DataFrame) -> DataFrame:
 def full_refresh(df: DataFrame, path: str, version: str) -> DataFrame:
     """Write a whole table as a new version; readers switch when it is complete.
 
-    Older versions stay readable, and a failed write leaves them current."""
+    Every attempt has a folder of its own and the pointer row comes last, so a failed
+    write, also one that repeats a version, leaves the table as it was."""
     spark = df.sparkSession
-    df.write.mode("overwrite").parquet(f"{path}/data/{version}")
-    entry = spark.range(1).select(F.lit(version).alias("version"), F.localtimestamp().alias("written_at"))
+    attempt = f"{version}-{uuid.uuid4().hex[:12]}"
+    df.write.parquet(f"{path}/data/{attempt}")
+    entry = spark.range(1).select(F.lit(version).alias("version"), F.lit(attempt).alias("attempt"),
+                                  F.localtimestamp().alias("written_at"))
     entry.write.mode("append").parquet(f"{path}/versions")
     return current(spark, path)
 
@@ -66,19 +69,22 @@ def full_refresh(df: DataFrame, path: str, version: str) -> DataFrame:
 def current(spark: SparkSession, path: str) -> DataFrame:
     """The latest complete version of a refreshed table."""
     last = (spark.read.parquet(f"{path}/versions")
-            .agg(F.max_by("version", F.struct("written_at", "version")).alias("version")).first())
-    return spark.read.parquet(f"{path}/data/{last['version']}")
+            .agg(F.max_by("attempt", F.struct("written_at", "version", "attempt")).alias("attempt")).first())
+    return spark.read.parquet(f"{path}/data/{last['attempt']}")
 
 
 def write_parquet(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
-def write_csv(df: DataFrame, path: str, compression: str = "none") -> None:
-    """CSV with a header, quotes doubled, text kept as it is (edge blanks, line breaks)."""
+def write_csv(df: DataFrame, path: str, compression: str = "none", rows_per_file: int = 250_000) -> None:
+    """CSV with a header, quotes doubled, text kept as it is (edge blanks, line breaks).
+
+    Multi-line CSV cannot be split: a file is read by one task, so choose ``rows_per_file``
+    (all rows are written, to as many files as it takes) by the rows' size."""
     (df.write.mode("overwrite").option("header", True).option("escape", '"')
      .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
-     .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
+     .option("maxRecordsPerFile", rows_per_file)
      .option("compression", compression).option("zlib.compress.level", "BEST_COMPRESSION").csv(path))
 
 

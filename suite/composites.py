@@ -41,7 +41,8 @@ def view_story_web(spark, sf):
 
 @query("export_stories", EXPORT_SQL)
 def export_stories(spark, sf):
-    return story.export_frame(star.web_view(spark, sf))
+    known = star.outlets(spark, sf)
+    return story.export_view(star.stories(spark, sf, known), known)
 
 
 @query("view_sql", star.web_sql("""
@@ -54,7 +55,7 @@ def view_sql(spark, sf):
     return spark.sql("""
         SELECT m.media_outlet_type, w.state, count(*) AS n_stories, count(DISTINCT w.media_outlet) AS n_outlets,
                max(w.publish_date) AS newest
-        FROM story_web_view w JOIN media_outlet_view m ON m.name = w.media_outlet
+        FROM stories_shown w JOIN outlets_named m ON m.name = w.media_outlet
         WHERE w.media_outlet <> 'Unspecified' GROUP BY m.media_outlet_type, w.state""")
 
 

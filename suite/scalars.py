@@ -106,9 +106,12 @@ def fn_slugify(spark, sf):
         display.slugify_list(F.array("p_name", "p_brand")).alias("joined"))
 
 
-@query("fn_map_lookup", star.outlet_sql("""
-SELECT o.name, CASE b.name WHEN 'Right' THEN '#FF6666' WHEN 'Center Right' THEN '#E6B3B3' WHEN 'Center' THEN '#CCCCCC'
-  WHEN 'Center Left' THEN '#B3D9E6' WHEN 'Left' THEN '#6699FF' ELSE '#c6dbef' END AS color,
+SQL_COLOR = ("CASE {0} " + " ".join(f"WHEN '{bias}' THEN '{color}'" for bias, color in display.BIAS_COLORS.items())
+             + " ELSE '{1}' END")
+
+
+@query("fn_map_lookup", star.outlet_sql(f"""
+SELECT o.name, {SQL_COLOR.format('b.name', display.DEFAULT_BAR_COLOR)} AS color,
   CASE b.name WHEN 'Left' THEN 'blue' WHEN 'Center Right' THEN 'red' ELSE 'black' END AS party_color
 FROM outlet o JOIN bias_dim b ON b.id = o.bias_rating_id"""))
 def fn_map_lookup(spark, sf):
@@ -136,8 +139,6 @@ def fn_rate_per_minute(spark, sf):
                           F.round(display.percent(F.col("ok"), F.col("n")), 6).alias("pct"))
 
 
-SQL_COLOR = ("CASE {0} WHEN 'Right' THEN '#FF6666' WHEN 'Center Right' THEN '#E6B3B3' WHEN 'Center' THEN '#CCCCCC' "
-             "WHEN 'Center Left' THEN '#B3D9E6' WHEN 'Left' THEN '#6699FF' ELSE '{1}' END")
 
 
 @query("report_display_table", star.web_sql(f"""

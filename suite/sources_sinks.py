@@ -86,7 +86,8 @@ SELECT * REPLACE (strftime("publishDate", '%Y-%m-%d') AS "publishDate") FROM ({E
 
 
 def _export_frame(spark, sf):
-    return story.export_frame(star.web_view(spark, sf))
+    known = star.outlets(spark, sf)
+    return story.export_view(star.stories(spark, sf, known), known)
 
 
 @query("src_parquet_export", EXPORT_SQL)
@@ -144,7 +145,9 @@ def sink_append_new(spark, sf):
 @query("sink_full_refresh", star.story_sql("SELECT * FROM story"))
 def sink_full_refresh(spark, sf):
     path = work_path(spark, "story")
-    return writers.full_refresh(star.stories(spark, sf), path, "v1")
+    stories = star.stories(spark, sf)
+    writers.full_refresh(stories.limit(0), path, "v1")
+    return writers.full_refresh(stories, path, "v1")  # the same version again, as after a failure
 
 
 @query("agg_insert_delta", """

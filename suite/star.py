@@ -1,7 +1,7 @@
 """The library's tables derived from the TPC-H-like ones, in Spark and in SQL.
 
 orders -> story feed, lineitem -> articles and sentences, customer with nation and
-region -> outlets.  Some outlets are not listed, some have a type that no
+region -> outlets.  Some domains have no outlet, some have a type that no
 dimension knows, some are inactive; several orders share a URL.
 """
 
@@ -18,7 +18,7 @@ from coverlens.session import work_path
 from coverlens.sources import dims
 from suite.registry import table
 
-LISTED_UP_TO = 8000  # outlets with a higher balance are not listed: their stories match none
+UNLISTED = 13  # the stories of every so manieth customer come from a domain that no outlet has
 RUN_TS = dt.datetime(2024, 6, 1, 12, 0, 0)
 OWN_SITE = dims.member_row("Own Site", "own-site.example.com", media_outlet_type_id=8, bias_rating_id=4)
 SEGMENT_TYPE = {"BUILDING": "Blog", "AUTOMOBILE": "Local News Outlet", "HOUSEHOLD": "National News Outlet",
@@ -31,7 +31,8 @@ def domain(key):
 
 def feed(spark: SparkSession, sf: str) -> DataFrame:
     o = table(spark, sf, "orders")
-    site = domain(F.col("o_custkey"))
+    listed = F.col("o_custkey") % UNLISTED != 0
+    site = F.when(listed, domain(F.col("o_custkey"))).otherwise(F.concat(F.lit("un"), domain(F.col("o_custkey"))))
     key = F.col("o_orderkey").cast("string")
     return o.select(
         F.concat(F.lit("s"), key).alias("id"),
@@ -86,7 +87,6 @@ def staged_outlets(spark: SparkSession, sf: str) -> DataFrame:
     return (c.join(n, c.c_nationkey == n.n_nationkey)
             .join(state, F.col("n_nationkey") + 1 == F.col("state_id"))
             .join(bias, F.col("n_regionkey") + 2 == F.col("bias_id"))
-            .filter(F.col("c_acctbal") <= LISTED_UP_TO)
             .select(F.col("c_name").alias("name"), domain(F.col("c_custkey")).alias("domain_name"),
                     kind.alias("media_outlet_type"), "state", "bias", (F.col("c_acctbal") >= 0).alias("active")))
 
@@ -132,15 +132,14 @@ type_dim(id, name, feed_code) AS (VALUES {values(dims.MEDIA_TYPES)}),
 bias_dim(id, name, ordering) AS (VALUES {values(dims.BIAS_RATINGS)}),
 syndicator_dim(id, name, code) AS (VALUES {values(dims.SYNDICATORS)})"""
 
-SQL_FEED = """
+SQL_FEED = f"""
 feed AS (
   SELECT 's' || o_orderkey AS id,
          CASE WHEN o_orderkey % 97 <> 0 THEN strftime(o_orderdate, '%Y-%m-%d') END AS publish_date,
          CASE WHEN o_orderkey % 11 = 0 THEN '' ELSE o_orderpriority || ' order ' || o_orderkey END AS title,
-         'https://outlet' || o_custkey || '.example.com/' || year(o_orderdate) || '/' || lower(substr(o_orderpriority, 1, 1)) AS url,
-         CASE o_orderstatus WHEN 'O' THEN 'en' WHEN 'F' THEN 'es' END AS language,
-         'outlet' || o_custkey || '.example.com' AS media_url
-  FROM orders)"""
+         'https://' || site || '/' || year(o_orderdate) || '/' || lower(o_orderpriority[1]) AS url,
+         CASE o_orderstatus WHEN 'O' THEN 'en' WHEN 'F' THEN 'es' END AS language, site AS media_url
+  FROM (SELECT *, if(o_custkey % {UNLISTED} = 0, 'un', '') || 'outlet' || o_custkey || '.example.com' AS site FROM orders))"""
 
 SQL_ARTICLE = f"""
 article AS (
@@ -155,49 +154,54 @@ sentence AS (
   SELECT 's' || l_orderkey AS story_id, 'Returned ' || count(*) || ' lines' AS sentence
   FROM lineitem WHERE l_returnflag = 'R' GROUP BY l_orderkey)"""
 
+# Names become ids, and ids names, by maps from the dimensions; a name without a member drops out.
 SQL_OUTLET = f"""
+codes AS (
+  SELECT (SELECT map(list(name), list(id)) FROM type_dim) AS type_of, (SELECT map(list(name), list(id)) FROM state_dim) AS state_of,
+         (SELECT map(list(name), list(id)) FROM bias_dim) AS bias_of),
 staged_outlet AS (
-  SELECT c_name AS name, 'outlet' || c_custkey || '.example.com' AS domain_name,
-         CASE c_mktsegment {_KIND} END AS media_outlet_type, s.name AS state, b.name AS bias,
-         c_acctbal >= 0 AS active
-  FROM customer JOIN nation ON c_nationkey = n_nationkey
-  JOIN state_dim s ON s.id = n_nationkey + 1 JOIN bias_dim b ON b.id = n_regionkey + 2
-  WHERE c_acctbal <= {LISTED_UP_TO}),
+  SELECT c_name AS name, 'outlet' || c_custkey || '.example.com' AS domain_name, CASE c_mktsegment {_KIND} END AS media_outlet_type,
+         (SELECT any_value(name) FROM state_dim WHERE id = n_nationkey + 1) AS state,
+         (SELECT any_value(name) FROM bias_dim WHERE id = n_regionkey + 2) AS bias, c_acctbal >= 0 AS active
+  FROM nation, customer WHERE n_nationkey = c_nationkey),
 outlet AS (
-  SELECT {sql_md5_key('domain_name')} AS id, o.name, domain_name, t.id AS media_outlet_type_id, s.id AS state_id,
-         b.id AS bias_rating_id, '' AS note, active
-  FROM staged_outlet o JOIN type_dim t ON t.name = o.media_outlet_type
-  JOIN state_dim s ON s.name = o.state JOIN bias_dim b ON b.name = o.bias
-  UNION ALL SELECT 1, 'Unspecified', 'None', 1, 1, 1, '', true
-  UNION ALL SELECT {sql_md5_key("'own-site.example.com'")}, 'Own Site', 'own-site.example.com', 8, 1, 4, '', true)"""
-
+  SELECT {sql_md5_key('domain_name')} AS id, name, domain_name, type_of[media_outlet_type] AS media_outlet_type_id,
+         state_of[state] AS state_id, bias_of[bias] AS bias_rating_id, '' AS note, active
+  FROM codes, staged_outlet WHERE type_of[media_outlet_type] + state_of[state] + bias_of[bias] IS NOT NULL
+  UNION ALL FROM (VALUES (1, 'Unspecified', 'None', 1, 1, 1, '', true),
+                         ({sql_md5_key("'own-site.example.com'")}, 'Own Site', 'own-site.example.com', 8, 1, 4, '', true)))"""
+
+# A feed row with what its article, sentence and domain add; then, of each URL, the row that was
+# first by day and id, found on the feed alone.
 SQL_STORY = f"""
+outlet_of AS (SELECT map(list(domain_name), list(id)) AS of_domain FROM outlet),
 staged AS (
-  SELECT 1 AS syndicator_id, coalesce(m.id, 1) AS media_outlet_id, f.id AS feed_id,
-         coalesce(f.publish_date::DATE, DATE '2000-01-01') AS publish_date, f.title, f.url, f.language,
-         CASE WHEN n.authors LIKE '.Wp-%' THEN '' WHEN n.authors LIKE '%, .Wp-%' THEN split_part(n.authors, ', .Wp-', 1)
-              ELSE n.authors END AS authors,
-         n.top_image AS image, n.text AS body, n.summary, coalesce(x.sentence, '') AS sentence, n.success, true AS active
-  FROM feed f JOIN article n ON n.story_id = f.id
-  LEFT JOIN sentence x ON x.story_id = f.id LEFT JOIN outlet m ON m.domain_name = f.media_url),
+  SELECT 1 AS syndicator_id, coalesce(of_domain[media_url], 1) AS media_outlet_id, id AS feed_id,
+         coalesce(try_cast(publish_date AS DATE), DATE '2000-01-01') AS publish_date, feed.title, url, language,
+         regexp_extract(authors, '^(?:\\.Wp-.*|(.*?)(?:, \\.Wp-.*)?)$', 1, 's') AS authors,
+         top_image AS image, text AS body, summary, coalesce(sentence, '') AS sentence, success, true AS active
+  FROM outlet_of, (SELECT story_id AS id, * EXCLUDE (story_id, title) FROM article) JOIN feed USING (id)
+  LEFT JOIN (SELECT story_id AS id, sentence FROM sentence) USING (id)),
 story AS (
-  SELECT md5(url) AS id, {SQL_TS} AS edit_time, syndicator_id, media_outlet_id, feed_id, url, publish_date,
-         coalesce(title, '') AS title, coalesce(language, 'en') AS language, coalesce(authors, '') AS authors,
-         coalesce(image, '') AS image, coalesce(body, '') AS body, sentence, coalesce(summary, '') AS summary, active
-  FROM (SELECT DISTINCT ON (url) * FROM staged ORDER BY url, publish_date, feed_id))"""
+  SELECT md5(url) AS id, {SQL_TS} AS edit_time, syndicator_id, media_outlet_id, feed_id, url, publish_date, ifnull(title, '') AS title,
+         ifnull(language, 'en') AS language, ifnull(authors, '') AS authors, ifnull(image, '') AS image, ifnull(body, '') AS body,
+         sentence, ifnull(summary, '') AS summary, active
+  FROM staged WHERE feed_id IN (
+    SELECT arg_min(id, (coalesce(try_cast(publish_date AS DATE), DATE '2000-01-01'), id)) FROM feed SEMI JOIN article ON story_id = id GROUP BY url))"""
 
 SQL_WEB = """
 outlet_view AS (
-  SELECT m.id, m.name, m.domain_name, t.name AS media_outlet_type, t.feed_code, s.name AS state, s.code AS state_code,
-         s.is_state, b.name AS bias_rating, m.note, m.active
-  FROM outlet m JOIN type_dim t ON m.media_outlet_type_id = t.id JOIN state_dim s ON m.state_id = s.id
-  JOIN bias_dim b ON m.bias_rating_id = b.id),
+  SELECT id, name, domain_name, media_outlet_type, feed_code, state, state_code, is_state, bias_rating, note, active
+  FROM outlet
+  JOIN (SELECT id AS bias_rating_id, name AS bias_rating FROM bias_dim) USING (bias_rating_id)
+  JOIN (SELECT id AS state_id, name AS state, code AS state_code, is_state FROM state_dim) USING (state_id)
+  JOIN (SELECT id AS media_outlet_type_id, name AS media_outlet_type, feed_code FROM type_dim) USING (media_outlet_type_id)),
 web AS (
-  SELECT s.id, s.publish_date, s.title, s.url, s.authors, s.image, s.summary, s.language, m.name AS media_outlet,
-         m.media_outlet_type, coalesce(nullif(m.state, 'Unspecified'), 'National') AS state, m.state_code,
-         m.bias_rating, s.sentence, y.name AS syndicator
-  FROM story s JOIN outlet_view m ON s.media_outlet_id = m.id JOIN syndicator_dim y ON s.syndicator_id = y.id
-  WHERE s.active AND m.active)"""
+  SELECT * EXCLUDE (media_outlet_id, syndicator_id) REPLACE (CASE state WHEN 'Unspecified' THEN 'National' ELSE coalesce(state, 'National') END AS state)
+  FROM (SELECT id AS media_outlet_id, name AS media_outlet, media_outlet_type, state, state_code, bias_rating FROM outlet_view WHERE active)
+  JOIN (SELECT id, publish_date, title, url, authors, image, summary, language, sentence, media_outlet_id, syndicator_id FROM story WHERE active)
+    USING (media_outlet_id)
+  JOIN (SELECT id AS syndicator_id, name AS syndicator FROM syndicator_dim) USING (syndicator_id))"""
 
 
 def with_sql(select: str, *parts: str) -> str:

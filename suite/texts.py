@@ -5,13 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from coverlens.functions import dates, html, sql_functions, text
-from coverlens.operators.parallel import spread
 from coverlens.plans import stages
 from coverlens.sources import landing
 from suite import star
 from suite.registry import query, table
 
-KEYWORD = "that"
+KEYWORD = "Tha.t"  # dots count neither in the keyword nor in the text
 
 
 # --- SQL twins: RE2 has no back-references, so elements go one kind per pass ----------
@@ -35,6 +34,8 @@ def sql_replace_all(value: str, pattern: str, by: str) -> str:
 def sql_marked(value: str) -> str:
     abbreviations = "|".join(text.ABBREVIATIONS)
     guarded = sql_replace_all(value, rf"(^|[^\p{{L}}])((?:{abbreviations})\.|(?:\p{{Lu}}\.)+)", r"'\1\2' || chr(64977)")
+    short = "|".join(text.SHORT_FORMS)
+    guarded = sql_replace_all(guarded, rf"(^|[^\p{{L}}])((?:{short})\.)([ \t\r\n\f]+[\p{{Ll}}\d])", r"'\1\2' || chr(64977) || '\3'")
     cut = sql_replace_all(guarded, "([.!?]+[\"'”’)\\]]*)[ \\t\\r\\n\\f]+|\\n[ \\t\\r\\f]*\\n", r"'\1' || chr(64976)")
     return f"replace({cut}, chr(64977), '')"
 
@@ -50,7 +51,7 @@ def sql_sentences(source: str, key: str, value: str) -> str:
 
 
 def sql_mentions(value: str, keyword: str) -> str:
-    return f"contains(lower(replace({value}, '.', '')), '{keyword.lower()}')"
+    return f"contains(lower(replace({value}, '.', '')), '{keyword.replace('.', '').lower()}')"
 
 
 SQL_SENTENCES = sql_sentences("documents", "doc_id", "text")
@@ -64,8 +65,8 @@ def docs(spark, sf):
 
 
 def texts(spark, sf):
-    """Whole texts, spread over the cores if there are few splits."""
-    return spread(docs(spark, sf).select("doc_id", "lang", "text"))
+    """Whole texts."""
+    return docs(spark, sf).select("doc_id", "lang", "text")
 
 
 @query("text_sentences", SQL_SENTENCES)
@@ -113,8 +114,7 @@ def udf_vectorized_text(spark, sf):
 SQL_JUNK = """(SELECT doc_id, CASE doc_id % 4 WHEN 0 THEN '.Wp-block ' || source WHEN 1 THEN source || ', .Wp-block, ' || lang || ', .Wp-x'
  WHEN 2 THEN source || ' .Wp-inline' END AS byline FROM documents)"""
 SQL_CLEAN = f"""
-SELECT doc_id, CASE WHEN starts_with(byline, '.Wp-') THEN '' WHEN contains(byline, ', .Wp-') THEN
-  substr(byline, 1, strpos(byline, ', .Wp-') - 1) ELSE byline END AS byline FROM {SQL_JUNK}"""
+SELECT doc_id, regexp_extract(byline, '^(?:\\.Wp-.*|(.*?)(?:, \\.Wp-.*)?)$', 1, 's') AS byline FROM {SQL_JUNK}"""
 
 
 def junk_bylines(spark, sf):
@@ -195,7 +195,7 @@ SELECT page_id, url, html, {_sql_plain('article')} AS body FROM (
 
 
 def pages(spark, sf):
-    return spread(table(spark, sf, "pages"))
+    return table(spark, sf, "pages")
 
 
 @query("html_title", f"SELECT page_id, {SQL_TITLE} AS title FROM pages")
@@ -277,7 +277,7 @@ SELECT p.page_id::VARCHAR AS story_id, {star.SQL_TS} AS import_date, CASE WHEN b
        body <> '' AS success, CASE WHEN body = '' THEN 'no body text' END AS error
 FROM ({SQL_BODY}) p LEFT JOIN ({SQL_LEAD}) l USING (page_id)""")
 def html_article_record(spark, sf):
-    return html.article_records(spread(landing.read_pages(spark, f"{sf}/pages.parquet")), dates.run_timestamp(star.RUN_TS))
+    return html.article_records(landing.read_pages(spark, f"{sf}/pages.parquet"), dates.run_timestamp(star.RUN_TS))
 
 
 @query("page_domain", r"""
