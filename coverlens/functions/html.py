@@ -1,8 +1,8 @@
-"""Article fields from raw HTML, as JVM column expressions.
+"""Article fields from raw HTML.
 
-Pages are cleaned by linear regex passes, one element kind per pass, restricted
-to ``<article>`` where there is one.  Only text with rarer character references
-than the common ones goes through an Arrow UDF.
+``markup.parts`` finds the parts of a page in one pass; meta tags, names, dates and links are
+handled by JVM column expressions.  Only text with rarer character references than the
+common ones goes through a second Arrow UDF.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from coverlens.functions import dates, text
+from coverlens.functions import dates, markup, text
 
 # --- Fixed values: common character references, the ampersand last -------------------
 REFERENCES = [
@@ -23,12 +23,6 @@ REFERENCES = [
     ("&mdash;", "—"), ("&lsquo;", "‘"), ("&rsquo;", "’"), ("&ldquo;", "“"),
     ("&rdquo;", "”"), ("&hellip;", "…"), ("&amp;", "&"),
 ]
-RAW_ELEMENTS = ["script", "style", "noscript", "template"]
-BOILERPLATE = ["nav", "header", "footer", "aside", "form"]
-AD_CLASSES = ["ad", "ads", "advertisement"]
-BLOCK_TAGS = ["p", "div", "br", "li", "ul", "ol", "h[1-6]", "blockquote", "tr", "table",
-              "section", "article", "main", "figure", "figcaption", "body"]
-BYLINE_NAMES = ["author", "article:author", "byline", "dc.creator", "byl"]
 DATE_NAMES = ["article:published_time", "datePublished", "pubdate", "publish-date", "date"]
 IMAGE_NAMES = ["og:image", "twitter:image"]
 # --- end of fixed values -------------------------------------------------------------
@@ -65,38 +59,10 @@ def raw_title(html: Column) -> Column:
     return _one_line(_drop(F.when(tag != "", tag).otherwise(heading), "<[^>]*>"))
 
 
-def _elements(tags: list[str]) -> str:
-    return rf"<({'|'.join(tags)})(?:\s[^>]*)?>.*?</\1\s*>"
-
-
-def visible(html: Column) -> Column:
-    """Without comments and raw text elements, which may hold anything that looks like a tag."""
-    return _drop(_drop(html, "<!--.*?-->"), _elements(RAW_ELEMENTS))
-
-
-def without_boilerplate(shown: Column) -> Column:
-    """Without navigation, headers, forms and ads."""
-    clean = _drop(shown, _elements(BOILERPLATE))
-    return _drop(clean, rf"""<div[^>]*\sclass=["'](?:{'|'.join(AD_CLASSES)})["'][^>]*>.*?</div\s*>""")
-
-
-def main_part(clean: Column) -> Column:
-    """The article's markup: <article>, else the body, else all but the head."""
-    article = F.regexp_extract(clean, r"(?is)<article(?:\s[^>]*)?>(.*?)</article\s*>", 1)
-    body = F.regexp_extract(clean, r"(?is)<body(?:\s[^>]*)?>(.*)", 1)
-    rest = _drop(clean, r"<head(?:\s[^>]*)?>.*?</head\s*>")
-    return F.coalesce(F.nullif(article, F.lit("")), F.nullif(body, F.lit("")), rest)
-
-
-def paragraphs(markup: Column) -> Column:
-    """Text of markup, blocks joined by a blank line, references still encoded."""
-    broken = _drop(markup, rf"</?(?:{'|'.join(BLOCK_TAGS)})(?:\s[^>]*)?/?>", "\n\n")
-    plain = F.regexp_replace(_drop(broken, "<[^>]*>", ""), r"[ \t\r\f]+", " ")
-    return text.strip(F.regexp_replace(plain, r" ?\n[ \n]*", "\n\n"))
-
-
-def raw_body(html: Column) -> Column:
-    return paragraphs(main_part(without_boilerplate(visible(html))))
+def parts(html: Column) -> Column:
+    """Struct of main text, first image, marked-up bylines and times.  Stage it as a column: used twice
+    in one select it would run twice."""
+    return markup.parts(F.coalesce(html, F.lit("")))
 
 
 def meta_tags(html: Column) -> Column:
@@ -113,36 +79,29 @@ def _meta(tags: Column, names: list[str]) -> Column:
     return F.filter(F.transform(named, lambda t: _one_line(content(t))), lambda c: c != "")
 
 
-def raw_byline(tags: Column, shown: Column | None = None) -> Column:
+def byline(tags: Column, marked: Column | None = None) -> Column:
     """Authors of meta tags, then of marked-up bylines, joined by ", "; '' for none.
 
     "By Ann Lee and Bo Ray" names two people."""
-    named = _meta(tags, BYLINE_NAMES)
-    if shown is not None:
-        names = "|".join(n.replace(".", r"\.") for n in BYLINE_NAMES)
-        marked = F.regexp_extract_all(shown, F.lit(
-            rf"""(?is)<(a|span|div|p|address|cite|strong)\s[^>]*(?:rel|itemprop|class|id)=["'](?:{names})["'][^>]*>(.*?)</\1\s*>"""), F.lit(2))
-        named = F.concat(named, F.transform(marked, lambda m: _one_line(_drop(m, "<[^>]*>"))))
+    named = F.transform(_meta(tags, markup.BYLINE_NAMES), lambda n: n)
+    joined = F.array_join(named, chr(0xFDD0))
+    named = F.filter(F.split(decode_references(joined), chr(0xFDD0)), lambda n: n != "")
+    if marked is not None:
+        named = F.concat(named, F.transform(marked, _one_line))
     bare = F.transform(named, lambda n: F.regexp_replace(n, r"(?i)^(?:by|from)[:\s]+", ""))
     people = F.flatten(F.transform(bare, lambda n: F.split(n, r"\s*,\s*|\s+and\s+")))
     return F.array_join(F.array_distinct(F.filter(people, lambda n: n != "")), ", ")
 
 
-def byline(tags: Column, shown: Column | None = None) -> Column:
-    return decode_references(raw_byline(tags, shown))
-
-
 def url_date(url: Column) -> Column:
     """Day in a path such as /2024/02/15/, else NULL."""
     day = F.regexp_extract(url, r"/((?:19|20)\d{2}[/\-]\d{1,2}[/\-]\d{1,2})(?:[/\-_.?#]|$)", 1)
     return dates.parse_date(F.translate(day, "/", "-"))
 
 
-def publish_date(tags: Column, html: Column, url: Column | None = None) -> Column:
-    """Publish time from the URL, meta tags or <time datetime>, else NULL."""
-    meta = _meta(tags, DATE_NAMES)
-    times = F.regexp_extract_all(html, F.lit(r"""(?is)<time\s[^>]*datetime=["']([^"']*)["']"""), F.lit(1))
-    parsed = F.filter(F.transform(F.concat(meta, times), dates.parse_page_date), lambda t: t.isNotNull())
+def publish_date(tags: Column, times: Column, url: Column | None = None) -> Column:
+    """Publish time from the URL, meta tags or the page's times, else NULL."""
+    parsed = F.filter(F.transform(F.concat(_meta(tags, DATE_NAMES), times), dates.parse_page_date), lambda t: t.isNotNull())
     found = F.get(parsed, F.lit(0))
     return found if url is None else F.coalesce(url_date(url), found)
 
@@ -158,22 +117,18 @@ def absolute(link: Column, url: Column) -> Column:
             .otherwise(F.concat(origin, F.when(folder == "", "/").otherwise(folder), link)))
 
 
-def raw_image(tags: Column, main: Column | None = None) -> Column:
-    """Lead image of the meta tags, else the article's first image; '' for none."""
-    choices = [F.get(_meta(tags, IMAGE_NAMES), F.lit(0))]
-    if main is not None:
-        choices.append(F.trim(F.regexp_extract(main, r"""(?is)<img\s[^>]*?src=["']([^"']*)["']""", 1)))
-    return F.coalesce(*choices, F.lit(""))
-
-
-def top_image(tags: Column, main: Column | None = None, url: Column | None = None) -> Column:
-    decoded = decode_references(raw_image(tags, main))
-    return decoded if url is None else absolute(decoded, url)
+def top_image(tags: Column, first: Column | None = None, url: Column | None = None) -> Column:
+    """Lead image of the meta tags, else the main text's first image; '' for none."""
+    named = F.get(_meta(tags, IMAGE_NAMES), F.lit(0))
+    # most values have no reference and are not transferred
+    decoded = F.coalesce(markup.decode_attribute(F.when(F.contains(named, F.lit("&")), named)), named)
+    image = F.coalesce(decoded, *([] if first is None else [first]), F.lit(""))
+    return image if url is None else absolute(image, url)
 
 
-def lead_summary(body: Column, n: int = 3) -> Column:
-    """The first ``n`` sentences; a stand-in for a summariser."""
-    return F.array_join(F.slice(text.sentences(body), 1, n), " ")
+def summary(title: Column, body: Column) -> Column:
+    """The sentences of the whole text that hold most of its frequent words, in reading order."""
+    return markup.summary(title, text.sentences(body))
 
 
 def page_domain(url: Column, keep_www: bool = False) -> Column:
@@ -182,39 +137,31 @@ def page_domain(url: Column, keep_www: bool = False) -> Column:
     return host if keep_www else F.regexp_replace(host, r"^www\.", "")
 
 
-def article_records(pages: DataFrame, run_ts: Column | None = None) -> DataFrame:
+def article_records(pages: DataFrame, run_ts: Column | None = None, empty_ok: bool = False) -> DataFrame:
     """One article record per page of (id, url, html).
 
-    ``success`` is false for a missing page or one without body text; such a page
-    still yields a record, with the reason in ``error``.
+    ``success`` is false for a missing page ("no page") and, unless ``empty_ok``, for one
+    without body text ("no body text"); such a page still yields a record with the reason.
     """
     html = F.coalesce(F.col("html"), F.lit(""))
     stamp = run_ts if run_ts is not None else F.localtimestamp()
     # Each step is a column of its own: an expression that is used twice would run twice.
-    seen = pages.select("id", "url", "html", meta_tags(html).alias("tags"), visible(html).alias("shown"))
-    cleaned = seen.withColumn("clean", without_boilerplate(F.col("shown")))
-    parts = cleaned.withColumn("main", main_part(F.col("clean")))
-    tags, shown, main, url = F.col("tags"), F.col("shown"), F.col("main"), F.col("url")
-    raw = parts.select(
-        F.col("id").alias("story_id"), "url", (html == "").alias("no_html"),
-        raw_title(html).alias("title"), paragraphs(main).alias("text"),
-        publish_date(tags, shown, url).alias("publish_date"),
-        raw_byline(tags, shown).alias("authors"), raw_image(tags, main).alias("image"),
-    )
-    plain = lambda c: text.strip(decode_references(F.col(c))).alias(c)
-    decoded = raw.select(
-        "story_id", "url", "no_html", "publish_date",
-        plain("authors"), plain("image"), plain("title"), plain("text"),
-    )
-    ok = F.col("text") != ""
-    return decoded.select(
-        "story_id", stamp.cast("timestamp_ntz").alias("import_date"),
-        F.when(ok, F.col("title")).otherwise("").alias("title"), "text",
-        F.when(ok, F.col("publish_date")).alias("publish_date"),
-        F.when(ok, F.col("authors")).otherwise("").alias("authors"),
-        F.when(ok, absolute(F.col("image"), F.col("url"))).otherwise("").alias("top_image"),
-        F.when(ok, lead_summary(F.col("text"))).otherwise("").alias("summary"),
+    found = pages.select(
+        F.col("id").alias("story_id"), "url", (html == "").alias("no_html"), meta_tags(html).alias("tags"),
+        raw_title(html).alias("raw"), parts(html).alias("parts"))
+    titled = found.withColumn("title", text.strip(decode_references(F.col("raw")))).withColumn("text", F.col("parts.text"))
+    fields = titled.select(
+        "story_id", "url", "no_html", "title", "text",
+        publish_date(F.col("tags"), F.col("parts.times"), F.col("url")).alias("publish_date"),
+        byline(F.col("tags"), F.col("parts.bylines")).alias("authors"),
+        top_image(F.col("tags"), F.col("parts.image")).alias("image"),
+        summary(F.col("title"), F.col("text")).alias("summary"))
+    full = F.col("text") != ""
+    ok = ~F.col("no_html") if empty_ok else full
+    when_ok = lambda value: F.when(ok, value).otherwise("")
+    return fields.select(
+        "story_id", stamp.cast("timestamp_ntz").alias("import_date"), when_ok(F.col("title")).alias("title"), "text",
+        F.when(ok, F.col("publish_date")).alias("publish_date"), when_ok(F.col("authors")).alias("authors"),
+        when_ok(absolute(F.col("image"), F.col("url"))).alias("top_image"), when_ok(F.col("summary")).alias("summary"),
         ok.alias("success"),
-        F.when(ok, F.lit(None)).when(F.col("no_html"), "no page")
-        .otherwise("no body text").cast("string").alias("error"),
-    )
+        F.when(F.col("no_html"), "no page").when(~full, "no body text").cast("string").alias("error"))

@@ -17,7 +17,7 @@ from coverlens.streaming import incremental
 from suite import star
 from suite.registry import query, table
 from suite.sources_sinks import FIRST_LANGS
-from suite.texts import KEYWORD, SQL_BODY, SQL_LEAD, sql_mentions, sql_sentences, sql_strip, STRAIGHT
+from suite.texts import KEYWORD, SQL_BODY, SQL_SUMMARY, sql_mentions, sql_sentences, sql_strip, STRAIGHT
 
 
 @query("inc_high_watermark", star.with_sql("""
@@ -120,7 +120,7 @@ SQL_PAGE_HITS = (f"SELECT page_id, first(s ORDER BY length(s) DESC, i) AS s FROM
                  f"WHERE {sql_mentions('s', KEYWORD)} GROUP BY page_id")
 SQL_PAGE_STORY = f"""
 pstory AS (SELECT f.*, b.body, coalesce(l.summary, '') AS summary, {sql_strip(STRAIGHT.format("coalesce(h.s, '')"))} AS sentence
-  FROM pfeed f JOIN ({SQL_BODY}) b USING (page_id) LEFT JOIN ({SQL_LEAD}) l USING (page_id) LEFT JOIN ({SQL_PAGE_HITS}) h USING (page_id))"""
+  FROM pfeed f JOIN ({SQL_BODY}) b USING (page_id) LEFT JOIN ({SQL_SUMMARY}) l USING (page_id) LEFT JOIN ({SQL_PAGE_HITS}) h USING (page_id))"""
 
 
 @query("five_stage_run", star.with_sql("""

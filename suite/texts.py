@@ -173,25 +173,23 @@ def sql_one_line(value: str) -> str:
 SQL_TITLE = sql_strip(sql_decoded(sql_one_line("regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1)")))
 
 
-def _sql_clean() -> str:
-    clean = sql_drop("html", "<!--.*?-->")
-    for tag in [*html.RAW_ELEMENTS, *html.BOILERPLATE]:
-        clean = sql_drop(clean, rf"<{tag}(?:\s[^>]*)?>.*?</{tag}\s*>")
-    return sql_drop(clean, r"""<div[^>]*\sclass=["'](?:ad|ads|advertisement)["'][^>]*>.*?</div\s*>""")
+# The twin works on the given pages, which hold one flat <article>, by its own lists.
+_DROPPED = "script style noscript template nav header footer aside".split()
+_BREAKS = "p|div|br|li|ul|ol|h[1-6]|blockquote|tr|table|section|article|figure|figcaption"
 
 
-def _sql_plain(article: str) -> str:
-    blocks = "|".join(html.BLOCK_TAGS)
-    broken = sql_drop(article, rf"</?(?:{blocks})(?:\s[^>]*)?/?>", "chr(10) || chr(10)")
+def _sql_article() -> str:
+    clean = sql_drop("html", "<!--.*?-->")
+    for tag in _DROPPED:
+        clean = sql_drop(clean, rf"<{tag}(?:\s[^>]*)?>.*?</{tag}\s*>")
+    clean = sql_drop(clean, r"""<div[^>]*\sclass=["'](?:ad|ads|advertisement)["'][^>]*>.*?</div\s*>""")
+    article = f"regexp_extract({clean}, '(?is)<article[^>]*>(.*?)</article>', 1)"
+    broken = sql_drop(article, rf"</?(?:{_BREAKS})(?:\s[^>]*)?/?>", "chr(10) || chr(10)")
     plain = sql_replace_all(sql_drop(broken, "<[^>]*>", "''"), r"[ \t\r\f]+", "' '")
-    raw = sql_strip(sql_replace_all(plain, r" ?\n[ \n]*", "chr(10) || chr(10)"))
-    return sql_strip(sql_decoded(raw))
+    return sql_strip(sql_decoded(sql_replace_all(plain, r" ?\n[ \n]*", "chr(10) || chr(10)")))
 
 
-SQL_BODY = f"""
-SELECT page_id, url, html, {_sql_plain('article')} AS body FROM (
-  SELECT page_id, url, html, regexp_extract(clean, '(?is)<article(?:\\s[^>]*)?>(.*?)</article\\s*>', 1) AS article
-  FROM (SELECT page_id, url, html, {_sql_clean()} AS clean FROM pages))"""
+SQL_BODY = f"SELECT page_id, url, html, {_sql_article()} AS body FROM pages"
 
 
 def pages(spark, sf):
@@ -200,25 +198,72 @@ def pages(spark, sf):
 
 @query("html_title", f"SELECT page_id, {SQL_TITLE} AS title FROM pages")
 def html_title(spark, sf):
-    title = html.decode_references(html.raw_title(F.col("html")))
-    return pages(spark, sf).select("page_id", text.strip(title).alias("title"))
-
-
-@query("html_body_text", f"SELECT page_id, body FROM ({SQL_BODY})")
-def html_body_text(spark, sf):
-    raw = pages(spark, sf).select("page_id", html.raw_body(F.col("html")).alias("raw"))
-    return raw.select("page_id", text.strip(html.decode_references(F.col("raw"))).alias("body"))
+    raw = pages(spark, sf).select("page_id", html.raw_title(F.col("html")).alias("raw"))
+    return raw.select("page_id", text.strip(html.decode_references(F.col("raw"))).alias("title"))
 
 
-SQL_LEAD = f"""
-SELECT page_id, string_agg(s, ' ' ORDER BY i) AS summary
-FROM ({sql_sentences(f'({SQL_BODY})', 'page_id', 'body')}) WHERE i <= 3 GROUP BY page_id"""
+def bodies(frame):
+    """The pages with their main text as ``body``."""
+    return frame.withColumn("parts", html.parts(F.col("html"))).withColumn("body", F.col("parts.text"))
 
 
-@query("html_lead_summary", f"SELECT p.page_id, coalesce(l.summary, '') AS summary FROM pages p LEFT JOIN ({SQL_LEAD}) l USING (page_id)")
+@query("html_body_text", f"SELECT page_id, body FROM ({SQL_BODY})")
+def html_body_text(spark, sf):
+    return bodies(pages(spark, sf)).select("page_id", "body")
+
+
+# The same pages with more markup around and in the article, by page_id % 6, and what it adds to the text.
+WRAPPED = [
+    ("<body>", '<body><form action="/x"><select><option>One</option></select>', ""),
+    ("</article>", "<article><p>Inner.</p></article><p>Tail of the story.</p></article>", "\n\nInner.\n\nTail of the story."),
+    ("</article>", "</article><article><p>Second.</p></article>", "\n\nSecond."),
+    ("</article>", "<header><p>Lead.</p></header></article>", "\n\nLead."),
+    ("</article>", '<div class="ad"><div>Buy</div> now</div></article>', ""),
+    ("</article>", "</article><nav><p>", ""),
+]
+
+
+@query("html_body_wrapped", f"""
+SELECT page_id, body || CASE page_id % 6 {' '.join(f"WHEN {i} THEN replace('{more}', chr(92) || 'n', chr(10))" for i, (_, _, more) in enumerate(WRAPPED))} END AS body
+FROM ({SQL_BODY})""".replace("\n\n", "\\n\\n"))
+def html_body_wrapped(spark, sf):
+    wrapped = F.col("html")
+    for i, (tag, by, _) in enumerate(WRAPPED):
+        wrapped = F.when(F.col("page_id") % len(WRAPPED) == i, F.replace("html", F.lit(tag), F.lit(by))).otherwise(wrapped)
+    form = F.replace(wrapped, F.lit("</body>"), F.when(F.col("page_id") % len(WRAPPED) == 0, "</form></body>").otherwise("</body>"))
+    return bodies(pages(spark, sf).select("page_id", form.alias("html"))).select("page_id", "body")
+
+
+# The formula of the summary: long words count by their other occurrences, title words three more.
+SQL_SUMMARY = f"""
+SELECT page_id, string_agg(s, ' ' ORDER BY i) AS summary FROM (
+  SELECT page_id, i, any_value(s) AS s, row_number() OVER (PARTITION BY page_id ORDER BY
+    1000 * coalesce(sum(n - 1 + 3 * hit), 0) // (10 + count(word)) DESC, i) AS place
+  FROM (SELECT * FROM ({sql_sentences(f'({SQL_BODY})', 'page_id', 'body')}))
+  LEFT JOIN (SELECT page_id, i, word, any_value(n) AS n, any_value(hit) AS hit FROM (
+      SELECT page_id, i, word, count(*) OVER (PARTITION BY page_id, word) AS n,
+             list_contains(regexp_extract_all(lower(title), '\\p{{L}}+'), word)::INT AS hit
+      FROM (SELECT page_id, i, unnest(regexp_extract_all(lower(s), '\\p{{L}}+')) AS word
+            FROM ({sql_sentences(f'({SQL_BODY})', 'page_id', 'body')}))
+      JOIN (SELECT page_id, {SQL_TITLE} AS title FROM pages) USING (page_id) WHERE length(word) >= 4) GROUP BY ALL) USING (page_id, i)
+  GROUP BY page_id, i) WHERE place <= 3 GROUP BY page_id"""
+SQL_SUMMARY_OF_ALL = f"SELECT p.page_id, coalesce(l.summary, '') AS summary FROM pages p LEFT JOIN ({SQL_SUMMARY}) l USING (page_id)"
+
+
+def summaries(spark, sf):
+    titled = bodies(pages(spark, sf)).withColumn("title", text.strip(html.decode_references(html.raw_title(F.col("html")))))
+    return titled.select("page_id", html.summary(F.col("title"), F.col("body")).alias("summary"))
+
+
+@query("html_summary", SQL_SUMMARY_OF_ALL)
+def html_summary(spark, sf):
+    return summaries(spark, sf)
+
+
+@query("html_lead_summary", SQL_SUMMARY_OF_ALL)
 def html_lead_summary(spark, sf):
-    bodies = html_body_text(spark, sf)
-    return bodies.select("page_id", html.lead_summary(F.col("body")).alias("summary"))
+    """The survey's name for the summary."""
+    return summaries(spark, sf)
 
 
 # Pages carry no author, date or image tags: each gets some, made from its own url and id.
@@ -255,27 +300,30 @@ def _tags():
 SELECT page_id, CASE page_id % 4 WHEN 0 THEN 'Desk ' || page_id || ', Ann & Co' WHEN 1 THEN 'Desk ' || page_id ELSE '' END AS authors
 FROM pages""")
 def html_byline(spark, sf):
-    return meta_pages(spark, sf).select("page_id", html.byline(_tags()).alias("authors"))
+    tagged = meta_pages(spark, sf).select("page_id", _tags().alias("tags"))
+    return tagged.select("page_id", html.byline(F.col("tags")).alias("authors"))
 
 
 @query("html_publish_date", """
 SELECT page_id, CASE page_id % 3 WHEN 0 THEN make_timestamp(2024, 3, page_id % 28 + 1, 10, 20, 30)
   WHEN 1 THEN make_timestamp(2023, 12, page_id % 31 + 1, 0, 0, 0) END AS publish_date FROM pages""")
 def html_publish_date(spark, sf):
-    return meta_pages(spark, sf).select("page_id", html.publish_date(_tags(), F.col("html")).alias("publish_date"))
+    tagged = meta_pages(spark, sf).select("page_id", _tags().alias("tags"), html.parts(F.col("html")).alias("parts"))
+    return tagged.select("page_id", html.publish_date(F.col("tags"), F.col("parts.times")).alias("publish_date"))
 
 
 @query("html_top_image", f"""
 SELECT page_id, regexp_extract(html, '<meta property="og:image" content="([^"]*)"', 1) AS top_image FROM {SQL_META_PAGES}""")
 def html_top_image(spark, sf):
-    return meta_pages(spark, sf).select("page_id", html.top_image(_tags()).alias("top_image"))
+    tagged = meta_pages(spark, sf).select("page_id", _tags().alias("tags"))
+    return tagged.select("page_id", html.top_image(F.col("tags")).alias("top_image"))
 
 
 @query("html_article_record", f"""
 SELECT p.page_id::VARCHAR AS story_id, {star.SQL_TS} AS import_date, CASE WHEN body <> '' THEN {SQL_TITLE} ELSE '' END AS title,
        body AS text, NULL::TIMESTAMP AS publish_date, '' AS authors, '' AS top_image, coalesce(l.summary, '') AS summary,
        body <> '' AS success, CASE WHEN body = '' THEN 'no body text' END AS error
-FROM ({SQL_BODY}) p LEFT JOIN ({SQL_LEAD}) l USING (page_id)""")
+FROM ({SQL_BODY}) p LEFT JOIN ({SQL_SUMMARY}) l USING (page_id)""")
 def html_article_record(spark, sf):
     return html.article_records(landing.read_pages(spark, f"{sf}/pages.parquet"), dates.run_timestamp(star.RUN_TS))
 

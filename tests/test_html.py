@@ -1,8 +1,9 @@
 import datetime as dt
+import time
 
 from pyspark.sql import functions as F
 
-from coverlens.functions import html, text
+from coverlens.functions import html, markup
 
 V = F.col("v")
 PAGE = """<!DOCTYPE html><html><head><meta charset="utf-8"><title> A &amp; B
@@ -16,7 +17,7 @@ PAGE = """<!DOCTYPE html><html><head><meta charset="utf-8"><title> A &amp; B
 
 
 def body(c):
-    return text.strip(html.decode_references(html.raw_body(c)))
+    return html.parts(c)["text"]
 
 
 def test_title(column):
@@ -26,7 +27,7 @@ def test_title(column):
 
 def test_body_keeps_paragraphs_and_drops_boilerplate(column):
     got = column([PAGE], body(V))
-    assert got == ["Head\n\nFirst bold text \xa9 2024.\n\nSecond\xa0one.\n\nThird — <b> &copy;."]
+    assert got == ["Top bar\n\nHead\n\nFirst bold text \xa9 2024.\n\nSecond\xa0one.\n\nThird — <b> &copy;."]
 
 
 def test_body_without_article_or_closing_tags(column):
@@ -47,14 +48,14 @@ def test_meta_fields(column):
     assert column([PAGE, "<p>x</p>"], html.top_image(tags)) == ["https://x.org/a.png?a=1&b=2", ""]
     pages = [PAGE, "<time class='t' datetime='2023-12-05'>5 Dec</time>", "<meta name='date' content='soon'>",
              "<meta name='pubdate' content='2/15/24'>", "<meta name='date' content='2024-13-45'>", ""]
-    assert column(pages, html.publish_date(tags, V)) == [
+    assert column(pages, html.publish_date(tags, html.parts(V)["times"])) == [
         dt.datetime(2024, 2, 15, 14, 30), dt.datetime(2023, 12, 5), None, dt.datetime(2024, 2, 15), None, None]
 
 
 def test_bylines_in_markup(column):
     pages = ['<p class="byline">By <b>Ann Lee</b> and Bo Ray, Cy Dee</p>', "<a href='/x' rel='author'>Ann Lee</a><a rel=\"author\">Ann Lee</a>",
              "<meta name='author' content='By Ann Lee'><span itemprop='author'>Ann Lee</span><div id='byline'>from: Bo</div>", "<p class='by'>No</p>"]
-    assert column(pages, html.byline(html.meta_tags(V), V)) == ["Ann Lee, Bo Ray, Cy Dee", "Ann Lee", "Ann Lee, Bo", ""]
+    assert column(pages, html.byline(html.meta_tags(V), html.parts(V)["bylines"])) == ["Ann Lee, Bo Ray, Cy Dee", "Ann Lee", "Ann Lee, Bo", ""]
 
 
 def test_url_date(column):
@@ -70,7 +71,7 @@ def test_links_and_lead_image(column):
     assert column(["i.png"], html.absolute(V, F.lit("https://a.org"))) == ["https://a.org/i.png"]
     tags = html.meta_tags(V)
     pages = ["<p><img alt='x' src='/one.png'><img src='two.png'></p>", "<meta property='og:image' content='/lead.png'><img src='one.png'>", "<p>x</p>"]
-    assert column(pages, html.top_image(tags, V, url)) == ["https://a.org/one.png", "https://a.org/lead.png", ""]
+    assert column(pages, html.top_image(tags, html.parts(V)["image"], url)) == ["https://a.org/one.png", "https://a.org/lead.png", ""]
 
 
 def test_page_domain(column):
@@ -89,7 +90,7 @@ def test_article_records_never_fail_and_never_drop_a_page(spark):
     ok = got["1"]
     assert (ok["success"], ok["error"], ok["title"], ok["authors"]) == (True, None, "A & B title", 'Ann Lee, Bo "B" Ray')
     assert ok["publish_date"] == dt.datetime(2024, 2, 15, 14, 30) and ok["import_date"] == dt.datetime(2024, 1, 1)
-    assert ok["summary"].startswith("Head First bold text")
+    assert ok["summary"].startswith("Top bar")
     for key, error in (("2", "no page"), ("3", "no page"), ("4", "no body text")):
         r = got[key]
         assert (r["success"], r["error"], r["text"], r["title"], r["authors"], r["top_image"], r["summary"]) == (
@@ -101,3 +102,31 @@ def test_large_page_does_not_overflow(column):
     page = "<body><article>" + "<p>some text " * 60_000 + "<script>" + "x" * 500_000 + "</script></article></body>"
     got = column([page], F.length(body(V)))
     assert got == [60_000 * len("some text") + 59_999 * 2]
+
+
+def test_nothing_of_an_article_is_lost(column):
+    given = ["<form><p>One.</p><select><option>a</select></form>", "<article>A<article>B</article>Tail</article>",
+             "<article>A</article><nav>x</nav><article>B</article>", "<article><header>Lead</header>A</article><header>Top</header>",
+             "<article>A<div class='ad'><div>x</div>y</div>B</article>", "<article><nav>A never closed</article>",
+             "<article>Teaser</article><div>" + "long text " * 20 + "</div>", "a < b <p>c", "<p>x<!-- y"]
+    assert column(given, body(V)) == ["One.", "A\n\nB\n\nTail", "A\n\nB", "Lead\n\nA", "A\n\nB", "A never closed",
+                                      "Teaser\n\n" + ("long text " * 20).strip(), "a < b\n\nc", "x y"]
+
+
+def test_time_grows_with_the_page(column):
+    for tag in ("<nav>", "<script>", "<!--", "<div class='byline'>", "<", "<a b"):
+        start = time.perf_counter()
+        markup.page_parts("<p>text " + tag * (280_000 // len(tag)))
+        assert time.perf_counter() - start < 2
+
+
+def test_attribute_values_keep_their_parameters(column):
+    page = '<meta property="og:image" content="https://x.org/a.png?a=1&copy=2&amp;zz=3">'
+    assert column([page], html.top_image(html.meta_tags(V))) == ["https://x.org/a.png?a=1&copy=2&zz=3"]
+
+
+def test_summary_covers_the_whole_text():
+    filler = ["Nothing here.", "Also short.", "Quite plain."]
+    told = ["The harbour bridge opened again.", "Engineers checked the harbour bridge."]
+    assert markup.summarise("Harbour bridge", [*filler, *told, "So it goes."]) == "Nothing here. " + " ".join(told)
+    assert markup.summarise("", []) == ""
