@@ -38,8 +38,8 @@ def normalize_timestamp(value: Column) -> Column:
 
 
 def day(value: Column) -> Column:
-    """Calendar day of a feed's date string (or date/timestamp), else NULL."""
-    return value.try_cast("date")
+    """Calendar day of a feed's date string, in any format of ``parse_date`` (or of a date/timestamp), else NULL."""
+    return F.coalesce(value.try_cast("date"), parse_date(value.cast("string")).cast("date"))
 
 
 def publish_day(value: Column) -> Column:

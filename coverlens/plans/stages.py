@@ -23,7 +23,9 @@ from coverlens.sources.dims import inline_rows
 
 def feed_stage(spark: SparkSession, landed: DataFrame, root: str, batch: str, today: dt.date,
                start: dt.date | None = None) -> DataFrame:
-    """New records from the last stored day on; returns fetched, inserted, skipped.
+    """New records from the last stored day on; returns fetched, inserted, rejected, skipped.
+
+    Records without a date or an id are not lost: they go to the feed's rejects with a reason.
 
     Batch names must increase.  Only the latest may be run again: the window of an
     older one would start at what later batches stored, and its rows would be lost.
@@ -35,9 +37,11 @@ def feed_stage(spark: SparkSession, landed: DataFrame, root: str, batch: str, to
     # the window of a repeated batch must not depend on what that batch wrote itself
     window = landing.next_window(stored.filter(F.col(writers.BATCH) < batch), today, start)
     fetched = landing.in_window(landed, *window)
+    undated = landing.undated(S.conform(landed, S.FEED))
     added = writers.append_new(spark, fetched, path, S.FEED, "id", batch,
-                               [F.col("publish_date"), F.col("url")])
-    return writers.insert_delta(fetched, added)
+                               [F.col("publish_date"), F.col("url")], rejected=undated)
+    return writers.insert_delta(S.conform(fetched, S.FEED).unionByName(undated.drop("reason")), added,
+                                writers.rejects(spark, path, S.FEED, batch))
 
 
 def latest_articles(articles: DataFrame) -> DataFrame:

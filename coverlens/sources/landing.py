@@ -26,6 +26,14 @@ def in_window(feed: DataFrame, start: dt.date | None, end: dt.date | None) -> Da
     return feed if end is None else feed.filter(published <= F.lit(end))
 
 
+NO_DATE = "no publish date"
+
+
+def undated(feed: DataFrame) -> DataFrame:
+    """Records that no window can hold, as their date does not parse; with the ``reason``."""
+    return feed.filter(dates.day(F.col("publish_date")).isNull()).withColumn("reason", F.lit(NO_DATE))
+
+
 def read_pages(spark: SparkSession, path: str, id_col: str = "page_id") -> DataFrame:
     """Crawled pages as (id, url, html)."""
     return spark.read.parquet(path).select(F.col(id_col).cast("string").alias("id"), "url", "html")

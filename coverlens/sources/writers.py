@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 import uuid
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,10 +23,21 @@ def batched(schema: T.StructType) -> T.StructType:
     return T.StructType([*schema.fields, T.StructField(BATCH, T.StringType())])
 
 
+def rejects(spark: SparkSession, path: str, schema: T.StructType, batch: str | None = None) -> DataFrame:
+    """The rows that appends to ``path`` (or one batch of them) did not take, with the ``reason``."""
+    wide = T.StructType([*schema.fields, T.StructField("reason", T.StringType())])
+    if batch is None:
+        return read_table(spark, f"{path}-rejects", batched(wide))
+    return read_table(spark, f"{path}-rejects/{BATCH}={batch}", wide)
+
+
 def append_new(spark: SparkSession, rows: DataFrame, path: str, schema: T.StructType, key: str,
-               batch: str, order: Sequence[Column] = ()) -> DataFrame:
+               batch: str, order: Sequence[Column] = (), rejected: DataFrame | None = None) -> DataFrame:
     """Append the rows whose key is not stored; return what this batch holds.
 
+    Rows without a key are strangers to each other and cannot be compared: they go to the
+    table's rejects with a reason, and so do the rows of ``rejected`` (which has a reason).
+
     Each batch owns one folder and overwrites it, and its own folder is left out
     of the comparison.  So a batch that is run again on the same input, also after
     a half-done write, ends with the same rows.  Duplicates inside the batch keep the first
@@ -35,21 +47,27 @@ def append_new(spark: SparkSession, rows: DataFrame, path: str, schema: T.Struct
     if not re.fullmatch(r"[A-Za-z][\w\-]*", batch):
         raise ValueError("a batch name starts with a letter")
     stored = read_table(spark, path, batched(schema)).filter(F.col(BATCH) != batch)
-    candidates = distinct_on(S.conform(rows, schema), [key], [*order, F.xxhash64(*schema.names)])
+    conformed = S.conform(rows, schema)
+    refused = conformed.filter(F.col(key).isNull()).withColumn("reason", F.lit(f"no {key}"))
+    if rejected is not None:
+        refused = refused.unionByName(rejected.select(*schema.names, "reason"))
+    refused.write.mode("overwrite").parquet(f"{path}-rejects/{BATCH}={batch}")
+    candidates = distinct_on(conformed.filter(F.col(key).isNotNull()), [key], [*order, F.xxhash64(*schema.names)])
     folder = f"{path}/{BATCH}={batch}"
     only_new(candidates, stored, key).write.mode("overwrite").parquet(folder)
     return read_table(spark, folder, schema)
 
 
-def insert_delta(fetched: DataFrame, inserted: DataFrame) -> DataFrame:
-    """fetched, inserted and skipped counts.
+def insert_delta(fetched: DataFrame, inserted: DataFrame, rejected: DataFrame) -> DataFrame:
+    """fetched, inserted, rejected and skipped counts; ``fetched`` holds all the others.
 
     Counted from tables, not from accumulators, which may count a task twice when
     an executor is lost."""
-    counts = (fetched.agg(F.count("*").alias("n_fetched"), F.lit(0).cast("bigint").alias("n_inserted"))
-              .unionByName(inserted.agg(F.lit(0).cast("bigint").alias("n_fetched"), F.count("*").alias("n_inserted"))))
-    both = counts.agg(F.sum("n_fetched").alias("n_fetched"), F.sum("n_inserted").alias("n_inserted"))
-    return both.withColumn("n_skipped", F.col("n_fetched") - F.col("n_inserted"))
+    kinds = {"n_fetched": fetched, "n_inserted": inserted, "n_rejected": rejected}
+    counts = [frame.agg(*[(F.count("*") if name == kind else F.lit(0).cast("bigint")).alias(name) for name in kinds])
+              for kind, frame in kinds.items()]
+    total = reduce(DataFrame.unionByName, counts).agg(*[F.sum(name).alias(name) for name in kinds])
+    return total.withColumn("n_skipped", F.col("n_fetched") - F.col("n_inserted") - F.col("n_rejected"))
 
 
 def full_refresh(df: DataFrame, path: str, version: str) -> DataFrame:

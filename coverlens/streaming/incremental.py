@@ -7,7 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from coverlens.operators.lookup import only_new
 from coverlens.sources import writers
+from coverlens.sources.landing import read_table
 
 
 def stream_files(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet",
@@ -38,11 +40,25 @@ def stream_append(stream: DataFrame, target: str, checkpoint: str, schema: T.Str
 
 def bounded_dedup(stream: DataFrame, key: str, event_time: str, horizon: str) -> DataFrame:
     """Dedup with bounded state: keys are forgotten once the watermark passes them by
-    ``horizon``, and rows later than that are dropped.  An option for unending
-    streams; ``stream_append`` has no such horizon."""
+    ``horizon``, and rows later than that are dropped by the stream: ``append_late`` stores
+    them.  An option for unending streams; ``stream_append`` has no such horizon."""
     return stream.withWatermark(event_time, horizon).dropDuplicatesWithinWatermark([key])
 
 
+def append_late(spark: SparkSession, delivered: DataFrame, target: str, key: str) -> None:
+    """Store the delivered rows that a bounded stream dropped as too late, one per key.
+
+    They are found by an anti join on the stored keys and kept beside the stream's own
+    files, whose log must not change; ``read_all`` reads both."""
+    late = only_new(delivered.dropDuplicates([key]), read_all(spark, target, delivered.schema), key)
+    late.write.mode("append").parquet(f"{target}-late")
+
+
+def read_all(spark: SparkSession, target: str, schema: T.StructType) -> DataFrame:
+    """What the stream stored and what ``append_late`` added."""
+    return spark.read.schema(schema).parquet(target).unionByName(read_table(spark, f"{target}-late", schema))
+
+
 def stream_table(stream: DataFrame, target: str, checkpoint: str):
     """Write an append-mode stream to Parquet until the available input is used up."""
     return (stream.writeStream.format("parquet").option("path", target)

@@ -17,12 +17,13 @@ FIRST_LANGS = ["en", "fr"]  # what the first of two overlapping deliveries holds
 
 
 @query("src_landing_feed", star.with_sql("""
-SELECT id, publish_date, title, url, language, media_url FROM feed
-WHERE publish_date::DATE BETWEEN DATE '1996-01-01' AND DATE '1998-12-31'""", star.SQL_FEED))
+SELECT id, publish_date, title, url, language, media_url, CASE WHEN publish_date IS NULL THEN 'no publish date' END AS reason FROM feed
+WHERE publish_date IS NULL OR publish_date::DATE BETWEEN DATE '1996-01-01' AND DATE '1998-12-31'""", star.SQL_FEED))
 def src_landing_feed(spark, sf):
     path = work_path(spark, "landing")
     star.feed(spark, sf).write.json(path)
-    return landing.read_feed(spark, path, dt.date(1996, 1, 1), dt.date(1998, 12, 31))
+    taken = landing.read_feed(spark, path, dt.date(1996, 1, 1), dt.date(1998, 12, 31))
+    return taken.withColumn("reason", F.lit(None).cast("string")).unionByName(landing.undated(landing.read_feed(spark, path)))
 
 
 @query("src_term_query", """
@@ -130,16 +131,19 @@ def sink_export_manifest(spark, sf):
 
 
 @query("sink_append_new", """
-SELECT doc_id, text, lang, source, CASE WHEN lang IN ('en', 'fr') THEN 'first' ELSE 'second' END AS batch
+SELECT CASE WHEN doc_id % 40 <> 3 THEN doc_id END AS doc_id, text, lang, source, CASE WHEN doc_id % 40 <> 3 THEN
+  CASE WHEN lang IN ('en', 'fr') THEN 'first' ELSE 'second' END END AS batch, CASE WHEN doc_id % 40 = 3 THEN 'no doc_id' END AS reason
 FROM documents""")
 def sink_append_new(spark, sf):
-    docs = table(spark, sf, "documents").select("doc_id", "text", "lang", "source")
+    keyed = F.when(F.col("doc_id") % 40 != 3, F.col("doc_id")).alias("doc_id")  # some rows come without a key
+    docs = table(spark, sf, "documents").select(keyed, "text", "lang", "source")
     path = work_path(spark, "append")
     first = docs.filter(F.col("lang").isin(FIRST_LANGS))
     writers.append_new(spark, first.unionByName(first), path, docs.schema, "doc_id", "first")
     writers.append_new(spark, docs, path, docs.schema, "doc_id", "second")
     writers.append_new(spark, docs, path, docs.schema, "doc_id", "second")  # run again after a failure
-    return spark.read.parquet(path)
+    return (spark.read.parquet(path).withColumn("reason", F.lit(None).cast("string"))
+            .unionByName(writers.rejects(spark, path, docs.schema, "second").withColumn("batch", F.lit(None).cast("string"))))
 
 
 @query("sink_full_refresh", star.story_sql("SELECT * FROM story"))
@@ -151,12 +155,14 @@ def sink_full_refresh(spark, sf):
 
 
 @query("agg_insert_delta", """
-SELECT count(*) AS n_fetched, count(*) FILTER (WHERE lang NOT IN ('en', 'fr')) AS n_inserted,
-       count(*) FILTER (WHERE lang IN ('en', 'fr')) AS n_skipped FROM documents""")
+SELECT count(*) AS n_fetched, count(*) FILTER (WHERE lang NOT IN ('en', 'fr') AND doc_id % 40 <> 3) AS n_inserted,
+       count(*) FILTER (WHERE doc_id % 40 = 3) AS n_rejected,
+       count(*) FILTER (WHERE lang IN ('en', 'fr') AND doc_id % 40 <> 3) AS n_skipped FROM documents""")
 def agg_insert_delta(spark, sf):
     docs = table(spark, sf, "documents")
     path = work_path(spark, "delta")
-    keyed = docs.select("doc_id", "text")
-    writers.append_new(spark, keyed.where(docs.lang.isin(FIRST_LANGS)), path, keyed.schema, "doc_id", "first")
+    keyed_columns = F.when(F.col("doc_id") % 40 != 3, F.col("doc_id")).alias("doc_id"), F.col("text")
+    keyed = docs.select(*keyed_columns)
+    writers.append_new(spark, docs.filter(F.col("lang").isin(FIRST_LANGS)).select(*keyed_columns), path, keyed.schema, "doc_id", "first")
     added = writers.append_new(spark, keyed, path, keyed.schema, "doc_id", "second")
-    return writers.insert_delta(keyed, added)
+    return writers.insert_delta(keyed, added, writers.rejects(spark, path, keyed.schema, "second"))

@@ -1,11 +1,14 @@
 """Repeated versions, keywords with dots, short forms, names with quotes."""
 
+import datetime as dt
+
 import pytest
 from pyspark.sql import functions as F
 
 from coverlens.functions import display, sql_functions, text
 from coverlens.plans import story
-from coverlens.sources import writers
+from coverlens.sources import landing, writers
+from coverlens.streaming import incremental
 
 
 def test_a_failing_repeat_leaves_the_table_as_it_was(spark, tmp_path):
@@ -50,3 +53,42 @@ def test_byline_marker_of_any_characters(spark, marker):
     frame = spark.createDataFrame(rows, "byline string")
     got = frame.select(F.expr("clean_byline(byline)").alias("a"), text.clean_byline(F.col("byline"), marker).alias("b")).collect()
     assert [r["a"] for r in got] == [r["b"] for r in got] == ["", "Ann", "Ann", "Ann " + marker, "", None]
+
+
+def test_rows_without_a_key_are_rejected_not_merged(spark, tmp_path):
+    path = str(tmp_path / "t")
+    rows = spark.createDataFrame([(1, "a"), (None, "b"), (None, "c"), (1, "d")], "id long, note string")
+    for batch in ("b1", "b2", "b2"):
+        added = writers.append_new(spark, rows, path, rows.schema, "id", batch)
+    assert added.count() == 0 and spark.read.parquet(path).count() == 1
+    refused = writers.rejects(spark, path, rows.schema, "b2")
+    assert sorted((r["note"], r["reason"]) for r in refused.collect()) == [("b", "no id"), ("c", "no id")]
+    counts = writers.insert_delta(rows, added, refused).first().asDict()
+    assert counts == {"n_fetched": 4, "n_inserted": 0, "n_rejected": 2, "n_skipped": 2}
+
+
+def test_undated_feed_rows(spark):
+    feed = spark.createDataFrame([("1", None), ("2", "05/01/2024"), ("3", "2024-05-01"), ("4", "soon")], "id string, publish_date string")
+    day = dt.date(2024, 5, 1)
+    assert [r["id"] for r in landing.in_window(feed, day, day).orderBy("id").collect()] == ["2", "3"]
+    assert [(r["id"], r["reason"]) for r in landing.undated(feed).orderBy("id").collect()] == [
+        ("1", "no publish date"), ("4", "no publish date")]
+
+
+def test_stories_without_url(spark):
+    feed = spark.createDataFrame([("1", None), ("2", None), ("3", "u")], "id string, url string")
+    assert [r["id"] for r in story.without_url(feed).orderBy("id").collect()] == ["1", "2"]
+
+
+def test_late_rows_of_a_bounded_stream(spark, tmp_path):
+    target, schema = str(tmp_path / "t"), spark.createDataFrame([], "id long, at timestamp").schema
+    at = lambda day: dt.datetime(2024, 1, day)
+    for rows in ([(1, at(20)), (3, at(21))], [(2, at(1)), (2, at(1)), (1, at(20))]):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        stream = incremental.stream_files(spark, str(tmp_path / "in"), schema)
+        kept = incremental.bounded_dedup(stream, "id", "at", "1 hour")
+        incremental.stream_table(kept, target, str(tmp_path / "c")).awaitTermination()
+    delivered = spark.read.schema(schema).parquet(str(tmp_path / "in"))
+    for _ in range(2):
+        incremental.append_late(spark, delivered, target, "id")
+    assert sorted(r["id"] for r in incremental.read_all(spark, target, schema).collect()) == [1, 2, 3]

@@ -175,7 +175,7 @@ def test_staged_run(spark):
     rows = [("1", "2024-01-01", "u1"), ("2", "2024-01-02", "u2"), ("3", "2024-01-03", "u3"), ("4", "2024-01-03", "u4"),
             ("1", "2024-01-01", "u1")]
     got = run_once(spark, root, rows, "r1", dt.date(2024, 1, 3), start=dt.date(2024, 1, 1))
-    assert got == {("feed", "n_fetched"): 5, ("feed", "n_inserted"): 4, ("feed", "n_skipped"): 1,
+    assert got == {("feed", "n_fetched"): 5, ("feed", "n_inserted"): 4, ("feed", "n_rejected"): 0, ("feed", "n_skipped"): 1,
                    ("article", "n_ok"): 2, ("article", "n_failed"): 2,
                    ("sentence", "n_checked"): 2, ("sentence", "n_found"): 1,
                    ("story", "n_stories"): 4, ("export", "n_exported"): 4}
