@@ -21,6 +21,8 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from coverlens.llm.common import small_batches
+
 CACHE_WORDS = 500_000      # words of one generation remembered per Python worker; two generations are kept
 CACHE_CHARACTERS = 64      # longer words are not remembered
 BATCH_CHARACTERS = 2_000_000  # texts are encoded together up to this length
@@ -176,6 +178,7 @@ def encode_documents(docs: DataFrame, rank_file: str, pattern: str, key: str = "
     encoded, however long; every row by itself, so rows may repeat.  Other columns play no part.
     """
     session = docs.sparkSession
+    small_batches(session)
     table = load_ranks(rank_file)
     name = hashlib.sha256(repr(sorted(table.items())).encode()).hexdigest()
     ranks = session.sparkContext.broadcast(table)

@@ -13,12 +13,23 @@ WORD = r"[^\x20\x09-\x0D]+"
 SHINGLE_WORDS = 5
 
 
+BATCH_BYTES = 4 * 1024 * 1024
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Rows go to Python workers in batches of a few MB, however long their texts are."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if int(spark.conf.get(name).rstrip("b")) > BATCH_BYTES:
+        spark.conf.set(name, str(BATCH_BYTES))
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def written(frame: DataFrame, name: str) -> DataFrame:
     """``frame`` as a table in the shared folder: cuts the lineage, survives lost executors."""
+    small_batches(frame.sparkSession)
     path = work_path(frame.sparkSession, name)
     frame.write.parquet(path)
     return frame.sparkSession.read.schema(frame.schema).parquet(path)

@@ -25,7 +25,7 @@ SIGNATURE = BANDS * ROWS
 MARGIN = 4.0            # standard errors by which a signature may fall short of the similarity
 BLOCK_ROWS = 1_000      # members of one bucket compared with each other at a time
 KEYLESS = 1 << 62
-CHUNK_BYTES = 3_000_000  # texts hashed together; a longer text is hashed alone
+CHUNK_BYTES = 1_000_000  # texts hashed together; a longer text is hashed alone
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32

@@ -22,7 +22,7 @@ RIDGE = 1e-4        # of the training rows' number
 FOLDS = 4
 BINS = 1000         # ridge scores are counted per bin for the calibration
 STRETCH = 48        # words of one stretch; the worst stretch of a text counts too
-CHUNK_BYTES = 2_000_000
+CHUNK_BYTES = 700_000
 SCORE_RANGE = (-0.5, 1.5)
 
 STATISTICS = [

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from coverlens.llm.common import hash_order, prefix_hashes, substring_hashes
+from coverlens.llm.common import hash_order, prefix_hashes, small_batches, substring_hashes
 from coverlens.llm.quality import held_out, training_labels
 from coverlens.llm.recurrent import Adam, Network, sigmoid, sums_by
 
@@ -28,7 +28,7 @@ EPOCHS, BATCH = 6, 256
 LEAST_STEPS = 200         # small samples are gone through more often
 TABLE_RATE, TABLE_DECAY = 0.005, 0.002
 FOLDS = 4
-CHUNK_BYTES = 1_500_000
+CHUNK_BYTES = 1_000_000
 
 # Bytes of words: digits, letters (A-Z as a-z) and all beyond ASCII; everything else separates.
 _WORD = np.full(256, 32, np.uint8)
@@ -133,19 +133,20 @@ class Model:
         gram = surplus["gram"][_rows(words.grams, COUNT_ROWS)]
         return np.column_stack([
             surplus["word"][_rows(words.hashes, COUNT_ROWS)], np.maximum.reduceat(gram, words.gram_first),
-            np.add.reduceat(gram, words.gram_first) / words.gram_count])
+            np.add.reduceat(gram, words.gram_first) / words.gram_count]).astype(np.float32)
 
     def learned(self, hashes: np.ndarray, grams: np.ndarray, counts: np.ndarray) -> np.ndarray:
         if len(hashes) == 0:
             return np.zeros((0, 2 * EMBED), np.float32)
         sums = np.add.reduceat(self.tables["gram"][_rows(grams, EMBED_ROWS)], np.cumsum(counts) - counts, axis=0)
-        return np.column_stack([self.tables["word"][_rows(hashes, EMBED_ROWS)], sums / counts[:, None]])
+        return np.column_stack([self.tables["word"][_rows(hashes, EMBED_ROWS)], sums / counts[:, None].astype(np.float32)])
 
-    def judge(self, inputs: np.ndarray, windows: np.ndarray, mask: np.ndarray) -> np.ndarray:
+    def judge(self, inputs, windows: np.ndarray, mask: np.ndarray) -> np.ndarray:
+        """``inputs`` gives the vectors of some word numbers."""
         parts = [np.zeros(0, np.float32)]
         for at in range(0, len(windows), 4096):
             distinct, local = np.unique(windows[at:at + 4096], return_inverse=True)
-            parts.append(self.network.forward(inputs[distinct], local.reshape(-1, WINDOW), mask[at:at + 4096]))
+            parts.append(self.network.forward(inputs(distinct), local.reshape(-1, WINDOW), mask[at:at + 4096]))
         return np.concatenate(parts)
 
     def logits(self, texts: list[bytes]) -> np.ndarray:
@@ -154,7 +155,7 @@ class Model:
         words = Words(texts)
         windows, mask, text = words.windows(len(texts))
         inputs = np.column_stack([self.counted(words, self.surplus), self.learned(words.hashes, words.grams, words.gram_count)])
-        np.maximum.at(out, text, self.judge(inputs.astype(np.float32), windows, mask))
+        np.maximum.at(out, text, self.judge(inputs.__getitem__, windows, mask))
         return out
 
     def scores(self, texts: list[bytes]) -> np.ndarray:
@@ -217,7 +218,8 @@ def train(texts: list[bytes], labels: list[int], share: float, seed: int = 5) ->
 
     def all_logits() -> np.ndarray:
         learned = model.learned(words.hashes, words.grams, words.gram_count)
-        return model.judge(np.column_stack([given, np.tile(learned, (FOLDS, 1))]).astype(np.float32), windows, mask)
+        of = lambda rows: np.column_stack([given[rows], learned[rows % len(learned)]])
+        return model.judge(of, windows, mask)
 
     # before anything is learned the window with the most conspicuous word is the worst
     worst = worst_of((given[:, :2].sum(axis=1)[windows] * mask).max(axis=1))
@@ -305,6 +307,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text
     Other columns play no part.
     """
     model = docs.sparkSession.sparkContext.broadcast(fit(docs, training_labels(labels, key, 5, held), key, text, label, sample))
+    small_batches(docs.sparkSession)
     rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
