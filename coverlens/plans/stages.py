@@ -58,14 +58,16 @@ def article_backlog(feed: DataFrame, articles: DataFrame, retry_failed: bool = F
 
 
 def backlog_pages(pages: DataFrame, todo: DataFrame) -> DataFrame:
-    """The raw page of each story to do, NULL where none was crawled.
+    """The raw page of each story to do, by its URL; NULL where none was crawled.
 
-    The page table is reduced to the backlog first (a small backlog is broadcast to
-    its scan); a page crawled twice counts once.
+    The page table is reduced to the backlog's URLs first (a small backlog is broadcast to
+    its scan).  Of a page crawled twice one counts, chosen by hashes before the pages move.
     """
-    found = pages.select("id", "url", "html").join(todo.select("id"), "id", "left_semi")
-    missing = pending(todo, pages, "id", "id").withColumn("html", F.lit(None).cast("string"))
-    return distinct_on(found, ["id"], [F.xxhash64("url", "html")]).unionByName(missing)
+    wanted = pages.select("url", "html").join(todo.select("url").distinct(), "url", "left_semi")
+    hashed = wanted.withColumn("_hash", F.xxhash64("html"))
+    one = hashed.groupBy("url").agg(F.min("_hash").alias("_hash"))
+    found = hashed.join(one, ["url", "_hash"]).dropDuplicates(["url"]).drop("_hash")
+    return todo.join(found, "url", "left").select("id", "url", "html")
 
 
 def article_stage(spark: SparkSession, pages: DataFrame, root: str, batch: str, run_ts: Column,
@@ -78,8 +80,9 @@ def article_stage(spark: SparkSession, pages: DataFrame, root: str, batch: str,
     records = html.article_records(backlog_pages(pages, todo), run_ts)
     if retry_failed:
         # a retry that fails again adds nothing; successes are new by construction
-        records = pending(records.filter(~F.col("success")), stored, "story_id", "story_id").unionByName(
-            records.filter("success"))
+        known = stored.select("story_id").distinct().withColumn("_known", F.lit(True))
+        records = (records.join(known, "story_id", "left")
+                   .filter(F.col("success") | F.col("_known").isNull()).drop("_known"))
     S.conform(records, S.ARTICLE).write.mode("overwrite").parquet(f"{path}/{writers.BATCH}={batch}")
     added = landing.read_table(spark, f"{path}/{writers.BATCH}={batch}", S.ARTICLE)
     return added.agg(F.count_if(F.col("success")).alias("n_ok"), F.count_if(~F.col("success")).alias("n_failed"))

@@ -163,7 +163,7 @@ PAGES = {
 
 
 def run_once(spark, root, feed_rows, batch, today, pages=PAGES, **options):
-    frame = spark.createDataFrame([(k, "", v) for k, v in pages.items()], S.PAGE)
+    frame = spark.createDataFrame([("crawl" + k, "u" + k, v) for k, v in pages.items()], S.PAGE)
     staged = spark.createDataFrame([("A", "a.com", "Blog", "Ohio", "Left", True)], S.OUTLET_CSV)
     metrics = stages.run_stages(spark, root, feed(spark, feed_rows), frame, dims.outlet_dimension(spark, staged, RUN),
                                 "acme", batch, today, run_ts=RUN, **options)
