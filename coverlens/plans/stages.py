@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 
 from coverlens import schemas as S
 from coverlens.functions import dates, html, text
-from coverlens.operators.dedup import distinct_on
 from coverlens.operators.lookup import pending
 from coverlens.plans.story import export_view, story_table
 from coverlens.sources import landing, writers
@@ -45,10 +44,14 @@ def feed_stage(spark: SparkSession, landed: DataFrame, root: str, batch: str, to
 
 
 def latest_articles(articles: DataFrame) -> DataFrame:
-    """One record per story where failures were retried: a success replaces them."""
-    ok = articles.filter("success")
-    failed = pending(articles.filter(~F.col("success")), ok, "story_id", "story_id")
-    return ok.unionByName(distinct_on(failed, ["story_id"], [F.col("import_date"), F.col("error")]))
+    """One record per story where failures were retried: a success replaces them, else the earliest failure counts.
+
+    The record is picked on narrow columns, combined map-side; bodies are read and moved once.
+    """
+    best = articles.groupBy("story_id").agg(F.min(F.struct(~F.col("success"), "import_date", "error")).alias("_best"))
+    mine = F.struct(~F.col("success"), "import_date", "error")
+    return (articles.join(best, "story_id").filter(mine.eqNullSafe(F.col("_best"))).drop("_best")
+            .dropDuplicates(["story_id"]))
 
 
 def article_backlog(feed: DataFrame, articles: DataFrame, retry_failed: bool = False) -> DataFrame:

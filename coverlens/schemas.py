@@ -49,8 +49,12 @@ STORY = _schema(id="string", edit_time="timestamp_ntz", syndicator_id="int",
 
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Columns by name, in schema order; an absent column becomes NULL."""
+    """Columns by name, in schema order; an absent column becomes NULL.
+
+    The first column is the key: a table without it is refused, not filled with NULLs."""
     have = set(df.columns)
+    if schema.fields[0].name not in have:
+        raise ValueError(f"no column {schema.fields[0].name} among {sorted(have)}")
     return df.select([
         (F.col(f.name) if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name)
         for f in schema.fields

@@ -6,7 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from coverlens.functions import display, sql_functions, text
-from coverlens.plans import story
+from coverlens import schemas as S
+from coverlens.plans import stages, story
 from coverlens.sources import landing, writers
 from coverlens.streaming import incremental
 
@@ -92,3 +93,23 @@ def test_late_rows_of_a_bounded_stream(spark, tmp_path):
     for _ in range(2):
         incremental.append_late(spark, delivered, target, "id")
     assert sorted(r["id"] for r in incremental.read_all(spark, target, schema).collect()) == [1, 2, 3]
+
+
+def test_a_table_without_its_key_column_is_refused(spark):
+    schema = spark.createDataFrame([], "id long, note string").schema
+    assert S.conform(spark.range(1), schema).first()["note"] is None
+    with pytest.raises(ValueError):
+        S.conform(spark.range(1).withColumnRenamed("id", "key"), schema)
+
+
+def test_latest_articles_reads_bodies_once(spark, tmp_path):
+    rows = [("1", False, dt.datetime(2024, 1, 1), "no page", ""), ("1", True, dt.datetime(2024, 1, 2), None, "body"),
+            ("2", False, dt.datetime(2024, 1, 3), "no page", ""), ("2", False, dt.datetime(2024, 1, 1), "no body text", ""),
+            ("3", True, dt.datetime(2024, 1, 1), None, "text")]
+    spark.createDataFrame(rows, "story_id string, success boolean, import_date timestamp, error string, text string").write.parquet(
+        str(tmp_path / "t"))
+    latest = stages.latest_articles(spark.read.parquet(str(tmp_path / "t")))
+    assert sorted((r["story_id"], r["success"], r["error"], r["text"]) for r in latest.collect()) == [
+        ("1", True, None, "body"), ("2", False, "no body text", ""), ("3", True, None, "text")]
+    plan = latest._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("text#") and sum("text:string" in line for line in plan.splitlines() if "ReadSchema" in line) <= 2
