@@ -20,6 +20,7 @@ from coverlens.llm.quality import held_out, training_labels
 from coverlens.llm.recurrent import Adam, Network, sigmoid, sums_by
 
 SAMPLE = (1_500, 2_000)   # toxic and other labelled texts to train on, at most (in hash order of their ids)
+LONGEST = 200_000         # bytes of a text to train on, at most; longer ones are scored only
 WINDOW, STRIDE = 64, 48   # words; windows overlap by the difference
 HIDDEN, EMBED = 8, 6
 GRAMS = (4, 5, 6, 7)      # bytes of a character n-gram, with the word's ends as blanks
@@ -281,16 +282,17 @@ def _platt(logits: np.ndarray, y: np.ndarray, share: float) -> tuple[float, floa
 
 
 def fit(docs: DataFrame, labels: DataFrame, key: str, text: str, label: str, sample: tuple[int, int] = SAMPLE) -> Model:
-    """Train on at most ``sample`` labelled texts, whole ones, chosen by the hash order of their keys."""
+    """Train on at most ``sample`` labelled texts of LONGEST bytes or less, whole ones, chosen by the hash order of their keys."""
     known = labels.filter(F.col(label).isin(0, 1)).select(F.col(key).alias("key"), F.col(label).cast("int").alias("label"))
-    known = known.join(docs.select(F.col(key).alias("key")), "key", "left_semi").dropDuplicates(["key"])
+    short = docs.filter(F.coalesce(F.octet_length(text), F.lit(0)) <= LONGEST).select(F.col(key).alias("key"))
+    known = known.join(short, "key", "left_semi").dropDuplicates(["key"])
     count = {r["label"]: r["count"] for r in known.groupBy("label").count().collect()}
     order = hash_order(F.lit("toxic-sample"), F.col("key").cast("string"))
     part = lambda value, most: known.filter(F.col("label") == value).orderBy(order, "key").limit(most)
     chosen = part(1, sample[0]).unionByName(part(0, sample[1]))
     # at most sum(sample) keys: the texts are not shuffled
-    rows = (docs.select(F.col(key).alias("key"), F.col(text).alias("text")).join(F.broadcast(chosen), "key")
-            .dropDuplicates(["key"]).orderBy("key").toArrow())
+    rows = (docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
+            .filter(F.coalesce(F.octet_length("text"), F.lit(0)) <= LONGEST).join(F.broadcast(chosen), "key").dropDuplicates(["key"]).orderBy("key").toArrow())
     texts = [(t.as_py() or "").encode() for t in rows.column("text")]
     share = count.get(1, 0) / max(1, sum(count.values()))
     return train(texts, rows.column("label").to_pylist(), share)
