@@ -31,7 +31,7 @@ def written(frame: DataFrame, name: str) -> DataFrame:
     """``frame`` as a table in the shared folder: cuts the lineage, survives lost executors."""
     small_batches(frame.sparkSession)
     path = work_path(frame.sparkSession, name)
-    frame.write.parquet(path)
+    frame.write.option("compression", "zstd").parquet(path)
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 

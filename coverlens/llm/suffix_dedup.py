@@ -223,14 +223,14 @@ def _intervals(affected: DataFrame) -> DataFrame:
         _contexts, "c1 long, c2 long, key long, low long, context binary, cell boolean, offset long"), "contexts")
     contexts = contexts.withColumn("content", F.xxhash64("context"))
     # equal contexts settle each other; one of them stays as a partner for the different ones
-    one = written(contexts.groupBy("key", "content").agg(
-        F.count("*").alias("copies"), F.min(F.struct("c1", "c2", "low", "offset")).alias("at"),
+    copies = contexts.groupBy("key", "content").agg(F.count("*").alias("copies"))
+    settled = (contexts.select("key", "content", "c1", "c2", "low", (F.col("low") + F.length("context")).alias("high"))
+               .join(copies.filter("copies > 1"), ["key", "content"], "left_semi").select("c1", "c2", "low", "high"))
+    per_key = copies.groupBy("key").agg(F.count("*").alias("members")).filter("members > 1")
+    several = written(contexts.join(per_key, "key").groupBy("key", "content", "members").agg(
+        F.min(F.struct("c1", "c2", "low", "offset")).alias("at"),
         F.first("context").alias("context"), F.first("cell").alias("cell"))
-        .select("key", "content", "copies", "at.*", "context", "cell"), "distinct-contexts")
-    settled = (contexts.join(one.filter("copies > 1").select("key", "content"), ["key", "content"], "left_semi")
-               .select("c1", "c2", "low", (F.col("low") + F.length("context")).alias("high")))
-    per_key = one.groupBy("key").agg(F.count("*").alias("members")).filter("members > 1")
-    several = written(one.join(per_key, "key"), "shared-contexts")
+        .select("key", "members", "at.*", "context", "cell"), "shared-contexts")
     crowded = F.col("cell") & (F.col("members") > BLOCK_MEMBERS)
     total = several.filter(~crowded).agg(F.sum(F.length("context"))).first()[0] or 0
     block = F.pmod(F.xxhash64("key"), F.lit(max(1, int(total // BLOCK_BYTES))))
