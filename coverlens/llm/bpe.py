@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from coverlens.llm.common import small_batches
 
-CACHE_WORDS = 500_000      # words of one generation remembered per Python worker; two generations are kept
+CACHE_WORDS = 150_000      # words of one generation remembered per Python worker; two generations are kept
 CACHE_CHARACTERS = 64      # longer words are not remembered
 BATCH_CHARACTERS = 2_000_000  # texts are encoded together up to this length
 
