@@ -44,15 +44,12 @@ def rotate(x: np.ndarray, seed: int) -> np.ndarray:
 
 
 class Index:
-    """``parts`` axes name a cell of a table: one as long as 2 * axes cells are enough for ``n`` vectors."""
+    """Cells are the signed axes of a table, whatever the number of vectors: finer ones would leave a query fewer candidates."""
 
-    def __init__(self, dimension: int, longest: float, n: int, tables: int = TABLES, probes: int = PROBES):
+    def __init__(self, dimension: int, longest: float, tables: int = TABLES, probes: int = PROBES):
         self.longest, self.tables, self.probes = longest, tables, probes
         self.width = 1 << dimension.bit_length()           # room for the added coordinate
         self.axes = 1 << (dimension.bit_length() - 1)      # rotated coordinates that count
-        self.parts = 1
-        while n / (2 * self.axes) ** self.parts > CELL_ROWS and (2 * self.axes) ** (self.parts + 1) < 2**62:
-            self.parts += 1
 
     def _placed(self, x: np.ndarray, as_query: bool) -> np.ndarray:
         out = np.zeros((len(x), self.width))
@@ -64,29 +61,18 @@ class Index:
             out[:, x.shape[1]] = np.sqrt(np.maximum(0.0, 1 - (length / self.longest) ** 2))
         return out
 
-    def _sides(self, placed: np.ndarray, table: int, part: int) -> np.ndarray:
+    def _sides(self, placed: np.ndarray, table: int) -> np.ndarray:
         """Closeness to each signed axis: 2 * axes columns."""
-        y = rotate(placed, 1000 * table + part)[:, :self.axes]
+        y = rotate(placed, 1000 * table)[:, :self.axes]
         return np.concatenate([y, -y], axis=1)
 
     def cells(self, x: np.ndarray, table: int) -> np.ndarray:
-        placed, cell = self._placed(x, False), np.zeros(len(x), np.int64)
-        for part in range(self.parts):
-            cell = cell * (2 * self.axes) + np.argmax(self._sides(placed, table, part), axis=1)
-        return cell
+        return np.argmax(self._sides(self._placed(x, False), table), axis=1).astype(np.int64)
 
     def probed(self, x: np.ndarray, table: int) -> np.ndarray:
         """The cells nearest to each query, at most ``probes``."""
-        placed, most = self._placed(x, True), min(self.probes, 2 * self.axes)
-        cell, near = np.zeros((len(x), 1), np.int64), np.zeros((len(x), 1))
-        for part in range(self.parts):
-            sides = self._sides(placed, table, part)
-            best = np.argsort(-sides, axis=1, kind="stable")[:, :most]
-            cell = (cell[:, :, None] * (2 * self.axes) + best[:, None, :]).reshape(len(x), -1)
-            near = (near[:, :, None] + np.take_along_axis(sides, best, axis=1)[:, None, :]).reshape(len(x), -1)
-            keep = np.argsort(-near, axis=1, kind="stable")[:, :most]
-            cell, near = np.take_along_axis(cell, keep, axis=1), np.take_along_axis(near, keep, axis=1)
-        return cell
+        sides = self._sides(self._placed(x, True), table)
+        return np.argsort(-sides, axis=1, kind="stable")[:, :self.probes].astype(np.int64)
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
@@ -179,13 +165,13 @@ def nearest_neighbours(vectors: DataFrame, key: str = "vec_id", vector: str = "e
                .dropDuplicates(["query_id", "vector"]))
     length = classes.agg(F.max(F.aggregate("vector", F.lit(0.0), lambda s, v: s + v * v)), F.count("*")).first()
     longest, n = math.sqrt(length[0] or 1.0), length[1]
-    found = written(_top(_search(classes, queries, Index(dimension, longest, n, tables, probes), nearest + 1), nearest + 1), "found")
+    found = written(_top(_search(classes, queries, Index(dimension, longest, tables, probes), nearest + 1), nearest + 1), "found")
     # all cells of one table hold all vectors
     wanted = min(nearest + 1, n)
     short = found.groupBy("query_id").agg(F.count("*").alias("n")).filter(F.col("n") >= wanted)
     rest = written(queries.join(short, "query_id", "left_anti"), "rest")
     if not rest.isEmpty():
-        every = _search(classes, rest, Index(dimension, longest, 1, 1, 1 << 30), nearest + 1)
+        every = _search(classes, rest, Index(dimension, longest, 1, 1 << 30), nearest + 1)
         found = found.join(rest.select("query_id").distinct(), "query_id", "left_anti").unionByName(_top(every, nearest + 1))
     own = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
     return (found.select("query_id", F.col("id").alias("class"), "score").join(members, "class")

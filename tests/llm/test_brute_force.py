@@ -287,6 +287,32 @@ def test_lengths_and_equal_vectors(spark):
     assert hits >= 0.9 * 400
 
 
+def recall_of(spark, x, step=20):
+    """Of every query the share of its 20 nearest that are found."""
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    found = defaultdict(set)
+    for r in ann.nearest_neighbours(frame, query_step=step).collect():
+        found[r["query_id"]].add(r["vec_id"])
+    shares = []
+    for q in range(0, len(x), step):
+        score = (x * x[q]).sum(axis=1)
+        score[q] = -np.inf
+        shares.append(len(set(np.lexsort((np.arange(len(x)), -score))[:20].tolist()) & found[q]) / 20)
+    return np.array(shares)
+
+
+def given_vectors(spark):
+    rows = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").orderBy("vec_id").collect()
+    return np.array([r["embedding"] for r in rows], dtype=float)
+
+
+def test_recall_holds_when_cells_are_crowded(spark, monkeypatch):
+    monkeypatch.setattr(ann, "CELL_ROWS", 10)  # 2,000 vectors are then many more than 128 cells hold
+    shares = recall_of(spark, given_vectors(spark))
+    print("crowded", shares.mean(), shares.min())
+    assert shares.mean() >= 0.9
+
+
 def test_sketches(spark):
     a, b = prose(1, 4000), prose(1, 4000)[:6000] + " " + prose(2, 2500)
     frame = spark.createDataFrame([(1, a, b)], "id int, a string, b string")
