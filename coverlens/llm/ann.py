@@ -1,7 +1,7 @@
 """Approximate nearest neighbours: cross-polytope hashing with multiprobe tables and exact reranking.
 
-Largest inner product becomes smallest angle when every vector gets one more coordinate that
-makes all lengths equal.  A fast pseudo-rotation (signs and Hadamard transforms) then assigns a
+Vectors are grouped by ranges of length; within one, largest inner product is nearly smallest angle.
+Ranges of few vectors are compared with every query.  A fast pseudo-rotation (signs and Hadamard transforms) then assigns a
 vector to the nearest signed axis; queries probe the axes nearest to them in every table.
 """
 
@@ -13,13 +13,15 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from coverlens.llm.common import written
 
 TABLES, PROBES = 8, 16
 CELL_ROWS = 20_000   # vectors of one cell compared in one task; larger cells are split, queries go to every part
+RANGE = 1.2          # factor between the lengths of the longest and the shortest vector of a range
+FEW_ROWS = 1_000     # ranges up to this size are compared with every query, unless they are a large part of the table
 NEAREST = 20
 QUERY_STEP = 20
 
@@ -46,19 +48,14 @@ def rotate(x: np.ndarray, seed: int) -> np.ndarray:
 class Index:
     """Cells are the signed axes of a table, whatever the number of vectors: finer ones would leave a query fewer candidates."""
 
-    def __init__(self, dimension: int, longest: float, tables: int = TABLES, probes: int = PROBES):
-        self.longest, self.tables, self.probes = longest, tables, probes
-        self.width = 1 << dimension.bit_length()           # room for the added coordinate
+    def __init__(self, dimension: int, tables: int = TABLES, probes: int = PROBES):
+        self.tables, self.probes = tables, probes
+        self.width = 1 << dimension.bit_length()
         self.axes = 1 << (dimension.bit_length() - 1)      # rotated coordinates that count
 
-    def _placed(self, x: np.ndarray, as_query: bool) -> np.ndarray:
+    def _placed(self, x: np.ndarray) -> np.ndarray:
         out = np.zeros((len(x), self.width))
-        length = np.linalg.norm(x, axis=1)
-        if as_query:
-            out[:, :x.shape[1]] = x / length[:, None]
-        else:
-            out[:, :x.shape[1]] = x / self.longest
-            out[:, x.shape[1]] = np.sqrt(np.maximum(0.0, 1 - (length / self.longest) ** 2))
+        out[:, :x.shape[1]] = x / np.linalg.norm(x, axis=1)[:, None]
         return out
 
     def _sides(self, placed: np.ndarray, table: int) -> np.ndarray:
@@ -67,11 +64,11 @@ class Index:
         return np.concatenate([y, -y], axis=1)
 
     def cells(self, x: np.ndarray, table: int) -> np.ndarray:
-        return np.argmax(self._sides(self._placed(x, False), table), axis=1).astype(np.int64)
+        return np.argmax(self._sides(self._placed(x), table), axis=1).astype(np.int64)
 
     def probed(self, x: np.ndarray, table: int) -> np.ndarray:
         """The cells nearest to each query, at most ``probes``."""
-        sides = self._sides(self._placed(x, True), table)
+        sides = self._sides(self._placed(x), table)
         return np.argsort(-sides, axis=1, kind="stable")[:, :self.probes].astype(np.int64)
 
 
@@ -97,15 +94,31 @@ def _nearest(queries: pd.DataFrame, rows: pd.DataFrame, most: int) -> pd.DataFra
     return pd.concat(out)
 
 
-def _search(classes: DataFrame, queries: DataFrame, index: Index, most: int) -> DataFrame:
-    """(query_id, id, score): candidates from all probed cells, ``most`` of each cell at most."""
+def _length_range() -> Column:
+    """The number of the range that a vector's length falls into; null where its square is not a usable number."""
+    square = F.aggregate("vector", F.lit(0.0), lambda s, v: s + v * v)
+    return F.when((square > 1e-300) & (square < 1e300), F.round(F.log(square) / (2 * math.log(RANGE))).cast("int"))
+
+
+def _searched_ranges(classes: DataFrame, n: int) -> list[int]:
+    """Ranges searched by cells, fewer than 128; the vectors of all others are compared with every query."""
+    few = max(n / 128, min(FEW_ROWS, n / 8))
+    sizes = classes.groupBy(_length_range().alias("range")).agg(F.count("*").alias("n"))
+    return [r["range"] for r in sizes.filter(F.col("range").isNotNull() & (F.col("n") > few)).collect()]
+
+
+def _search(classes: DataFrame, queries: DataFrame, index: Index, ranges: list[int], most: int) -> DataFrame:
+    """(query_id, id, score): candidates from all probed cells, ``most`` of each cell at most.
+
+    Cells are those of each range in ``ranges``; table -1 has one cell for the vectors of all others.
+    """
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             x = _matrix(batch.column("vector"))
             for table in range(index.tables if len(x) else 0):
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(x), table, np.int32)), pa.array(index.cells(x, table)), *batch.columns],
-                    ["table", "cell", "id", "vector"])
+                    [pa.array(np.full(len(x), table, np.int32)), batch.column("range"), pa.array(index.cells(x, table)),
+                     batch.column("id"), batch.column("vector")], ["table", "range", "cell", "id", "vector"])
 
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -113,19 +126,27 @@ def _search(classes: DataFrame, queries: DataFrame, index: Index, most: int) ->
             for table in range(index.tables if len(x) else 0):
                 cells = index.probed(x, table)
                 again = pa.array(np.repeat(np.arange(len(x)), cells.shape[1]))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(cells.size, table, np.int32)), pa.array(cells.ravel()),
-                     batch.column("query_id").take(again), batch.column("vector").take(again)],
-                    ["table", "cell", "query_id", "vector"])
-
-    placed = classes.select("id", "vector").mapInArrow(place, "table int, cell long, id long, vector array<double>")
-    asked = queries.mapInArrow(probe, "table int, cell long, query_id long, vector array<double>")
-    full = placed.groupBy("table", "cell").agg(F.ceil(F.count("*") / CELL_ROWS).cast("int").alias("pieces"))
+                for number in ranges:
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.full(cells.size, table, np.int32)), pa.array(np.full(cells.size, number, np.int32)),
+                         pa.array(cells.ravel()), batch.column("query_id").take(again), batch.column("vector").take(again)],
+                        ["table", "range", "cell", "query_id", "vector"])
+
+    by_range = classes.select("id", "vector", _length_range().alias("range"))
+    in_cells = F.coalesce(F.col("range").isin(ranges), F.lit(False))
+    alone = [F.lit(-1).alias("table"), F.lit(0).alias("range"), F.lit(0).cast("long").alias("cell")]
+    placed = (by_range.filter(in_cells)
+              .mapInArrow(place, "table int, range int, cell long, id long, vector array<double>")
+              .unionByName(by_range.filter(~in_cells).select(*alone, "id", "vector")))
+    asked = (queries.select("query_id", "vector")
+             .mapInArrow(probe, "table int, range int, cell long, query_id long, vector array<double>")
+             .unionByName(queries.select(*alone, "query_id", "vector")))
+    full = placed.groupBy("table", "range", "cell").agg(F.ceil(F.count("*") / CELL_ROWS).cast("int").alias("pieces"))
     full = written(full, "cells")
-    rows = placed.join(full.filter("pieces > 1"), ["table", "cell"], "left").withColumn(
+    rows = placed.join(full.filter("pieces > 1"), ["table", "range", "cell"], "left").withColumn(
         "piece", F.pmod(F.xxhash64("id"), F.coalesce("pieces", F.lit(1))).cast("int"))
-    asked = asked.join(full, ["table", "cell"]).withColumn("piece", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)))
-    key = ["table", "cell", "piece"]
+    asked = asked.join(full, ["table", "range", "cell"]).withColumn("piece", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)))
+    key = ["table", "range", "cell", "piece"]
     return (asked.select(*key, "query_id", "vector").groupBy(*key)
             .cogroup(rows.select(*key, "id", "vector").groupBy(*key))
             .applyInPandas(lambda q, x: _nearest(q, x, most), "query_id long, id long, score double"))
@@ -163,15 +184,14 @@ def nearest_neighbours(vectors: DataFrame, key: str = "vec_id", vector: str = "e
                .withColumn("class", F.min("id").over(Window.partitionBy("vector"))).select(F.col("id").alias("vec_id"), "class"))
     queries = (valid.filter(F.col("id") % query_step == 0).withColumnRenamed("id", "query_id")
                .dropDuplicates(["query_id", "vector"]))
-    length = classes.agg(F.max(F.aggregate("vector", F.lit(0.0), lambda s, v: s + v * v)), F.count("*")).first()
-    longest, n = math.sqrt(length[0] or 1.0), length[1]
-    found = written(_top(_search(classes, queries, Index(dimension, longest, tables, probes), nearest + 1), nearest + 1), "found")
-    # all cells of one table hold all vectors
+    n = classes.count()
+    index, ranges = Index(dimension, tables, probes), _searched_ranges(classes, n)
+    found = written(_top(_search(classes, queries, index, ranges, nearest + 1), nearest + 1), "found")
     wanted = min(nearest + 1, n)
     short = found.groupBy("query_id").agg(F.count("*").alias("n")).filter(F.col("n") >= wanted)
     rest = written(queries.join(short, "query_id", "left_anti"), "rest")
     if not rest.isEmpty():
-        every = _search(classes, rest, Index(dimension, longest, 1, 1 << 30), nearest + 1)
+        every = _search(classes, rest, index, [], nearest + 1)
         found = found.join(rest.select("query_id").distinct(), "query_id", "left_anti").unionByName(_top(every, nearest + 1))
     own = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
     return (found.select("query_id", F.col("id").alias("class"), "score").join(members, "class")

@@ -313,6 +313,21 @@ def test_recall_holds_when_cells_are_crowded(spark, monkeypatch):
     assert shares.mean() >= 0.9
 
 
+@pytest.mark.parametrize("lengths", ["one long", "lognormal", "a tenth"])
+def test_recall_of_unequal_lengths(spark, lengths):
+    x, rng = given_vectors(spark), np.random.default_rng(5)
+    if lengths == "one long":
+        x[7] *= 5
+    elif lengths == "lognormal":
+        x *= rng.lognormal(0, 0.5, (len(x), 1))
+    else:  # more of the long ones than are compared with every query
+        x = rng.normal(size=(12_000, 64))
+        x *= np.where(rng.random(len(x)) < 0.1, 3, 1)[:, None] / np.linalg.norm(x, axis=1)[:, None]
+    shares = recall_of(spark, x, 20 if len(x) == 2000 else 200)
+    print(lengths, shares.mean(), shares.min())
+    assert shares.mean() >= 0.9 and shares.min() >= 0.5
+
+
 def test_sketches(spark):
     a, b = prose(1, 4000), prose(1, 4000)[:6000] + " " + prose(2, 2500)
     frame = spark.createDataFrame([(1, a, b)], "id int, a string, b string")
