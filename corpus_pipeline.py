@@ -24,13 +24,16 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return docs.filter(quality.score_column(model, F.col("text")) >= 0.5)
 
 
+NEAR, NEAR_BAND_ROWS = 80, 7  # per cent; 36 bands miss a pair at exactly that similarity with probability 0.0002
+
+
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates, that of the smallest id, and once only.
 
     Documents without words are in no group and all stay; so do rows without an id, unless a
     document with one is alike.
     """
-    found = near_dedup.near_duplicates(docs)
+    found = near_dedup.near_duplicates(docs, similar=NEAR, band_rows=NEAR_BAND_ROWS)
     kept = found.filter(F.col("kept") & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(
         (F.max("n_shingles") > 0).alias("_has_words")).withColumnRenamed("doc_id", "_kept_id")
     with_id = docs.join(kept, F.col("doc_id") == F.col("_kept_id"))

@@ -100,10 +100,11 @@ def super_minhash(owner: np.ndarray, hashes: np.ndarray, n: int, size: int = SIG
     return signature.reshape(n, size)
 
 
-def band_hashes(signature: np.ndarray) -> np.ndarray:
-    """One hash per band of ROWS slots; the band's number is part of it."""
-    bits = signature.view(np.uint64) * _PLACE[:SIGNATURE]
-    return mix64(bits.reshape(len(signature), BANDS, ROWS).sum(axis=2, dtype=np.uint64)).view(np.int64)
+def band_hashes(signature: np.ndarray, rows: int = ROWS) -> np.ndarray:
+    """One hash per band of ``rows`` slots, as many bands as fit; the band's number is part of it."""
+    bands = SIGNATURE // rows
+    bits = (signature.view(np.uint64) * _PLACE[:SIGNATURE])[:, :bands * rows]
+    return mix64(bits.reshape(len(signature), bands, rows).sum(axis=2, dtype=np.uint64)).view(np.int64)
 
 
 def _chunks(column: pa.Array) -> Iterator[tuple[int, list[bytes]]]:
@@ -128,14 +129,14 @@ def _sums(owner: np.ndarray, hashes: np.ndarray, n: int) -> tuple[np.ndarray, np
     return counts, *out
 
 
-def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _signatures(batches: Iterator[pa.RecordBatch], band_rows: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for at, texts in _chunks(batch.column("text")):
             owner, hashes = shingle_sets(texts)
             counts, a, b = _sums(owner, hashes, len(texts))
             signature = super_minhash(owner, hashes, len(texts))
-            bands = band_hashes(signature)
-            lists = pa.ListArray.from_arrays(np.arange(0, bands.size + 1, BANDS, dtype=np.int32), bands.ravel())
+            bands = band_hashes(signature, band_rows)
+            lists = pa.ListArray.from_arrays(np.arange(0, bands.size + 1, bands.shape[1], dtype=np.int32), bands.ravel())
             marks = ((signature.view(np.uint64) * _PLACE[:SIGNATURE]) >> np.uint64(56)).astype(np.uint8)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("key").slice(at, len(texts)), pa.array(counts, pa.int64()), pa.array(a), pa.array(b), lists,
@@ -165,7 +166,8 @@ def _confirmed(pairs: DataFrame, rows: DataFrame, similar: int) -> DataFrame:
             .select("u", "v").distinct())
 
 
-def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", similar: int = SIMILAR) -> DataFrame:
+def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", similar: int = SIMILAR,
+                    band_rows: int = ROWS) -> DataFrame:
     """One row per input row: ``key`` (an integer), n_shingles, component_id, kept.
 
     Two documents are linked if 100 * |intersection| >= similar * |union| of their shingle sets;
@@ -174,11 +176,12 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", si
     document; equal rows all carry the same answer.  Rows without a key are linked too: their
     component_id is the smallest key there is, null if there is none, and they are kept only then.
     An empty table has no rows.  Other columns play no part.
+    A lower ``similar`` needs bands of fewer rows.
     """
     # a row without a key gets one of its own above all usual keys
     keyless = F.lit(KEYLESS) + F.abs(F.xxhash64(F.coalesce(F.col(text), F.lit(""))) % (1 << 61))
     rows = docs.select(F.coalesce(F.col(key).cast("long"), keyless).alias("key"), F.col(text).alias("text"))
-    signed = written(rows.mapInArrow(_signatures, "key long, n long, a long, b long, bands array<bigint>, marks binary"), "signatures")
+    signed = written(rows.mapInArrow(lambda batches: _signatures(batches, band_rows), "key long, n long, a long, b long, bands array<bigint>, marks binary"), "signatures")
     classes = written(signed.filter("n > 0").groupBy("n", "a", "b").agg(
         F.min("key").alias("node"), F.min_by(F.struct("bands", "marks"), "key").alias("of")).select(
         "n", "a", "b", "node", "of.*"), "classes")

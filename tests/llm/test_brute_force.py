@@ -411,3 +411,19 @@ def test_pipeline_against_plain_steps(spark, tmp_path):
     for r in found[4]:
         ids = np.frombuffer(r["ids"], "<u4").tolist()
         assert ids == ENCODING.encode_ordinary(texts[r["doc_id"]]) and len(ids) == r["n_tokens"]
+
+
+def test_pipeline_drops_copies_of_eighty_per_cent(spark):
+    texts = {}
+    for i in range(40):
+        words = prose(7000 + i, 700).split()[:200]
+        texts[2 * i] = " ".join(words)
+        for at in (30, 80, 130, 180):  # 20 of 196 shingles differ: 176 / 216 are shared
+            words[at] = f"other{at}"
+        texts[2 * i + 1] = " ".join(words)
+    like = [len(shingles(texts[k]) & shingles(texts[k + 1])) / len(shingles(texts[k]) | shingles(texts[k + 1])) for k in range(0, 80, 2)]
+    assert 0.8 <= min(like) and max(like) < 0.85
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    left = sorted(r["doc_id"] for r in corpus_pipeline.drop_near_duplicates(spark, docs, "").collect())
+    print("left", len(left))
+    assert left == list(range(0, 80, 2))
