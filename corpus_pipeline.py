@@ -51,9 +51,12 @@ def _without_known_copies(alone: DataFrame, docs: DataFrame) -> DataFrame:
     return texts.dropDuplicates(["text"]).unionByName(alone.filter(F.col("text").isNull()))
 
 
+PASSAGE_WORDS = 51  # passages of over 50 words that repeat
+
+
 def drop_repeated_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents without their long strings that also stand elsewhere; n_chars follows the text."""
-    shorter = suffix_dedup.without_repeats(docs)
+    """The documents without their passages of over 50 words that also stand elsewhere; n_chars follows the text."""
+    shorter = suffix_dedup.without_repeats(docs, unit=suffix_dedup.Unit(PASSAGE_WORDS, words=True))
     if "n_chars" not in docs.columns:
         return shorter
     return shorter.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)

@@ -6,12 +6,16 @@ anchors that occur more than once are looked at.  The windows of one anchor occu
 form a context (they overlap); contexts of equal anchors go to the same block, and the
 block's suffix array shows which windows repeat.  Anchors with very many occurrences are split by
 finer keys, down to single windows, so no block is larger than a bound.
+
+Windows of words are found the same way in the texts' word codes, CODE bytes a word.
 """
 
 from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from dataclasses import dataclass
+from functools import partial
 
 import numpy as np
 import pandas as pd
@@ -30,19 +34,73 @@ BLOCK_MEMBERS = 200      # an anchor, or a finer key, with more occurrences is s
 BLOCK_BYTES = 2_000_000  # contexts of one block, about
 ARRAY_BYTES = 100_000    # of them per suffix array, about
 
+CODE = 8                 # bytes per word where windows are counted in words
+
+_SPACE = np.zeros(256, dtype=bool)
+_SPACE[[9, 10, 11, 12, 13, 32]] = True
 _POSITION = np.uint64((1 << 24) - 1)
 
 
-def anchors(data: np.ndarray, prefix: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def _word_bounds(text: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the words of a text."""
+    space = np.concatenate([[True], _SPACE[np.frombuffer(text, np.uint8)], [True]])
+    edge = np.diff(space.view(np.int8))
+    return np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
+
+
+def _word_codes(text: bytes) -> bytes:
+    """A hash of CODE bytes per word, in the order of the text."""
+    data, (starts, ends) = np.frombuffer(text, np.uint8), _word_bounds(text)
+    out, i = [], 0
+    while i < len(starts):
+        j = max(i + 1, int(np.searchsorted(ends, starts[i] + SEGMENT, side="right")))
+        prefix = prefix_hashes(data[starts[i]:ends[j - 1]])
+        out.append(substring_hashes(prefix, starts[i:j] - starts[i], ends[i:j] - starts[i]).tobytes())
+        i = j
+    return b"".join(out)
+
+
+@dataclass(frozen=True)
+class Unit:
+    """What windows consist of: bytes of the text, or words."""
+
+    size: int = WINDOW
+    words: bool = False
+
+    @property
+    def window(self) -> int:
+        """Bytes of a window in what ``seen`` makes of a text."""
+        return self.size * CODE if self.words else self.size
+
+    @property
+    def shortest(self) -> int:
+        """Bytes that a text with a window has at least."""
+        return 2 * self.size - 1 if self.words else self.size
+
+    def seen(self, text: str) -> bytes:
+        return _word_codes(text.encode()) if self.words else text.encode()
+
+    def spans(self, text: bytes, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Intervals of what ``seen`` made of a text as intervals of its bytes."""
+        if not self.words or len(starts) == 0:
+            return starts, ends
+        first, last = _word_bounds(text)
+        return first[-(-starts // CODE)], last[ends // CODE - 1]  # whole words only
+
+
+BYTES = Unit()
+
+
+def anchors(data: np.ndarray, prefix: np.ndarray, window: int = WINDOW) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(anchor place, first window start, last window start, anchor hash) for runs of windows of one anchor."""
-    n_windows = len(data) - WINDOW + 1
+    n_windows = len(data) - window + 1
     if n_windows < 1:
         empty = np.zeros(0, np.int64)
         return empty, empty, empty, empty.astype(np.uint64)
     grams = np.arange(len(data) - GRAM + 1)
     hashes = substring_hashes(prefix, grams, grams + GRAM)
     ranked = (hashes & ~_POSITION) | grams.astype(np.uint64)  # equal hashes: the leftmost wins
-    width = WINDOW - GRAM + 1
+    width = window - GRAM + 1
     # minimum of every `width` neighbours from minima towards both ends of fixed stretches
     padded = np.concatenate([ranked, np.full(-len(ranked) % width, np.uint64(2**64 - 1))]).reshape(-1, width)
     ahead = np.minimum.accumulate(padded, axis=1).ravel()
@@ -63,7 +121,7 @@ def merged(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return starts[new], reach[np.concatenate([new[1:], [True]])]
 
 
-def _occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _occurrences(batches: Iterator[pa.RecordBatch], unit: Unit) -> Iterator[pa.RecordBatch]:
     """Anchor occurrences of every text; within a text only the first of several equal contexts.
 
     Rows with ``known`` are no occurrences but intervals [low, high) that repeat within the text itself.
@@ -71,20 +129,20 @@ def _occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     names = ["c1", "c2", "anchor", "low", "high", "gram", "known"]
     for batch in batches:
         for row in range(batch.num_rows):
-            text = batch.column("text")[row].as_py().encode()
+            text = unit.seen(batch.column("text")[row].as_py())
             found = []
-            for at in range(0, max(1, len(text) - WINDOW + 1), SEGMENT):
-                data = np.frombuffer(text, np.uint8)[at:at + SEGMENT + WINDOW - 1]
+            for at in range(0, max(1, len(text) - unit.window + 1), SEGMENT):
+                data = np.frombuffer(text, np.uint8)[at:at + SEGMENT + unit.window - 1]
                 prefix = prefix_hashes(data)
-                place, low, high, gram = anchors(data, prefix)
-                content = substring_hashes(prefix, low, high + WINDOW)
+                place, low, high, gram = anchors(data, prefix, unit.window)
+                content = substring_hashes(prefix, low, high + unit.window)
                 found.append((place + at, low + at, high + at, gram, content))
             place, low, high, gram, content = (np.concatenate(x) for x in zip(*found))
             if len(place) == 0:
                 continue
             _, inverse, first, count = _unique(content)
             twice = count[inverse] > 1
-            starts, ends = merged(low[twice], high[twice] + WINDOW)
+            starts, ends = merged(low[twice], high[twice] + unit.window)
             size = len(first) + len(starts)
             known = np.zeros(size, bool)
             known[len(first):] = True
@@ -99,26 +157,26 @@ def _unique(values: np.ndarray):
     return found, inverse, first, count
 
 
-def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _contexts(batches: Iterator[pa.RecordBatch], unit: Unit) -> Iterator[pa.RecordBatch]:
     """The context of each occurrence; one of a crowded anchor is cut into cells of CELL offsets,
     whose key also holds what all full windows of the cell have in common."""
     for batch in batches:
         for row in range(batch.num_rows):
-            text = batch.column("text")[row].as_py().encode()
+            text = unit.seen(batch.column("text")[row].as_py())
             out = []
             for o in batch.column("found")[row].as_py():
                 if o["known"]:
                     continue
                 if not o["crowded"]:
-                    out.append((o["gram"], o["low"], text[o["low"]:o["high"] + WINDOW], False, o["anchor"] - o["low"]))
+                    out.append((o["gram"], o["low"], text[o["low"]:o["high"] + unit.window], False, o["anchor"] - o["low"]))
                     continue
                 anchor, low = o["anchor"], o["low"]
                 while low <= o["high"]:
                     cell = (anchor - low) // CELL
                     high = min(o["high"], anchor - cell * CELL)
-                    core = text[anchor - cell * CELL:anchor - cell * CELL - CELL + 1 + WINDOW]
+                    core = text[anchor - cell * CELL:anchor - cell * CELL - CELL + 1 + unit.window]
                     key = hashlib.blake2b(b"%d %d " % (o["gram"], cell) + core, digest_size=8).digest()
-                    out.append((int.from_bytes(key, "little", signed=True), low, text[low:high + WINDOW], True, anchor - low))
+                    out.append((int.from_bytes(key, "little", signed=True), low, text[low:high + unit.window], True, anchor - low))
                     low = high + 1
             if out:
                 key, low, context, cell, offset = zip(*out)
@@ -128,13 +186,13 @@ def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                      pa.array(cell), pa.array(offset, pa.int64())], ["c1", "c2", "key", "low", "context", "cell", "offset"])
 
 
-def _single_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _single_windows(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
     """Each window of a context by itself, as the hash of its content."""
     for batch in batches:
         for row in range(batch.num_rows):
             data = np.frombuffer(batch.column("context")[row].as_py(), np.uint8)
-            start = np.arange(len(data) - WINDOW + 1)
-            hashes = substring_hashes(prefix_hashes(data), start, start + WINDOW).view(np.int64)
+            start = np.arange(len(data) - window + 1)
+            hashes = substring_hashes(prefix_hashes(data), start, start + window).view(np.int64)
             fixed = [pa.array(np.full(len(start), batch.column(c)[row].as_py(), np.int64)) for c in ("c1", "c2")]
             yield pa.RecordBatch.from_arrays(
                 [*fixed, pa.array(start + batch.column("low")[row].as_py()), pa.array(hashes)],
@@ -159,7 +217,7 @@ def _reach(parts: list[bytes]) -> list[int]:
     return out
 
 
-def _trimmed(rows: pd.DataFrame) -> pd.DataFrame:
+def _trimmed(rows: pd.DataFrame, window: int) -> pd.DataFrame:
     """Contexts of one key cut to what any other of them shares to the left and right of the anchor;
     too short ones hold no repeated window."""
     contexts, offsets = rows["context"].tolist(), rows["offset"].tolist()
@@ -167,12 +225,12 @@ def _trimmed(rows: pd.DataFrame) -> pd.DataFrame:
     right = _reach([c[o:] for c, o in zip(contexts, offsets)])
     rows = rows.assign(low=[n + o - a for n, o, a in zip(rows["low"], offsets, left)],
                        context=[c[o - a:o + b] for c, o, a, b in zip(contexts, offsets, left, right)])
-    return rows[[a + b >= WINDOW for a, b in zip(left, right)]]
+    return rows[[a + b >= window for a, b in zip(left, right)]]
 
 
-def _block_intervals(block: pd.DataFrame) -> pd.DataFrame:
+def _block_intervals(block: pd.DataFrame, window: int) -> pd.DataFrame:
     """Intervals [low, high) of a block's distinct contexts that repeat, by their suffix array."""
-    block = pd.concat([_trimmed(rows) for _, rows in block.groupby("key", sort=False)])
+    block = pd.concat([_trimmed(rows, window) for _, rows in block.groupby("key", sort=False)])
     out = []
     # the block's contexts, some suffix arrays' worth at a time; those of one key stay together
     part, size = [], 0
@@ -181,30 +239,31 @@ def _block_intervals(block: pd.DataFrame) -> pd.DataFrame:
         part.append(rows)
         size += sum(map(len, rows["context"]))
         if size >= ARRAY_BYTES or i == len(keys) - 1:
-            out.extend(_repeated(pd.concat(part)))
+            out.extend(_repeated(pd.concat(part), window))
             part, size = [], 0
     return pd.DataFrame(out, columns=["c1", "c2", "low", "high"], dtype="int64")
 
 
-def _repeated(rows: pd.DataFrame) -> Iterator[tuple[int, int, int, int]]:
+def _repeated(rows: pd.DataFrame, window: int) -> Iterator[tuple[int, int, int, int]]:
     contexts = dict.fromkeys(rows["context"])
     number = {c: i for i, c in enumerate(contexts)}
     copies = rows["context"].value_counts()
-    shown = repeated_windows(list(contexts), WINDOW)
+    shown = repeated_windows(list(contexts), window)
     for c1, c2, low, context in zip(rows["c1"], rows["c2"], rows["low"], rows["context"]):
         # equal after trimming: all windows repeat
         windows = np.ones_like(shown[number[context]]) if copies[context] > 1 else shown[number[context]]
         at = np.flatnonzero(windows)
-        starts, ends = merged(at + low, at + low + WINDOW)
+        starts, ends = merged(at + low, at + low + window)
         yield from ((c1, c2, s, e) for s, e in zip(starts.tolist(), ends.tolist()))
 
 
-def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _kept(batches: Iterator[pa.RecordBatch], unit: Unit) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for row in range(batch.num_rows):
             text = batch.column("text")[row].as_py().encode()
             spans = batch.column("spans")[row].as_py()
             starts, ends = merged(np.array([s["low"] for s in spans]), np.array([s["high"] for s in spans]))
+            starts, ends = unit.spans(text, starts, ends)
             kept, at = [], 0
             for s, e in zip(starts.tolist(), ends.tolist()):
                 kept.append(text[at:s])
@@ -217,10 +276,10 @@ def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 ["c1", "c2", "n_removed", "n_spans", "kept_sha256", "kept"])
 
 
-def _intervals(affected: DataFrame) -> DataFrame:
+def _intervals(affected: DataFrame, unit: Unit) -> DataFrame:
     """(c1, c2, low, high): windows of the occurrences' contexts that repeat in other texts or places."""
     contexts = written(affected.select("c1", "c2", "text", "found").mapInArrow(
-        _contexts, "c1 long, c2 long, key long, low long, context binary, cell boolean, offset long"), "contexts")
+        partial(_contexts, unit=unit), "c1 long, c2 long, key long, low long, context binary, cell boolean, offset long"), "contexts")
     contexts = contexts.withColumn("content", F.xxhash64("context"))
     # equal contexts settle each other; one of them stays as a partner for the different ones
     copies = contexts.groupBy("key", "content").agg(F.count("*").alias("copies"))
@@ -234,13 +293,14 @@ def _intervals(affected: DataFrame) -> DataFrame:
     crowded = F.col("cell") & (F.col("members") > BLOCK_MEMBERS)
     total = several.filter(~crowded).agg(F.sum(F.length("context"))).first()[0] or 0
     block = F.pmod(F.xxhash64("key"), F.lit(max(1, int(total // BLOCK_BYTES))))
+    in_block = lambda block: _block_intervals(block, unit.window)
     compared = (several.filter(~crowded).withColumn("block", block)
                 .select("block", "key", "c1", "c2", "low", "offset", "context").groupBy("block")
-                .applyInPandas(_block_intervals, "c1 long, c2 long, low long, high long"))
-    windows = several.filter(crowded).mapInArrow(_single_windows, "c1 long, c2 long, low long, window long")
+                .applyInPandas(in_block, "c1 long, c2 long, low long, high long"))
+    windows = several.filter(crowded).mapInArrow(partial(_single_windows, window=unit.window), "c1 long, c2 long, low long, window long")
     often = windows.groupBy("window").agg(F.count("*").alias("n")).filter("n > 1").select("window")
     single = (windows.join(often, "window", "left_semi")
-              .select("c1", "c2", "low", (F.col("low") + F.lit(WINDOW)).alias("high")))
+              .select("c1", "c2", "low", (F.col("low") + F.lit(unit.window)).alias("high")))
     return settled.unionByName(compared).unionByName(single)
 
 
@@ -251,16 +311,16 @@ def _with_class(docs: DataFrame, key: str, text: str) -> DataFrame:
                        F.xxhash64(text).alias("c1"), F.xxhash64(F.lit(1), text).alias("c2"))
 
 
-def _outcome(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+def _outcome(rows: DataFrame, unit: Unit) -> tuple[DataFrame, DataFrame]:
     """(ids, outcome): every row's key, class, size and hash; and per class that loses bytes what is
     removed and kept (``kept`` is null for texts that have a copy and so are removed altogether)."""
-    long = F.octet_length("text") >= WINDOW
+    long = F.octet_length("text") >= unit.shortest
     ids = written(rows.select("key", "c1", "c2", F.octet_length("text").cast("long").alias("n_bytes"),
                               F.sha2(F.col("text").cast("binary"), 256).alias("sha256")), "ids")
-    classes = written(ids.filter(F.col("n_bytes") >= WINDOW).groupBy("c1", "c2").agg(
+    classes = written(ids.filter(F.col("n_bytes") >= unit.shortest).groupBy("c1", "c2").agg(
         F.count("*").alias("copies"), F.min("key").alias("rep"), F.first("n_bytes").alias("n_bytes")), "classes")
     occurrences = written(rows.filter(long).select("c1", "c2", "text").mapInArrow(
-        _occurrences, "c1 long, c2 long, anchor long, low long, high long, gram long, known boolean"), "occurrences")
+        partial(_occurrences, unit=unit), "c1 long, c2 long, anchor long, low long, high long, gram long, known boolean"), "occurrences")
     spot = F.xxhash64("c1", "c2", "low")
     grams = (occurrences.filter(~F.col("known")).groupBy("gram")
              .agg(F.min(spot).alias("least"), F.max(spot).alias("most")).filter("least < most").select("gram"))
@@ -275,11 +335,14 @@ def _outcome(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
         rows.join(lists.withColumnsRenamed({"c1": "d1", "c2": "d2"}),
                   (F.col("c1") == F.col("d1")) & (F.col("c2") == F.col("d2")) & F.col("key").eqNullSafe(F.col("rep")))
         .select("c1", "c2", "text", "found", "copies"), "affected").dropDuplicates(["c1", "c2"])
-    spans = _intervals(affected).unionByName(known.select("c1", "c2", "low", "high"))
+    spans = _intervals(affected, unit).unionByName(known.select("c1", "c2", "low", "high"))
     spans = spans.groupBy("c1", "c2").agg(F.collect_set(F.struct("low", "high")).alias("spans"))
     parted = (affected.filter("copies = 1").select("c1", "c2", "text").join(spans, ["c1", "c2"])
-              .mapInArrow(_kept, "c1 long, c2 long, n_removed long, n_spans long, kept_sha256 string, kept binary"))
-    whole = classes.filter("copies > 1").select(
+              .mapInArrow(partial(_kept, unit=unit), "c1 long, c2 long, n_removed long, n_spans long, kept_sha256 string, kept binary"))
+    twice = classes.filter("copies > 1")
+    if unit.words:  # whether a text has a window at all shows in its occurrences
+        twice = twice.join(occurrences.select("c1", "c2").distinct(), ["c1", "c2"], "left_semi")
+    whole = twice.select(
         "c1", "c2", F.col("n_bytes").alias("n_removed"), F.lit(1).cast("long").alias("n_spans"),
         F.lit(hashlib.sha256(b"").hexdigest()).alias("kept_sha256"), F.lit(None).cast("binary").alias("kept"))
     return ids, written(parted.unionByName(whole), "outcome")
@@ -293,18 +356,19 @@ def repeated_strings(docs: DataFrame, key: str = "doc_id", text: str = "text") -
     empty; texts under 400 bytes keep everything.  A text of 400 bytes or more that occurs
     twice is removed altogether, repeated rows included.  An empty table has no rows.  Other columns play no part.
     """
-    ids, outcome = _outcome(_with_class(docs, key, text))
+    ids, outcome = _outcome(_with_class(docs, key, text), BYTES)
     return ids.join(outcome.drop("kept"), ["c1", "c2"], "left").select(
         F.col("key").alias(key), "n_bytes", F.coalesce("n_removed", F.lit(0)).alias("n_removed"),
         F.coalesce("n_spans", F.lit(0)).alias("n_spans"), F.coalesce("kept_sha256", "sha256").alias("kept_sha256"))
 
 
-def without_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def without_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", unit: Unit = BYTES) -> DataFrame:
     """The rows with ``text`` reduced to its kept bytes, all other columns as they are.
 
+    Removed are windows of ``unit`` that also stand elsewhere; windows of words repeat whatever white space parts them.
     A character of which a byte is removed goes altogether.  A null text stays null.
     """
-    _, outcome = _outcome(_with_class(docs, key, text))
+    _, outcome = _outcome(_with_class(docs, key, text), unit)
     own = F.coalesce(F.col(text), F.lit(""))
     readable = F.pandas_udf(lambda kept: kept.map(lambda b: (b or b"").decode("utf-8", "ignore")), "string")
     kept = outcome.select(F.col("c1").alias("_c1"), F.col("c2").alias("_c2"), readable("kept").alias("_kept"))

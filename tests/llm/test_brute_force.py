@@ -427,3 +427,29 @@ def test_pipeline_drops_copies_of_eighty_per_cent(spark):
     left = sorted(r["doc_id"] for r in corpus_pipeline.drop_near_duplicates(spark, docs, "").collect())
     print("left", len(left))
     assert left == list(range(0, 80, 2))
+
+
+@pytest.mark.parametrize("members", [200, 2])
+def test_pipeline_removes_passages_of_over_fifty_words(spark, monkeypatch, members):
+    monkeypatch.setattr(suffix_dedup, "BLOCK_MEMBERS", members)
+    short = lambda seed, n: " ".join(f"{w[:4]}" for w in prose(seed, n).split())
+    texts, spaces = {}, [" ", "\n", "  "]
+    for i, n in enumerate([49, 50, 51, 52, 55, 60, 400]):
+        passage = short(8000 + i, n)
+        for j in range(2 + i % 2 * 4):
+            own = f"x{i}x{j} " + prose(8100 + 10 * i + j, 40 + 3 * j)
+            texts[10 * i + j] = f"{own} {passage.replace(' ', spaces[j % 3])} y{i}y{j}é tail"
+    texts[900] = texts[901] = "a b c " * 10          # copies of 30 words, of 51 one-letter words
+    texts[902] = texts[903] = " ".join("abcdefghijklmnopq"[k % 17] for k in range(51))
+    count, runs = Counter(), {k: t.split() for k, t in texts.items()}
+    for words in runs.values():
+        count.update(tuple(words[i:i + 51]) for i in range(len(words) - 50))
+    docs = spark.createDataFrame([(k, t, len(t)) for k, t in texts.items()], "doc_id long, text string, n_chars long")
+    got = {r["doc_id"]: r for r in corpus_pipeline.drop_repeated_strings(spark, docs, "").collect()}
+    removed = 0
+    for k, words in runs.items():
+        gone = {j for i in range(len(words) - 50) if count[tuple(words[i:i + 51])] > 1 for j in range(i, i + 51)}
+        removed += len(gone)
+        assert got[k]["text"].split() == [w for j, w in enumerate(words) if j not in gone], k
+        assert got[k]["n_chars"] == len(got[k]["text"])
+    assert removed == 2 * 51 + 6 * 52 + 2 * 55 + 6 * 60 + 2 * 400 + 2 * 51
