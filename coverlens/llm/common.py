@@ -75,11 +75,16 @@ def _powers(base: int, n: int) -> np.ndarray:
     return known[:n]
 
 
+def running_sums(values: np.ndarray) -> np.ndarray:
+    """Running polynomial sums over 64-bit values, one more than there are values."""
+    prefix = np.zeros(len(values) + 1, dtype=np.uint64)
+    np.cumsum(values * _powers(_MULTIPLIER, len(values)), out=prefix[1:])
+    return prefix
+
+
 def prefix_hashes(data: np.ndarray) -> np.ndarray:
     """Running polynomial sums over bytes (uint8), one more than there are bytes."""
-    prefix = np.zeros(len(data) + 1, dtype=np.uint64)
-    np.cumsum(_BYTE_VALUES[data] * _powers(_MULTIPLIER, len(data)), out=prefix[1:])
-    return prefix
+    return running_sums(_BYTE_VALUES[data])
 
 
 def substring_hashes(prefix: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:

@@ -8,7 +8,8 @@ import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from coverlens.llm import ann, bpe, fingerprint, mixing, near_dedup, quality, sharding, suffix_dedup, toxicity, url_filter
+from coverlens.llm import (ann, automata, bpe, fingerprint, merkle, mixing, near_dedup, quality, sharding, spelling, suffix_dedup,
+                           toxicity, url_filter)
 from coverlens.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -76,6 +77,21 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.fingerprint_documents(read_table(spark, sf_dir, "documents"))
 
 
+@query("op11_spelling_variants", spelling.oracle_sql())
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(spelling.vocabulary(read_table(spark, sf_dir, "documents")))
+
+
+@query("op12_merkle_manifest", merkle.oracle_sql())
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.tampered_manifest(read_table(spark, sf_dir, "documents"))
+
+
+@query("op13_substring_dedup", automata.oracle_sql())
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return automata.repeated_passages(read_table(spark, sf_dir, "documents")).drop("spans")
+
+
 @query("pipeline", corpus_pipeline.ORACLE_SQL)
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
