@@ -2,10 +2,11 @@
 
 Every window of WINDOW words has an anchor: the leftmost of its GRAM-word strings with the smallest
 hash.  Equal windows have equal anchors at the same offset, so windows meet where their anchors do.
-The windows of one anchor occurrence form a context.  Distinct contexts of anchors that occur again are
-dealt to shards by anchor.  Each reference shard becomes a suffix automaton, cut to the strings that
-occur often enough, and is sent to every piece of the contexts streamed against it: the matching
-statistics (the longest match that ends at each word) show the passages.
+The windows of one anchor occurrence form a context.  An anchor whose occurrences all have one context
+matches as a whole.  Distinct contexts of the other anchors that occur again are dealt to shards by
+anchor.  A reference shard is sent to every part of the contexts streamed against it and becomes a suffix
+automaton there, cut to the strings that occur often enough: the matching statistics (the longest
+match that ends at each word) show the passages.
 
 An anchor with very many distinct contexts is dealt by finer keys, at last by single windows, so
 that a shard stays bounded.
@@ -62,6 +63,16 @@ def word_codes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nda
     return np.concatenate(out)
 
 
+def _sliding_minimum(values: np.ndarray, width: int) -> np.ndarray:
+    """Minimum of every ``width`` neighbours, from minima of twice as many each time."""
+    spanned = 1
+    while 2 * spanned <= width:
+        values = np.minimum(values[:-spanned], values[spanned:])
+        spanned *= 2
+    rest = width - spanned
+    return np.minimum(values[:len(values) - rest], values[rest:]) if rest else values
+
+
 def occurrences(codes: np.ndarray, window: int) -> tuple[np.ndarray, ...]:
     """(place, low, high, gram, content) of each run of windows of one anchor occurrence: the anchor's place, the first
     and the last window's start, and hashes of the anchor and of all words from the first window's to the last one's."""
@@ -73,8 +84,7 @@ def occurrences(codes: np.ndarray, window: int) -> tuple[np.ndarray, ...]:
             grams += part[k:k + len(grams)] * _PLACE[k]
         grams = mix64(grams)
         ranked = (grams & ~_LOW_BITS) | np.arange(len(grams), dtype=np.uint64)  # equal hashes: the leftmost wins
-        place = np.min(np.lib.stride_tricks.sliding_window_view(ranked, window - GRAM + 1), axis=1) & _LOW_BITS
-        place = place.astype(np.int64)
+        place = (_sliding_minimum(ranked, window - GRAM + 1) & _LOW_BITS).astype(np.int64)
         low = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1]]))
         high = np.concatenate([low[1:], [len(place)]]) - 1
         content = substring_hashes(running_sums(part), low, high + window)
@@ -147,43 +157,33 @@ class SuffixAutomaton:
             last = self._extended(last, symbol)
             self.count[last] += places
 
-    def frequent(self, least: int, length: int) -> dict[str, np.ndarray] | None:
-        """The automaton of the substrings that occur at ``least`` places, as arrays; None if none has ``length`` symbols."""
+    def frequent(self, least: int, length: int) -> Matcher | None:
+        """The automaton cut to the substrings that occur at ``least`` places; None if none of them has ``length`` symbols."""
         count = self.count
         for state in np.argsort(self.length, kind="stable")[:0:-1].tolist():  # longest first, without the root
             count[self.link[state]] += count[state]
         kept = [0] + [s for s in range(1, len(count)) if count[s] >= least]
         if max(self.length[s] for s in kept) < length:
             return None
-        number = {s: i for i, s in enumerate(kept)}
-        edges = [(number[s], symbol, number[t]) for s in kept for symbol, t in self.next[s].items() if t in number]
-        source, symbol, target = zip(*edges)
-        return {"links": np.array([number.get(self.link[s], -1) for s in kept], np.int32),
-                "lengths": np.array([self.length[s] for s in kept], np.int32), "sources": np.array(source, np.int32),
-                "symbols": np.array(symbol, np.uint64), "targets": np.array(target, np.int32)}
-
-
-AUTOMATON = "links binary, lengths binary, sources binary, symbols binary, targets binary"
+        frequent = {s: {symbol: t for symbol, t in self.next[s].items() if count[t] >= least} for s in kept}
+        return Matcher(frequent, self.link, self.length)
 
 
 class Matcher:
-    """Matching statistics against the automaton that ``SuffixAutomaton.frequent`` made."""
+    """Matching statistics against an automaton: per state its edges, suffix link and longest string's length."""
 
-    def __init__(self, links: bytes, lengths: bytes, sources: bytes, symbols: bytes, targets: bytes) -> None:
-        self.links, self.lengths = np.frombuffer(links, np.int32).tolist(), np.frombuffer(lengths, np.int32).tolist()
-        self.next: list[dict[int, int]] = [{} for _ in self.links]
-        for source, symbol, target in zip(np.frombuffer(sources, np.int32).tolist(), np.frombuffer(symbols, np.uint64).tolist(),
-                                          np.frombuffer(targets, np.int32).tolist()):
-            self.next[source][symbol] = target
+    def __init__(self, edges: dict[int, dict[int, int]], links: list[int], lengths: list[int]) -> None:
+        self.edges, self.links, self.lengths = edges, links, lengths
 
     def spans(self, symbols: list[int], threshold: int) -> list[list[int]]:
         """Maximal spans [start, end) covered by matches of at least ``threshold`` symbols."""
         state, matched, out = 0, 0, []
+        edges, links, lengths = self.edges, self.links, self.lengths
         for i, symbol in enumerate(symbols):
-            while state and symbol not in self.next[state]:
-                state = self.links[state]
-                matched = self.lengths[state]
-            state = self.next[state].get(symbol, 0)
+            while state and symbol not in edges[state]:
+                state = links[state]
+                matched = lengths[state]
+            state = edges[state].get(symbol, 0)
             matched = matched + 1 if state else 0
             if matched >= threshold:
                 if out and i - matched + 1 <= out[-1][1]:
@@ -193,55 +193,53 @@ class Matcher:
         return out
 
 
-def _automaton(shard: pd.DataFrame, least: int, window: int) -> pd.DataFrame:
-    automaton = SuffixAutomaton()
-    for codes, places in zip(shard["codes"], shard["places"].tolist()):
+def _matched(part: pd.DataFrame, least: int, window: int) -> pd.DataFrame:
+    """Spans (in words) of the streamed pieces that the automaton of their reference shard matches."""
+    automaton, out = SuffixAutomaton(), []
+    known = part[part["places"] > 0]
+    for codes, places in zip(known["codes"], known["places"].tolist()):
         automaton.add(np.frombuffer(codes, np.uint64).tolist(), places)
-    arrays = automaton.frequent(least, window)
-    if arrays is None:
-        return pd.DataFrame(columns=["shard", "links", "lengths", "sources", "symbols", "targets"])
-    return pd.DataFrame([{"shard": shard["shard"].iloc[0], **{name: a.tobytes() for name, a in arrays.items()}}])
-
-
-def _streamed(contexts: pd.DataFrame, automata: pd.DataFrame, window: int) -> pd.DataFrame:
-    """Spans (in words) of each context that the automaton of its shard matches."""
-    out = []
-    if len(automata) and len(contexts):
-        matcher = Matcher(*automata[["links", "lengths", "sources", "symbols", "targets"]].iloc[0])
-        for key, sub, codes in zip(contexts["key"].tolist(), contexts["sub"].tolist(), contexts["codes"]):
+    matcher = automaton.frequent(least, window)
+    if matcher is not None:
+        stream = part[part["streamed"]]
+        for key, sub, codes in zip(stream["key"].tolist(), stream["sub"].tolist(), stream["codes"]):
             out.extend((key, sub, *span) for span in matcher.spans(np.frombuffer(codes, np.uint64).tolist(), window))
     return pd.DataFrame(out, columns=["key", "sub", "start", "end"], dtype="int64")
 
 
 # --- contexts ---------------------------------------------------------------------------------
 
-def _pieces(gram: int, content: int, place: int, low: int, high: int, codes: np.ndarray, cell_size: int, window: int):
-    """A context cut by the anchor's offset into cells: (key, at, codes); what all full windows of a cell share is in its key."""
+_CUT = "gram long, content long, places long, ours boolean, at long, key long, codes binary"
+_CUT_NAMES = ["gram", "content", "places", "ours", "at", "key", "codes"]
+_CUT_TYPES = [pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.binary()]
+
+
+def _pieces(gram: int, place: int, low: int, high: int, codes: np.ndarray, window: int) -> Iterator[tuple[int, int, bytes]]:
+    """A context cut by the anchor's offset into cells: (key, low, codes); what all full windows of a cell share is in its key."""
     while low <= high:
-        cell = (place - low) // cell_size
-        last = min(high, place - cell * cell_size)
-        start = place - cell * cell_size
-        core = codes[start:start - cell_size + 1 + window]
+        cell = (place - low) // CELL
+        start = place - cell * CELL
+        last = min(high, start)
+        core = codes[start:start - CELL + 1 + window]
         key = hashlib.blake2b(b"%d %d " % (gram, cell) + core.tobytes(), digest_size=8).digest()
         yield int.from_bytes(key, "little", signed=True), low, codes[low:last + window].tobytes()
         low = last + 1
 
 
 def _contexts(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
-    """(gram, content, at, key, codes): the context of each occurrence, that of a crowded anchor in cells; at counts from its low."""
+    """(gram, content, at, places, ours, key, codes): each listed context, that of a crowded anchor in cells; at counts from its low."""
     for batch in batches:
         for row in range(batch.num_rows):
             data = np.frombuffer(batch.column("text")[row].as_py().encode(), np.uint8)
             codes, out = word_codes(data, *word_bounds(data)), []
             for o in batch.column("found")[row].as_py():
+                known = (o["gram"], o["content"], o["places"], o["ours"])
                 if not o["crowded"]:
-                    out.append((o["gram"], o["content"], 0, o["gram"], codes[o["low"]:o["high"] + window].tobytes()))
+                    out.append((*known, 0, o["gram"], codes[o["low"]:o["high"] + window].tobytes()))
                     continue
-                for key, low, part in _pieces(o["gram"], o["content"], o["place"], o["low"], o["high"], codes, CELL, window):
-                    out.append((o["gram"], o["content"], low - o["low"], key, part))
-            columns = list(zip(*out))
-            yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in columns[:4]), pa.array(columns[4], pa.binary())],
-                                             ["gram", "content", "at", "key", "codes"])
+                for key, low, part in _pieces(o["gram"], o["place"], o["low"], o["high"], codes, window):
+                    out.append((*known, low - o["low"], key, part))
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), _CUT_TYPES)], _CUT_NAMES)
 
 
 def _single_windows(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
@@ -251,51 +249,44 @@ def _single_windows(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[
             codes = np.frombuffer(batch.column("codes")[row].as_py(), np.uint64)
             start = np.arange(len(codes) - window + 1)
             hashes = substring_hashes(running_sums(codes), start, start + window).view(np.int64)
-            fixed = [pa.array(np.full(len(start), batch.column(c)[row].as_py(), np.int64)) for c in ("gram", "content")]
-            yield pa.RecordBatch.from_arrays(
-                [*fixed, pa.array(start + batch.column("at")[row].as_py()), pa.array(hashes),
-                 pa.array([codes[s:s + window].tobytes() for s in start], pa.binary())], ["gram", "content", "at", "key", "codes"])
-
+            known = [pa.array([batch.column(c)[row].as_py()] * len(start), t) for c, t in zip(_CUT_NAMES[:4], _CUT_TYPES)]
+            yield pa.RecordBatch.from_arrays([*known, pa.array(start + batch.column("at")[row].as_py()), pa.array(hashes),
+                                              pa.array([codes[s:s + window].tobytes() for s in start], pa.binary())], _CUT_NAMES)
 
-_PIECE = "gram long, content long, at long, key long, codes binary"
 
-
-def _shared_pieces(texts: DataFrame, classes: DataFrame, known: DataFrame, least: int, window: int) -> tuple[DataFrame, DataFrame]:
+def _shared_pieces(texts: DataFrame, known: DataFrame, least: int, window: int) -> tuple[DataFrame, DataFrame]:
     """(pieces, links): distinct pieces (key, sub, codes, places, ours) of keys that several share, and which
     part (at) of which context (gram, content) each is.
 
-    ``known`` holds the distinct contexts of shared anchors: gram, content, places, ours, one (where it stands), crowded.
+    ``known`` holds the distinct contexts to be compared: gram, content, places, ours, one (where it stands), crowded.
     """
     lists = known.groupBy("one.c1", "one.c2", "one.k").agg(F.collect_list(
-        F.struct("one.place", "one.low", "one.high", "gram", "content", "crowded")).alias("found"))
+        F.struct("one.place", "one.low", "one.high", "gram", "content", "places", "ours", "crowded")).alias("found"))
     # one row of each text in question, by its class and key
-    cut = (texts.join(lists, ["c1", "c2", "k"]).dropDuplicates(["c1", "c2", "k"]).select("text", "found")
-           .mapInArrow(partial(_contexts, window=window), _PIECE))
-    cut = written(cut, "contexts")
-    weights = known.select("gram", "content", "places", "ours")
+    cut = written(texts.join(lists, ["c1", "c2", "k"]).dropDuplicates(["c1", "c2", "k"]).select("text", "found")
+                  .mapInArrow(partial(_contexts, window=window), _CUT), "contexts")
 
     def by_key(cut: DataFrame) -> DataFrame:
-        pieces = cut.withColumn("sub", F.xxhash64("codes")).join(weights, ["gram", "content"])
-        return pieces.groupBy("key", "sub").agg(F.first("codes").alias("codes"), F.sum("places").alias("places"), F.max("ours").alias("ours"))
-
-    def shared(pieces: DataFrame) -> DataFrame:
+        """Distinct pieces, and how many a key has; those of a key with too few places go."""
+        pieces = cut.groupBy("key", F.xxhash64("codes").alias("sub")).agg(
+            F.first("codes").alias("codes"), F.sum("places").alias("places"), F.max("ours").alias("ours"))
         of_key = pieces.groupBy("key").agg(F.count("*").alias("members"), F.sum("places").alias("n")).filter(F.col("n") >= least)
         return pieces.join(of_key.drop("n"), "key")
 
     link = lambda cut: cut.select("gram", "content", "at", "key", F.xxhash64("codes").alias("sub"))
     whole, cells = cut.filter("key = gram"), cut.filter("key <> gram")
-    pieces, links = by_key(whole), link(whole)
+    pieces, links = whole.select("key", F.xxhash64("codes").alias("sub"), "codes", "places", "ours"), link(whole)
     if not cells.isEmpty():
-        finer = written(shared(by_key(cells)), "cells")
+        finer = written(by_key(cells), "cells")
         crowded = finer.filter(F.col("members") > MEMBERS).select("key").distinct()
         links = links.unionByName(link(cells))
         pieces = pieces.unionByName(finer.filter(F.col("members") <= MEMBERS).drop("members"))
         if not crowded.isEmpty():
-            single = written(cells.join(crowded, "key", "left_semi").select("gram", "content", "at", "key", "codes")
-                             .mapInArrow(partial(_single_windows, window=window), _PIECE), "windows")
+            single = written(cells.join(crowded, "key", "left_semi").select(*_CUT_NAMES)
+                             .mapInArrow(partial(_single_windows, window=window), _CUT), "windows")
             links = links.unionByName(link(single))
-            pieces = pieces.unionByName(shared(by_key(single)).drop("members"))
-    return written(pieces, "pieces"), links
+            pieces = pieces.unionByName(by_key(single).drop("members"))
+    return pieces, links
 
 
 def _matches(pieces: DataFrame, least: int, window: int) -> DataFrame:
@@ -303,16 +294,15 @@ def _matches(pieces: DataFrame, least: int, window: int) -> DataFrame:
     total = pieces.agg(F.sum(F.length("codes"))).first()[0] or 0
     shards = max(1, total // (8 * SHARD_WORDS))
     pieces = pieces.withColumn("shard", F.pmod(F.xxhash64("key"), F.lit(shards)))
-    build = lambda shard: _automaton(shard, least, window)
-    automata = written(pieces.filter("places > 0").select("shard", "codes", "places").groupBy("shard")
-                       .applyInPandas(build, f"shard long, {AUTOMATON}"), "automata")
-    # an automaton goes to as many tasks as its shard has pieces of the stream
-    stream = pieces.filter("ours").select("shard", "key", "sub", "codes")
-    parts = stream.groupBy("shard").agg(F.ceil(F.sum(F.length("codes")) / (16 * SHARD_WORDS)).cast("int").alias("parts"))
-    sent = automata.join(parts, "shard").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).drop("parts")
-    dealt = stream.join(parts, "shard").withColumn("part", F.pmod(F.xxhash64("key", "sub"), F.col("parts")).cast("int"))
-    match = lambda contexts, automaton: _streamed(contexts, automaton, window)
-    return (dealt.drop("parts").groupBy("shard", "part").cogroup(sent.groupBy("shard", "part"))
+    # a reference shard is sent to every part of what is streamed against it
+    parts = pieces.filter("ours AND places = 0").groupBy("shard").agg(
+        F.ceil(F.sum(F.length("codes")) / (8 * SHARD_WORDS)).cast("int").alias("parts")).filter("parts > 1")
+    parts = F.coalesce("parts", F.lit(1)), pieces.join(parts, "shard", "left")
+    own = F.pmod(F.xxhash64("key", "sub"), parts[0]).cast("int")
+    dealt = parts[1].withColumn("part", F.explode(F.when(F.col("places") > 0, F.sequence(F.lit(0), parts[0] - 1)).otherwise(F.array(own))))
+    dealt = dealt.withColumn("streamed", F.col("ours") & (F.col("part") == own))
+    match = lambda part: _matched(part, least, window)
+    return (dealt.select("shard", "part", "key", "sub", "codes", "places", "streamed").groupBy("shard", "part")
             .applyInPandas(match, "key long, sub long, start long, end long"))
 
 
@@ -366,20 +356,26 @@ def _outcome(docs: DataFrame, key: str, text: str, window: int, reference: DataF
     scanned = written(rows.mapInArrow(partial(_scanned, window=window), "k long, c1 long, c2 long, ours boolean, n_words long, "
                                       f"sha256 string, found {OCCURRENCES}"), "scanned")
     counted = F.lit(1) if reference is None else F.when(F.col("ours"), 0).otherwise(1)
-    classes = scanned.filter(F.size("found") > 0).groupBy("c1", "c2").agg(
-        F.sum(counted).alias("copies"), F.max("ours").alias("ours"), F.min("k").alias("k"))
+    classes = written(scanned.filter(F.size("found") > 0).groupBy("c1", "c2").agg(
+        F.sum(counted).alias("copies"), F.max("ours").alias("ours"), F.min("k").alias("k")), "classes")
+    # anchors that stand at enough places
+    enough = scanned.select(counted.alias("n"), F.explode("found.gram").alias("gram")).groupBy("gram").agg(F.sum("n").alias("n"))
+    enough = written(enough.filter(F.col("n") >= least).select("gram"), "grams")
     # equal texts are looked at once
-    places = written(scanned.select("c1", "c2", "k", "found").join(classes, ["c1", "c2", "k"]).dropDuplicates(["c1", "c2", "k"])
-                     .select("c1", "c2", "k", "copies", "ours", F.explode("found").alias("o")).select("c1", "c2", "k", "copies", "ours", "o.*"), "places")
+    places = scanned.select("c1", "c2", "k", F.explode("found").alias("o")).select("c1", "c2", "k", "o.*").join(enough, "gram", "left_semi")
+    places = written(places.join(classes, ["c1", "c2", "k"]).distinct(), "places")
     distinct = places.groupBy("gram", "content").agg(
         F.sum("copies").alias("places"), F.max("ours").alias("ours"), F.min(F.struct("c1", "c2", "k", "place", "low", "high")).alias("one"))
     distinct = written(distinct, "distinct")
-    several = distinct.groupBy("gram").agg(F.sum("places").alias("n"), F.max("ours").alias("any"), (F.count("*") > MEMBERS).alias("crowded"))
-    known = written(distinct.join(several.filter((F.col("n") >= least) & F.col("any")).select("gram", "crowded"), "gram"), "known")
-    pieces, links = _shared_pieces(rows.select("c1", "c2", "k", "text"), classes, known, least, window)
+    several = distinct.groupBy("gram").agg(F.max("ours").alias("any"), F.count("*").alias("contexts"))
+    known = distinct.join(several.filter("any"), "gram").withColumn("crowded", F.col("contexts") > MEMBERS)
+    # the words around an anchor that has one context match as a whole; others are compared
+    whole = known.filter(F.col("contexts") == 1).filter(F.col("places") >= least).select(
+        "gram", "content", F.lit(0).cast("long").alias("start"), (F.col("one.high") - F.col("one.low") + F.lit(window)).cast("long").alias("end"))
+    pieces, links = _shared_pieces(rows.select("c1", "c2", "k", "text"), known.filter("contexts > 1"), least, window)
     found = _matches(pieces, least, window).join(links, ["key", "sub"]).select(
         "gram", "content", (F.col("at") + F.col("start")).alias("start"), (F.col("at") + F.col("end")).alias("end"))
-    found = written(found, "matches")
+    found = written(found.unionByName(whole), "matches")
     spans = places.filter("ours").join(found, ["gram", "content"]).select(
         "c1", "c2", F.struct((F.col("low") + F.col("start")).alias("low"), (F.col("low") + F.col("end")).alias("high")).alias("span"))
     merged = written(spans.groupBy("c1", "c2").agg(F.collect_set("span").alias("spans"))

@@ -241,11 +241,10 @@ def test_suffix_automaton(sequences, window, least):
         for i in range(len(s)):
             for j in range(i + 1, len(s) + 1):
                 places[tuple(s[i:j])] += weight
-    arrays = automaton.frequent(least, window)
-    if arrays is None:
+    matcher = automaton.frequent(least, window)
+    if matcher is None:
         assert all(n < least for s, n in places.items() if len(s) >= window)
         return
-    matcher = automata.Matcher(**{name: a.tobytes() for name, a in arrays.items()})
     for s in sequences:
         covered = {j for i in range(len(s) - window + 1) if places[tuple(s[i:i + window])] >= least for j in range(i, i + window)}
         assert {j for a, b in matcher.spans(s, window) for j in range(a, b)} == covered
