@@ -27,28 +27,25 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 NEAR, NEAR_BAND_ROWS = 80, 7  # per cent; 36 bands miss a pair at exactly that similarity with probability 0.0002
 
 
+def _keyed(docs: DataFrame) -> DataFrame:
+    """The rows with ``_key``: their id, or one made from the text, from 2^61 up, which equal texts without an id share."""
+    made = F.lit(1 << 61) + F.pmod(F.xxhash64(F.coalesce("text", F.lit(""))), F.lit(1 << 61))
+    return docs.withColumn("_key", F.coalesce(F.col("doc_id").cast("long"), made))
+
+
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates, that of the smallest id, and once only.
 
-    Documents without words are in no group and all stay; so do rows without an id, unless a
-    document with one is alike.
+    Rows without an id are documents too; they stay only where no alike document has an id, of equal texts one.
+    Documents without words are in no group and all stay.
     """
-    found = near_dedup.near_duplicates(docs, similar=NEAR, band_rows=NEAR_BAND_ROWS)
-    kept = found.filter(F.col("kept") & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(
-        (F.max("n_shingles") > 0).alias("_has_words")).withColumnRenamed("doc_id", "_kept_id")
-    with_id = docs.join(kept, F.col("doc_id") == F.col("_kept_id"))
-    # a repeated row of a kept id is a copy as well
-    worded = with_id.filter("_has_words").select(*docs.columns).dropDuplicates(["doc_id"])
-    wordless = with_id.filter("NOT _has_words").select(*docs.columns)
-    alone = docs.filter(F.col("doc_id").isNull())
-    return worded.unionByName(wordless).unionByName(_without_known_copies(alone, docs))
-
-
-def _without_known_copies(alone: DataFrame, docs: DataFrame) -> DataFrame:
-    """Rows without an id whose text no row with an id has; of equal texts one."""
-    known = docs.filter(F.col("doc_id").isNotNull()).select("text").distinct()
-    texts = alone.filter(F.col("text").isNotNull()).join(known, "text", "left_anti").select(*docs.columns)
-    return texts.dropDuplicates(["text"]).unionByName(alone.filter(F.col("text").isNull()))
+    keyed = _keyed(docs)
+    found = near_dedup.near_duplicates(keyed.select("_key", "text"), key="_key", similar=NEAR, band_rows=NEAR_BAND_ROWS)
+    kept = found.filter("kept").groupBy("_key").agg((F.max("n_shingles") > 0).alias("_has_words"))
+    there = keyed.join(kept, "_key")
+    # a repeated row of a kept document is a copy as well
+    worded = there.filter("_has_words").dropDuplicates(["_key"])
+    return worded.unionByName(there.filter("NOT _has_words")).select(*docs.columns)
 
 
 PASSAGE_WORDS = 51  # passages of over 50 words that repeat
@@ -63,11 +60,12 @@ def drop_repeated_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document as many times as the mix takes it; those it does not take go."""
-    taken = mixing.mix(docs).filter("size > 0 AND doc_id IS NOT NULL").select(
-        F.col("doc_id").alias("_id"), (F.col("taken") / F.col("size")).cast("int").alias("_times")).filter("_times > 0")
-    times = taken.groupBy("_id").agg(F.max("_times").alias("_times"))
-    repeated = docs.join(times, F.col("doc_id") == F.col("_id"))
+    """Every document as many times as the mix takes it, those without an id like others; those it does not take go."""
+    keyed = _keyed(docs)
+    mixed = mixing.mix(keyed.drop("doc_id"), key="_key")
+    times = (mixed.filter("size > 0").groupBy("_key").agg(F.max(F.col("taken") / F.col("size")).cast("int").alias("_times"))
+             .filter("_times > 0"))
+    repeated = keyed.join(times, "_key")
     return repeated.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times")))).select(*docs.columns)
 
 
