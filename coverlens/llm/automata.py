@@ -38,7 +38,6 @@ _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 _PLACE = np.random.default_rng(13).integers(1, 2**63, GRAM, dtype=np.uint64) | np.uint64(1)
 _LOW_BITS = np.uint64((1 << 24) - 1)
-_EMPTY = hashlib.sha256(b"").hexdigest()
 _NO_KEY = -(2**63)
 
 OCCURRENCES = "array<struct<place:int,low:int,high:int,gram:bigint,content:bigint>>"
@@ -93,23 +92,20 @@ def occurrences(codes: np.ndarray, window: int) -> tuple[np.ndarray, ...]:
 
 
 def _scanned(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
-    """Per row: number of words, digest of its words joined by one space, its anchor occurrences."""
+    """The anchor occurrences of each text."""
     for batch in batches:
-        sizes, digests, lists = [], [], []
+        lists = []
         for value in batch.column("text"):
             data = np.frombuffer(value.as_py().encode(), np.uint8)
-            starts, ends = word_bounds(data)
-            sizes.append(len(starts))
-            digests.append(hashlib.sha256(b" ".join(data.tobytes().split())).hexdigest())
-            lists.append(occurrences(word_codes(data, starts, ends), window))
+            lists.append(occurrences(word_codes(data, *word_bounds(data)), window))
         offsets = np.concatenate([[0], np.cumsum([len(x[0]) for x in lists])]).astype(np.int32)
         place, low, high, gram, content = (np.concatenate(columns) for columns in zip(*lists)) if lists else [np.zeros(0, np.int64)] * 5
         structs = pa.StructArray.from_arrays(
             [pa.array(place.astype(np.int32)), pa.array(low.astype(np.int32)), pa.array(high.astype(np.int32)), pa.array(gram), pa.array(content)],
             ["place", "low", "high", "gram", "content"])
         yield pa.RecordBatch.from_arrays(
-            [*(batch.column(c) for c in ("k", "c1", "c2", "ours")), pa.array(sizes, pa.int64()), pa.array(digests, pa.string()),
-             pa.ListArray.from_arrays(offsets, structs)], ["k", "c1", "c2", "ours", "n_words", "sha256", "found"])
+            [*(batch.column(c) for c in ("k", "c1", "c2", "ours")), pa.ListArray.from_arrays(offsets, structs)],
+            ["k", "c1", "c2", "ours", "found"])
 
 
 # --- suffix automata ------------------------------------------------------------------------
@@ -319,27 +315,26 @@ def _joined(spans: list[dict]) -> list[list[int]]:
     return out
 
 
-def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _finished(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """k, n_words, n_removed, spans, kept_sha256, kept of each text; a null list of spans is an empty one."""
     for batch in batches:
-        spans = [_joined(s) for s in batch.column("spans").to_pylist()]
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("c1"), batch.column("c2"), pa.array([[{"low": a, "high": b} for a, b in s] for s in spans],
-             pa.list_(pa.struct([("low", pa.int64()), ("high", pa.int64())]))), pa.array([sum(b - a for a, b in s) for s in spans], pa.int64())],
-            ["c1", "c2", "spans", "n_removed"])
+        rows = []
+        for key, text, spans in zip(batch.column("k").to_pylist(), batch.column("text").to_pylist(), batch.column("spans").to_pylist()):
+            words, out, at = text.encode().split(), [], 0
+            joined = _joined(spans or [])
+            for low, high in joined:
+                out += words[at:low]
+                at = high
+            kept = b" ".join(out + words[at:])
+            rows.append((key, len(words), sum(high - low for low, high in joined), [{"low": low, "high": high} for low, high in joined],
+                         hashlib.sha256(kept).hexdigest(), kept.decode()))
+        columns = list(zip(*rows)) or [()] * len(_FINISHED)
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, _FINISHED.values())], list(_FINISHED))
 
 
-def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        texts = []
-        for text, spans in zip(batch.column("text").to_pylist(), batch.column("spans").to_pylist()):
-            words, out, at = text.encode().split(), [], 0
-            for span in spans:
-                out += words[at:span["low"]]
-                at = span["high"]
-            texts.append(b" ".join(out + words[at:]))
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("c1"), batch.column("c2"), pa.array([hashlib.sha256(t).hexdigest() for t in texts]),
-             pa.array([t.decode() for t in texts], pa.string())], ["c1", "c2", "kept_sha256", "kept"])
+_SPANS = "array<struct<low:bigint,high:bigint>>"
+_FINISHED = {"k": pa.int64(), "n_words": pa.int64(), "n_removed": pa.int64(), "spans": pa.list_(pa.struct([("low", pa.int64()), ("high", pa.int64())])),
+             "kept_sha256": pa.string(), "kept": pa.string()}
 
 
 def _rows(docs: DataFrame, key: str, text: str, ours: bool) -> DataFrame:
@@ -348,13 +343,13 @@ def _rows(docs: DataFrame, key: str, text: str, ours: bool) -> DataFrame:
                        F.xxhash64(text).alias("c1"), F.xxhash64(F.lit(1), text).alias("c2"))
 
 
-def _outcome(docs: DataFrame, key: str, text: str, window: int, reference: DataFrame | None) -> tuple[DataFrame, DataFrame]:
-    """(ids, outcome): k, c1, c2, n_words, sha256 of every row; n_removed, spans, kept_sha256, kept of each text that loses words."""
+def _spans(docs: DataFrame, key: str, text: str, window: int, reference: DataFrame | None) -> DataFrame:
+    """(c1, c2, spans): what each text that loses words loses; spans may overlap."""
     own = _rows(docs, key, text, True)
     rows = own if reference is None else own.unionByName(_rows(reference, key, text, False))
     least = 2 if reference is None else 1  # places of the reference at which a window that goes must stand
-    scanned = written(rows.mapInArrow(partial(_scanned, window=window), "k long, c1 long, c2 long, ours boolean, n_words long, "
-                                      f"sha256 string, found {OCCURRENCES}"), "scanned")
+    scanned = written(rows.mapInArrow(partial(_scanned, window=window), "k long, c1 long, c2 long, ours boolean, "
+                                      f"found {OCCURRENCES}"), "scanned")
     counted = F.lit(1) if reference is None else F.when(F.col("ours"), 0).otherwise(1)
     classes = written(scanned.filter(F.size("found") > 0).groupBy("c1", "c2").agg(
         F.sum(counted).alias("copies"), F.max("ours").alias("ours"), F.min("k").alias("k")), "classes")
@@ -378,22 +373,14 @@ def _outcome(docs: DataFrame, key: str, text: str, window: int, reference: DataF
     found = written(found.unionByName(whole), "matches")
     spans = places.filter("ours").join(found, ["gram", "content"]).select(
         "c1", "c2", F.struct((F.col("low") + F.col("start")).alias("low"), (F.col("low") + F.col("end")).alias("high")).alias("span"))
-    merged = written(spans.groupBy("c1", "c2").agg(F.collect_set("span").alias("spans"))
-                     .mapInArrow(_merged, "c1 long, c2 long, spans array<struct<low:bigint,high:bigint>>, n_removed long"), "spans")
-    sizes = scanned.select("c1", "c2", "k", "n_words").join(classes.select("c1", "c2", "k"), ["c1", "c2", "k"]).distinct()
-    sized = written(merged.join(sizes, ["c1", "c2"]), "removed")
-    all_gone = sized.filter("n_removed = n_words").select("c1", "c2", F.lit(_EMPTY).alias("kept_sha256"), F.lit("").alias("kept"))
-    partly = (rows.select("c1", "c2", "k", "text").join(sized.filter("n_removed < n_words").select("c1", "c2", "k", "spans"), ["c1", "c2", "k"])
-              .dropDuplicates(["c1", "c2", "k"]).select("c1", "c2", "text", "spans").mapInArrow(_kept, "c1 long, c2 long, kept_sha256 string, kept string"))
-    texts = written(all_gone.unionByName(partly), "kept")
-    outcome = sized.select("c1", "c2", "n_removed", "spans").join(texts, ["c1", "c2"])
-    ids = scanned.filter("ours").select("k", "c1", "c2", "n_words", "sha256")
-    return ids, outcome
+    return written(spans.groupBy("c1", "c2").agg(F.collect_set("span").alias("spans")), "spans")
 
 
 def repeated_passages(docs: DataFrame, key: str = "doc_id", text: str = "text", window: int = WINDOW,
                       reference: DataFrame | None = None) -> DataFrame:
-    """One row per input row: ``key``, n_words, n_removed, spans (low, high in words), kept_sha256 (of the kept words joined by one space).
+    """One row per input row: ``key``, n_words, n_removed, spans (low, high in words), kept_sha256, ``text``.
+
+    ``text`` holds the kept words joined by one space, and kept_sha256 is its digest.
 
     Removed is each word covered by a window of ``window`` words that also starts anywhere else in the texts, the same one
     included; with a ``reference`` (a table of the same columns), each word covered by a window that stands in it.
@@ -401,21 +388,35 @@ def repeated_passages(docs: DataFrame, key: str = "doc_id", text: str = "text",
     that occurs twice goes altogether, repeated rows included.  Keys are integers or null.  An empty table has no rows;
     other columns play no part.
     """
-    ids, outcome = _outcome(docs, key, text, window, reference)
-    none = F.array().cast("array<struct<low:bigint,high:bigint>>")
-    return ids.join(outcome.drop("kept"), ["c1", "c2"], "left").select(
-        F.when(F.col("k") != _NO_KEY, F.col("k")).alias(key), "n_words", F.coalesce("n_removed", F.lit(0)).cast("long").alias("n_removed"),
-        F.coalesce("spans", none).alias("spans"), F.coalesce("kept_sha256", "sha256").alias("kept_sha256"))
+    spans = _spans(docs, key, text, window, reference)
+    rows = _rows(docs, key, text, True).join(spans, ["c1", "c2"], "left").select("k", "text", "spans")
+    finished = rows.mapInArrow(_finished, f"k long, n_words long, n_removed long, spans {_SPANS}, kept_sha256 string, kept string")
+    return finished.select(F.when(F.col("k") != _NO_KEY, F.col("k")).alias(key), "n_words", "n_removed", "spans", "kept_sha256", F.col("kept").alias(text))
 
 
 def without_passages(docs: DataFrame, key: str = "doc_id", text: str = "text", window: int = WINDOW,
                      reference: DataFrame | None = None) -> DataFrame:
     """The rows, those that lose words with ``text`` reduced to the kept ones, joined by one space; other columns as they are."""
-    _, outcome = _outcome(docs, key, text, window, reference)
+    spans = _spans(docs, key, text, window, reference).select(F.col("c1").alias("_c1"), F.col("c2").alias("_c2"), F.col("spans").alias("_spans"))
     own = F.coalesce(F.col(text), F.lit(""))
-    kept = outcome.select(F.col("c1").alias("_c1"), F.col("c2").alias("_c2"), F.col("kept").alias("_kept"))
-    joined = docs.join(kept, (F.xxhash64(own) == F.col("_c1")) & (F.xxhash64(F.lit(1), own) == F.col("_c2")), "left")
-    return joined.select(*[(F.coalesce("_kept", text).alias(c) if c == text else F.col(c)) for c in docs.columns])
+    joined = docs.join(spans, (F.xxhash64(own) == F.col("_c1")) & (F.xxhash64(F.lit(1), own) == F.col("_c2")), "left")
+    kept = F.when(F.col("_spans").isNotNull(), F.pandas_udf(_kept_words, "string")(own, F.col("_spans"))).otherwise(F.col(text))
+    return joined.select(*[(kept.alias(c) if c == text else F.col(c)) for c in docs.columns])
+
+
+def _kept_words(texts: pd.Series, spans: pd.Series) -> pd.Series:
+    """The words outside the spans, joined by one space; None where there are no spans."""
+    out: list[str | None] = []
+    for text, found in zip(texts, spans):
+        if found is None:
+            out.append(None)
+            continue
+        words, kept, at = text.encode().split(), [], 0
+        for low, high in _joined(list(found)):
+            kept += words[at:low]
+            at = high
+        out.append(b" ".join(kept + words[at:]).decode())
+    return pd.Series(out, dtype=object)
 
 
 def oracle_sql() -> str:
@@ -429,5 +430,5 @@ gone AS (SELECT DISTINCT doc_id, i + j AS pos
          FROM (SELECT doc_id, i, unnest(range(0, {WINDOW})) AS j FROM windows WHERE h IN (FROM repeated))),
 words AS (SELECT doc_id, unnest(ws) AS word, generate_subscripts(ws, 1) AS pos FROM texts),
 kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY pos) AS text, count(*) AS n FROM words ANTI JOIN gone USING (doc_id, pos) GROUP BY doc_id)
-SELECT t.doc_id, len(t.ws) AS n_words, len(t.ws) - coalesce(k.n, 0) AS n_removed, sha256(coalesce(k.text, '')) AS kept_sha256
+SELECT t.doc_id, len(t.ws) AS n_words, len(t.ws) - coalesce(k.n, 0) AS n_removed, sha256(coalesce(k.text, '')) AS kept_sha256, coalesce(k.text, '') AS text
 FROM texts t LEFT JOIN kept k USING (doc_id)"""

@@ -272,7 +272,7 @@ def _kept(batches: Iterator[pa.RecordBatch], unit: Unit) -> Iterator[pa.RecordBa
             ids = [pa.array([batch.column(c)[row].as_py()], pa.int64()) for c in ("c1", "c2")]
             yield pa.RecordBatch.from_arrays(
                 [*ids, pa.array([len(text) - len(kept)], pa.int64()), pa.array([len(starts)], pa.int64()),
-                 pa.array([hashlib.sha256(kept).hexdigest()]), pa.array([kept], pa.binary())],
+                 pa.array([hashlib.sha256(kept).hexdigest()]), pa.array([kept.decode("utf-8", "ignore")], pa.string())],
                 ["c1", "c2", "n_removed", "n_spans", "kept_sha256", "kept"])
 
 
@@ -311,13 +311,11 @@ def _with_class(docs: DataFrame, key: str, text: str) -> DataFrame:
                        F.xxhash64(text).alias("c1"), F.xxhash64(F.lit(1), text).alias("c2"))
 
 
-def _outcome(rows: DataFrame, unit: Unit) -> tuple[DataFrame, DataFrame]:
-    """(ids, outcome): every row's key, class, size and hash; and per class that loses bytes what is
-    removed and kept (``kept`` is null for texts that have a copy and so are removed altogether)."""
+def _outcome(rows: DataFrame, unit: Unit) -> DataFrame:
+    """What each class that loses bytes loses and keeps; ``kept`` is text, without characters that lost a byte."""
     long = F.octet_length("text") >= unit.shortest
-    ids = written(rows.select("key", "c1", "c2", F.octet_length("text").cast("long").alias("n_bytes"),
-                              F.sha2(F.col("text").cast("binary"), 256).alias("sha256")), "ids")
-    classes = written(ids.filter(F.col("n_bytes") >= unit.shortest).groupBy("c1", "c2").agg(
+    n_bytes = F.octet_length("text").cast("long").alias("n_bytes")
+    classes = written(rows.filter(long).select("key", "c1", "c2", n_bytes).groupBy("c1", "c2").agg(
         F.count("*").alias("copies"), F.min("key").alias("rep"), F.first("n_bytes").alias("n_bytes")), "classes")
     occurrences = written(rows.filter(long).select("c1", "c2", "text").mapInArrow(
         partial(_occurrences, unit=unit), "c1 long, c2 long, anchor long, low long, high long, gram long, known boolean"), "occurrences")
@@ -338,28 +336,31 @@ def _outcome(rows: DataFrame, unit: Unit) -> tuple[DataFrame, DataFrame]:
     spans = _intervals(affected, unit).unionByName(known.select("c1", "c2", "low", "high"))
     spans = spans.groupBy("c1", "c2").agg(F.collect_set(F.struct("low", "high")).alias("spans"))
     parted = (affected.filter("copies = 1").select("c1", "c2", "text").join(spans, ["c1", "c2"])
-              .mapInArrow(partial(_kept, unit=unit), "c1 long, c2 long, n_removed long, n_spans long, kept_sha256 string, kept binary"))
+              .mapInArrow(partial(_kept, unit=unit), "c1 long, c2 long, n_removed long, n_spans long, kept_sha256 string, kept string"))
     twice = classes.filter("copies > 1")
     if unit.words:  # whether a text has a window at all shows in its occurrences
         twice = twice.join(occurrences.select("c1", "c2").distinct(), ["c1", "c2"], "left_semi")
     whole = twice.select(
         "c1", "c2", F.col("n_bytes").alias("n_removed"), F.lit(1).cast("long").alias("n_spans"),
-        F.lit(hashlib.sha256(b"").hexdigest()).alias("kept_sha256"), F.lit(None).cast("binary").alias("kept"))
-    return ids, written(parted.unionByName(whole), "outcome")
+        F.lit(hashlib.sha256(b"").hexdigest()).alias("kept_sha256"), F.lit("").alias("kept"))
+    return written(parted.unionByName(whole), "outcome")
 
 
 def repeated_strings(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per input row: ``key``, n_bytes, n_removed, n_spans, kept_sha256.
+    """One row per input row: ``key``, n_bytes, n_removed, n_spans, kept_sha256, ``text``.
 
     Removed is each byte covered by a 400-byte string that also starts anywhere else in the
     texts (UTF-8), the same one included; strings are judged on the input.  A null text counts as
     empty; texts under 400 bytes keep everything.  A text of 400 bytes or more that occurs
-    twice is removed altogether, repeated rows included.  An empty table has no rows.  Other columns play no part.
+    twice is removed altogether, repeated rows included.  ``text`` is what is left of it, less the characters
+    that lost a byte ('' for a null text).  An empty table has no rows.  Other columns play no part.
     """
-    ids, outcome = _outcome(_with_class(docs, key, text), BYTES)
-    return ids.join(outcome.drop("kept"), ["c1", "c2"], "left").select(
-        F.col("key").alias(key), "n_bytes", F.coalesce("n_removed", F.lit(0)).alias("n_removed"),
-        F.coalesce("n_spans", F.lit(0)).alias("n_spans"), F.coalesce("kept_sha256", "sha256").alias("kept_sha256"))
+    rows = _with_class(docs, key, text)
+    sha256 = F.sha2(F.col("text").cast("binary"), 256)
+    return rows.join(_outcome(rows, BYTES), ["c1", "c2"], "left").select(
+        F.col("key").alias(key), F.octet_length("text").cast("long").alias("n_bytes"), F.coalesce("n_removed", F.lit(0)).alias("n_removed"),
+        F.coalesce("n_spans", F.lit(0)).alias("n_spans"), F.coalesce("kept_sha256", sha256).alias("kept_sha256"),
+        F.coalesce("kept", "text").alias(text))
 
 
 def without_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", unit: Unit = BYTES) -> DataFrame:
@@ -368,10 +369,9 @@ def without_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", un
     Removed are windows of ``unit`` that also stand elsewhere; windows of words repeat whatever white space parts them.
     A character of which a byte is removed goes altogether.  A null text stays null.
     """
-    _, outcome = _outcome(_with_class(docs, key, text), unit)
+    outcome = _outcome(_with_class(docs, key, text), unit)
     own = F.coalesce(F.col(text), F.lit(""))
-    readable = F.pandas_udf(lambda kept: kept.map(lambda b: (b or b"").decode("utf-8", "ignore")), "string")
-    kept = outcome.select(F.col("c1").alias("_c1"), F.col("c2").alias("_c2"), readable("kept").alias("_kept"))
+    kept = outcome.select(F.col("c1").alias("_c1"), F.col("c2").alias("_c2"), F.col("kept").alias("_kept"))
     joined = docs.join(kept, (F.xxhash64(own) == F.col("_c1")) & (F.xxhash64(F.lit(1), own) == F.col("_c2")), "left")
     new = F.when(F.col("_kept").isNull(), F.col(text)).otherwise(F.col("_kept"))
     return joined.select(*[(new.alias(c) if c == text else F.col(c)) for c in docs.columns])

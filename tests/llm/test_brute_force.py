@@ -393,14 +393,18 @@ def test_pipeline_against_plain_steps(spark, tmp_path):
     judged = {r["doc_id"]: r["predicted"] for r in queries.QUERIES["op1_quality"](spark, sf).collect()}
     assert sorted(r["doc_id"] for r in found[0]) == sorted(k for k, good in judged.items() if good)
     texts = {r["doc_id"]: r["text"] for r in found[0]}
-    _, group = groups(texts)
+    _, group = groups(texts, similar=80)
     assert sorted(r["doc_id"] for r in found[1]) == sorted(k for k in group if group[k] == k)
-    texts = {r["doc_id"]: r["text"] for r in found[1]}
-    marks = covered([t.encode() for t in texts.values()])
-    for (key, text), mark in zip(texts.items(), marks):
-        kept = bytes(b for b, m in zip(text.encode(), mark) if not m).decode("utf-8", "ignore")
+    texts, count = {r["doc_id"]: r["text"] for r in found[1]}, Counter()
+    for text in texts.values():
+        words = WORDS.findall(text.encode())
+        count.update(tuple(words[i:i + 51]) for i in range(len(words) - 50))
+    for key, text in texts.items():
+        words = WORDS.findall(text.encode())
+        gone = {j for i in range(len(words) - 50) if count[tuple(words[i:i + 51])] > 1 for j in range(i, i + 51)}
         row = next(r for r in found[2] if r["doc_id"] == key)
-        assert (row["text"], row["n_chars"]) == (kept, len(kept))
+        assert WORDS.findall(row["text"].encode()) == [w for j, w in enumerate(words) if j not in gone]
+        assert row["n_chars"] == len(row["text"]) and (gone or row["text"] == text)
     times = Counter(r["doc_id"] for r in found[3])
     sizes = {r["doc_id"]: len(WORDS.findall(r["text"].encode())) for r in found[2]}
     assert set(times) <= set(sizes) and max(times.values()) <= 3
@@ -413,6 +417,24 @@ def test_pipeline_against_plain_steps(spark, tmp_path):
         assert ids == ENCODING.encode_ordinary(texts[r["doc_id"]]) and len(ids) == r["n_tokens"]
 
 
+def test_pipeline_keeps_rows_without_an_id(spark):
+    texts = [(i if i % 2 else None, prose(9000 + i, 200 + i), "s" + str(i % 2)) for i in range(60)]
+    near = [(None, texts[1][1] + " more", "s0"), (None, texts[2][1] + " more", "s0"), (None, texts[4][1], "s0")]
+    docs = spark.createDataFrame(texts + near + [(None, None, "s1"), (None, "", "s1")], "doc_id long, text string, source string")
+    kept = corpus_pipeline.drop_near_duplicates(spark, docs, "").collect()
+    # a near copy of a document with an id goes, of two without one either goes
+    assert len(kept) == 62 and sum(r["doc_id"] is not None for r in kept) == 30
+    assert len({(r["text"] or "").removesuffix(" more") for r in kept}) == 61
+    unique = spark.createDataFrame(texts, docs.schema)
+    mixed = corpus_pipeline.mix_sources(spark, unique, "").collect()
+    size = Counter()
+    for r in mixed:
+        size[r["source"]] += len(r["text"].split())
+    total = sum(len(t.split()) for _, t, _ in texts)  # sources weigh 1 and 2
+    assert abs(size["s0"] - total / 3) < 300 and abs(size["s1"] - 2 * total / 3) < 300
+    assert {r["source"] for r in mixed if r["doc_id"] is None} == {"s0"}
+
+
 def test_pipeline_drops_copies_of_eighty_per_cent(spark):
     texts = {}
     for i in range(40):
