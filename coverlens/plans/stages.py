@@ -8,6 +8,7 @@ be repeated under the same batch name.
 from __future__ import annotations
 
 import datetime as dt
+import json
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,7 +17,7 @@ from coverlens import schemas as S
 from coverlens.functions import dates, html, text
 from coverlens.operators.lookup import pending
 from coverlens.plans.story import export_view, story_table
-from coverlens.sources import landing, writers
+from coverlens.sources import landing, snapshots, writers
 from coverlens.sources.dims import inline_rows
 
 
@@ -47,9 +48,10 @@ def latest_articles(articles: DataFrame) -> DataFrame:
     """One record per story where failures were retried: a success replaces them, else the earliest failure counts.
 
     The record is picked on narrow columns, combined map-side; bodies are read and moved once.
+    Of records of one moment a hash of their columns decides.
     """
-    best = articles.groupBy("story_id").agg(F.min(F.struct(~F.col("success"), "import_date", "error")).alias("_best"))
-    mine = F.struct(~F.col("success"), "import_date", "error")
+    mine = F.struct(~F.col("success"), "import_date", "error", F.xxhash64(*S.ARTICLE.names))
+    best = articles.groupBy("story_id").agg(F.min(mine).alias("_best"))
     return (articles.join(best, "story_id").filter(mine.eqNullSafe(F.col("_best"))).drop("_best")
             .dropDuplicates(["story_id"]))
 
@@ -127,18 +129,72 @@ def sentence_stage(spark: SparkSession, root: str, batch: str, keyword: str, run
     return added.agg(F.count("*").alias("n_checked"), F.count_if(F.col("sentence") != "").alias("n_found"))
 
 
+KEPT_SNAPSHOTS = 3  # of the story fact, the current one included
+
+
+def stories(spark: SparkSession, root: str) -> DataFrame:
+    """The story fact as of its newest snapshot."""
+    return snapshots.read(spark, f"{root}/story", S.STORY)
+
+
+def _outlet_state(outlets: DataFrame) -> str:
+    """Changes whenever a domain gets another outlet."""
+    row = outlets.agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("domain_name", "id")).alias("hash")).first()
+    return f"{row['n']}-{row['hash']}"
+
+
+def changed_staging(spark: SparkSession, root: str, batch: str, since: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Feed, article and sentence rows of all stories that the batches after ``since``, and ``batch`` itself, say something about.
+
+    Those batches are read by their folders.  Older folders are searched only for stories of which a part
+    is older, such as an article that was fetched before its sentence was looked for.
+    """
+    news = (F.col(writers.BATCH) > since) | (F.col(writers.BATCH) == batch)
+    stored = {name: landing.read_table(spark, f"{root}/{name}", writers.batched(schema)).withColumnRenamed(schema.names[0], "_id")
+              for name, schema in (("feed", S.FEED), ("article", S.ARTICLE), ("sentence", S.SENTENCE))}
+    new, old = ({name: frame.filter(side) for name, frame in stored.items()} for side in (news, ~news))
+    ids = new["feed"].select("_id").unionByName(new["article"].select("_id")).unionByName(new["sentence"].select("_id")).distinct()
+
+    def of_ids(name: str, complete_with: str) -> DataFrame:
+        # ids whose row of this kind may be in an older folder
+        elsewhere = ids.join(new[complete_with].select("_id").distinct(), "_id", "left_anti")
+        if elsewhere.isEmpty():
+            return new[name]
+        return new[name].unionByName(old[name].join(elsewhere, "_id", "left_semi"))
+
+    # a story whose article is new has no older sentence
+    feed, articles, sentences = of_ids("feed", "feed"), of_ids("article", "article"), of_ids("sentence", "article")
+    return (feed.withColumnRenamed("_id", "id").select(*S.FEED.names), articles.withColumnRenamed("_id", "story_id").select(*S.ARTICLE.names),
+            sentences.withColumnRenamed("_id", "story_id").select(*S.SENTENCE.names))
+
+
 def story_stage(spark: SparkSession, outlets: DataFrame, root: str, batch: str,
                 run_ts: dt.datetime | None) -> DataFrame:
-    stories = story_table(
-        landing.read_table(spark, f"{root}/feed", S.FEED),
-        latest_articles(landing.read_table(spark, f"{root}/article", S.ARTICLE)),
-        landing.read_table(spark, f"{root}/sentence", S.SENTENCE),
-        outlets, run_ts)
-    return writers.full_refresh(stories, f"{root}/story", batch).agg(F.count("*").alias("n_stories"))
+    """Take what the batches since the last snapshot brought into the story fact; n_stories counts all of it.
+
+    A URL's earliest record counts, so a stored story gives way only to an earlier record or to a new state of its own.
+    The whole fact is made anew the first time and when the outlets changed.  The last KEPT_SNAPSHOTS snapshots stay.
+    """
+    path = f"{root}/story"
+    last, state = snapshots.latest(spark, path), _outlet_state(outlets)
+    done = json.loads(last.note) if last else {}
+    note = json.dumps({"batch": max(batch, done.get("batch", "")), "outlets": state})
+    if done.get("outlets") == state:
+        feed, articles, sentences = changed_staging(spark, root, batch, done["batch"])
+        rows = S.conform(story_table(feed, latest_articles(articles), sentences, outlets, run_ts), S.STORY)
+        snapshots.merge(rows, path, S.STORY, "url", ["publish_date", "feed_id"], "feed_id", note, ignore=["edit_time"])
+    else:
+        everything = story_table(
+            landing.read_table(spark, f"{root}/feed", S.FEED),
+            latest_articles(landing.read_table(spark, f"{root}/article", S.ARTICLE)),
+            landing.read_table(spark, f"{root}/sentence", S.SENTENCE), outlets, run_ts)
+        snapshots.rebuild(S.conform(everything, S.STORY), path, S.STORY, "url", note, ignore=["edit_time"])
+    snapshots.expire(spark, path, KEPT_SNAPSHOTS)
+    return stories(spark, root).agg(F.count("*").alias("n_stories"))
 
 
 def export_stage(spark: SparkSession, outlets: DataFrame, root: str, batch: str) -> DataFrame:
-    writers.export(export_view(writers.current(spark, f"{root}/story"), outlets), f"{root}/export/{batch}")
+    writers.export(export_view(stories(spark, root), outlets), f"{root}/export/{batch}")
     return spark.read.parquet(f"{root}/export/{batch}/parquet").agg(F.count("*").alias("n_exported"))
 
 

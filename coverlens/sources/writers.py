@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 from coverlens import schemas as S
 from coverlens.operators.dedup import distinct_on
-from coverlens.operators.lookup import only_new
+from coverlens.sources import files, keyindex
 from coverlens.sources.landing import read_table
 
 BATCH = "batch"  # partition column of staging tables: one folder per run or micro-batch
@@ -43,10 +43,14 @@ def append_new(spark: SparkSession, rows: DataFrame, path: str, schema: T.Struct
     a half-done write, ends with the same rows.  Duplicates inside the batch keep the first
     by ``order``, then by a hash of the row, so that a recomputed task picks the
     same one.
+
+    What is stored is looked up in the table's key index, in the buckets that the batch
+    touches (``keyindex``), so an append costs what the batch holds.
     """
     if not re.fullmatch(r"[A-Za-z][\w\-]*", batch):
         raise ValueError("a batch name starts with a letter")
-    stored = read_table(spark, path, batched(schema)).filter(F.col(BATCH) != batch)
+    keyindex.finish_compaction(spark, path, schema, key)
+    keyindex.repair(spark, path, schema, key, without=batch)
     conformed = S.conform(rows, schema)
     refused = conformed.filter(F.col(key).isNull()).withColumn("reason", F.lit(f"no {key}"))
     if rejected is not None:
@@ -54,7 +58,11 @@ def append_new(spark: SparkSession, rows: DataFrame, path: str, schema: T.Struct
     refused.write.mode("overwrite").parquet(f"{path}-rejects/{BATCH}={batch}")
     candidates = distinct_on(conformed.filter(F.col(key).isNotNull()), [key], [*order, F.xxhash64(*schema.names)])
     folder = f"{path}/{BATCH}={batch}"
-    only_new(candidates, stored, key).write.mode("overwrite").parquet(folder)
+    stored = keyindex.lookup(spark, path, schema, key, conformed, without=batch)
+    # without an index until its rows are there: a run that stops in between is noticed by the next
+    keyindex.forget_batch(spark, path, batch)
+    candidates.join(stored, key, "left_anti").write.mode("overwrite").parquet(folder)
+    keyindex.index_batch(spark, path, schema, key, batch)
     return read_table(spark, folder, schema)
 
 
@@ -91,6 +99,20 @@ def current(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(f"{path}/data/{last['attempt']}")
 
 
+def expire_versions(spark: SparkSession, path: str, keep: int = 2) -> int:
+    """Remove all but the latest ``keep`` complete versions of a refreshed table and what failed attempts left; how many folders went.
+
+    Not to run while a refresh is being written."""
+    if keep < 1:
+        raise ValueError("keep at least the current version")
+    rows = spark.read.parquet(f"{path}/versions").orderBy(F.desc("written_at"), F.desc("version"), F.desc("attempt")).limit(keep)
+    kept = {r["attempt"] for r in rows.collect()}
+    gone = [name for name in files.folders(spark, f"{path}/data") if name not in kept]
+    for name in gone:
+        files.remove(spark, f"{path}/data/{name}")
+    return len(gone)
+
+
 def write_parquet(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 

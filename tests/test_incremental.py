@@ -200,7 +200,7 @@ def test_staged_run(spark):
     fourth = run_once(spark, root, rows, "r4", dt.date(2024, 1, 6), {**PAGES, "4": "<p>Acme at last.</p>"}, retry_failed=True)
     assert (fourth[("article", "n_ok")], fourth[("article", "n_failed")]) == (1, 0)
     assert (fourth[("sentence", "n_checked")], fourth[("story", "n_stories")]) == (1, 4)
-    stories = {r["url"]: r for r in writers.current(spark, f"{root}/story").collect()}
+    stories = {r["url"]: r for r in stages.stories(spark, root).collect()}
     assert stories["u4"]["body"] == "Acme at last." and stories["u3"]["body"] == "" and stories["u1"]["feed_id"] == "1"
     exported = writers.read_csv(spark, f"{root}/export/r4/csv_gzip", spark.read.parquet(f"{root}/export/r4/parquet").columns)
     assert exported.count() == 4
