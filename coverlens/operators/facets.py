@@ -51,7 +51,7 @@ TOTAL = "total"
 
 def crossfilter(df: DataFrame, dims: Sequence[str], selections: Selections,
                 extra: Column | None = None, tuples_first: bool = True,
-                with_total: bool = False) -> DataFrame:
+                with_total: bool = False, weight: str | None = None) -> DataFrame:
     """(dim, key, n): per dimension, the rows under the selections of all *other*
     dimensions.  Keys whose count drops to zero stay.
 
@@ -61,13 +61,13 @@ def crossfilter(df: DataFrame, dims: Sequence[str], selections: Selections,
     it each row is unfolded at once; right for independent, high-cardinality
     dimensions.  Either way counts combine map-side, so a hot key is no hot task.
     ``with_total`` adds a row of dimension "total" with all selections applied.
+    ``weight`` names a column with the number of rows that a row stands for.
     """
     every = F.lit(True) if extra is None else F.coalesce(extra, F.lit(False))
-    rows = df.select(*dims, every.alias("_extra"))
+    count = F.lit(1) if weight is None else F.col(weight)
+    rows = df.select(*dims, every.alias("_extra"), count.cast("bigint").alias("_n"))
     if tuples_first:
-        rows = rows.groupBy(*dims, "_extra").agg(F.count("*").alias("_n"))
-    else:
-        rows = rows.withColumn("_n", F.lit(1).cast("bigint"))
+        rows = rows.groupBy(*dims, "_extra").agg(F.sum("_n").alias("_n"))
 
     def cell(dim: str, key: Column, but: str | None) -> Column:
         mask = selected(selections, F.col("_extra"), but)
@@ -131,6 +131,29 @@ def nested_groups(df: DataFrame, properties: Sequence[str]) -> DataFrame:
     return df.groupBy(*properties).agg(F.count("*").alias("n"))
 
 
+def nested_tree(df: DataFrame, properties: Sequence[str], member: Sequence[str], order: Sequence[Column], top: int) -> DataFrame:
+    """One row per value of the first property: it, ``n`` (rows below) and ``children``, an array of structs of the same
+    make for the next property, sorted by value (null first); below the last one ``members``: the first ``top`` rows by ``order``.
+
+    Only ``top`` rows of an innermost group leave their tasks, so a group of any size stays cheap and its full
+    count stands beside them.  Levels are built from the inside out; each needs one aggregation of what the
+    level below left.  A property needs no more values below one parent than fit a row.
+    """
+    rank = F.row_number().over(Window.partitionBy(*properties).orderBy(*order))
+    first = df.select(*properties, *member, rank.alias("_rank")).filter(F.col("_rank") <= top)
+    listed = first.groupBy(*properties).agg(F.sort_array(F.collect_list(F.struct("_rank", *member))).alias("_members"))
+    listed = listed.select(*[F.col(p).alias(f"_{p}") for p in properties],
+                           F.transform("_members", lambda m: F.struct(*[m[c].alias(c) for c in member])).alias("members"))
+    counted = nested_groups(df, properties)
+    same = reduce(lambda a, b: a & b, [F.col(p).eqNullSafe(F.col(f"_{p}")) for p in properties])
+    level = counted.join(listed, same).select(*properties, "n", "members")
+    for depth in range(len(properties) - 1, 0, -1):
+        below = "members" if depth == len(properties) - 1 else "children"
+        node = F.struct(properties[depth], "n", below)
+        level = level.groupBy(*properties[:depth]).agg(F.sum("n").alias("n"), F.sort_array(F.collect_list(node)).alias("children"))
+    return level
+
+
 def outcome_rate(df: DataFrame, success: Column, *by: str) -> DataFrame:
     """ok, failed and success share (percent) per group."""
     return df.groupBy(*by).agg(

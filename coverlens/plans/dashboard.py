@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from coverlens.functions import display, text
+from coverlens.operators import facet_state
 from coverlens.operators import facets as fc
 
 # --- Fixed values: facet -> (title, number of bars), newest rows ---------------------
@@ -36,9 +37,21 @@ def dashboard(view: DataFrame, selections: Mapping[str, Sequence] | None = None,
     the selections pushed down; neither caches or sorts the table.  ``extra`` adds
     a predicate outside the facets, such as a keyword or a date range.
     """
+    return _shown(view, view, selections, tops, newest, extra)
+
+
+def dashboard_of_state(counted: DataFrame, view: DataFrame, selections: Mapping[str, Sequence] | None = None,
+                       tops: Mapping[str, int] | None = None, newest: int = NEWEST) -> Dashboard:
+    """``dashboard`` with the facets and the total from a facet state (``facet_state.read``): a click reads counts of
+    combinations, not rows.  Only the list reads the view."""
+    return _shown(counted, view, selections, tops, newest, weight=facet_state.COUNT)
+
+
+def _shown(counted: DataFrame, view: DataFrame, selections: Mapping[str, Sequence] | None, tops: Mapping[str, int] | None,
+           newest: int, extra: Column | None = None, weight: str | None = None) -> Dashboard:
     chosen = selections or {}
     tops = tops or {dim: n for dim, (_, n) in FACETS.items()}
-    counts = fc.crossfilter(view, list(tops), chosen, extra, with_total=True)
+    counts = fc.crossfilter(counted, list(tops), chosen, extra, with_total=True, weight=weight)
     return Dashboard(
         facets=fc.top_per_facet(counts, {**tops, fc.TOTAL: 1}),
         newest=fc.newest(view, chosen, "publish_date", "id", newest, extra),

@@ -9,14 +9,17 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from coverlens import schemas as S
 from coverlens.functions import dates, html, text
+from coverlens.operators import facet_state
 from coverlens.operators.lookup import pending
-from coverlens.plans.story import export_view, story_table
+from coverlens.plans import dashboard
+from coverlens.plans.story import export_view, story_table, web_view
 from coverlens.sources import landing, snapshots, writers
 from coverlens.sources.dims import inline_rows
 
@@ -193,6 +196,28 @@ def story_stage(spark: SparkSession, outlets: DataFrame, root: str, batch: str,
     return stories(spark, root).agg(F.count("*").alias("n_stories"))
 
 
+def facet_counts(spark: SparkSession, outlets: DataFrame, root: str, dims: Sequence[str] = tuple(dashboard.FACETS)) -> DataFrame:
+    """The facet state of the web view, brought up to the newest snapshot of the story fact: dims, ``n``.
+
+    Stories added since the last call count one, stories removed or changed minus one, so a call costs what changed.
+    The state starts anew when the outlets changed or its snapshot has expired.
+    """
+    path, now = f"{root}/story", snapshots.latest(spark, f"{root}/story")
+    state = f"{root}/facets/{_outlet_state(outlets)}-{'-'.join(dims)}"
+    if now is None:
+        return facet_state.read(spark, state, web_view(stories(spark, root), outlets).select(*dims).schema)
+    shown = lambda rows: web_view(rows, outlets).select(*dims)
+    reached = facet_state.latest(spark, state)
+    before = snapshots.at(spark, path, int(reached)) if reached else None
+    if before is None:
+        facet_state.reset(spark, state)
+        facet_state.add(shown(stories(spark, root)), None, state, now.name)
+    elif before.number < now.number:
+        added, removed = snapshots.changes(spark, path, S.STORY, "url", before, now)
+        facet_state.add(shown(added), shown(removed), state, now.name)
+    return facet_state.read(spark, state, shown(stories(spark, root)).schema)
+
+
 def export_stage(spark: SparkSession, outlets: DataFrame, root: str, batch: str) -> DataFrame:
     writers.export(export_view(stories(spark, root), outlets), f"{root}/export/{batch}")
     return spark.read.parquet(f"{root}/export/{batch}/parquet").agg(F.count("*").alias("n_exported"))

@@ -154,6 +154,27 @@ def merge(rows: DataFrame, path: str, schema: T.StructType, key: str, order: Seq
     return _commit(spark, path, Snapshot(number, parts, note, folders))
 
 
+def at(spark: SparkSession, path: str, number: int) -> Snapshot | None:
+    """The snapshot of that number, None where it has expired."""
+    name = Snapshot(number, 0).name
+    return _snapshot(spark, path, name) if name in files.complete(spark, f"{path}/snapshots") else None
+
+
+def changes(spark: SparkSession, path: str, schema: T.StructType, key: str, old: Snapshot, new: Snapshot) -> tuple[DataFrame, DataFrame]:
+    """(added, removed) rows from one snapshot to another; a row that changed is in both.
+
+    Only folders that one of the two has and the other has not are read.
+    """
+    def only(a: Snapshot, b: Snapshot) -> DataFrame:
+        differ = {part: [f for f in folders if f not in b.folders.get(part, [])] for part, folders in a.folders.items()}
+        return _read(spark, path, schema, Snapshot(a.number, a.parts, a.note, differ))
+
+    there, gone = only(new, old), only(old, new)
+    # what was only moved to another folder is on both sides
+    left = lambda a, b: a.join(b.select(key, HASH), [key, HASH], "left_anti").select(*schema.names)
+    return left(there, gone), left(gone, there)
+
+
 def expire(spark: SparkSession, path: str, keep: int = 3) -> int:
     """Remove all snapshots but the latest ``keep`` and every folder that none of these names; how many folders went.
 

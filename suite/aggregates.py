@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from coverlens.operators import dedup, facets
+from coverlens.operators import dedup, facet_state, facets
+from coverlens.session import work_path
 from coverlens.sources import landing
 from suite import star
 from suite.registry import query, table
@@ -64,6 +65,20 @@ def agg_crossfilter(spark, sf):
     return facets.crossfilter(event_rows(spark, sf), EVENT_DIMS, EVENT_SELECTIONS, tuples_first=False)
 
 
+@query("agg_facet_state", EVENT_FACETS_SQL)
+def agg_facet_state(spark, sf):
+    """The facets from counts of three changes; the second one takes back what the first got wrong."""
+    rows, path = event_rows(spark, sf), work_path(spark, "facet-state")
+    wrong = F.when(F.col("event_id") % 9 == 0, F.lit("misread")).otherwise(F.col("event_type")).alias("event_type")
+    first, second = rows.filter("event_id % 3 = 0"), rows.filter("event_id % 3 = 1")
+    facet_state.add(first.select(wrong, "hour", "user_id"), None, path, "1")
+    misread = first.filter("event_id % 9 = 0")
+    facet_state.add(second.unionByName(misread).select(*EVENT_DIMS), misread.select(F.lit("misread").alias("event_type"), "hour", "user_id"), path, "2")
+    facet_state.add(rows.filter("event_id % 3 = 2").select(*EVENT_DIMS), None, path, "3")
+    state = facet_state.read(spark, path, rows.select(*EVENT_DIMS).schema)
+    return facets.crossfilter(state, EVENT_DIMS, EVENT_SELECTIONS, weight=facet_state.COUNT)
+
+
 KEY_CAPS = {"event_type": 3, "hour": 100, "user_id": 160}
 
 
@@ -94,6 +109,20 @@ def agg_nested_groups(spark, sf):
     return facets.nested_groups(table(spark, sf, "documents"), ["lang", "source"])
 
 
+@query("agg_nested_tree", """
+WITH leaf AS (SELECT lang, source, n_chars % 3 AS third, count(*) AS n, list(doc_id ORDER BY n_chars DESC, doc_id)[:2] AS members FROM documents GROUP BY ALL),
+mid AS (SELECT lang, source, sum(n) AS n, string_agg('/' || third || '=' || n || '(' || array_to_string(members, ' ') || ')', '' ORDER BY third) AS children
+        FROM leaf GROUP BY ALL)
+SELECT lang, sum(n)::BIGINT AS n, string_agg(source || '=' || n || children, ';' ORDER BY source) AS tree FROM mid GROUP BY lang""")
+def agg_nested_tree(spark, sf):
+    docs = table(spark, sf, "documents").withColumn("third", F.col("n_chars") % 3)
+    tree = facets.nested_tree(docs, ["lang", "source", "third"], ["doc_id", "n_chars"], [F.desc("n_chars"), F.asc("doc_id")], 2)
+    ids = lambda members: F.array_join(F.transform(members, lambda m: m["doc_id"].cast("string")), " ")
+    third = lambda t: F.concat(F.lit("/"), t["third"].cast("string"), F.lit("="), t["n"].cast("string"), F.lit("("), ids(t["members"]), F.lit(")"))
+    source = lambda s: F.concat(s["source"], F.lit("="), s["n"].cast("string"), F.array_join(F.transform(s["children"], third), ""))
+    return tree.select("lang", "n", F.array_join(F.transform("children", source), ";").alias("tree"))
+
+
 @query("agg_outcome_rate", """
 SELECT event_type, count(*) FILTER (WHERE value > 10) AS n_ok, count(*) FILTER (WHERE value <= 10) AS n_failed,
        count(*) FILTER (WHERE value > 10) * 100.0::DOUBLE / count(*) AS pct_ok FROM events GROUP BY event_type""")

@@ -6,9 +6,12 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
+from coverlens import schemas as S
 from coverlens.operators import audit
 from coverlens.plans import dashboard as board
-from coverlens.plans import story
+from coverlens.plans import stages, story
+from coverlens.session import work_path
+from coverlens.sources import snapshots
 from suite import star
 from suite.aggregates import crossfilter_sql
 from suite.registry import query, table
@@ -105,6 +108,35 @@ def dashboard(spark, sf):
     return whole_board(board.dashboard(star.written_view(spark, sf), BOARD_SELECTIONS))
 
 
+def grown_fact(spark, sf, root, after=lambda: None):
+    """The story fact in three batches: some stories first come with another text, one URL in seven only with the last."""
+    stories = S.conform(star.stories(spark, sf), S.STORY)
+    late, changed = F.pmod(F.xxhash64("url"), F.lit(7)) == 0, F.pmod(F.xxhash64("url"), F.lit(5)) == 0
+    first = stories.filter(~late).withColumns({
+        "body": F.when(changed, "").otherwise(F.col("body")),
+        "media_outlet_id": F.when(changed, S.DEFAULT_ID).otherwise(F.col("media_outlet_id"))})
+    for rows in (first, stories.filter(~late & changed), stories):
+        snapshots.merge(rows, f"{root}/story", S.STORY, "url", ["publish_date", "feed_id"], "feed_id", ignore=["edit_time"])
+        after()
+
+
+@query("sink_snapshot_merge", star.story_sql("SELECT * FROM story"))
+def sink_snapshot_merge(spark, sf):
+    root = work_path(spark, "grown")
+    grown_fact(spark, sf, root)
+    snapshots.expire(spark, f"{root}/story", 1)
+    return stages.stories(spark, root)
+
+
+@query("dashboard_state", whole_board_sql())
+def dashboard_state(spark, sf):
+    """The dashboard from facet counts that followed the fact through its batches."""
+    root, outlets = work_path(spark, "grown"), star.outlets(spark, sf)
+    grown_fact(spark, sf, root, lambda: stages.facet_counts(spark, outlets, root))
+    counted = stages.facet_counts(spark, outlets, root)
+    return whole_board(board.dashboard_of_state(counted, story.web_view(stages.stories(spark, root), outlets), BOARD_SELECTIONS))
+
+
 @query("dashboard_filtered", whole_board_sql(
     "publish_date BETWEEN DATE '1996-01-01' AND DATE '1999-12-31' AND contains(lower(title || ' ' || sentence), 'returned')"))
 def dashboard_filtered(spark, sf):

@@ -129,19 +129,29 @@ pstory AS (SELECT f.*, b.body, coalesce(l.summary, '') AS summary, {sql_strip(ST
   FROM pfeed f JOIN ({SQL_BODY}) b USING (page_id) LEFT JOIN ({SQL_SUMMARY}) l USING (page_id) LEFT JOIN ({SQL_PAGE_HITS}) h USING (page_id))"""
 
 
-@query("five_stage_run", star.with_sql("""
+SQL_EXPORTED = star.with_sql("""
 SELECT id, publish_date AS "publishDate", title, url, '' AS authors, '' AS image, summary, 'en' AS language, 'The ' || host AS "mediaOutlet",
   CASE WHEN starts_with(host, 'blog.') THEN 'Blog' ELSE 'Web Publication' END AS "mediaOutletType",
   CASE WHEN host LIKE '%.org' THEN 'National' WHEN host LIKE '%.net' THEN 'Texas' ELSE 'Ohio' END AS state,
   CASE WHEN host LIKE '%.org' THEN '' WHEN host LIKE '%.net' THEN 'TX' ELSE 'OH' END AS "stateCode",
   CASE WHEN starts_with(host, 'www.') THEN 'Left' ELSE 'Center' END AS "biasRating", sentence, 'None' AS syndicator
 FROM (SELECT DISTINCT ON (url) * FROM pstory ORDER BY url, publish_date, page_id::VARCHAR) WHERE NOT starts_with(host, 'm.')""",
-    SQL_PAGE_FEED, SQL_PAGE_STORY))
+    SQL_PAGE_FEED, SQL_PAGE_STORY)
+
+
+@query("five_stage_run", SQL_EXPORTED)
 def five_stage_run(spark, sf):
     root, _ = staged_runs(spark, sf, [("r1", *MONTH)])
     return spark.read.parquet(f"{root}/export/r1/parquet")
 
 
+@query("five_stage_second_run", SQL_EXPORTED)
+def five_stage_second_run(spark, sf):
+    """The export after a second batch that the fact took in."""
+    root, _ = staged_runs(spark, sf, [("r1", MONTH[0], MID_MONTH), ("r2", None, MONTH[1])])
+    return spark.read.parquet(f"{root}/export/r2/parquet")
+
+
 def _metrics_sql() -> str:
     """One row per batch and metric; the second pull starts on the first one's last day."""
     parts = []

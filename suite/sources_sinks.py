@@ -6,10 +6,11 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
+from coverlens import schemas as S
 from coverlens.functions import text
 from coverlens.plans import story
 from coverlens.session import work_path
-from coverlens.sources import dims, landing, writers
+from coverlens.sources import dims, keyindex, landing, paged, writers
 from suite import star
 from suite.registry import query, table
 
@@ -26,6 +27,20 @@ def src_landing_feed(spark, sf):
     return taken.withColumn("reason", F.lit(None).cast("string")).unionByName(landing.undated(landing.read_feed(spark, path)))
 
 
+@query("src_paged_feed", star.with_sql("SELECT * FROM feed", star.SQL_FEED))
+def src_paged_feed(spark, sf):
+    """The feed landed as pages of a chain, read back along the tokens."""
+    feed, pages, path = star.feed(spark, sf), 12, work_path(spark, "pages")
+    page = F.pmod(F.xxhash64("id"), F.lit(pages)).cast("int")
+    token = lambda i: F.when(i == 0, F.lit(paged.FIRST)).otherwise(F.md5(i.cast("string")))
+    lines = feed.select(page.alias("i"), F.to_json(F.struct(*feed.columns)).alias("value"), F.lit(1).alias("order"))
+    heads = spark.range(pages).select(F.col("id").cast("int").alias("i"), F.to_json(F.struct(
+        F.when(F.col("id") < pages - 1, token(F.col("id").cast("int") + 1)).alias("next"))).alias("value"), F.lit(0).alias("order"))
+    (heads.unionByName(lines).withColumn("page", token(F.col("i"))).repartition(pages, "page").sortWithinPartitions("page", "order")
+     .select("page", "value").write.partitionBy("page").text(path))
+    return paged.read_pages(spark, path, S.FEED)
+
+
 @query("src_term_query", """
 SELECT doc_id, lang, source FROM documents
 WHERE contains(lower(text), 'there') OR contains(lower(text), 'elle')""")
@@ -146,6 +161,17 @@ def sink_append_new(spark, sf):
             .unionByName(writers.rejects(spark, path, docs.schema, "second").withColumn("batch", F.lit(None).cast("string"))))
 
 
+@query("sink_append_compacted", "SELECT doc_id, text, lang, source FROM documents")
+def sink_append_compacted(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "text", "lang", "source")
+    path = work_path(spark, "compacted")
+    for i in range(3):  # every batch repeats what earlier ones brought
+        writers.append_new(spark, docs.filter(F.col("doc_id") % 4 <= i), path, docs.schema, "doc_id", f"b{i}")
+    keyindex.compact(spark, path, docs.schema, "doc_id", "b1")
+    writers.append_new(spark, docs, path, docs.schema, "doc_id", "b3")
+    return landing.read_table(spark, path, docs.schema).select(*docs.columns)
+
+
 @query("sink_full_refresh", star.story_sql("SELECT * FROM story"))
 def sink_full_refresh(spark, sf):
     path = work_path(spark, "story")

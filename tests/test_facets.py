@@ -156,3 +156,49 @@ def test_lost_and_unmatched(spark):
     stories = spark.createDataFrame([("a.com",), ("x.com",), ("x.com",), (None,)], "media_url string")
     got = audit.unmatched_domains(stories, dims.outlet_dimension(spark, staged))
     assert {tuple(r) for r in got.collect()} == {("x.com", 2), (None, 1)}
+
+
+# --- facet state and nesting ------------------------------------------------------------
+
+def test_facet_state_equals_one_scan(spark):
+    from coverlens.operators import facet_state
+    from coverlens.session import work_path
+    from coverlens.sources import files
+
+    rows, path = frame(spark), work_path(spark, "state")
+    dims_of = lambda f: f.select(*DIMS)
+    state = lambda: facet_state.read(spark, path, dims_of(rows).schema)
+    assert state().count() == 0 and facet_state.latest(spark, path) is None
+    facet_state.add(dims_of(rows.filter("id < 100")), None, path, "1")
+    wrong = rows.filter("id BETWEEN 100 AND 200").withColumn("a", F.lit("only wrong"))
+    facet_state.add(dims_of(wrong), None, path, "2")
+    for _ in range(2):  # made again: counts once
+        facet_state.add(dims_of(rows.filter("id >= 100")), dims_of(wrong), path, "3")
+    facet_state.add(dims_of(rows), None, path, "4")
+    files.remove(spark, f"{path}/change=4/_SUCCESS")  # stopped while it was written
+    assert facet_state.latest(spark, path) == "3"
+    for selections in CASES:
+        expected = {**brute(selections), ("total", ""): facets.total(rows, selections).first()["n"]}
+        for tuples_first in (True, False):
+            got = facets.crossfilter(state(), DIMS, selections, with_total=True, weight="n", tuples_first=tuples_first)
+            assert {(r["dim"], r["key"]): r["n"] for r in got.collect()} == expected
+    files.remove(spark, f"{path}/change=4")
+    before = sorted(map(str, state().collect()))
+    facet_state.compact(spark, path, dims_of(rows).schema)
+    assert sorted(map(str, state().collect())) == before and files.folders(spark, path) == ["change=3"]
+
+
+def test_nested_tree(spark):
+    rows = frame(spark)
+    got = facets.nested_tree(rows, DIMS, ["id"], [F.desc("id")], 2).collect()
+    by = lambda i: sorted({r[i] for r in ROWS}, key=lambda v: (v is not None, v))
+    seen = {r["a"]: r for r in got}
+    for a in by(0):
+        mine = [r for r in ROWS if r[0] == a]
+        assert seen[a]["n"] == len(mine) and [c["b"] for c in seen[a]["children"]] == [b for b in by(1) if any(r[1] == b for r in mine)]
+        for middle in seen[a]["children"]:
+            assert middle["n"] == sum(r[1] == middle["b"] for r in mine)
+            for inner in middle["children"]:
+                ids = sorted((r[3] for r in mine if r[1] == middle["b"] and r[2] == inner["c"]), reverse=True)
+                assert (inner["n"], [m["id"] for m in inner["members"]]) == (len(ids), ids[:2])
+    assert facets.nested_tree(rows.limit(0), DIMS, ["id"], [F.desc("id")], 2).collect() == []

@@ -246,3 +246,32 @@ def test_changed_outlets_make_the_fact_anew(spark):
     for i in range(4):
         run(spark, root, f"s{i}", feed_of(spark, [(50 + i, 11, 50 + i)]), pages, more)
     assert len(files.folders(spark, f"{root}/story/snapshots")) == stages.KEPT_SNAPSHOTS and len(facts(spark, root)) == 10
+
+
+def test_facet_counts_follow_the_fact(spark):
+    from coverlens.operators import facet_state, facets
+    from coverlens.plans import dashboard
+
+    root, outlets = work_path(spark, "runs"), outlets_of(spark, [f"s{i}.example.com" for i in range(0, 90, 2)])
+    dims_ = list(dashboard.FACETS)
+    pages = pages_of(spark, range(90))
+    one_scan = lambda known: {(r["dim"], r["key"]): r["n"] for r in facets.crossfilter(
+        story.web_view(stages.stories(spark, root), known), dims_, {}, with_total=True).collect()}
+    counted = lambda known: {(r["dim"], r["key"]): r["n"] for r in facets.crossfilter(
+        stages.facet_counts(spark, known, root), dims_, {}, with_total=True, weight=facet_state.COUNT).collect()}
+    assert stages.facet_counts(spark, outlets, root).count() == 0
+    run(spark, root, "r1", feed_of(spark, [(i, 10, i) for i in range(20)]), pages, outlets)
+    assert counted(outlets) == one_scan(outlets) and one_scan(outlets)["total", ""] == 20
+    # one URL's story gives way to an earlier record that names another outlet
+    moved = [("00", 10, 4)] + [(i, 12, i) for i in range(30, 40)]
+    feed = feed_of(spark, moved).withColumn("media_url", F.when(F.col("id") == "id00", "s6.example.com").otherwise(F.col("media_url")))
+    run(spark, root, "r2", feed, pages, outlets)
+    assert counted(outlets) == one_scan(outlets) and one_scan(outlets)["media_outlet", "Outlet s6.example.com"] == 2
+    assert ("media_outlet", "Outlet s4.example.com") not in counted(outlets)
+    assert counted(outlets) == one_scan(outlets)  # nothing new
+    for i in range(stages.KEPT_SNAPSHOTS + 1):  # the state's snapshot expires
+        run(spark, root, f"s{i}", feed_of(spark, [(50 + i, 13, 50 + i)]), pages, outlets)
+    assert counted(outlets) == one_scan(outlets)
+    more = outlets_of(spark, ["s1.example.com"])
+    run(spark, root, "t1", feed_of(spark, [(80, 14, 80)]), pages, more)
+    assert counted(more) == one_scan(more)
