@@ -29,7 +29,7 @@ def leaf_of(*values: Column) -> Column:
                              for v in values]), 256)
 
 
-def _numbered(rows: DataFrame, order: list[str]) -> DataFrame:
+def numbered(rows: DataFrame, order: list[str]) -> DataFrame:
     """``rows`` with ``idx`` (place within its tree, from 0) and ``width`` (rows of the tree).
 
     ``tree`` is never null.  Equal rows are told apart by a number that the written table fixes.
@@ -157,12 +157,12 @@ def manifest(docs: DataFrame, fields: tuple[str, ...] = FIELDS, key: str = "doc_
     tree = F.coalesce(F.concat(F.lit("="), F.col(source)), F.lit(""))  # keeps the order, null first
     payload = F.struct(F.col(key).alias("key"), *[c.alias(name) for name, c in carry.items()])
     rows = docs.select(tree.alias("tree"), leaf_of(*[F.col(f) for f in fields]).alias("digest"), payload.alias("payload"))
-    rows = _numbered(rows.withColumn("order", F.col("payload.key")), ["order", "digest"]).drop("order")
+    rows = numbered(rows.withColumn("order", F.col("payload.key")), ["order", "digest"]).drop("order")
     leaves, inner, tops, height = _build(rows)
     leaves = _reached(leaves, inner, height)
 
     subroots = tops.select(F.lit("").alias("tree"), F.col("tree").alias("order"), "digest")
-    numbered = _numbered(subroots, ["order"]).withColumnRenamed("order", "payload")
+    numbered = numbered(subroots, ["order"]).withColumnRenamed("order", "payload")
     upper, upper_inner, root, upper_height = _build(numbered)
     upper = written(_reached(upper, upper_inner, upper_height).select(
         F.col("payload").alias("tree"), F.col("digest").alias("subroot"), F.col("segment").alias("_segment"), F.col("shape").alias("_shape")), "subroots")

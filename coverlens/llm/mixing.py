@@ -9,18 +9,20 @@ then served by whole repetitions and a seeded choice of documents for the rest.
 from __future__ import annotations
 
 import heapq
+import math
 from collections import defaultdict
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from coverlens.llm.common import hash_order, words_of, written
+from coverlens.llm.merkle import numbered
 
 REPEATS = 3        # a document is taken at most so many times, a source so many times its size
 WEIGHTS = (1, 2, 3)
 SEED = "mix-1"
 FILL_ROUNDS = 4    # passes that fill a pattern's remainder with documents that still fit
-MAX_PATTERNS = 20_000  # distinct memberships the flow is solved for; more are refused, not cut
+MAX_PATTERNS = 20_000  # memberships sharing sources that the flow is solved for; more are refused, not cut
 
 
 def water_fill(total: int, sizes: list[int], weights: list[int], repeats: int = REPEATS) -> list[float]:
@@ -125,6 +127,52 @@ def _flow_of_part(part, capacity, members, quota, repeats, sent) -> None:
         left[goal] -= amount
 
 
+def _shares(sizes: DataFrame, total: int, weights: tuple[int, ...], repeats: int) -> DataFrame:
+    """``water_fill`` over a table of sources (source, size): adds ``target``.
+
+    Shares that stop leave more to the others, so the sources that stop only become more; two sums a pass go to the driver.
+    """
+    in_order = sizes.select(F.lit("").alias("tree"), F.isnull("source").alias("last"), "source", "size")
+    cycle = F.array(*[F.lit(w) for w in weights])
+    weighted = written(numbered(in_order, ["last", "source"]).select(
+        "source", "size", F.get(cycle, (F.col("idx") % len(weights)).cast("int")).alias("w")), "weights")
+    whole = lambda c: c.cast("decimal(38,0)")
+    full, rest, weight = F.lit(False), total, None
+    while True:
+        sums = weighted.filter(~full).agg(F.sum(whole(F.col("w"))).alias("w")).first()
+        given = weighted.filter(full).agg(F.sum(whole(F.col("size"))).alias("n")).first()["n"] or 0
+        rest = total - repeats * int(given)
+        if int(sums["w"] or 0) == (weight or 0):
+            break
+        weight = int(sums["w"])
+        stops = whole(F.col("size")) * F.lit(repeats * weight).cast("decimal(38,0)") <= whole(F.col("w")) * F.lit(rest).cast("decimal(38,0)")
+        full = full | stops
+    share = F.lit(float(rest)) * F.col("w") / F.lit(float(weight or 1))
+    return weighted.select("source", "size", F.when(full, (F.col("size") * repeats).cast("double")).otherwise(share).alias("target"))
+
+
+def _flow(patterns: DataFrame, shares: DataFrame, repeats: int) -> DataFrame:
+    """(of, words): what each of the patterns that share sources sends, by min-cost flow on the driver.
+
+    Patterns of one source that no other pattern names need no flow and are left out."""
+    named = patterns.select("of", F.explode("pattern").alias("source"))
+    joint = patterns.filter(F.size("pattern") > 1).select(F.explode("pattern").alias("source")).distinct()
+    same = lambda a, b: a["source"].eqNullSafe(b["source"])
+    mine = named.join(joint, same(named, joint), "left_semi").select("of").distinct()
+    found = patterns.join(mine, "of").limit(MAX_PATTERNS + 1).collect()
+    if len(found) > MAX_PATTERNS:
+        raise ValueError(f"more than {MAX_PATTERNS} memberships that share sources")
+    # sources of these patterns, at most as many as they name
+    quotas = [(r["source"], int(r["target"])) for r in shares.join(joint, same(shares, joint), "left_semi").collect()]
+    in_order = lambda s: (s is None, s or "")
+    place = {s: i for i, (s, _) in enumerate(sorted(quotas, key=lambda q: in_order(q[0])))}
+    found = sorted(found, key=lambda p: [in_order(s) for s in sorted(p["pattern"], key=in_order)])
+    members = [[place[s] for s in sorted(p["pattern"], key=in_order)] for p in found]
+    quota = [t for _, t in sorted(quotas, key=lambda q: in_order(q[0]))]
+    sent = min_cost_flow([int(p["size"]) for p in found], members, quota, repeats)
+    return patterns.sparkSession.createDataFrame([(p["of"], sum(s.values())) for p, s in zip(found, sent)], "of string, words long")
+
+
 def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source",
         seed: str = SEED, weights: tuple[int, ...] = WEIGHTS, repeats: int = REPEATS) -> DataFrame:
     """One row per input row: ``key``, size, source_size, target, taken (words the mix takes).
@@ -134,37 +182,39 @@ def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str =
     times.  A null or empty text has size 0 and nothing to take; an empty array of sources takes no
     part.  For an array, source_size and target are those of its first source.  Rows of equal key
     are ordered by size; equal rows are interchangeable.  An empty table has no rows.
+
+    There may be any number of sources.  Only memberships that share sources with others, at most
+    MAX_PATTERNS, go through the flow; a source of its own sends its target.
     """
     many = dict(docs.dtypes)[source].startswith("array")
     pattern = F.array_sort(F.array_distinct(F.col(source))) if many else F.array(F.col(source))
+    pattern = F.coalesce(pattern, F.array(F.lit(None).cast("string")))
     rows = written(docs.select(
         F.col(key).alias("key"), F.size(words_of(F.col(text))).cast("long").alias("size"),
-        F.coalesce(pattern, F.array(F.lit(None).cast("string"))).alias("pattern")).withColumn(
+        pattern.alias("pattern"), F.to_json(F.struct(pattern.alias("p"))).alias("of")).withColumn(
         "ord", hash_order(F.lit(seed), F.coalesce(F.col("key").cast("string"), F.lit("")))), "mix-rows")
 
-    found = rows.groupBy("pattern").agg(F.sum("size").alias("size")).limit(MAX_PATTERNS + 1).collect()
-    if len(found) > MAX_PATTERNS:
-        raise ValueError(f"more than {MAX_PATTERNS} distinct memberships")
-    in_order = lambda s: (s is not None and 0 or 1, s or "")
-    patterns = sorted(((tuple(sorted(p["pattern"], key=in_order)), int(p["size"])) for p in found),
-                      key=lambda p: [in_order(s) for s in p[0]])
-    sources = sorted({s for p, _ in patterns for s in p}, key=in_order)
-    place = {s: i for i, s in enumerate(sources)}
-    sizes, members = [0] * len(sources), [[place[s] for s in p] for p, _ in patterns]
-    for (_, n), own in zip(patterns, members):
-        for i in own:
-            sizes[i] += n
-    total = sum(n for (_, n), own in zip(patterns, members) if own)
-    targets = water_fill(total, sizes, [weights[i % len(weights)] for i in range(len(sources))], repeats)
-    flow = min_cost_flow([n for _, n in patterns], members, [int(t) for t in targets], repeats)
-
-    plan = []
-    for (names, n), own, sent in zip(patterns, members, flow):
-        whole, rest = divmod(sum(sent.values()), n) if n else (0, 0)
-        first = own[0] if own else None
-        plan.append({"pattern": list(names), "source_size": sizes[first] if own else 0,
-                     "target": targets[first] if own else 0.0, "whole": whole, "rest": rest, "rounds": []})
-    chosen = _seeded_choice(rows, plan)
+    patterns = written(rows.groupBy("of").agg(F.first("pattern").alias("pattern"), F.sum("size").alias("size"),
+                                              F.count("*").alias("rows")), "patterns")
+    sizes = patterns.select(F.explode("pattern").alias("source"), "size").groupBy("source").agg(F.sum("size").alias("size"))
+    total = patterns.filter(F.size("pattern") > 0).agg(F.sum("size")).first()[0] or 0
+    shares = written(_shares(sizes, int(total), weights, repeats), "shares")
+    # nulls stand at the end of a sorted array, as their source does
+    first = F.get("pattern", F.lit(0))
+    named = patterns.withColumn("first", first).join(
+        shares.select(F.col("source").alias("_source"), F.col("size").alias("source_size"), "target"),
+        first.eqNullSafe(F.col("_source")) & (F.size("pattern") > 0), "left")
+    words = F.when(F.size("pattern") == 1, F.floor("target")).otherwise(0)
+    if many:
+        named = named.join(_flow(patterns, shares, repeats), "of", "left")
+        words = F.coalesce(F.col("words"), words)
+    some = F.col("size") > 0
+    plan = written(named.select(
+        "of", F.coalesce("source_size", F.lit(0)).alias("source_size"), F.coalesce("target", F.lit(0.0)).alias("target"),
+        F.when(some, F.floor(words / F.col("size"))).otherwise(0).cast("long").alias("whole"),
+        F.when(some, F.pmod(words, F.col("size"))).otherwise(0).cast("long").alias("rest"), "rows",
+        F.array().cast(ROUND).alias("rounds")).withColumn("open", F.col("rest")), "plan")
+    chosen = _seeded_choice(rows.drop("pattern"), plan)
     return chosen.select(F.col("key").alias(key), "size", "source_size", "target",
                          (F.col("size") * (F.col("whole") + F.col("chosen").cast("long"))).alias("taken"))
 
@@ -172,60 +222,48 @@ def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str =
 ROUND = "array<struct<rest:long,bucket:string,ord:string,size:long>>"
 
 
-def _seeded_choice(rows: DataFrame, plan: list[dict]) -> DataFrame:
+def _seeded_choice(rows: DataFrame, plan: DataFrame) -> DataFrame:
     """Adds the plan's columns and ``chosen``: documents, in seeded order, that fill their pattern's rest.
 
-    A round takes, of the documents not above what is left, the first ones that fit together;
+    A round takes, of the documents not above what is left (``open``), the first ones that fit together;
     what it leaves is for the next round's smaller documents.  A round is described by one
-    place in the order per pattern, found from sums per hash bucket and within one bucket.
+    place in the order per pattern, found from sums per hash bucket and within one bucket.  There are about as many
+    buckets as rows in a bucket of the largest pattern, so neither window grows as the pattern does.
     """
-    spark = rows.sparkSession
-    left = [p["rest"] for p in plan]
+    largest = plan.agg(F.max("rows")).first()[0] or 1
+    digits = max(1, math.ceil(math.log(largest, 16) / 2))
+    bucket = F.substring("ord", 1, digits)
     for _ in range(FILL_ROUNDS):
-        if not any(left):
+        if plan.filter("open > 0").isEmpty():
             break
-        state = _with_plan(spark, rows, plan)
-        ahead = spark.createDataFrame([(p["pattern"], n) for p, n in zip(plan, left) if n],
-                                      "of array<string>, rest_now long")
-        open_rows = (state.filter(~F.col("chosen") & (F.col("size") > 0))
-                     .join(F.broadcast(ahead), F.col("pattern").eqNullSafe(F.col("of")))
-                     .filter("size <= rest_now").select("pattern", "rest_now", "ord", "size", _bucket().alias("bucket")))
-        buckets = open_rows.groupBy("pattern", "rest_now", "bucket").agg(F.sum("size").alias("words"))
-        upto = F.sum("words").over(Window.partitionBy("pattern").orderBy("bucket"))
-        edges = (buckets.withColumn("upto", upto).filter("upto > rest_now")
-                 .groupBy("pattern").agg(F.min_by(F.struct("bucket", (F.col("upto") - F.col("words")).alias("before")),
-                                                  "bucket").alias("edge"))
-                 .select(F.col("pattern").alias("of"), F.col("edge.bucket").alias("edge"), "edge.before"))
-        edge_rows = open_rows.join(F.broadcast(edges), F.col("pattern").eqNullSafe(F.col("of")) & (F.col("bucket") == F.col("edge")))
+        state = _with_plan(rows, plan, bucket)
+        open_rows = (state.filter(~F.col("chosen") & (F.col("size") > 0) & (F.col("size") <= F.col("open")))
+                     .select("of", "open", "ord", "size", bucket.alias("bucket")))
+        buckets = open_rows.groupBy("of", "open", "bucket").agg(F.sum("size").alias("words"))
+        upto = F.sum("words").over(Window.partitionBy("of").orderBy("bucket"))
+        edges = (buckets.withColumn("upto", upto).filter("upto > open")
+                 .groupBy("of").agg(F.min_by(F.struct("bucket", (F.col("upto") - F.col("words")).alias("before")), "bucket").alias("edge"))
+                 .select("of", F.col("edge.bucket").alias("bucket"), "edge.before"))
+        edge_rows = open_rows.join(edges, ["of", "bucket"])
         # rows of equal key and size stand or fall together
-        inside = F.sum("size").over(Window.partitionBy("pattern").orderBy("ord", "size")
+        inside = F.sum("size").over(Window.partitionBy("of").orderBy("ord", "size")
                                     .rangeBetween(Window.unboundedPreceding, Window.currentRow))
-        last = (edge_rows.withColumn("upto", F.col("before") + inside)
-                .groupBy("pattern", "edge").agg(
-                    F.max(F.when(F.col("upto") <= F.col("rest_now"), F.struct("ord", "size"))).alias("last")))
-        marks = {tuple(r["pattern"]): (r["edge"], *(r["last"] or ("", 0))) for r in last.collect()}
-        for p, n in zip(plan, left):
-            p["rounds"] = p["rounds"] + [(n, *marks.get(tuple(p["pattern"]), ("~", "", 0)))]
-        now = (_with_plan(spark, rows, plan).filter("chosen").groupBy("pattern").agg(F.sum("size").alias("words")).collect())
-        words = {tuple(r["pattern"]): r["words"] for r in now}
-        left = [p["rest"] - words.get(tuple(p["pattern"]), 0) for p in plan]
-    return _with_plan(spark, rows, plan)
-
-
-def _bucket() -> Column:
-    return F.substring("ord", 1, 3)
-
-
-def _with_plan(spark, rows: DataFrame, plan: list[dict]) -> DataFrame:
-    """The rows with their pattern's plan (at most MAX_PATTERNS rows) and whether a round so far took them."""
-    names = ["pattern", "source_size", "target", "whole", "rest", "rounds"]
-    known = spark.createDataFrame([tuple(p[n] for n in names) for p in plan],
-                                  f"of array<string>, source_size long, target double, whole long, rest long, rounds {ROUND}")
+        marks = (edge_rows.withColumn("upto", F.col("before") + inside).groupBy("of", "bucket").agg(
+            F.max(F.when(F.col("upto") <= F.col("open"), F.struct("ord", "size"))).alias("last")))
+        # without an edge all that is open fits
+        mark = F.struct(F.col("open").alias("rest"), F.coalesce("bucket", F.lit("~")).alias("bucket"),
+                        F.coalesce("last.ord", F.lit("")).alias("ord"), F.coalesce("last.size", F.lit(0)).cast("long").alias("size"))
+        marked = written(plan.join(marks, "of", "left").withColumn("rounds", F.concat("rounds", F.array(mark))).select(*plan.columns), "plan")
+        taken = _with_plan(rows, marked, bucket).filter("chosen").groupBy("of").agg(F.sum("size").alias("_words"))
+        plan = written(marked.join(taken, "of", "left").withColumn("open", F.col("rest") - F.coalesce("_words", F.lit(0))).select(*plan.columns), "plan")
+    return _with_plan(rows, plan, bucket)
+
+
+def _with_plan(rows: DataFrame, plan: DataFrame, bucket: Column) -> DataFrame:
+    """The rows with their pattern's plan and whether a round so far took them."""
     took = lambda r: (F.col("size") > 0) & (F.col("size") <= r["rest"]) & (
-        (_bucket() < r["bucket"])
-        | ((_bucket() == r["bucket"]) & (F.struct("ord", "size") <= F.struct(r["ord"], r["size"]))))
-    return (rows.join(F.broadcast(known), F.col("pattern").eqNullSafe(F.col("of"))).drop("of")
-            .withColumn("chosen", F.exists("rounds", took)))
+        (bucket < r["bucket"]) | ((bucket == r["bucket"]) & (F.struct("ord", "size") <= F.struct(r["ord"], r["size"]))))
+    return rows.join(plan, "of").withColumn("chosen", F.exists("rounds", took))
 
 
 def oracle_sql(seed: str = SEED, weights: tuple[int, ...] = WEIGHTS, repeats: int = REPEATS) -> str:
