@@ -20,6 +20,7 @@ from coverlens.llm.common import written
 
 TABLES, PROBES = 8, 16
 CELL_ROWS = 20_000   # vectors of one cell compared in one task; larger cells are split, queries go to every part
+CELL_QUERIES = 5_000  # queries of one cell in one task; more are split, each part meets all of the cell's vectors
 RANGE = 1.2          # factor between the lengths of the longest and the shortest vector of a range
 FEW_ROWS = 1_000     # ranges up to this size are compared with every query, unless they are a large part of the table
 NEAREST = 20
@@ -141,12 +142,14 @@ def _search(classes: DataFrame, queries: DataFrame, index: Index, ranges: list[i
     asked = (queries.select("query_id", "vector")
              .mapInArrow(probe, "table int, range int, cell long, query_id long, vector array<double>")
              .unionByName(queries.select(*alone, "query_id", "vector")))
-    full = placed.groupBy("table", "range", "cell").agg(F.ceil(F.count("*") / CELL_ROWS).cast("int").alias("pieces"))
-    full = written(full, "cells")
-    rows = placed.join(full.filter("pieces > 1"), ["table", "range", "cell"], "left").withColumn(
-        "piece", F.pmod(F.xxhash64("id"), F.coalesce("pieces", F.lit(1))).cast("int"))
-    asked = asked.join(full, ["table", "range", "cell"]).withColumn("piece", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)))
-    key = ["table", "range", "cell", "piece"]
+    cell = ["table", "range", "cell"]
+    parts = lambda frame, size, name: frame.groupBy(*cell).agg(F.ceil(F.count("*") / size).cast("int").alias(name))
+    full = written(parts(placed, CELL_ROWS, "pieces").join(parts(asked, CELL_QUERIES, "shares"), cell), "cells")
+    own = lambda column, of: F.pmod(F.xxhash64(column), F.col(of)).cast("int")
+    each = lambda of: F.explode(F.sequence(F.lit(0), F.col(of) - 1))
+    rows = placed.join(full, cell).withColumn("piece", own("id", "pieces")).withColumn("share", each("shares"))
+    asked = asked.join(full, cell).withColumn("piece", each("pieces")).withColumn("share", own("query_id", "shares"))
+    key = [*cell, "piece", "share"]
     return (asked.select(*key, "query_id", "vector").groupBy(*key)
             .cogroup(rows.select(*key, "id", "vector").groupBy(*key))
             .applyInPandas(lambda q, x: _nearest(q, x, most), "query_id long, id long, score double"))
@@ -182,17 +185,21 @@ def nearest_neighbours(vectors: DataFrame, key: str = "vec_id", vector: str = "e
     members = (valid.dropDuplicates(["id", "vector"]).withColumn("place", F.row_number().over(by_id))
                .filter(F.col("place") <= nearest + 1)
                .withColumn("class", F.min("id").over(Window.partitionBy("vector"))).select(F.col("id").alias("vec_id"), "class"))
-    queries = (valid.filter(F.col("id") % query_step == 0).withColumnRenamed("id", "query_id")
-               .dropDuplicates(["query_id", "vector"]))
+    # equal query vectors are searched once, as their class
+    queries = written(valid.filter(F.col("id") % query_step == 0).dropDuplicates(["id", "vector"]).withColumnRenamed("id", "vec_id")
+                      .join(classes.withColumnRenamed("id", "query_class"), "vector"), "queries")
+    asked = queries.groupBy(F.col("query_class").alias("query_id")).agg(F.first("vector").alias("vector"))
     n = classes.count()
     index, ranges = Index(dimension, tables, probes), _searched_ranges(classes, n)
-    found = written(_top(_search(classes, queries, index, ranges, nearest + 1), nearest + 1), "found")
+    found = written(_top(_search(classes, asked, index, ranges, nearest + 1), nearest + 1), "found")
     wanted = min(nearest + 1, n)
     short = found.groupBy("query_id").agg(F.count("*").alias("n")).filter(F.col("n") >= wanted)
-    rest = written(queries.join(short, "query_id", "left_anti"), "rest")
+    rest = written(asked.join(short, "query_id", "left_anti"), "rest")
     if not rest.isEmpty():
         every = _search(classes, rest, index, [], nearest + 1)
         found = found.join(rest.select("query_id").distinct(), "query_id", "left_anti").unionByName(_top(every, nearest + 1))
+    found = queries.select(F.col("vec_id").alias("query_id"), "query_class").join(
+        found.withColumnRenamed("query_id", "query_class").drop("rank"), "query_class").drop("query_class")
     own = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
     return (found.select("query_id", F.col("id").alias("class"), "score").join(members, "class")
             .filter("vec_id <> query_id").withColumn("rank", F.row_number().over(own)).filter(F.col("rank") <= nearest)

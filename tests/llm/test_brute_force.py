@@ -6,12 +6,14 @@ import re
 import zlib
 from collections import Counter, defaultdict
 
+import duckdb
 import numpy as np
 import public_tokenizers
 import pytest
 import tiktoken
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from coverlens.llm import ann, bpe, fingerprint, mixing, near_dedup, quality, queries, sharding, suffix_array, suffix_dedup, url_filter
@@ -253,8 +255,37 @@ def test_mix_of_overlapping_sources(spark):
     assert max(r["taken"] for r in out.values()) == 20  # fresh words suffice, none is repeated
 
 
+def test_mix_of_fifty_thousand_sources(spark, tmp_path):
+    docs = spark.range(60_000).select(
+        F.col("id").alias("doc_id"), F.concat_ws(" ", F.sequence(F.lit(1), 1 + F.col("id") % 7)).alias("text"),
+        F.when(F.col("id") % 6 == 0, F.lit("hot")).when(F.col("id") != 5, F.concat(F.lit("s"), (F.col("id") % 50_001).cast("string"))).alias("source"))
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/documents.parquet/*.parquet')")
+    assert docs.select("source").distinct().count() > 40_000
+    assert difference(mixing.mix(spark.read.parquet(f"{tmp_path}/documents.parquet")), con, mixing.oracle_sql()) is None
+
+
 # --- neighbours, fingerprints, URLs ---------------------------------------------------------------------
 
+def test_hot_vectors_and_queries_in_parts(spark, monkeypatch):
+    """A third of all rows equal, among them queries; cells and their queries in small parts."""
+    monkeypatch.setattr(ann, "CELL_ROWS", 40)
+    monkeypatch.setattr(ann, "CELL_QUERIES", 3)
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(600, 24))
+    x[::3] = x[0]
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = defaultdict(list)
+    for r in ann.nearest_neighbours(frame, tables=8, probes=64).orderBy("query_id", "rank").collect():
+        got[r["query_id"]].append((r["vec_id"], r["score"]))
+    assert sorted(got) == list(range(0, 600, 20))
+    for q, found in got.items():
+        scores = (x * x[q]).sum(axis=1)
+        best = [i for i in np.lexsort((np.arange(600), -scores)) if i != q][:20]
+        assert [i for i, _ in found] == best and [s for _, s in found] == pytest.approx([scores[i] for i in best])
+
+
 def test_recall(spark):
     rows = spark.read.parquet(f"{SF}/embeddings.parquet").orderBy("vec_id").collect()
     ids, x = np.array([r["vec_id"] for r in rows]), np.array([r["embedding"] for r in rows], dtype=float)
