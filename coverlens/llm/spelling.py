@@ -180,7 +180,8 @@ def near_pairs(words: DataFrame, members: int = MEMBERS) -> DataFrame:
         every = every.unionByName(frame)
     every = written(every, "lists")
     tasks = max(1, every.count() // TASK_WORDS)
-    pairs = (every.withColumn("task", F.pmod(F.xxhash64("key"), F.lit(tasks))).groupBy("task")
+    # few bytes are much work here, so the number of tasks is set and not left to their size
+    pairs = (every.withColumn("task", F.pmod(F.xxhash64("key"), F.lit(tasks))).repartition(tasks, "task").groupBy("task")
              .applyInPandas(_scan, "u string, v string"))
     return pairs.select(F.explode(F.array(F.struct("u", "v"), F.struct(F.col("v").alias("u"), F.col("u").alias("v")))).alias("e")).select("e.*").distinct()
 
