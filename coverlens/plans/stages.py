@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from coverlens import schemas as S
 from coverlens.functions import dates, html, text
 from coverlens.operators import facet_state
+from coverlens.operators.dedup import distinct_on
 from coverlens.operators.lookup import pending
 from coverlens.plans import dashboard
 from coverlens.plans.story import export_view, story_table, web_view
@@ -53,10 +54,10 @@ def latest_articles(articles: DataFrame) -> DataFrame:
     The record is picked on narrow columns, combined map-side; bodies are read and moved once.
     Of records of one moment a hash of their columns decides.
     """
-    mine = F.struct(~F.col("success"), "import_date", "error", F.xxhash64(*S.ARTICLE.names))
+    mine = F.struct(~F.col("success"), "import_date", "error")
     best = articles.groupBy("story_id").agg(F.min(mine).alias("_best"))
-    return (articles.join(best, "story_id").filter(mine.eqNullSafe(F.col("_best"))).drop("_best")
-            .dropDuplicates(["story_id"]))
+    picked = articles.join(best, "story_id").filter(mine.eqNullSafe(F.col("_best"))).drop("_best")
+    return distinct_on(picked, ["story_id"], [F.xxhash64(*articles.columns)])
 
 
 def article_backlog(feed: DataFrame, articles: DataFrame, retry_failed: bool = False) -> DataFrame:
