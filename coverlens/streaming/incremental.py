@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from coverlens.operators.dedup import distinct_on
 from coverlens.operators.lookup import only_new
 from coverlens.sources import writers
 from coverlens.sources.landing import read_table
@@ -46,11 +48,12 @@ def bounded_dedup(stream: DataFrame, key: str, event_time: str, horizon: str) ->
 
 
 def append_late(spark: SparkSession, delivered: DataFrame, target: str, key: str) -> None:
-    """Store the delivered rows that a bounded stream dropped as too late, one per key.
+    """Store the delivered rows that a bounded stream dropped as too late, one per key (by a hash of the row).
 
     They are found by an anti join on the stored keys and kept beside the stream's own
     files, whose log must not change; ``read_all`` reads both."""
-    late = only_new(delivered.dropDuplicates([key]), read_all(spark, target, delivered.schema), key)
+    one = distinct_on(delivered, [key], [F.xxhash64(*delivered.columns)])
+    late = only_new(one, read_all(spark, target, delivered.schema), key)
     late.write.mode("append").parquet(f"{target}-late")
 
 
