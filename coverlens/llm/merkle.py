@@ -162,8 +162,8 @@ def manifest(docs: DataFrame, fields: tuple[str, ...] = FIELDS, key: str = "doc_
     leaves = _reached(leaves, inner, height)
 
     subroots = tops.select(F.lit("").alias("tree"), F.col("tree").alias("order"), "digest")
-    numbered = numbered(subroots, ["order"]).withColumnRenamed("order", "payload")
-    upper, upper_inner, root, upper_height = _build(numbered)
+    placed = numbered(subroots, ["order"]).withColumnRenamed("order", "payload")
+    upper, upper_inner, root, upper_height = _build(placed)
     upper = written(_reached(upper, upper_inner, upper_height).select(
         F.col("payload").alias("tree"), F.col("digest").alias("subroot"), F.col("segment").alias("_segment"), F.col("shape").alias("_shape")), "subroots")
     only = root.first()  # one row, or none of an empty table
