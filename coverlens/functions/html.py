@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from coverlens.functions import dates, markup, text
+from coverlens.operators import templates
 
 # --- Fixed values: common character references, the ampersand last -------------------
 REFERENCES = [
@@ -137,11 +138,14 @@ def page_domain(url: Column, keep_www: bool = False) -> Column:
     return host if keep_www else F.regexp_replace(host, r"^www\.", "")
 
 
-def article_records(pages: DataFrame, run_ts: Column | None = None, empty_ok: bool = False) -> DataFrame:
+def article_records(pages: DataFrame, run_ts: Column | None = None, empty_ok: bool = False,
+                    page_templates: DataFrame | None = None) -> DataFrame:
     """One article record per page of (id, url, html).
 
     ``success`` is false for a missing page ("no page") and, unless ``empty_ok``, for one
     without body text ("no body text"); such a page still yields a record with the reason.
+    ``page_templates`` (``templates.find_templates`` on ``page_domain``, of this or an earlier run) takes the
+    blocks that a host repeats out of text and summary.
     """
     html = F.coalesce(F.col("html"), F.lit(""))
     stamp = run_ts if run_ts is not None else F.localtimestamp()
@@ -150,6 +154,9 @@ def article_records(pages: DataFrame, run_ts: Column | None = None, empty_ok: bo
         F.col("id").alias("story_id"), "url", (html == "").alias("no_html"), meta_tags(html).alias("tags"),
         raw_title(html).alias("raw"), parts(html).alias("parts"))
     titled = found.withColumn("title", text.strip(decode_references(F.col("raw")))).withColumn("text", F.col("parts.text"))
+    if page_templates is not None:
+        hosted = titled.withColumn("_host", page_domain(F.col("url")))
+        titled = templates.without_templates(hosted, page_templates, "_host").drop("_host", "n_removed")
     fields = titled.select(
         "story_id", "url", "no_html", "title", "text",
         publish_date(F.col("tags"), F.col("parts.times"), F.col("url")).alias("publish_date"),

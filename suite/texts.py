@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from coverlens.functions import dates, html, sql_functions, text
+from coverlens.operators import templates
 from coverlens.plans import stages
 from coverlens.sources import landing
 from suite import star
@@ -234,6 +235,33 @@ def html_body_wrapped(spark, sf):
     return bodies(pages(spark, sf).select("page_id", form.alias("html"))).select("page_id", "body")
 
 
+# The same pages with a line of their host in every article but each fifth.
+SQL_HOSTED = f"""
+SELECT page_id, regexp_replace(lower(split_part(split_part(split_part(split_part(url, '://', 2), '/', 1), '?', 1), '#', 1)), '^www\\.', '') AS host, body
+FROM ({SQL_BODY.replace('FROM pages', """FROM (SELECT page_id, url, CASE WHEN page_id % 5 = 0 THEN html ELSE
+  replace(html, '</article>', '<p>More on ' || split_part(url, '/', 3) || '</p></article>') END AS html FROM pages)""")})"""
+
+
+@query("html_body_templates", f"""
+WITH hosted AS ({SQL_HOSTED}),
+blocks AS (SELECT page_id, host, body, unnest(string_split(body, chr(10) || chr(10))) AS block,
+                  generate_subscripts(string_split(body, chr(10) || chr(10)), 1) AS i FROM hosted WHERE body <> ''),
+counted AS (SELECT host, block, count(DISTINCT body) AS n FROM blocks GROUP BY ALL),
+sizes AS (SELECT host, count(DISTINCT body) AS n_pages FROM blocks GROUP BY ALL),
+repeated AS (SELECT host, block FROM counted JOIN sizes USING (host) WHERE n >= 3 AND 2 * n >= n_pages),
+kept AS (SELECT page_id, string_agg(b.block, chr(10) || chr(10) ORDER BY i) FILTER (WHERE r.host IS NULL) AS text,
+                count(r.host) AS n_removed
+         FROM blocks b LEFT JOIN repeated r ON b.host = r.host AND b.block = r.block GROUP BY page_id)
+SELECT h.page_id, h.host, coalesce(k.text, '') AS text, coalesce(k.n_removed, 0)::INT AS n_removed
+FROM hosted h LEFT JOIN kept k USING (page_id)""")
+def html_body_templates(spark, sf):
+    line = F.concat(F.lit("<p>More on "), F.split_part("url", F.lit("/"), F.lit(3)), F.lit("</p></article>"))
+    planted = F.when(F.col("page_id") % 5 == 0, F.col("html")).otherwise(F.replace("html", F.lit("</article>"), line))
+    hosted = bodies(pages(spark, sf).withColumn("html", planted)).select(
+        "page_id", html.page_domain(F.col("url")).alias("host"), F.col("body").alias("text"))
+    return templates.without_templates(hosted, templates.find_templates(hosted)).select("page_id", "host", "text", "n_removed")
+
+
 # The formula of the summary: long words count by their other occurrences, title words three more.
 SQL_SUMMARY = f"""
 SELECT page_id, string_agg(s, ' ' ORDER BY i) AS summary FROM (
