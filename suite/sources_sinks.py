@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from coverlens import schemas as S
 from coverlens.functions import text
+from coverlens.operators import terms
 from coverlens.plans import story
 from coverlens.session import work_path
 from coverlens.sources import dims, keyindex, landing, paged, writers
@@ -49,6 +50,33 @@ def src_term_query(spark, sf):
     return docs.filter(text.search_terms(F.col("text"), ["There", "elle"])).select("doc_id", "lang", "source")
 
 
+# Terms: every word of the benchmark's texts, and every two neighbours.
+SQL_TERMS = """
+SELECT DISTINCT unnest(list_concat(w, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))) AS term
+FROM (SELECT list_filter(regexp_split_to_array(lower(text), '[ \\t\\r\\n\\f]+'), lambda x: x <> '') AS w FROM benchmark)"""
+
+
+def benchmark_terms(spark, sf):
+    words = F.filter(F.split(F.lower("text"), r"[ \t\r\n\f]+"), lambda w: w != "")
+    pairs = F.transform(F.arrays_zip(F.col("w").alias("a"), F.slice("w", 2, F.size("w")).alias("b")),
+                        lambda p: F.concat_ws(" ", p["a"], p["b"]))
+    return table(spark, sf, "benchmark").select(words.alias("w")).select(F.explode(F.concat("w", pairs)).alias("term"))
+
+
+@query("src_term_table", f"""
+SELECT d.doc_id, t.term FROM documents d JOIN ({SQL_TERMS}) t ON contains(lower(d.text), t.term)""")
+def src_term_table(spark, sf):
+    return terms.term_hits(table(spark, sf, "documents"), benchmark_terms(spark, sf), "doc_id")
+
+
+@query("filter_term_table", f"""
+SELECT doc_id, lang, source FROM documents WHERE doc_id IN (
+  SELECT d.doc_id FROM documents d JOIN ({SQL_TERMS}) t ON contains(lower(d.text), t.term) WHERE contains(t.term, ' ') AND length(t.term) > 12)""")
+def filter_term_table(spark, sf):
+    phrases = benchmark_terms(spark, sf).filter(F.contains("term", F.lit(" ")) & (F.length("term") > 12))
+    return terms.holding_terms(table(spark, sf, "documents"), phrases, "doc_id").select("doc_id", "lang", "source")
+
+
 @query("src_csv_outlets", star.outlet_sql(
     "SELECT name, domain_name, media_outlet_type, state, bias, active FROM staged_outlet"))
 def src_csv_outlets(spark, sf):
