@@ -30,6 +30,7 @@ CUT, KEEP = chr(0xFDD0), chr(0xFDD1)
 _NO_CUT = r"(^|[^\p{L}])((?:" + "|".join(ABBREVIATIONS) + r")\.|(?:\p{Lu}\.)+)"
 _NO_CUT_BEFORE_SMALL = r"(^|[^\p{L}])((?:" + "|".join(SHORT_FORMS) + r")\.)(?=[ \t\r\n\f]+[\p{Ll}\d])"
 _BOUNDARY = "([.!?]+[\"'”’)\\]]*)[ \\t\\r\\n\\f]+|\\n[ \\t\\r\\f]*\\n"
+_BOUNDARY_SPACE = "([.!?]+[\"'”’)\\]]*)([ \\t\\r\\n\\f]+)|(\\n[ \\t\\r\\f]*\\n)"
 
 
 def strip(text: Column) -> Column:
@@ -37,6 +38,17 @@ def strip(text: Column) -> Column:
     return F.btrim(text, F.lit(WHITE_SPACE))
 
 
+def _guarded(text: Column) -> Column:
+    """The text with a mark after every full stop that ends no sentence."""
+    guarded = F.regexp_replace(text, _NO_CUT, "$1$2" + KEEP)
+    return F.regexp_replace(guarded, _NO_CUT_BEFORE_SMALL, "$1$2" + KEEP)
+
+
+def cut_marks(text: Column) -> Column:
+    """The text with CUT before the white space between sentences, and KEEP marks still in it."""
+    return F.regexp_replace(_guarded(text), _BOUNDARY_SPACE, "$1" + CUT + "$2$3")
+
+
 def sentences(text: Column) -> Column:
     """Sentences in order, trimmed, without empty ones.
 
@@ -46,9 +58,7 @@ def sentences(text: Column) -> Column:
     number ("No. 5") does not end one.  The text is marked by three linear passes, then
     split; a model-based splitter may differ.
     """
-    guarded = F.regexp_replace(text, _NO_CUT, "$1$2" + KEEP)
-    guarded = F.regexp_replace(guarded, _NO_CUT_BEFORE_SMALL, "$1$2" + KEEP)
-    marked = F.replace(F.regexp_replace(guarded, _BOUNDARY, "$1" + CUT), F.lit(KEEP), F.lit(""))
+    marked = F.replace(F.regexp_replace(_guarded(text), _BOUNDARY, "$1" + CUT), F.lit(KEEP), F.lit(""))
     return F.filter(F.transform(F.split(marked, CUT), strip), lambda s: s != "")
 
 

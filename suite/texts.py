@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from coverlens.functions import dates, html, sql_functions, text
-from coverlens.operators import templates
+from coverlens.operators import abbreviations, templates
 from coverlens.plans import stages
 from coverlens.sources import landing
 from suite import star
@@ -76,6 +76,52 @@ def text_sentences(spark, sf):
         "doc_id", (F.col("p") + 1).cast("bigint").alias("i"), "s")
 
 
+# Two abbreviations that no list has, in place of frequent words.
+PLANTED = [(" of ", " ovz. "), (" des ", " d.zt. ")]
+SQL_PLANTED = f"(SELECT doc_id, {'replace(' * len(PLANTED)}text{''.join(f', {chr(39)}{a}{chr(39)}, {chr(39)}{b}{chr(39)})' for a, b in PLANTED)} AS text FROM documents)"
+SQL_OPEN = "[\"''“‘(\\[]*"
+SQL_COUNTS = f"""
+SELECT word, count(*) FILTER (WHERE dot) AS n_dot, count(*) FILTER (WHERE dot AND small) AS n_small, count(*) FILTER (WHERE NOT dot) AS n_plain
+FROM (SELECT lower(regexp_extract(w, '^{SQL_OPEN}(\\p{{L}}+(?:\\.\\p{{L}}+)*)(?:\\.|["''”’)\\],;:!?]*)$', 1)) AS word, ends_with(w, '.') AS dot,
+             coalesce(regexp_matches(lead(w) OVER (PARTITION BY doc_id ORDER BY i), '^{SQL_OPEN}[\\p{{Ll}}\\d]'), false) AS small
+      FROM (SELECT doc_id, unnest(ws) AS w, generate_subscripts(ws, 1) AS i
+            FROM (SELECT doc_id, regexp_split_to_array(text, '[ \\t\\r\\n\\f]+') AS ws FROM {SQL_PLANTED})))
+WHERE word <> '' GROUP BY word"""
+SQL_RULES = f"""
+SELECT word, n_dot, n_small, n_plain, score FROM (
+  SELECT *, 2 * (n_small * ln(n_small / n_dot) + CASE WHEN n_dot > n_small THEN (n_dot - n_small) * ln(1 - n_small / n_dot) ELSE 0 END
+                 - n_small * ln(p) - (n_dot - n_small) * ln(1 - p)) AS score
+  FROM (SELECT *, sum(n_small) OVER () / sum(n_dot) OVER () AS p FROM ({SQL_COUNTS}))
+  WHERE n_small > 0 AND 2 * n_dot >= n_dot + n_plain AND n_small / n_dot > p) WHERE score >= {abbreviations.LEAST_SCORE}"""
+
+
+def planted(spark, sf):
+    """Whole texts with abbreviations that only the corpus can tell."""
+    given = F.col("text")
+    for word, short in PLANTED:
+        given = F.replace(given, F.lit(word), F.lit(short))
+    return texts(spark, sf).withColumn("text", given)
+
+
+@query("text_abbreviations", SQL_RULES)
+def text_abbreviations(spark, sf):
+    return abbreviations.learn(abbreviations.count_words(planted(spark, sf)))
+
+
+@query("text_sentences_learned", f"""
+WITH pieces AS ({sql_sentences(SQL_PLANTED, 'doc_id', 'text')}),
+ends AS (SELECT *, coalesce(lag(lower(regexp_extract(s, '(?:^|[^\\p{{L}}.])(\\p{{L}}+(?:\\.\\p{{L}}+)*)\\.$', 1))) OVER w, '') AS last
+         FROM pieces WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
+starts AS (SELECT *, sum(CASE WHEN last IN (SELECT word FROM ({SQL_RULES})) AND regexp_matches(s, '^{SQL_OPEN}[\\p{{Ll}}\\d]') THEN 0 ELSE 1 END)
+                  OVER (PARTITION BY doc_id ORDER BY i) AS place FROM ends)
+SELECT doc_id, place::BIGINT AS i, string_agg(s, ' ' ORDER BY i) AS s FROM starts GROUP BY ALL""")
+def text_sentences_learned(spark, sf):
+    given = planted(spark, sf)
+    words = abbreviations.rule_list(abbreviations.learn(abbreviations.count_words(given)))
+    return given.select("doc_id", F.posexplode(abbreviations.sentences(F.col("text"), words)).alias("p", "s")).select(
+        "doc_id", (F.col("p") + 1).cast("bigint").alias("i"), "s")
+
+
 @query("text_keyword_sentences", f"SELECT doc_id, s FROM ({SQL_HITS})")
 def text_keyword_sentences(spark, sf):
     return texts(spark, sf).select("doc_id", F.explode(text.keyword_sentences(F.col("text"), KEYWORD)).alias("s"))
