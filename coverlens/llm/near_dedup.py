@@ -24,7 +24,9 @@ BANDS, ROWS = 32, 8     # misses a pair at exactly that similarity with probabil
 SIGNATURE = BANDS * ROWS
 MARGIN = 4.0            # standard errors by which a signature may fall short of the similarity
 BLOCK_ROWS = 1_000      # members of one bucket compared with each other at a time
+PAIRS_PER_SET = 1_000   # pairs that one copy of a document's full set is compared in
 KEYLESS = 1 << 62
+SURROGATE = KEYLESS + (1 << 61)  # nodes of classes whose smallest key has further texts
 CHUNK_BYTES = 1_000_000  # texts hashed together; a longer text is hashed alone
 
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -144,24 +146,38 @@ def _signatures(batches: Iterator[pa.RecordBatch], band_rows: int) -> Iterator[p
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The set of each node: that of its key's text whose identity is the class's."""
     for batch in batches:
+        a, b = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("a", "b"))
         for at, texts in _chunks(batch.column("text")):
             owner, hashes = shingle_sets(texts)
+            _, *sums = _sums(owner, hashes, len(texts))
+            same = pa.array((sums[0] == a[at:at + len(texts)]) & (sums[1] == b[at:at + len(texts)]))
             bounds = np.searchsorted(owner, np.arange(len(texts) + 1)).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("key").slice(at, len(texts)), pa.ListArray.from_arrays(bounds, hashes.view(np.int64))],
-                ["node", "shingles"])
+                [batch.column("node").slice(at, len(texts)), pa.ListArray.from_arrays(bounds, hashes.view(np.int64))],
+                ["node", "shingles"]).filter(same)
 
 
-def _confirmed(pairs: DataFrame, rows: DataFrame, similar: int) -> DataFrame:
+def _with_sets(pairs: DataFrame, sets: DataFrame, node: str, name: str) -> DataFrame:
+    """The pairs with the full set of their column ``node``; the set of a node of many pairs is copied, its pairs are spread."""
+    crowds = pairs.groupBy(node).agg(F.floor(F.count("*") / PAIRS_PER_SET).cast("int").alias("more"))
+    spread = pairs.join(crowds, node)
+    other = "v" if node == "u" else "u"
+    spread = spread.withColumn("part", F.pmod(F.xxhash64(other), F.col("more") + 1).cast("int")).drop("more")
+    copies = (sets.select(F.col("node").alias(node), F.col("shingles").alias(name)).join(crowds, node)
+              .withColumn("part", F.explode(F.sequence(F.lit(0), F.col("more")))).drop("more"))
+    return spread.join(copies, [node, "part"]).drop("part")
+
+
+def _confirmed(pairs: DataFrame, classes: DataFrame, rows: DataFrame, similar: int) -> DataFrame:
     """The pairs (u, v) whose full shingle sets share enough; sets are made for the documents in question only."""
-    needed = pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct()
+    needed = (classes.select("node", "rep", "a", "b")
+              .join(pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct(), "node", "left_semi"))
     # a merge join: the number of documents in question grows with the table
-    sets = written(rows.join(needed.hint("merge"), F.col("key") == F.col("node"), "left_semi")
-                   .mapInArrow(_sets, "node long, shingles array<bigint>").dropDuplicates(["node", "shingles"]), "sets")
-    left = sets.select(F.col("node").alias("u"), F.col("shingles").alias("x"))
-    right = sets.select(F.col("node").alias("v"), F.col("shingles").alias("y"))
-    both = pairs.join(left, "u").join(right, "v").withColumn("common", F.size(F.array_intersect("x", "y")))
+    sets = written(rows.join(needed.hint("merge"), F.col("key") == F.col("rep")).select("node", "a", "b", "text")
+                   .mapInArrow(_sets, "node long, shingles array<bigint>").dropDuplicates(["node"]), "sets")
+    both = _with_sets(_with_sets(pairs, sets, "u", "x"), sets, "v", "y").withColumn("common", F.size(F.array_intersect("x", "y")))
     return (both.filter(F.lit(100) * F.col("common") >= F.lit(similar) * (F.size("x") + F.size("y") - F.col("common")))
             .select("u", "v").distinct())
 
@@ -173,7 +189,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", si
     Two documents are linked if 100 * |intersection| >= similar * |union| of their shingle sets;
     component_id is the smallest key reachable over links.  A null text, an empty one and one
     without words have no shingles, stand alone and are kept.  Rows of equal key are one
-    document; equal rows all carry the same answer.  Rows without a key are linked too: their
+    document: all its texts' links are its links, and all its rows carry the same component.  Rows without a key are linked too: their
     component_id is the smallest key there is, null if there is none, and they are kept only then.
     An empty table has no rows.  Other columns play no part.
     A lower ``similar`` needs bands of fewer rows.
@@ -182,20 +198,29 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", si
     keyless = F.lit(KEYLESS) + F.abs(F.xxhash64(F.coalesce(F.col(text), F.lit(""))) % (1 << 61))
     rows = docs.select(F.coalesce(F.col(key).cast("long"), keyless).alias("key"), F.col(text).alias("text"))
     signed = written(rows.mapInArrow(lambda batches: _signatures(batches, band_rows), "key long, n long, a long, b long, bands array<bigint>, marks binary"), "signatures")
+    # keys with several texts, mostly none: their classes get nodes of their own, linked to the key
+    identity = F.struct("n", "a", "b")
+    several = written(signed.groupBy("key").agg(F.min(identity).alias("low"), F.max(identity).alias("high"))
+                      .filter("low <> high").select("key"), "several")
+    own = F.lit(SURROGATE) + F.pmod(F.xxhash64("n", "a", "b"), F.lit(1 << 61))
     classes = written(signed.filter("n > 0").groupBy("n", "a", "b").agg(
-        F.min("key").alias("node"), F.min_by(F.struct("bands", "marks"), "key").alias("of")).select(
-        "n", "a", "b", "node", "of.*"), "classes")
+        F.min("key").alias("rep"), F.min_by(F.struct("bands", "marks"), "key").alias("of"))
+        .join(several.select(F.col("key").alias("rep"), F.lit(True).alias("several")), "rep", "left").select(
+        "n", "a", "b", "rep", F.when(F.col("several"), own).otherwise(F.col("rep")).alias("node"), "of.*"), "classes")
+    of_key = (signed.filter("n > 0").join(several, "key", "left_semi").select("key", "n", "a", "b").distinct()
+              .join(classes.select("n", "a", "b", "node"), ["n", "a", "b"]).select(F.col("key").alias("u"), F.col("node").alias("v")))
 
     members = classes.select("node", "n", F.explode("bands").alias("bucket"))
     shared = members.groupBy("bucket").agg(
         F.count("*").alias("members"), F.min(F.struct("node", "n")).alias("leader")).filter("members > 1")
     buckets = written(members.join(shared.drop("members"), "bucket"), "buckets")
-    found = components(_links(buckets, classes, rows, similar))
+    found = components(_links(buckets, classes, rows, similar).unionByName(of_key))
 
     of_class = (classes.join(found, "node", "left")
                 .select("n", "a", "b", F.coalesce("component", "node").alias("component")))
-    known = signed.select("key", "n", "a", "b").join(of_class, ["n", "a", "b"], "left")
-    component = F.coalesce("component", "key")
+    of_several = several.join(found.select(F.col("node").alias("key"), F.col("component").alias("key_component")), "key")
+    known = signed.select("key", "n", "a", "b").join(of_class, ["n", "a", "b"], "left").join(of_several, "key", "left")
+    component = F.coalesce("key_component", "component", "key")
     named = lambda c: F.when(c < KEYLESS, c)
     return known.select(
         named(F.col("key")).alias(key), F.col("n").alias("n_shingles"), named(component).alias("component_id"),
@@ -212,7 +237,7 @@ def _links(buckets: DataFrame, classes: DataFrame, rows: DataFrame, similar: int
     first = (buckets.filter(_alike_sizes(F.col("n"), F.col("leader.n"), similar) & (F.col("node") != F.col("leader.node")))
              .select(F.col("leader.node").alias("u"), F.col("node").alias("v")).distinct())
     first = written(first, "pairs")
-    links = written(_confirmed(first, rows, similar), "links")
+    links = written(_confirmed(first, classes, rows, similar), "links")
     # what the leaders left apart is compared directly: members of one bucket in different groups
     grouped = written(buckets.join(components(links), "node", "left")
                       .select("bucket", "node", F.coalesce("component", "node").alias("component")), "grouped")
@@ -227,11 +252,11 @@ def _links(buckets: DataFrame, classes: DataFrame, rows: DataFrame, similar: int
     parts = (apart.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
              .select("bucket", "node", "component", "block", F.least("block", "other").alias("low"),
                      F.greatest("block", "other").alias("high"), "blocks").withColumn("task", task)
-             .join(classes.select("node", "n", "bands", "marks").dropDuplicates(["node"]), "node"))
+             .join(classes.select("node", "n", "bands", "marks"), "node"))
     compare = lambda part: _likely_pairs(part, similar)
     rest = written(parts.groupBy("task").applyInPandas(compare, "u long, v long").distinct()
                    .join(first, ["u", "v"], "left_anti"), "pairs")
-    return links.unionByName(_confirmed(rest, rows, similar))
+    return links.unionByName(_confirmed(rest, classes, rows, similar))
 
 
 def _likely_pairs(part: pd.DataFrame, similar: int) -> pd.DataFrame:

@@ -112,6 +112,44 @@ def test_large_buckets_are_compared_in_blocks(spark, monkeypatch):
     assert {r["doc_id"]: r["component_id"] for r in near_dedup.near_duplicates(docs).collect()} == expected
 
 
+def test_one_id_with_several_texts(spark, monkeypatch):
+    """All texts of an id count, in any order of rows, also where leaders are crowded."""
+    monkeypatch.setattr(near_dedup, "PAIRS_PER_SET", 3)
+    rng, rows = random.Random(8), []
+    for i in range(25):  # two unlike texts under one id, each with near copies of its own
+        for k in (0, 1):
+            words = prose(500 + 2 * i + k, 120).split()
+            rows.append((100 + i, " ".join(words)))
+            for j in range(rng.randint(0, 3)):
+                words[rng.randrange(len(words))] = f"w{j}"
+                rows.append((1000 + 100 * i + 10 * k + j, " ".join(words)))
+    base = prose(9, 150).split()
+    for i in range(30):  # many near copies, some under ids that have another text, one without words
+        words = list(base)
+        words[rng.randrange(len(words))] = f"w{i}"
+        rows.append((100 + i if i < 3 else 5000 + i, " ".join(words)))
+    rows += [(101, ""), (5005, None), (5005, "alone here"), (7000, None), (7000, ""), rows[0], rows[1]]
+    texts = dict(enumerate(t for _, t in rows))
+    sets, by_row = groups(texts)
+    root = {k: k for k, _ in rows}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    first = {}
+    for at, (key, _) in enumerate(rows):
+        x, y = find(key), find(first.setdefault(by_row[at], key))
+        root[max(x, y)] = min(x, y)
+    for seed in (1, 2):
+        shuffled = list(rows)
+        random.Random(seed).shuffle(shuffled)
+        docs = spark.createDataFrame(shuffled, "doc_id long, text string").repartition(3 + seed)
+        got = sorted((r["doc_id"], r["n_shingles"], r["component_id"], r["kept"]) for r in near_dedup.near_duplicates(docs).collect())
+        assert got == sorted((k, len(sets[at]), find(k), find(k) == k) for at, (k, _) in enumerate(rows))
+
+
 def test_super_minhash_estimates_similarity():
     rng = np.random.default_rng(3)
     for share in (0.3, 0.6, 0.9):
