@@ -22,26 +22,29 @@ MAX_RULES = 1_000  # rules are part of the plan; a longer list is refused, not c
 RULES = [("block", "net", "/"), ("allow", "example.net", "/en/"),
          ("block", "example.com", "/de/"), ("allow", "org", "/fr/")]
 
-# The labelled URL table: every name below stands under several sites and paths.
-UNWANTED_NAMES = """
-ads ad-server adult adult-video affiliate-click banner bet betting-odds bets bonus-casino buy-followers
-casino cheap-loans cheap-meds cheap-watches click-track coupon-spam crack-download credit-fast dating-hot
-diet-pills discount-pharma escort fake-watches farm-links free-bets free-gift free-money gambling get-rich
-instant-loan jackpot link-farm lottery-win malware meds-online money-fast online-casino payday-loan
-pharma-shop pills poker-room popup-ads porn prize-win replica-bags scam sex-chat slots spam spam-links
-spyware torrent-free track-ads tracker viagra warez win-cash win-prize x-videos xxx
+# The labelled URL table is made by a rule from these names (``labelled_urls``).
+UNWANTED_TOPICS = """
+ads adserver adult affiliate banner betting bets bingo bonus botnet casino cheap-loans cheap-meds clickbait coupons
+counterfeit cracks dating diet-pills discount-pharma doorway dropship escort fake-reviews followers forex-signals
+gambling get-rich giveaway hookup instant-loan jackpot keygen linkfarm lottery malware miracle-cure nudes payday
+pharmacy-deals phishing pills poker popup porn prizes pyramid replica scam sexcam slots spam spyware sweepstakes
+torrents tracker viagra warez xxx
 """.split()
-WANTED_NAMES = """
-academy archive article arts astronomy atlas biology books botany bulletin camera chess chronicle city
-college cooking courier course culture daily docs economy encyclopedia engineering essays field-notes
-forum garden gazette geology guide health herald history journal kitchen language law letters library
-literature local magazine maps mathematics medicine museum music nature news observer opinion papers
-philosophy physics poetry post press professor reader recipes research review school science society
-sport story student teacher the-times theatre travel tribune university weather wiki world writing
-anther ering heron nation oration other station stone tether theater thistle thorn tither
+WANTED_TOPICS = """
+academy agriculture archive architecture arts astronomy atlas biology books botany bulletin ceramics chemistry chess
+chronicle cinema climate college cooking courier culture cycling dictionary drama economy education encyclopedia
+engineering essays farming fishing forestry forum gallery gardens gazette geography geology guide hiking history
+hospital journal kitchen knitting language law library linguistics literature magazine maps mathematics medicine
+meteorology mountains museum music nature news observatory observer opera orchestra painting parliament philosophy
+photography physics poetry press railway recipes research review sailing school science sculpture society stories
+teaching theatre travel tribune university weather wildlife woodwork
 """.split()
-SITES = ["www.{}.example.com", "{}.example.org", "blog.{}.example.net", "m.{}.example.com"]
-PATHS = ["/en/12", "/de/310.html", "/fr/7?page=2", "/es/55/"]
+MODIFIERS = "online my best the daily top new world city go get club hub zone central direct plus pro live net".split()
+SUBDOMAINS = ["", "", "www.", "www.", "m.", "blog.", "en.", "shop."]
+DOMAINS = [".com", ".org", ".net", ".info", ".co.uk", ".de", ".fr", ".io", ".example.com", ".example.org", ".example.net"]
+PATHS = ["", "/", "/en/12", "/de/310.html", "/fr/7?page=2", "/es/55/", "/2024/05/17/1234", "/index.php?id=7", "/a/b.html#top", "/tag/list?page=2"]
+VARIANTS = 24  # urls of a topic
+BRANDS = 2_000  # urls of hosts whose names mean nothing
 
 
 def host_of(url: Column) -> Column:
@@ -65,13 +68,39 @@ def rule_verdict(host: Column, path: Column, rules: list[tuple[str, str, str]])
     return F.coalesce(*found) if found else F.lit(None).cast("struct<rule:string,verdict:string>")
 
 
+def _pick(values: list[str], *salt: Column | str) -> Column:
+    """One of the values by a hash of the row's id and the salt."""
+    at = F.pmod(F.xxhash64("id", *[F.lit(x) for x in salt]), F.lit(len(values))).cast("int")
+    return F.get(F.array(*[F.lit(v) for v in values]), at)
+
+
 def labelled_urls(spark: SparkSession) -> DataFrame:
-    """The labelled URL table (url, label; 1: unwanted) of the default model."""
-    rows = [(site.format(name) + path, label)
-            for names, label in ((UNWANTED_NAMES, 1.0), (WANTED_NAMES, 0.0))
-            for i, name in enumerate(names) for site, path in zip(SITES, PATHS[i % 4:] + PATHS[:i % 4])]
-    values = ", ".join(f"('http://{url}', {label})" for url, label in rows)
-    return spark.sql(f"SELECT url, CAST(label AS DOUBLE) AS label FROM VALUES {values} AS t(url, label)")
+    """The labelled URL table (url, label; 1: unwanted; topic) of the default model, the same at every call.
+
+    VARIANTS urls a topic: its name alone, before or after a modifier that both labels share, with a number, or
+    as a folder of a host that means nothing; and BRANDS urls of such hosts, two to four
+    syllables each, wanted: a name is unwanted for what it says, not for being unknown.
+    """
+    topics = [(t, 1.0) for t in UNWANTED_TOPICS] + [(t, 0.0) for t in WANTED_TOPICS]
+    total = len(topics) * VARIANTS
+    syllable = lambda i: F.concat(_pick(list("bcdfghjklmnprstvwz") + ["th", "sh", "ch", "st", "tr"], "a", str(i)),
+                                  _pick(list("aeiou") + ["ea", "ou", "er", "on", "in"], "b", str(i)))
+    syllables = F.array(*[syllable(i) for i in range(4)])
+    rows = spark.range(total + BRANDS).select(
+        "id", (F.col("id") % len(topics)).cast("int").alias("t"), (F.col("id") < total).alias("named"),
+        F.array_join(F.slice(syllables, 1, 2 + F.pmod(F.xxhash64("id"), F.lit(3)).cast("int")), "").alias("brand"),
+        _pick(MODIFIERS, "modifier").alias("m"))
+    topic = F.when(F.col("named"), F.get(F.array(*[F.lit(t) for t, _ in topics]), F.col("t")))
+    label = F.when(F.col("named"), F.get(F.array(*[F.lit(n) for _, n in topics]), F.col("t"))).otherwise(0.0)
+    rows = rows.withColumn("topic", topic).withColumn("label", label)
+    form = F.floor(F.col("id") / len(topics)) % 7
+    number = F.pmod(F.xxhash64("id", F.lit("number")), F.lit(1000)).cast("string")
+    name = (F.when(~F.col("named") | (form == 6), F.col("brand")).when(form == 0, F.col("topic"))
+            .when(form == 1, F.concat("m", F.lit("-"), "topic")).when(form == 2, F.concat("topic", F.lit("-"), "m"))
+            .when(form == 3, F.concat("m", "topic")).when(form == 4, F.concat("topic", "m")).otherwise(F.concat("topic", number)))
+    folder = F.when(F.col("named") & (form == 6), F.concat(F.lit("/"), "topic")).otherwise("")
+    url = F.concat(F.lit("http://"), _pick(SUBDOMAINS, "sub"), name, _pick(DOMAINS, "domain"), folder, _pick(PATHS, "path"))
+    return rows.select(url.alias("url"), "label", "topic")
 
 
 def _characters(host: Column, path: Column) -> Column:

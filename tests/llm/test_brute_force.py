@@ -428,6 +428,30 @@ def test_url_rules_and_model(spark):
     assert got == {i: bool(label) for i, (_, label) in enumerate(unseen)}
 
 
+def held_out_auc(labelled, by):
+    """Area under the curve on a quarter of the values of ``by`` that the model does not see."""
+    held = F.pmod(F.crc32(by), F.lit(4)) == 0
+    model = url_filter.fit(labelled.filter(~held))
+    unseen = labelled.filter(held).withColumn("page_id", F.monotonically_increasing_id()).cache()
+    scores = url_filter.judge_urls(unseen, model, rules=[]).join(unseen.select("page_id", "label"), "page_id")
+    rows = scores.select("score", "label").collect()
+    bad, good = (np.array([r["score"] for r in rows if r["label"] == y]) for y in (1, 0))
+    return np.mean((bad[:, None] > good) + 0.5 * (bad[:, None] == good)), np.mean(bad >= 0.5), np.mean(good >= 0.5)
+
+
+def test_url_model_on_held_out_hosts(spark):
+    labelled = url_filter.labelled_urls(spark)
+    assert labelled.count() > 5000 and set(labelled.collect()) == set(url_filter.labelled_urls(spark).collect())
+    auc, caught, alarms = held_out_auc(labelled, url_filter.host_of(F.col("url")))
+    print("by host", auc, caught, alarms)
+    assert auc >= 0.95 and alarms <= 0.05
+    # names of topics that were never seen: only parts of words can help
+    named = labelled.filter("topic IS NOT NULL")
+    unseen, *rates = held_out_auc(named, F.col("topic"))
+    print("by topic", unseen, rates)
+    assert 0.5 < unseen < auc
+
+
 # --- classifiers --------------------------------------------------------------------------------------------
 
 # toxicity needs more labels than the small table's 51 toxic texts, of which six are held out
