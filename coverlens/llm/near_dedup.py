@@ -159,15 +159,19 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 ["node", "shingles"]).filter(same)
 
 
-def _with_sets(pairs: DataFrame, sets: DataFrame, node: str, name: str) -> DataFrame:
-    """The pairs with the full set of their column ``node``; the set of a node of many pairs is copied, its pairs are spread."""
-    crowds = pairs.groupBy(node).agg(F.floor(F.count("*") / PAIRS_PER_SET).cast("int").alias("more"))
-    spread = pairs.join(crowds, node)
-    other = "v" if node == "u" else "u"
-    spread = spread.withColumn("part", F.pmod(F.xxhash64(other), F.col("more") + 1).cast("int")).drop("more")
-    copies = (sets.select(F.col("node").alias(node), F.col("shingles").alias(name)).join(crowds, node)
-              .withColumn("part", F.explode(F.sequence(F.lit(0), F.col("more")))).drop("more"))
-    return spread.join(copies, [node, "part"]).drop("part")
+def _with_sets(pairs: DataFrame, sets: DataFrame, node: str, name: str, most: int) -> DataFrame:
+    """The pairs with the full set of their column ``node``, which stands in at most ``most`` of them.
+
+    Where some node has many pairs, pairs are dealt into parts by their other node, and sets are copied
+    to the parts that their pairs are in: no node's pairs all meet in one task.
+    """
+    named = sets.select(F.col("node").alias(node), F.col("shingles").alias(name))
+    if most <= PAIRS_PER_SET:
+        return pairs.join(named, node)
+    part = F.pmod(F.xxhash64("v" if node == "u" else "u"), F.lit(1 + most // PAIRS_PER_SET)).cast("int")
+    dealt = pairs.withColumn("part", part)
+    copies = named.join(dealt.select(node, "part").distinct(), node)
+    return dealt.join(copies, [node, "part"]).drop("part")
 
 
 def _confirmed(pairs: DataFrame, classes: DataFrame, rows: DataFrame, similar: int) -> DataFrame:
@@ -177,7 +181,9 @@ def _confirmed(pairs: DataFrame, classes: DataFrame, rows: DataFrame, similar: i
     # a merge join: the number of documents in question grows with the table
     sets = written(rows.join(needed.hint("merge"), F.col("key") == F.col("rep")).select("node", "a", "b", "text")
                    .mapInArrow(_sets, "node long, shingles array<bigint>").dropDuplicates(["node"]), "sets")
-    both = _with_sets(_with_sets(pairs, sets, "u", "x"), sets, "v", "y").withColumn("common", F.size(F.array_intersect("x", "y")))
+    most_u, most_v = (pairs.groupBy(c).count().agg(F.max("count")).first()[0] or 0 for c in ("u", "v"))
+    both = _with_sets(_with_sets(pairs, sets, "u", "x", most_u), sets, "v", "y", most_v)
+    both = both.withColumn("common", F.size(F.array_intersect("x", "y")))
     return (both.filter(F.lit(100) * F.col("common") >= F.lit(similar) * (F.size("x") + F.size("y") - F.col("common")))
             .select("u", "v").distinct())
 
