@@ -3,7 +3,8 @@
 Documents of equal shingle sets form one class.  Class representatives whose signatures
 agree in a whole band share a bucket.  A bucket first links its members to one leader;
 only members that are then still in different groups are compared with each other, so
-a large group of near copies costs one comparison a member, not one a pair.
+a large group of near copies costs one comparison a member, not one a pair.  These
+comparisons take place where the members' sets are; only links leave the task.
 """
 
 from __future__ import annotations
@@ -24,6 +25,7 @@ BANDS, ROWS = 32, 8     # misses a pair at exactly that similarity with probabil
 SIGNATURE = BANDS * ROWS
 MARGIN = 4.0            # standard errors by which a signature may fall short of the similarity
 BLOCK_ROWS = 1_000      # members of one bucket compared with each other at a time
+BLOCK_SHINGLES = 2_000_000  # shingles that such a block holds, a longer set alone
 PAIRS_PER_SET = 1_000   # pairs that one copy of a document's full set is compared in
 KEYLESS = 1 << 62
 SURROGATE = KEYLESS + (1 << 61)  # nodes of classes whose smallest key has further texts
@@ -174,13 +176,16 @@ def _with_sets(pairs: DataFrame, sets: DataFrame, node: str, name: str, most: in
     return dealt.join(copies, [node, "part"]).drop("part")
 
 
-def _confirmed(pairs: DataFrame, classes: DataFrame, rows: DataFrame, similar: int) -> DataFrame:
-    """The pairs (u, v) whose full shingle sets share enough; sets are made for the documents in question only."""
-    needed = (classes.select("node", "rep", "a", "b")
-              .join(pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct(), "node", "left_semi"))
+def _full_sets(nodes: DataFrame, classes: DataFrame, rows: DataFrame) -> DataFrame:
+    """(node, shingles) of these distinct nodes; texts move once, and only here."""
+    needed = classes.select("node", "rep", "a", "b").join(nodes, "node", "left_semi")
     # a merge join: the number of documents in question grows with the table
-    sets = written(rows.join(needed.hint("merge"), F.col("key") == F.col("rep")).select("node", "a", "b", "text")
+    return written(rows.join(needed.hint("merge"), F.col("key") == F.col("rep")).select("node", "a", "b", "text")
                    .mapInArrow(_sets, "node long, shingles array<bigint>").dropDuplicates(["node"]), "sets")
+
+
+def _confirmed(pairs: DataFrame, sets: DataFrame, similar: int) -> DataFrame:
+    """The pairs (u, v) whose full shingle sets share enough."""
     most_u, most_v = (pairs.groupBy(c).count().agg(F.max("count")).first()[0] or 0 for c in ("u", "v"))
     both = _with_sets(_with_sets(pairs, sets, "u", "x", most_u), sets, "v", "y", most_v)
     both = both.withColumn("common", F.size(F.array_intersect("x", "y")))
@@ -243,40 +248,51 @@ def _links(buckets: DataFrame, classes: DataFrame, rows: DataFrame, similar: int
     first = (buckets.filter(_alike_sizes(F.col("n"), F.col("leader.n"), similar) & (F.col("node") != F.col("leader.node")))
              .select(F.col("leader.node").alias("u"), F.col("node").alias("v")).distinct())
     first = written(first, "pairs")
-    links = written(_confirmed(first, classes, rows, similar), "links")
+    sets = _full_sets(buckets.select("node").distinct(), classes, rows)
+    links = written(_confirmed(first, sets, similar), "links")
     # what the leaders left apart is compared directly: members of one bucket in different groups
     grouped = written(buckets.join(components(links), "node", "left")
-                      .select("bucket", "node", F.coalesce("component", "node").alias("component")), "grouped")
+                      .select("bucket", "node", "n", F.coalesce("component", "node").alias("component")), "grouped")
+    blocks = F.greatest(F.ceil(F.count("*") / BLOCK_ROWS), F.ceil(F.sum("n") / BLOCK_SHINGLES)).cast("int")
     split = grouped.groupBy("bucket").agg(
-        F.min("component").alias("low"), F.max("component").alias("high"),
-        F.ceil(F.count("*") / BLOCK_ROWS).cast("int").alias("blocks")).filter("low < high").select("bucket", "blocks")
+        F.min("component").alias("low"), F.max("component").alias("high"), blocks.alias("blocks")).filter(
+        "low < high").select("bucket", "blocks")
     apart = grouped.join(split, "bucket").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    n = apart.count()
+    n, shingles = apart.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
     # every two blocks of a large bucket meet in one task, small buckets share tasks
-    task = (F.when(F.col("blocks") == 1, F.pmod(F.xxhash64("bucket"), F.lit(1 + n // (4 * BLOCK_ROWS))))
-            .otherwise(F.xxhash64("bucket", "low", "high")))
+    small = 1 + max(n // (4 * BLOCK_ROWS), shingles // (2 * BLOCK_SHINGLES))
+    task = F.when(F.col("blocks") == 1, F.pmod(F.xxhash64("bucket"), F.lit(small))).otherwise(F.xxhash64("bucket", "low", "high"))
     parts = (apart.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-             .select("bucket", "node", "component", "block", F.least("block", "other").alias("low"),
+             .select("bucket", "node", "n", "component", "block", F.least("block", "other").alias("low"),
                      F.greatest("block", "other").alias("high"), "blocks").withColumn("task", task)
-             .join(classes.select("node", "n", "bands", "marks"), "node"))
-    compare = lambda part: _likely_pairs(part, similar)
-    rest = written(parts.groupBy("task").applyInPandas(compare, "u long, v long").distinct()
-                   .join(first, ["u", "v"], "left_anti"), "pairs")
-    return links.unionByName(_confirmed(rest, classes, rows, similar))
+             .join(classes.select("node", "bands", "marks"), "node").join(sets, "node"))
+    return links.unionByName(parts.groupBy("task").applyInPandas(
+        lambda part: _links_within(part, similar), "u long, v long"))
 
 
-def _likely_pairs(part: pd.DataFrame, similar: int) -> pd.DataFrame:
-    """Pairs of one bucket, in different groups, whose signatures do not rule out the similarity.
+def _links_within(part: pd.DataFrame, similar: int) -> pd.DataFrame:
+    """Links that connect the members of each bucket which true links connect and that are in different groups.
 
-    A pair that shares several buckets is named in the first of its common bands only.
+    Signatures rule out most pairs, full sets decide on the others.  A link joins its groups, whose
+    members are not compared with each other again.  A pair that shares several buckets is looked at
+    in the first of its common bands only.
     """
     share = similar / 100
     least = SIGNATURE * (share - MARGIN * np.sqrt(share * (1 - share) / SIGNATURE))
+    joined: dict[int, int] = {}  # group to the group it has become part of
     out = []
+
+    def group_of(component: int) -> int:
+        while component in joined:
+            component = joined[component]
+        return component
+
     for (bucket, low, high), rows in part.groupby(["bucket", "low", "high"], sort=False):
         marks = np.frombuffer(b"".join(rows["marks"]), np.uint8).reshape(len(rows), SIGNATURE)
         bands = np.stack(rows["bands"].to_numpy())
-        node, n, group, block = (rows[c].to_numpy() for c in ("node", "n", "component", "block"))
+        sets = [np.asarray(s, dtype=np.int64).view(np.uint64) for s in rows["shingles"]]  # sorted as such
+        node, n, block = (rows[c].to_numpy() for c in ("node", "n", "block"))
+        group = np.array([group_of(c) for c in rows["component"].tolist()])
         place = np.arange(len(rows))
         for i in np.flatnonzero(block == low):
             partner = (block == high) & (group != group[i])
@@ -284,11 +300,19 @@ def _likely_pairs(part: pd.DataFrame, similar: int) -> pd.DataFrame:
                 partner &= place > i
             partner &= 100 * np.minimum(n, n[i]) >= similar * np.maximum(n, n[i])
             at = np.flatnonzero(partner)
+            if len(at):
+                at = at[(marks[at] == marks[i]).sum(axis=1) >= least]
+            if len(at):
+                at = at[bands[i][np.argmax(bands[at] == bands[i], axis=1)] == bucket]
             if len(at) == 0:
                 continue
-            at = at[(marks[at] == marks[i]).sum(axis=1) >= least]
-            if len(at) == 0:
-                continue
-            at = at[bands[i][np.argmax(bands[at] == bands[i], axis=1)] == bucket]
-            out.extend((min(node[i], node[j]), max(node[i], node[j])) for j in at)
+            others = np.concatenate([sets[j] for j in at])
+            found = sets[i][np.minimum(np.searchsorted(sets[i], others), n[i] - 1)] == others
+            common = np.add.reduceat(found, np.cumsum(n[at]) - n[at], dtype=np.int64)
+            for j in at[100 * common >= similar * (n[at] + n[i] - common)]:
+                mine, its = int(group[i]), int(group[j])
+                if mine != its:
+                    out.append((node[i], node[j]))
+                    joined[max(mine, its)] = min(mine, its)
+                    group[group == max(mine, its)] = min(mine, its)
     return pd.DataFrame(out, columns=["u", "v"], dtype="int64")

@@ -99,12 +99,14 @@ def test_near_duplicates(spark, texts):
             len(sets[r["doc_id"]]), expected[r["doc_id"]], expected[r["doc_id"]] == r["doc_id"])
 
 
-def test_large_buckets_are_compared_in_blocks(spark, monkeypatch):
-    monkeypatch.setattr(near_dedup, "BLOCK_ROWS", 7)
+@pytest.mark.parametrize("bound, least, most", [("BLOCK_ROWS", 1, 6), ("BLOCK_SHINGLES", 1, 6), ("BLOCK_SHINGLES", 3, 5)])
+def test_large_buckets_are_compared_in_blocks(spark, monkeypatch, bound, least, most):
+    """With three to five edits many of the pairs are just short of the similarity."""
+    monkeypatch.setattr(near_dedup, bound, 7 if bound == "BLOCK_ROWS" else 1_000)
     rng, base, more = random.Random(6), prose(9, 120).split(), {}
     for i in range(80):
         words = list(base)
-        for _ in range(rng.randint(1, 6)):
+        for _ in range(rng.randint(least, most)):
             words[rng.randrange(len(words))] = f"w{rng.randrange(9)}"
         more[i] = " ".join(words)
     _, expected = groups(more)
