@@ -266,8 +266,9 @@ def _links(buckets: DataFrame, classes: DataFrame, rows: DataFrame, similar: int
              .select("bucket", "node", "n", "component", "block", F.least("block", "other").alias("low"),
                      F.greatest("block", "other").alias("high"), "blocks").withColumn("task", task)
              .join(classes.select("node", "bands", "marks"), "node").join(sets, "node"))
-    return links.unionByName(parts.groupBy("task").applyInPandas(
-        lambda part: _links_within(part, similar), "u long, v long"))
+    # written first: a task that also joined components would hold two Python workers
+    rest = written(parts.groupBy("task").applyInPandas(lambda part: _links_within(part, similar), "u long, v long"), "links")
+    return links.unionByName(rest)
 
 
 def _links_within(part: pd.DataFrame, similar: int) -> pd.DataFrame:
