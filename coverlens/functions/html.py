@@ -16,6 +16,7 @@ from pyspark.sql.types import StringType
 
 from coverlens.functions import dates, markup, text
 from coverlens.operators import templates
+from coverlens.session import batched_udf
 
 # --- Fixed values: common character references, the ampersand last -------------------
 REFERENCES = [
@@ -32,7 +33,7 @@ _COMMON = "|".join(ref[1:] for ref, _ in REFERENCES)
 _RARE_REFERENCE = rf"&(?!(?:{_COMMON}))#?[A-Za-z0-9]+"
 
 
-@F.pandas_udf(StringType())
+@batched_udf(StringType())
 def _unescape(texts: pd.Series) -> pd.Series:
     return texts.map(lambda t: None if t is None else _html.unescape(t))
 

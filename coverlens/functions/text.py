@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import unicodedata
 from collections.abc import Sequence
 from functools import reduce
 
@@ -11,6 +12,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
+from coverlens.session import batched_udf
+
 # --- Fixed values --------------------------------------------------------------------
 # Every character that str.strip() removes.
 WHITE_SPACE = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
@@ -96,9 +99,10 @@ def best_sentence(text: Column, keyword: str) -> Column:
     return longest(keyword_sentences(text, keyword))
 
 
-@F.pandas_udf(StringType())
+@batched_udf(StringType())
 def _nfkc(texts: pd.Series) -> pd.Series:
-    return texts.str.normalize("NFKC")
+    # Series.str.normalize would keep some memory of every batch
+    return texts.map(lambda t: None if t is None else unicodedata.normalize("NFKC", t))
 
 
 def nfkc(text: Column) -> Column:
