@@ -12,6 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 ANCHOR = 32  # characters of a term's longest word that are joined on
+SMALL = 8 * 1024 * 1024  # terms of at most so many characters, ROW more for each, are sent to every task
+ROW = 64
 CHUNK = 256  # longer words are looked at in overlapping pieces, so that no row holds all parts of a long one
 
 _SPACE = r"[ \t\r\n\f]+"
@@ -53,26 +55,33 @@ def term_hits(texts: DataFrame, terms: DataFrame, key: str, text: str = "text",
     Rows without key or text hit nothing.  A key that occurs with several texts hits what any of them holds.
 
     Plan: words per text (distinct), distinct pieces of words (map-side), their parts of the at most 32
-    lengths that anchors have, an equality join to the anchors, back to the texts on the piece.  No
-    pair of text and term is formed that does not share an anchor.  Texts themselves are shuffled only for terms
-    of several words or over 32 characters.  A frequent word is a skewed key of a plain join, which AQE splits.
+    lengths that anchors have, an equality join to the anchors, back to the texts on the piece.  What goes back is one
+    string of anchors per word, and they meet in one row per key; terms come in only then, beside the text, so that pairs of
+    text and term are not shuffled unless the terms are over SMALL characters.  No pair is formed that does not
+    share an anchor.  A frequent word is a skewed key of a plain join, which AQE splits.
     """
     wanted = anchored(terms, term)
-    # at most ANCHOR numbers, whatever the number of terms
-    lengths = sorted(r[0] for r in wanted.select(F.length("anchor")).distinct().collect())
+    # at most ANCHOR rows, whatever the number of terms
+    sizes = wanted.groupBy(F.length("anchor").alias("n")).agg(F.sum(F.length("term")).alias("size"), F.count("*").alias("terms")).collect()
+    lengths = sorted(r["n"] for r in sizes)
     given = texts.filter(F.col(key).isNotNull() & F.col(text).isNotNull()).select(F.col(key).alias("_key"), F.lower(F.col(text)).alias("_text"))
     if not lengths:
         return given.select(F.col("_key").alias(key), F.lit("").alias("term")).limit(0)
+    if sum(r["size"] + ROW * r["terms"] for r in sizes) <= SMALL:
+        wanted = F.broadcast(wanted)
     pieces = F.array_distinct(F.flatten(F.transform(F.array_distinct(_words(F.col("_text"))), _pieces)))
     postings = given.select("_key", F.explode(pieces).alias("piece")).filter(F.length("piece") >= lengths[0])
     vocabulary = postings.select("piece").distinct()
     parts = vocabulary.select("piece", F.explode(_parts(F.col("piece"), lengths)).alias("anchor"))
-    met = parts.join(wanted, "anchor").select("piece", "term", "exact")
-    candidates = postings.join(met, "piece").select("_key", "term", "exact").distinct()
-    sure = candidates.filter("exact").select("_key", "term")
-    longer = candidates.filter("NOT exact").join(given, "_key").filter(F.contains("_text", F.col("term"))).select("_key", "term")
-    # a term is in one branch only; a key with several texts may repeat in the second
-    return sure.unionByName(longer.distinct()).select(F.col("_key").alias(key), "term")
+    # anchors hold no white space; a piece has at most its length times ANCHOR of them
+    met = (parts.join(wanted.select("anchor").distinct(), "anchor").groupBy("piece")
+           .agg(F.array_join(F.sort_array(F.collect_list("anchor")), " ").alias("anchors")))
+    held = postings.join(met, "piece").groupBy("_key").agg(F.collect_set("anchors").alias("anchors"))
+    found = F.array_distinct(F.split(F.array_join("anchors", " "), " "))
+    candidates = held.select("_key", F.explode(found).alias("anchor")).join(wanted, "anchor").select("_key", "term", "exact")
+    hits = candidates.join(given, "_key").filter(F.col("exact") | F.contains("_text", F.col("term"))).select("_key", "term")
+    # a key with several texts may repeat
+    return hits.distinct().select(F.col("_key").alias(key), "term")
 
 
 def holding_terms(texts: DataFrame, terms: DataFrame, key: str, text: str = "text", term: str = "term") -> DataFrame:

@@ -2,6 +2,7 @@
 
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from coverlens.functions import text
@@ -34,6 +35,32 @@ def test_equals_contains(spark):
     assert sorted(r["doc_id"] for r in held.collect()) == [1, 2, 5, 6, 7, 9, 9, 9, 10, 11]
 
 
+@pytest.mark.parametrize("small", [0, terms.SMALL])
+def test_pairs_of_text_and_term_are_not_shuffled(spark, monkeypatch, small):
+    """Terms of one frequent word each: the shuffles hold texts, words and anchors, not one row per text and term."""
+    monkeypatch.setattr(terms, "SMALL", small)
+    texts = [(i, f"the word{i % 7} the end of the text") for i in range(60)]
+    given = [f"the x{i}" for i in range(300)] + ["the end", "d1 the", "nd", "ext", "Text"]
+    docs, table = frames(spark, texts, given)
+    frame = terms.term_hits(docs, table, "doc_id")
+    assert sorted((r["doc_id"], r["term"]) for r in frame.collect()) == plain(texts, given)
+    rows = max(exchanged(frame._jdf.queryExecution().executedPlan()))
+    assert rows < 1500 or not small, rows  # 60 texts with 301 terms of "the" would be 18,060
+
+
+def exchanged(plan):
+    """Rows written by every exchange of a plan that was run."""
+    name, found = plan.getClass().getSimpleName(), []
+    if name == "AdaptiveSparkPlanExec":
+        return exchanged(plan.executedPlan())
+    if name.endswith("QueryStageExec"):
+        return exchanged(plan.plan())
+    if name == "ShuffleExchangeExec":
+        found.append(plan.metrics().apply("shuffleRecordsWritten").value())
+    below = plan.children()
+    return found + [n for i in range(below.size()) for n in exchanged(below.apply(i))]
+
+
 def test_the_same_as_the_ored_form(spark):
     sf = "/root/testdata/sf0.001/documents.parquet"
     docs = spark.read.parquet(sf).select("doc_id", "text")
