@@ -124,8 +124,10 @@ def merge(rows: DataFrame, path: str, schema: T.StructType, key: str, order: Seq
     """
     spark, old = rows.sparkSession, latest(rows.sparkSession, path)
     parts, number = (old.parts, old.number + 1) if old else (parts, 1)
-    first = distinct_on(_hashed(rows.filter(F.col(key).isNotNull()), schema, ignore), [key], [*map(F.col, order), F.col(HASH)])
-    touched = [r[0] for r in first.select(_part_of(key, parts)).distinct().collect()]  # at most one number a partition
+    keyed = rows.filter(F.col(key).isNotNull())
+    first = distinct_on(_hashed(keyed, schema, ignore), [key], [*map(F.col, order), F.col(HASH)])
+    # at most one number a partition; of the first snapshot there is nothing to read
+    touched = [r[0] for r in keyed.select(_part_of(key, parts)).distinct().collect()] if old else []
     known = _read(spark, path, schema, old, touched).select(
         key, F.struct(*order).alias("_order"), F.col(same).alias("_same"), F.col(HASH).alias("_stored"))
     beside = first.join(known, key, "left")

@@ -112,6 +112,23 @@ def test_merge_writes_what_it_touches(spark):
     assert len(held(spark, path, first)) == 200  # the old snapshot is still there
 
 
+def test_merge_makes_the_rows_once(spark):
+    """Which partitions are touched is found on keys alone, not by making all columns a first time."""
+    path, made = work_path(spark, "t"), spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def body(k):
+        made.add(1)
+        return f"body of {k}"
+
+    for n, upto in enumerate((20, 50)):
+        rows = spark.range(upto).select(F.col("id").cast("string").alias("k"), F.lit(5).alias("day"), F.col("id").cast("string").alias("record"))
+        rows = rows.withColumn("body", body("k"))
+        before = made.value
+        snapshots.merge(rows, path, frame(spark, []).schema, "k", ["day", "record"], "record", parts=16)
+        assert made.value - before == upto and len(held(spark, path)) == upto
+
+
 def test_the_same_record_is_replaced_and_a_repeat_changes_nothing(spark):
     path = work_path(spark, "t")
     take(spark, [("a", 5, "r1", ""), ("b", 5, "r2", "x")], path)
