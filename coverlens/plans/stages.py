@@ -110,8 +110,9 @@ def stored_sentence_backlog(articles: DataFrame, sentences: DataFrame) -> DataFr
     something missing are read for their text.
     """
     missing = pending(articles.filter("success").select("story_id", writers.BATCH), sentences, "story_id", "story_id")
-    # a join on the partition column: Spark prunes the batches by what the other side holds
-    batches = missing.select(writers.BATCH).distinct()
+    # a join on the partition column: Spark prunes the batches by what the other side holds, one name a run.
+    # Sent to the scan, as a shuffle by batch would move all texts of a batch to one task
+    batches = F.broadcast(missing.select(writers.BATCH).distinct())
     return sentence_backlog(articles.filter("success").join(batches, writers.BATCH, "left_semi"), sentences)
 
 

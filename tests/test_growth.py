@@ -252,6 +252,28 @@ def test_a_run_that_stopped_is_taken_in_by_the_next(spark):
     assert len(facts(spark, root)) == 19 and facts(spark, root) == full_fact(spark, root, outlets)
 
 
+def test_texts_of_a_batch_are_not_shuffled_by_batch(spark):
+    path = work_path(spark, "t")
+    rows = lambda ids: spark.createDataFrame([(f"id{i}", f"text {i}", i % 7 != 0) for i in ids], "story_id string, text string, success boolean")
+    rows(range(40)).write.parquet(f"{path}/batch=r1")
+    rows(range(40, 100)).write.parquet(f"{path}/batch=r2")
+    articles = spark.read.parquet(path)
+    sentences = rows(i for i in range(42) if i != 3).select("story_id", F.lit("").alias("sentence"))
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as if both sides were large
+    try:
+        got = stages.stored_sentence_backlog(articles, sentences)
+        assert sorted(tuple(r) for r in got.collect()) == sorted(
+            (f"id{i}", f"text {i}") for i in [3, *range(42, 100)] if i % 7)
+        joins = [line for line in plan_of(got).splitlines() if "Join [batch" in line]
+        assert joins and all("BroadcastHashJoin" in line for line in joins)
+        assert "dynamicpruning" in plan_of(got)  # batches that lack nothing are not read
+        late = stages.stored_sentence_backlog(articles, sentences.unionByName(rows([3]).select("story_id", F.lit("").alias("sentence"))))
+        assert sorted(r["story_id"] for r in late.collect()) == sorted(f"id{i}" for i in range(42, 100) if i % 7)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+
 def test_changed_outlets_make_the_fact_anew(spark):
     root = work_path(spark, "runs")
     feed, pages = feed_of(spark, [(i, 10, i) for i in range(6)]), pages_of(spark, range(6))
