@@ -2,11 +2,12 @@
 
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from coverlens.functions import text
-from coverlens.operators import terms
+from coverlens.operators import scanner, terms
 
 TEXTS = [(1, "The quick brown\nfox, 'there'."), (2, "Elle  est là"), (3, ""), (4, None), (5, "x" * 700 + "needle" + "y" * 700),
          (6, "a b c"), (7, "THERE WAS a Quick  Brown fox"), (8, " \t "), (None, "the"), (9, "one two"), (9, "three four"), (9, "one two"),
@@ -90,3 +91,42 @@ def test_empty_tables(spark):
     assert terms.term_hits(*frames(spark, [], TERMS), "doc_id").count() == 0
     assert terms.term_hits(*frames(spark, TEXTS, []), "doc_id").columns == ["doc_id", "term"]
     assert terms.holding_terms(*frames(spark, TEXTS, ["", None]), "doc_id").count() == 0
+
+
+@pytest.mark.parametrize("again", [0, 3])
+def test_words_of_texts_are_not_shuffled(spark, again):
+    """Small terms are looked for where the texts are; only keys, and the pairs of keys that occur again, are shuffled."""
+    texts = [(i, " ".join(f"w{i}x{j}" for j in range(50))) for i in range(80)] + [(i, f"other w{i}") for i in range(again)]
+    given = ["x1", "x2", "x3", "w7x4 w7x5", "other"]
+    docs, table = frames(spark, texts, given)
+    frame = terms.term_hits(docs, table, "doc_id")
+    assert sorted((r["doc_id"], r["term"]) for r in frame.collect()) == plain(texts, given)
+    rows = max(exchanged(frame._jdf.queryExecution().executedPlan()))
+    assert rows <= len(texts), rows  # 80 texts have 4000 words
+
+
+@pytest.mark.parametrize("limits", [{}, {"KEYS": 0}, {"SMALL": 0}, {"ENTRIES": 10}])
+def test_every_way_finds_the_same(spark, monkeypatch, limits):
+    for name, value in limits.items():
+        monkeypatch.setattr(scanner if name == "ENTRIES" else terms, name, value)
+    texts = TEXTS + [(12, "one two"), (12, None), (None, "one two"), (13, "É" * 90 + "one  two")]
+    given = TERMS + ["é" * 40, "é" * 89 + "o", "x" * 65, "x" * 65 + "needle", "e t"]
+    got = [(r["doc_id"], r["term"]) for r in terms.term_hits(*frames(spark, texts, given), "doc_id").collect()]
+    assert sorted(got) == plain(texts, given)
+
+
+@pytest.mark.parametrize("limits", [(1024, 4096, 1 << 24), (16, 7, 50), (70, 5, 1000)])
+def test_scanner_equals_in(monkeypatch, limits):
+    """Bytes of any value, terms within terms, over CUT bytes and over the ends of pieces, texts without bytes."""
+    for name, value in zip(["PIECE", "LANES", "CELLS"], limits, strict=True):
+        monkeypatch.setattr(scanner, name, value)
+    rng = random.Random(5)
+    for trial in range(12):
+        letters = [b"ab", "abc é".encode(), bytes(range(256))][trial % 3]
+        piece = lambda n: bytes(rng.choice(letters) for _ in range(n))
+        given = list({piece(rng.choice([1, 2, 3, 5, 60, 64, 65, 70, 90])) for _ in range(rng.choice([1, 5, 50]))})
+        texts = [b"".join(rng.choice([rng.choice(given), piece(1)]) for _ in range(rng.choice([0, 1, 30]))) for _ in range(rng.randint(0, 12))]
+        ids = [7 * i for i in range(len(given))]
+        at, held = scanner.Scanner.of(given, ids).hits(np.frombuffer(b"".join(texts), dtype=np.uint8), np.cumsum([0] + [len(t) for t in texts]))
+        got = [sorted(held[at[i]:at[i + 1]].tolist()) for i in range(len(texts))]
+        assert got == [[n for n, t in zip(ids, given, strict=True) if t in text] for text in texts]
